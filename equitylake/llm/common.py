@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import functools
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_DIRS: dict[str, str] = {}
+_MARKS = re.compile(r"^[\W_]+|[\W_]+$")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,5 +65,73 @@ def narrow_batches(spark: SparkSession, rows: int = 512) -> None:
         spark.conf.set(key, str(rows))
 
 
+def by_size(batch: pa.RecordBatch, column: str, most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts have about ``most`` bytes together, one row at least."""
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    group = np.cumsum(sizes) // most
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def salt_of(salts: int, *columns: str) -> Column:
     return F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(salts)).cast("int")
+
+
+def split_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The different words of a batch, the word at each position as an index into them,
+    and where each text's words begin and end. White space is Unicode's; a text that
+    begins or ends with it yields the word ``""`` there."""
+    lists = pc.utf8_split_whitespace(texts.cast(pa.string()).fill_null(""))
+    words = lists.flatten().dictionary_encode()
+    bounds = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))
+    return words.dictionary.to_pylist(), words.indices.to_numpy(), bounds.astype(np.int64)
+
+
+class WordHashes(dict):
+    """word -> its place among ``size`` hashed features, -1 for a word without a letter or
+    digit. Words are lower-cased and stripped of marks at both ends. Kept per worker."""
+
+    def __init__(self, size: int, most: int = 300_000):
+        super().__init__()
+        self.size, self.most = size, most
+
+    def __missing__(self, word: str) -> int:
+        plain = _MARKS.sub("", word.lower())
+        place = xxhash.xxh32_intdigest(plain.encode(), 7) % self.size if plain else -1
+        self[word] = place
+        return place
+
+    def places(self, words: list[str]) -> np.ndarray:
+        found = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if len(self) > self.most:
+            self.clear()
+        return found
+
+
+@functools.cache
+def word_hashes(size: int) -> WordHashes:
+    return WordHashes(size)
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, component) of the nodes of links (a, b), component being the smallest node.
+
+    Large-star and small-star steps in turn: each round links a node's larger, then its
+    smaller neighbours to the smallest of them, until nothing changes. Each round starts
+    from a table in the shared folder. Minima are combined before they are shuffled, and
+    Spark may split the join of a node that has many neighbours."""
+    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
+    edges, last = staged(edges, "edges"), None
+    while True:
+        state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+        if state == last or not state["n"]:
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+        last = state
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(lowest.select("u", F.col("m").alias("v"))).distinct()
+        edges = staged(small, "edges")

@@ -27,8 +27,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import narrow_batches, new_path, read_table, staged
-from .word_ids import by_size, word_ids
+from .common import by_size, narrow_batches, new_path, read_table, staged
+from .word_ids import word_ids
 
 SEQUENCE = 2048
 SEQUENCES_PER_BATCH = 256

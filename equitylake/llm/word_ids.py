@@ -11,7 +11,6 @@ from __future__ import annotations
 import functools
 import re
 import struct
-from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
@@ -133,16 +132,6 @@ class WordIds(dict):
         return out
 
 
-def by_size(batch: pa.RecordBatch, column: str, most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose texts have about ``most`` bytes together, one row at least."""
-    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
-    group = np.cumsum(sizes) // most
-    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        if b > a:
-            yield batch.slice(a, b - a)
-
-
 @functools.cache
 def word_ids(path: str | None = None) -> WordIds:
     """One per Python worker, kept from task to task."""
