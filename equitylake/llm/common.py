@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
-import functools
-import re
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_DIRS: dict[str, str] = {}
-_MARKS = re.compile(r"^[\W_]+|[\W_]+$")
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\u00a0\u00ab\u00bb\u2013\u2014\u2018\u2019\u201c\u201d\u2026"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,40 +77,24 @@ def salt_of(salts: int, *columns: str) -> Column:
     return F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(salts)).cast("int")
 
 
-def split_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """The different words of a batch, the word at each position as an index into them,
     and where each text's words begin and end. White space is Unicode's; a text that
     begins or ends with it yields the word ``""`` there."""
     lists = pc.utf8_split_whitespace(texts.cast(pa.string()).fill_null(""))
     words = lists.flatten().dictionary_encode()
     bounds = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))
-    return words.dictionary.to_pylist(), words.indices.to_numpy(), bounds.astype(np.int64)
+    return words.dictionary, words.indices.to_numpy(), bounds.astype(np.int64)
 
 
-class WordHashes(dict):
-    """word -> its place among ``size`` hashed features, -1 for a word without a letter or
-    digit. Words are lower-cased and stripped of marks at both ends. Kept per worker."""
-
-    def __init__(self, size: int, most: int = 300_000):
-        super().__init__()
-        self.size, self.most = size, most
-
-    def __missing__(self, word: str) -> int:
-        plain = _MARKS.sub("", word.lower())
-        place = xxhash.xxh32_intdigest(plain.encode(), 7) % self.size if plain else -1
-        self[word] = place
-        return place
-
-    def places(self, words: list[str]) -> np.ndarray:
-        found = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        if len(self) > self.most:
-            self.clear()
-        return found
-
-
-@functools.cache
-def word_hashes(size: int) -> WordHashes:
-    return WordHashes(size)
+def word_places(words: list[str] | pa.Array, size: int) -> np.ndarray:
+    """Each word's place among ``size`` hashed features, -1 where nothing is left of it.
+    Words are lower-cased and stripped of ``MARKS`` at both ends."""
+    plain = pc.utf8_trim(pc.utf8_lower(pa.array(words, pa.string())), characters=MARKS).to_numpy(zero_copy_only=False)
+    if not len(plain):
+        return np.zeros(0, np.int64)
+    places = (pd.util.hash_array(plain, categorize=False) % np.uint64(size)).astype(np.int64)
+    return np.where(plain == "", -1, places)
 
 
 def components(links: DataFrame) -> DataFrame:

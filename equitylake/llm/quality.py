@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import by_size, narrow_batches, read_table, split_words, staged, word_hashes
+from .common import by_size, narrow_batches, read_table, split_words, staged, word_places
 
 GRADES = 3
 SAMPLE = 6000
@@ -66,13 +66,11 @@ class Model(NamedTuple):
     thresholds: np.ndarray  # GRADES - 1, ascending
 
 
-def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def word_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Places of each word's two features; SIZE stands for none."""
-    places = word_hashes(WORDS).places(words)
-    known = shapes()
-    forms = WORDS + np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-    empty = np.array([not w for w in words], bool)
-    return np.where(places < 0, SIZE, places), np.where(empty, SIZE, forms)
+    places, known, texts = word_places(words, WORDS), shapes(), words.to_pylist()
+    forms = WORDS + np.fromiter(map(known.__getitem__, texts), np.int64, len(texts))
+    return np.where(places < 0, SIZE, places), np.where(words.to_numpy(zero_copy_only=False) == "", SIZE, forms)
 
 
 def variety(codes: np.ndarray) -> int:
