@@ -86,13 +86,27 @@ def with_pieces(words: DataFrame, path: str | None = None) -> DataFrame:
     return words.mapInArrow(encode, "word string, n long, pieces long")
 
 
+def frequent(words: DataFrame, most: int = HEAD) -> DataFrame:
+    """The words of the highest frequency classes (sixteen to each doubling) that together
+    have at most ``most`` words. The classes are counted, the words not sorted."""
+    level = F.floor(F.log2("n") * 16).cast("int")
+    classes = words.groupBy(level.alias("level")).count().collect()  # sixteen for each doubling of n
+    least, total = None, 0
+    for row in sorted(classes, key=lambda r: -r["level"]):
+        total += row["count"]
+        if total > most:
+            break
+        least = row["level"]
+    return words.where(F.lit(False) if least is None else level >= least)
+
+
 def count_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, n_bytes, n_tokens) of documents (doc_id, text)."""
     spark = docs.sparkSession
     narrow_batches(spark, 2048)
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     words = staged(with_pieces(corpus_pre_tokens(plain), path), "pre-tokens")
-    top = words.orderBy(F.desc("n"), "word").limit(HEAD).select("word", "pieces").toArrow()  # HEAD rows at most
+    top = frequent(words).select("word", "pieces").toArrow()  # HEAD rows at most
     head = spark.sparkContext.broadcast(dict(zip(top.column("word").to_pylist(), top.column("pieces").to_pylist(), strict=True)))
     tail = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
 
