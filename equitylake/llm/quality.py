@@ -8,7 +8,7 @@ which follow the expected grade and the tail probability P(grade = 2).
 
 Fitting: at most ``SAMPLE`` labelled documents a grade, those with the lowest hash of
 doc_id; executors extract their features, the driver fits on that bounded sample (full
-batches, adaptive steps). Scoring covers every whole text.
+batches, adaptive steps; a grade's rows weigh as much as its labelled documents). Scoring covers every whole text.
 
 Defined results: null or blank text has no features and scores zero. A document with
 several labels takes the lowest grade; labels with nulls are left out. Without two grades
@@ -95,17 +95,18 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return places[used], values[used], row[used]
 
 
-def rated(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(grade, text) of the sample."""
+def rated(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, int]]:
+    """The sample (doc_id, grade, text), and how many documents have each grade."""
     graded = (
         labels.where("doc_id is not null and quality is not null and toxic is not null")
         .groupBy("doc_id").agg(F.min(F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).otherwise(2)).alias("grade"))
     )
-    of_docs = docs.select("doc_id").where("doc_id is not null").distinct().join(graded, "doc_id")
+    of_docs = staged(docs.select("doc_id").where("doc_id is not null").distinct().join(graded, "doc_id"), "graded")
     lowest = Window.partitionBy("grade").orderBy(F.xxhash64("doc_id"), "doc_id")
     sample = of_docs.withColumn("_n", F.row_number().over(lowest)).where(F.col("_n") <= SAMPLE).select("doc_id", "grade")
     # At most SAMPLE ids a grade.
-    return docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(sample), "doc_id").select("doc_id", "grade", "text")
+    texts = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(sample), "doc_id").select("doc_id", "grade", "text")
+    return texts, {r["grade"]: r["count"] for r in of_docs.groupBy("grade").count().collect()}
 
 
 def sample_features(sample: DataFrame) -> DataFrame:
@@ -128,13 +129,18 @@ def logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit_ordinal(places: np.ndarray, amounts: np.ndarray, rows: np.ndarray, grades: np.ndarray) -> Model:
-    """Least penalised negative log-likelihood, by Adam on all rows at once."""
+def fit_ordinal(places: np.ndarray, amounts: np.ndarray, rows: np.ndarray, grades: np.ndarray, counts: dict[int, int]) -> Model:
+    """Least penalised negative log-likelihood, by Adam on all rows at once. Each row stands
+    for as many documents as its grade has for each in the sample, so that the sample's
+    bound does not change how frequent the grades are."""
     n, often = len(grades), np.bincount(places, minlength=SIZE) >= LEAST_DOCUMENTS
     used = often[places]
     active, at = np.unique(places[used], return_inverse=True)
     amounts, rows, m = amounts[used], rows[used], len(active)
-    share = np.clip(np.cumsum(np.bincount(grades, minlength=GRADES))[:-1] / n, 0.01, 0.99)
+    sampled = np.bincount(grades, minlength=GRADES)
+    stands = np.array([counts.get(g, 0) / max(sampled[g], 1) for g in range(GRADES)])[grades]
+    stands *= n / stands.sum()
+    share = np.clip(np.cumsum(np.bincount(grades, stands, GRADES))[:-1] / n, 0.01, 0.99)
     cuts = np.log(share / (1 - share))
     state = np.concatenate([np.zeros(m), [cuts[0]], np.log(np.maximum(np.diff(cuts), 0.05))])
     mean, square = np.zeros_like(state), np.zeros_like(state)
@@ -146,7 +152,7 @@ def fit_ordinal(places: np.ndarray, amounts: np.ndarray, rows: np.ndarray, grade
         high, low = logistic(bounds[grades + 1] - score), logistic(bounds[grades] - score)
         high[grades == GRADES - 1], low[grades == 0] = 1, 0
         p = np.maximum(high - low, 1e-9)
-        slope_high, slope_low = high * (1 - high) / p, low * (1 - low) / p
+        slope_high, slope_low = stands * high * (1 - high) / p, stands * low * (1 - low) / p
         by_score = (slope_high - slope_low) / n
         by_cut = np.array([slope_low[grades == k + 1].sum() - slope_high[grades == k].sum() for k in range(GRADES - 1)]) / n
         by_gap = [by_cut[k + 1 :].sum() * gaps[k] for k in range(GRADES - 2)]
@@ -159,14 +165,15 @@ def fit_ordinal(places: np.ndarray, amounts: np.ndarray, rows: np.ndarray, grade
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
-    sample = staged(sample_features(rated(docs, labels)), "ratings").toArrow().sort_by([("grade", "ascending"), ("doc_id", "ascending")])
+    texts, counts = rated(docs, labels)
+    sample = staged(sample_features(texts), "ratings").toArrow().sort_by([("grade", "ascending"), ("doc_id", "ascending")])
     grades = sample.column("grade").to_numpy()
     if len(np.unique(grades)) < 2:
         return None
     lists = sample.column("places").combine_chunks()
     rows = np.repeat(np.arange(len(grades)), lists.value_lengths().to_numpy())
     amounts = sample.column("amounts").combine_chunks().flatten().to_numpy().astype(float)
-    return fit_ordinal(lists.flatten().to_numpy(), amounts, rows, grades.astype(np.int64))
+    return fit_ordinal(lists.flatten().to_numpy(), amounts, rows, grades.astype(np.int64), counts)
 
 
 RESULTS = ("expected_grade", "p_good", "kept")
