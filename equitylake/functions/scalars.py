@@ -73,7 +73,7 @@ def without_delisted(name: Column) -> Column:
 
 
 def index_list(text: Column) -> Column:
-    parts = F.transform(F.split(F.coalesce(text, F.lit("")), ","), F.trim)
+    parts = F.transform(F.split(F.coalesce(text, F.lit("")), ","), lambda x: F.trim(x))
     return F.filter(parts, lambda x: x != "")
 
 

@@ -56,7 +56,8 @@ class VolumeDelta(StatefulProcessor):
             same_day = last_minute is not None and (pd.Timestamp(last_minute) + LOCAL_SHIFT).date() == (bucket + LOCAL_SHIFT).date()
             known = same_day and now is not None and last_volume is not None and now >= last_volume
             out.append((key[0], bucket, now, now - last_volume if known else None))
-        self.slots.update((minute, volume, last_minute, last_volume))
+        plain = [None if t is None else pd.Timestamp(t).to_pydatetime() for t in (minute, last_minute)]
+        self.slots.update((plain[0], volume, plain[1], last_volume))
         yield pd.DataFrame(out, columns=["symbol", "bucket", "volume", "volume_delta"]).astype({"volume": "Int64", "volume_delta": "Int64"})
 
     def close(self) -> None:
@@ -65,7 +66,7 @@ class VolumeDelta(StatefulProcessor):
 
 def volume_deltas(stream: DataFrame) -> DataFrame:
     """(symbol, bucket, volume, volume_delta) of a stream (symbol, scraped_at, volume)."""
-    return stream.groupBy("symbol").transformWithStateInPandas(VolumeDelta(), "symbol string, bucket timestamp, volume long, volume_delta long", "Append", "None")
+    return stream.groupBy("symbol").transformWithStateInPandas(VolumeDelta(), "symbol string, bucket timestamp, volume long, volume_delta long", "Append", "ProcessingTime")
 
 
 def stasis_cycles(rows: list[tuple[pd.Timestamp, int]], repeats: int = 3, minutes: int = 20, state: tuple | None = None) -> tuple[list[bool], tuple]:
@@ -97,7 +98,7 @@ class Stasis(StatefulProcessor):
         if state is not None:
             state = (state[0], state[1], None if state[2] is None or pd.isna(state[2]) else pd.Timestamp(state[2]))
         halted, (last, n, since) = stasis_cycles(list(zip(map(pd.Timestamp, got["cycle_ts"]), map(int, got["total"]))), self.repeats, self.minutes, state)
-        self.run.update((last, n, since))
+        self.run.update((last, n, None if since is None else since.to_pydatetime()))
         yield pd.DataFrame({"market": key[0], "cycle_ts": got["cycle_ts"], "total": got["total"], "halted": halted})
 
     def close(self) -> None:
