@@ -34,10 +34,11 @@ def minute_bars(stream: DataFrame, late: str = "48 hours") -> DataFrame:
 
 class VolumeDelta(StatefulProcessor):
     """Per symbol: two slots, the current minute and the one before it, so that a minute's
-    later snapshots are compared with the minute before."""
+    later snapshots are compared with the minute before. One row of state a symbol; a slot of
+    another local day counts for nothing, so that none needs to expire."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.slots = handle.getValueState("slots", "minute timestamp, volume long, last_minute timestamp, last_volume long", 48 * 3600 * 1000)
+        self.slots = handle.getValueState("slots", "minute timestamp, volume long, last_minute timestamp, last_volume long")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         got = pd.concat(list(rows)).sort_values("scraped_at", kind="stable")
@@ -66,7 +67,7 @@ class VolumeDelta(StatefulProcessor):
 
 def volume_deltas(stream: DataFrame) -> DataFrame:
     """(symbol, bucket, volume, volume_delta) of a stream (symbol, scraped_at, volume)."""
-    return stream.groupBy("symbol").transformWithStateInPandas(VolumeDelta(), "symbol string, bucket timestamp, volume long, volume_delta long", "Append", "ProcessingTime")
+    return stream.groupBy("symbol").transformWithStateInPandas(VolumeDelta(), "symbol string, bucket timestamp, volume long, volume_delta long", "Append", "None")
 
 
 def stasis_cycles(rows: list[tuple[pd.Timestamp, int]], repeats: int = 3, minutes: int = 20, state: tuple | None = None) -> tuple[list[bool], tuple]:
