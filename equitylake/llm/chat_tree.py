@@ -7,16 +7,19 @@ and any backslashes gets one more backslash before it, and in a role, backslashe
 feeds are written as two characters.
 
 Conversations that begin with the same turns share them: a node is a turn after all turns
-before it, named by a chain of hashes. Nodes stand in depth-first order, each node's
-tokens once. A row of the tree has: path, depth, start and finish (places of its tokens
-in the depth-first order), subtree_finish, position (of its first token, counted from the
-tree's root), spans (start, finish of its ancestors and itself: what its tokens may attend
-to, itself causally), ids, loss_from and loss_to (its tokens under the loss mask: an
-assistant's text). Leaves name the node at which each conversation ends.
-
-Depth-first order is the order of paths: nodes are dealt by range, and a node's place is
-the sum of the ranges before its own and of the nodes before it there. Shared turns are
-combined before they are shuffled. Paths grow with depth: 32 characters a turn.
+before it, named by a chain of hashes (its key). Depth-first order is the order of
+conversations by their lists of keys: a conversation adds the turns that it does not share
+with the one before it, one after another. So the tree has a row, a branch, for each
+different conversation: leaf (its last key), keys, shared (how many turns branches before
+it hold), position (of its first new token, counted from the tree's root; the others
+follow), fresh (ids of each new turn, each node's tokens once, with loss_from and loss_to:
+its tokens under the loss mask, an assistant's text) and ways (for each turn, start and
+finish in the depth-first order, and subtree_finish). A branch's tokens may attend to the
+intervals of its shared turns, and causally to its own. Rows grow with a conversation's
+turns, not with their square; ``Tree.nodes`` shows a row a node, with all its ancestors.
+
+Equal conversations are combined before they are dealt by range; a branch's place is the
+sum of the ranges before its own and of the branches before it there.
 
 Defined results: null role or text counts as empty. Rows of a conversation are ordered by
 turn (null first), role and text; repeated rows are turns of their own. A null conv_id is
@@ -28,6 +31,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -35,7 +39,7 @@ from typing import NamedTuple
 import pyarrow as pa
 import public_tokenizers
 import tiktoken
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import narrow_batches, new_path, read_table, staged
@@ -81,15 +85,35 @@ def encode_turn(role: str, text: str) -> tuple[list[int], int, int]:
 
 
 class Tree(NamedTuple):
-    nodes: DataFrame  # see above
-    leaves: DataFrame  # conv_id, path
+    branches: DataFrame  # see above
+    leaves: DataFrame  # conv_id, leaf
+
+    @property
+    def nodes(self) -> DataFrame:
+        """A row a node: path, depth, start, finish, subtree_finish, position, spans (start,
+        finish of its ancestors and itself), ids, loss_from, loss_to. Paths and spans grow
+        with depth."""
+        each = self.branches.select("keys", "shared", "ways", F.posexplode("fresh").alias("n", "node"))
+        upto = each.withColumn("depth", F.col("shared") + F.col("n")).withColumn("above", F.slice("ways", F.lit(1), F.col("depth") + 1))
+        own = F.element_at("above", -1)
+        before = F.aggregate("above", F.lit(0).cast("long"), lambda a, w: a + w["finish"] - w["start"])
+        return upto.select(
+            F.array_join(F.slice("keys", F.lit(1), F.col("depth") + 1), "").alias("path"), "depth", own["start"].alias("start"), own["finish"].alias("finish"), own["subtree_finish"].alias("subtree_finish"),
+            (before - own["finish"] + own["start"]).alias("position"), F.transform("above", lambda w: F.struct(w["start"].alias("start"), w["finish"].alias("finish"))).alias("spans"), "node.ids", "node.loss_from", "node.loss_to",
+        )
+
+
+def in_common(a: Column, b: Column) -> Column:
+    """How many turns two lists of keys begin with alike; a key stands for all before it."""
+    return F.size(F.filter(F.sequence(F.lit(1), F.least(F.size(a), F.size(b))), lambda k: F.element_at(a, k) == F.element_at(b, k)))
 
 
 def whole_conversations(rows: DataFrame) -> DataFrame:
     """(conv_id, turns) with the turns in order."""
     text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")]
     turn = F.struct(F.col("turn").cast("long").alias("turn"), *text)
-    return rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    turns = F.transform(F.sort_array(F.collect_list(turn)), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
+    return rows.groupBy("conv_id").agg(turns.alias("turns"))
 
 
 def build_tree(rows: DataFrame) -> Tree:
@@ -100,46 +124,59 @@ def build_tree(rows: DataFrame) -> Tree:
 
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for conv_id, turns in zip(batch.column("conv_id").to_pylist(), batch.column("turns").to_pylist(), strict=True):
-                path, key = "", ""
-                for k, t in enumerate(turns):
+            lists = []
+            for turns in batch.column("turns").to_pylist():
+                key, keys = "", []
+                for t in turns:
                     key = hashlib.blake2b(f"{key}\n{len(t['role'])}\n{t['role']}{t['text']}".encode(), digest_size=KEY // 2).hexdigest()
-                    path += key
-                    out.append((conv_id, k == len(turns) - 1, path, k, t["role"], t["text"]))
-            types = [batch.schema.field("conv_id").type, pa.bool_(), pa.string(), pa.int32(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in enumerate(types)], names=["conv_id", "last", "path", "depth", "role", "text"])
+                    keys.append(key)
+                lists.append(keys)
+            leaves = pa.array([keys[-1] for keys in lists], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("conv_id"), leaves, pa.array(lists, pa.list_(pa.string())), batch.column("turns")], names=["conv_id", "leaf", "keys", "turns"])
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn = pa.struct([("ids", pa.list_(pa.int32())), ("loss_from", pa.int32()), ("loss_to", pa.int32())])
         for batch in batches:
-            found = [encode_turn(r, t) for r, t in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist(), strict=True)]
-            loss = [r == LOSS_ROLE for r in batch.column("role").to_pylist()]
-            columns = [pa.array([ids for ids, _, _ in found], pa.list_(pa.int32()))]
-            columns += [pa.array([f[c] if x else 0 for f, x in zip(found, loss, strict=True)], pa.int32()) for c in (1, 2)]
-            yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("depth"), *columns], names=["path", "depth", "ids", "loss_from", "loss_to"])
-
-    turns = staged(whole_conversations(rows).mapInArrow(chain, f"conv_id {conv_type}, last boolean, path string, depth int, role string, text string"), "turns")
-    shared = turns.groupBy("path", "depth").agg(F.first("role").alias("role"), F.first("text").alias("text"))
-    encoded = shared.mapInArrow(tokens, "path string, depth int, ids array<int>, loss_from int, loss_to int")
-    dealt = staged(encoded.repartitionByRange("path").withColumn("part", F.spark_partition_id()), "nodes")
-    size = F.size("ids").cast("long")
+            fresh, offsets = [], []
+            for turns in batch.column("turns").to_pylist():
+                found = [(encode_turn(t["role"], t["text"]), t["role"] == LOSS_ROLE) for t in turns]
+                fresh.append([{"ids": ids, "loss_from": a if loss else 0, "loss_to": b if loss else 0} for (ids, a, b), loss in found])
+                offsets.append([0, *itertools.accumulate(len(ids) for (ids, _, _), _ in found)])
+            columns = [batch.column(c) for c in ("leaf", "part", "keys", "shared")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(fresh, pa.list_(turn)), pa.array(offsets, pa.list_(pa.int64()))], names=["leaf", "part", "keys", "shared", "fresh", "offsets"])
+
+    whole = staged(whole_conversations(rows).mapInArrow(chain, f"conv_id {conv_type}, leaf string, keys array<string>, turns array<struct<role:string,text:string>>"), "conversations")
+    different = whole.groupBy("leaf").agg(F.first("keys").alias("keys"), F.first("turns").alias("turns"))
+    dealt = staged(different.repartitionByRange("keys").withColumn("part", F.spark_partition_id()), "dealt")
+    in_order = Window.partitionBy("part").orderBy("keys")
+    # One row, of two numbers, for each range.
+    ends = dealt.groupBy("part").agg(F.min("keys").alias("first"), F.max("keys").alias("last")).withColumn("before", F.lag("last").over(Window.orderBy("part")))
+    edges = ends.select("part", F.coalesce(in_common(F.col("first"), F.col("before")), F.lit(0)).alias("edge"))
+    beside = dealt.withColumn("before", F.lag("keys").over(in_order)).join(F.broadcast(edges), "part")
+    shared = F.when(F.col("before").isNull(), F.col("edge")).otherwise(in_common(F.col("keys"), F.col("before")))
+    new = beside.withColumn("shared", shared).withColumn("turns", F.slice("turns", F.col("shared") + 1, F.size("turns"))).select("leaf", "part", "keys", "shared", "turns")
+    encoded = staged(new.mapInArrow(tokens, "leaf string, part int, keys array<string>, shared int, fresh array<struct<ids:array<int>,loss_from:int,loss_to:int>>, offsets array<long>"), "branches")
+
+    size = F.element_at("offsets", -1)
     # One row for each range.
-    sums = dealt.groupBy("part").agg(F.sum(size).alias("n"))
+    sums = encoded.groupBy("part").agg(F.sum(size).alias("n"))
     before = sums.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
-    inside = Window.partitionBy("part").orderBy("path").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = dealt.withColumn("up_to", F.sum(size).over(inside)).join(F.broadcast(before), "part")
-    nodes = staged(placed.select("path", "depth", "ids", "loss_from", "loss_to", (F.col("before") + F.col("up_to") - size).alias("start"), (F.col("before") + F.col("up_to")).alias("finish")), "placed")
-
-    above = nodes.select("path", F.explode(F.transform(F.sequence(F.lit(1), F.col("depth") + 1), lambda k: F.substring(F.col("path"), F.lit(1), k * KEY))).alias("ancestor"), F.col("finish").alias("own_finish"))
-    spans = above.join(nodes.select(F.col("path").alias("ancestor"), "start", "finish"), "ancestor")
-    of_node = spans.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("start", "finish"))).alias("spans"))
-    ends = above.groupBy(F.col("ancestor").alias("path")).agg(F.max("own_finish").alias("subtree_finish"))
-    own = F.col("finish") - F.col("start")
-    position = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["finish"] - s["start"]) - own
-    tree = nodes.join(of_node, "path").join(ends, "path").withColumn("position", position)
+    up_to = F.sum(size).over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    places = encoded.select("leaf", "part", "keys", "shared", "offsets", (up_to - size).alias("inside")).join(F.broadcast(before), "part")
+    base, at = F.col("before") + F.col("inside"), F.col("k") - F.col("shared")
+    turns = staged(
+        places.select("leaf", "shared", "offsets", base.alias("base"), F.posexplode("keys").alias("k", "node"))
+        .select("leaf", "k", "node", (F.col("base") + F.get("offsets", at)).alias("start"), F.when(at >= 0, F.col("base") + F.get("offsets", at + 1)).alias("finish"), (F.col("base") + size).alias("branch_finish")),
+        "turns",
+    )
+    nodes = turns.groupBy("node").agg(F.max("start").alias("start"), F.max("finish").alias("finish"), F.max("branch_finish").alias("subtree_finish"))
+    way = F.struct("k", "start", "finish", "subtree_finish")
+    ways = turns.select("leaf", "k", "node").join(nodes, "node").groupBy("leaf").agg(F.sort_array(F.collect_list(way)).alias("ways"))
+    position = F.aggregate(F.slice("ways", F.lit(1), F.col("shared")), F.lit(0).cast("long"), lambda a, w: a + w["finish"] - w["start"])
+    tree = encoded.select("leaf", "keys", "shared", "fresh").join(ways, "leaf").withColumn("position", position)
     path = new_path(spark, "chat-tree")
     tree.write.parquet(path)
-    return Tree(spark.read.schema(tree.schema).parquet(path), turns.where("last").select("conv_id", "path"))
+    return Tree(spark.read.schema(tree.schema).parquet(path), whole.select("conv_id", "leaf"))
 
 
 def parse_turns(ids: list[int]) -> tuple[list[tuple[str, str]], int]:
@@ -159,8 +196,7 @@ def parse_turns(ids: list[int]) -> tuple[list[tuple[str, str]], int]:
 
 def read_conversations(tree: Tree) -> DataFrame:
     """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars), from the tree's rows."""
-    conv_type = tree.leaves.schema["conv_id"].dataType.simpleString()
-    schema = f"conv_id {conv_type}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    schema = "leaf string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,13 +211,14 @@ def read_conversations(tree: Tree) -> DataFrame:
                 out.append((len(turns), hashlib.sha256(said.encode()).hexdigest(), len(learned), hashlib.sha256(learned.encode()).hexdigest(), chars))
             types = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
             columns = [pa.array([r[c] for r in out], t) for c, t in enumerate(types)]
-            yield pa.RecordBatch.from_arrays([batch.column("conv_id"), *columns], names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+            yield pa.RecordBatch.from_arrays([batch.column("leaf"), *columns], names=["leaf", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
-    ways = tree.leaves.join(tree.nodes.select("path", "spans"), "path").select("conv_id", F.explode("spans.start").alias("start"))
-    read = ways.join(tree.nodes.select("start", "ids", "loss_from", "loss_to"), "start")
+    each = tree.branches.select("shared", "ways", F.posexplode("fresh").alias("n", "node"))
+    nodes = each.select(F.get("ways", F.col("shared") + F.col("n"))["start"].alias("start"), "node.ids", "node.loss_from", "node.loss_to")
+    read = tree.branches.select("leaf", F.explode("ways.start").alias("start")).join(nodes, "start")
     # A conversation's own turns: as many as it has.
-    whole = read.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("start", "ids", "loss_from", "loss_to"))).alias("nodes"))
-    return whole.mapInArrow(digest, schema)
+    whole = read.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("start", "ids", "loss_from", "loss_to"))).alias("nodes"))
+    return tree.leaves.join(whole.mapInArrow(digest, schema), "leaf").drop("leaf")
 
 
 def op7_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
