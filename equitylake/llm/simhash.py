@@ -123,7 +123,8 @@ def anchors_of(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def forest(prints: np.ndarray, threshold: int = THRESHOLD) -> list[tuple[int, int]]:
     """(fingerprint, least fingerprint linked to it) within one anchor's fingerprints."""
-    linked = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= threshold
+    bits = prints.view(np.uint64)  # of signed integers, bitwise_count takes the absolute value's bits
+    linked = np.bitwise_count(bits[:, None] ^ bits[None, :]) <= threshold
     if linked.sum() == len(prints):
         return []
     label = np.arange(len(prints))

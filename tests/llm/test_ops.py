@@ -128,6 +128,35 @@ def test_simhash_links_are_those_of_all_pairs(spark, monkeypatch):
         assert got == want
 
 
+def test_simhash_links_over_all_64_bits(spark, monkeypatch):
+    base = 0x0123456789ABCDEF
+    masks = [*(1 << a | 1 << b for a in range(64) for b in range(a + 1, 64))]
+    for mask in [*masks, 0xF << 60, 7 << 61, 7]:
+        pair = np.array([base, base ^ mask], np.uint64).view(np.int64)
+        assert bool(simhash.forest(pair)) == (0 < mask.bit_count() <= 2)
+    rng = np.random.default_rng(6)
+    values = [int(v) for v in rng.integers(0, 2**64, 40, np.uint64)]
+    values += [values[k % 40] ^ sum(1 << int(b) for b in rng.choice(64, 1 + k % 4, replace=False)) for k in range(400)]
+    values = sorted({v ^ m for v in values[:10] for m in (0, 1 << 63 | 1, 1 << 63 | 1 << 60, 0xF << 60)} | set(values))
+    label = list(range(len(values)))
+    near = [(i, j) for i, a in enumerate(values) for j, b in enumerate(values) if (a ^ b).bit_count() <= 2]
+    while (least := [min(label[j] for j in js) for js in _neighbours(near, len(values))]) != label:
+        label = least
+    want = {frozenset(values[i] for i in range(len(values)) if label[i] == k) for k in set(label)}
+    frame = spark.createDataFrame([(v - 2**64 if v >> 63 else v,) for v in values], "fp long")
+    for most in (2048, 3):
+        monkeypatch.setattr(simhash, "MOST_COMPARED", most)
+        of = {v: v for v in values} | {r["node"] % 2**64: r["component"] % 2**64 for r in common.components(simhash.link_prints(frame)).collect()}
+        assert {frozenset(v for v in values if of[v] == k) for k in set(of.values())} == want
+
+
+def _neighbours(pairs, n):
+    beside = [[] for _ in range(n)]
+    for i, j in pairs:
+        beside[i].append(j)
+    return beside
+
+
 def brute_statistics(text):
     words = WORDS.findall(text or "")
     lines = [x for x in (text or "").split("\n") if WORDS.search(x)]
