@@ -317,6 +317,24 @@ def test_decontamination(spark, edges, none):
     assert decontaminate.find_leaks(docs, benchmark.where("false")).count() == 0
 
 
+def test_decontamination_of_frequent_items(spark):
+    """An item that a third of the documents hold, between words that few hold."""
+    rng = np.random.default_rng(8)
+    words = [f"w{k}" for k in range(6000)]
+    items = [list(rng.choice(words, n, replace=False)) for n in (17, 24, 36)] + [list(rng.choice(words, 30)) for _ in range(20)]
+    texts, want = [], set()
+    for i in range(300):
+        text, at = list(rng.choice(words, 200)), int(rng.integers(0, 201))
+        if i % 3 == 0:
+            for k in range(3):
+                text[at:at] = items[k] + list(rng.choice(words, 40))
+                want.add((i, k))
+        texts.append((i, " ".join(text)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, benchmark).collect()} == want
+
+
 def test_url_filter(spark):
     urls = ["https://A.example.com/en/x", "http://www.example.com/en/y", "ftp://fr.net/fr/", "https://adult-x.org/a/index.html", "https://m.adult-x.org/a?q=1", "https://u@adult-x.org:80/a/#t", "https://adult-x.org/ab", None, "no-scheme", "x://net", ""]
     pages = spark.createDataFrame([(k, u, "h") for k, u in enumerate(urls)], "page_id long, url string, host string")
