@@ -335,6 +335,22 @@ def test_decontamination_of_frequent_items(spark):
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, benchmark).collect()} == want
 
 
+def test_decontamination_of_long_items(spark):
+    rng = np.random.default_rng(9)
+    words = [f"w{k}" for k in range(6000)]
+    items = [list(rng.choice(words, n)) for n in (33, 400, 700, 1500)]
+    texts, want = [], set()
+    for i in range(60):
+        text = list(rng.choice(words, 100 + 30 * i))
+        if i % 3 == 0:
+            text[50:50] = items[i // 3 % 4]
+            want.add((i, i // 3 % 4))
+        texts.append((i, " ".join(text)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, benchmark).collect()} == want
+
+
 def test_url_filter(spark):
     urls = ["https://A.example.com/en/x", "http://www.example.com/en/y", "ftp://fr.net/fr/", "https://adult-x.org/a/index.html", "https://m.adult-x.org/a?q=1", "https://u@adult-x.org:80/a/#t", "https://adult-x.org/ab", None, "no-scheme", "x://net", ""]
     pages = spark.createDataFrame([(k, u, "h") for k, u in enumerate(urls)], "page_id long, url string, host string")
