@@ -2,7 +2,9 @@
 
 Each language has a zstandard dictionary of raw content: texts of that language, up to
 ``DICTIONARY_BYTES``. A text is compressed with every dictionary and gets the language of
-the smallest result. ``score`` is the share by which the runner-up is larger, i.e.
+the smallest result. As a dictionary saves a roughly fixed number of bytes, texts are
+compressed in blocks of ``BLOCK`` bytes, each with the dictionary, and the results' sizes
+are summed, so that a long text's margin is that of its blocks. ``score`` is the share by which the runner-up is larger, i.e.
 1 - smallest / second (1 if only one language is known); below ``MARGIN`` the text is
 rejected, its prediction standing all the same.
 
@@ -32,6 +34,7 @@ from .common import by_size, narrow_batches, read_table
 SAMPLE = 120
 LEAST_CHARS, MOST_CHARS = 200, 20_000
 DICTIONARY_BYTES = 128 * 1024
+BLOCK = 8 * 1024
 LEVEL = 6
 MARGIN = 0.004
 UNKNOWN = "und"
@@ -78,7 +81,8 @@ class Compressors:
         if not text or not self.of or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         data = letters(text)
-        sizes = sorted((len(c.compress(data)), lang) for lang, c in self.of.items())
+        blocks = [data[k : k + BLOCK] for k in range(0, len(data), BLOCK)]
+        sizes = sorted((sum(len(c.compress(b)) for b in blocks), lang) for lang, c in self.of.items())
         if len(sizes) == 1:
             return sizes[0][1], 1.0
         return sizes[0][1], 1 - sizes[0][0] / sizes[1][0]

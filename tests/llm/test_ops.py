@@ -202,6 +202,20 @@ def test_language(spark, edges, none):
     assert set(language.identify(edges.where("lang is null")).toPandas()["lang_pred"]) == {"und"}
 
 
+def test_language_of_long_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    compressors = language.Compressors(language.language_samples(docs))
+    for lang in ("en", "de", "fr"):
+        texts = [r["text"] for r in docs.where(f"lang = '{lang}'").where(language.held_out(docs["doc_id"])).select("text").orderBy("doc_id").collect()]
+        joined = " ".join(texts)
+        while len(joined) < 6_000_000:
+            joined += " " + joined
+        short = compressors.predict(joined[:6000])
+        for size in (200_000, 6_000_000):
+            found, score = compressors.predict(joined[:size])
+            assert found == lang and score > 0.5 * short[1] > language.MARGIN
+
+
 def test_token_counts(edges, none):
     import sentencepiece
     import public_tokenizers
