@@ -119,7 +119,7 @@ def whole_conversations(rows: DataFrame) -> DataFrame:
 def build_tree(rows: DataFrame) -> Tree:
     """The prefix tree of conversations (conv_id, turn, role, text), written to the shared folder."""
     spark = rows.sparkSession
-    narrow_batches(spark, 2048)
+    narrow_batches(spark)
     conv_type = rows.schema["conv_id"].dataType.simpleString()
 
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,14 +56,37 @@ def drop_path(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-def narrow_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Arrow batches of at most ``rows`` rows, as texts can be long."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > rows or int(spark.conf.get(key)) <= 0:
-        spark.conf.set(key, str(rows))
+BATCH_BYTES = 2_000_000
+BATCH_ROWS = 2048
 
 
-def by_size(batch: pa.RecordBatch, column: str, most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+def narrow_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_ROWS`` rows and about ``BATCH_BYTES``, as texts can
+    be long. A plan reads these settings when it runs, after the operator has returned it,
+    so they stay in the session; smaller ones are left alone."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        try:
+            now = int(spark.conf.get(key))
+        except ValueError:  # a size with a unit
+            now = 0
+        if not 0 < now <= most:
+            spark.conf.set(key, str(most))
+
+
+_WORKER_CACHE: dict[str, Any] = {}
+
+
+def worker_cache(name: str, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from task to task: one thing at a time. Workers outlive
+    an operator's tasks, so that the next operator's first call drops what the last kept."""
+    if name not in _WORKER_CACHE:
+        _WORKER_CACHE.clear()
+        pa.default_memory_pool().release_unused()
+        _WORKER_CACHE[name] = make()
+    return _WORKER_CACHE[name]
+
+
+def by_size(batch: pa.RecordBatch, column: str, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts have about ``most`` bytes together, one row at least."""
     sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     group = np.cumsum(sizes) // most
@@ -73,6 +96,28 @@ def by_size(batch: pa.RecordBatch, column: str, most: int = 8_000_000) -> Iterat
             yield batch.slice(a, b - a)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as no column of ``df`` has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def row_key() -> tuple[Column, Column]:
+    """128 bits that rows (doc_id, text) share only if both are equal, nulls included."""
+    parts = (F.col("doc_id").isNull(), F.col("doc_id"), F.col("text").isNull(), F.col("text").cast("string"))
+    return F.xxhash64(F.lit("first"), *parts), F.xxhash64(F.lit("second"), *parts)
+
+
+def hash_share(key: Column) -> Column:
+    """A number from 0 to 1, below x for a share x of different keys."""
+    return F.pmod(key, F.lit(1 << 40)) / float(1 << 40)
+
+
 def salt_of(salts: int, *columns: str) -> Column:
     return F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(salts)).cast("int")
 
@@ -90,11 +135,30 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 def word_places(words: list[str] | pa.Array, size: int) -> np.ndarray:
     """Each word's place among ``size`` hashed features, -1 where nothing is left of it.
     Words are lower-cased and stripped of ``MARKS`` at both ends."""
-    plain = pc.utf8_trim(pc.utf8_lower(pa.array(words, pa.string())), characters=MARKS).to_numpy(zero_copy_only=False)
-    if not len(plain):
-        return np.zeros(0, np.int64)
-    places = (pd.util.hash_array(plain, categorize=False) % np.uint64(size)).astype(np.int64)
-    return np.where(plain == "", -1, places)
+    plain = pc.utf8_trim(pc.utf8_lower(pa.array(words, pa.string())), characters=MARKS)
+    lengths = pc.binary_length(plain).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.where(lengths == 0, -1, (hashes_of(plain, lengths) % np.uint64(size)).astype(np.int64))
+
+
+_MULTIPLIERS = np.random.default_rng(11).integers(1, 1 << 63, 4096, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def hashes_of(words: pa.Array, lengths: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word: its bytes' sum, each times a fixed odd number for its place."""
+    if not lengths.any():
+        return np.zeros(len(words), np.uint64)
+    _, offsets, data = words.buffers()
+    first = np.frombuffer(offsets, np.int32)[words.offset]
+    bytes_ = np.frombuffer(data, np.uint8)[first : first + int(lengths.sum())].astype(np.uint64)
+    starts = np.cumsum(lengths) - lengths
+    place = np.arange(len(bytes_)) - np.repeat(starts, lengths)
+    bytes_ += np.uint64(1)
+    bytes_ *= _MULTIPLIERS[place & 4095]
+    sums, held = np.zeros(len(words), np.uint64), lengths > 0
+    sums[held] = np.add.reduceat(bytes_, starts[held])
+    sums ^= sums >> np.uint64(32)
+    sums *= np.uint64(0x9E3779B97F4A7C15)
+    return sums ^ sums >> np.uint64(29)
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -9,14 +9,16 @@ are summed, so that a long text's margin is that of its blocks. ``score`` is the
 rejected, its prediction standing all the same.
 
 The dictionaries are all that is learned: from a bounded sample, at most ``SAMPLE``
-documents a language, those with the lowest hash of doc_id among texts of ``LEAST_CHARS``
-to ``MOST_CHARS`` characters. The driver sees that sample of ids and texts only.
+documents a language, those with the lowest hash of doc_id: first of the texts of
+``LEAST_CHARS`` to ``MOST_CHARS`` characters, then of the shorter, then of the longer ones
+(of which the dictionaries take the first ``MOST_CHARS``). The driver sees that sample of
+ids and texts only; a doc_id counts once for a language, with its least text.
 
 Defined results: null text, or a text without a letter, is ``und`` with score 0 and
 rejected, and so is every text if no labelled document exists. Equal sizes: the
 alphabetically first language, rejected. Rows with equal or null ``doc_id`` are kept; a
-null id is not held out and not learned from. Texts are taken whole. Other columns stay
-in ``identify`` (those named as its results are replaced).
+null id is not held out and not learned from. Texts are predicted whole. Other columns
+stay (in ``identify``, those named as its results are replaced; in ``keep_identified``, none).
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import by_size, narrow_batches, read_table
+from .common import by_size, free_names, hash_share, narrow_batches, read_table, staged
 
 SAMPLE = 120
 LEAST_CHARS, MOST_CHARS = 200, 20_000
@@ -56,11 +58,17 @@ def held_out(doc_id: Column) -> Column:
 def language_samples(docs: DataFrame) -> dict[str, bytes]:
     """The dictionary of each language that documents (doc_id, text, lang) outside the
     held-out rows name."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.length("text").between(LEAST_CHARS, MOST_CHARS))
-    lowest = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.select("doc_id", "lang").withColumn("_n", F.row_number().over(lowest)).where(F.col("_n") <= SAMPLE)
-    # At most SAMPLE ids a language.
-    rows = known.join(F.broadcast(ids.select("doc_id", "lang", "_n")), ["doc_id", "lang"]).select("lang", "text", "_n").collect()
+    n = F.length("text")
+    wanted = F.when(n.between(LEAST_CHARS, MOST_CHARS), 0).when(n < LEAST_CHARS, 1).otherwise(2)
+    known = docs.select("doc_id", F.col("lang").cast("string"), F.col("text").cast("string"), wanted.alias("_wanted")).where(
+        F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}")
+    )
+    # Three rows a language; a few times SAMPLE ids of each pass, however many there are.
+    counts = known.groupBy("lang", "_wanted").count().withColumn("_below", 4.0 * SAMPLE / F.col("count")).drop("count")
+    some = known.join(F.broadcast(staged(counts, "languages")), ["lang", "_wanted"]).where(hash_share(F.xxhash64("doc_id")) < F.col("_below"))
+    once = some.groupBy("lang", "doc_id").agg(F.min(F.struct("_wanted", F.substring("text", 1, MOST_CHARS).alias("text"))).alias("_t"))
+    lowest = Window.partitionBy("lang").orderBy("_t._wanted", F.xxhash64("doc_id"), "doc_id")
+    rows = once.withColumn("_n", F.row_number().over(lowest)).where(F.col("_n") <= SAMPLE).select("lang", "_t.text", "_n").collect()
     parts: dict[str, list[bytes]] = {}
     for row in sorted(rows, key=lambda r: (r["lang"], r["_n"], r["text"])):
         parts.setdefault(row["lang"], []).append(letters(row["text"]))
@@ -88,11 +96,15 @@ class Compressors:
         return sizes[0][1], 1 - sizes[0][0] / sizes[1][0]
 
 
-def predict_languages(rows: DataFrame, samples: dict[str, bytes]) -> DataFrame:
-    """(doc_id, text) with lang_pred, score and rejected; ``rows`` may have other columns."""
+RESULTS = ("lang_pred", "score", "rejected")
+
+
+def predict_languages(rows: DataFrame, samples: dict[str, bytes], results: tuple[str, ...] = RESULTS) -> DataFrame:
+    """(doc_id, text) with lang_pred, score and rejected, under the names of ``results``;
+    ``rows`` may have other columns."""
     shared = rows.sparkSession.sparkContext.broadcast(samples)
     own: list[Compressors] = []
-    kept = [c for c in rows.columns if c not in ("lang_pred", "score", "rejected")]
+    kept = [c for c in rows.columns if c not in results]
     fields = [f for f in rows.schema.fields if f.name in kept]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,10 +115,12 @@ def predict_languages(rows: DataFrame, samples: dict[str, bytes]) -> DataFrame:
                 found = [own[0].predict(t.as_py()) for t in batch.column("text")]
                 columns = [batch.column(c) for c in kept]
                 columns += [pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64()), pa.array([x == UNKNOWN or s < MARGIN for x, s in found], pa.bool_())]
-                yield pa.RecordBatch.from_arrays(columns, names=[*kept, "lang_pred", "score", "rejected"])
+                yield pa.RecordBatch.from_arrays(columns, names=[*kept, *results])
 
-    narrow_batches(rows.sparkSession, 2048)
-    schema = type(rows.schema)(fields).add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    narrow_batches(rows.sparkSession)
+    schema = type(rows.schema)(fields)
+    for name, kind in zip(results, ("string", "double", "boolean"), strict=True):
+        schema = schema.add(name, kind)
     return rows.select(*kept).mapInArrow(work, schema)
 
 
@@ -116,8 +130,9 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not rejected, with its own columns."""
-    return identify(docs).where(~F.col("rejected")).select(*docs.columns)
+    """The rows of ``docs`` that are not rejected, with its own columns, whatever their names."""
+    results = free_names(docs, *RESULTS)
+    return predict_languages(docs, language_samples(docs), tuple(results)).where(~F.col(results[-1])).select(*docs.columns)
 
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:

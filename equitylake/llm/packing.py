@@ -51,7 +51,7 @@ def cut_documents(docs: DataFrame, sequence: int = SEQUENCE, end_id: int = END_I
                     rows += [(doc_id, a, min(sequence, len(ids) - a), len(ids), ids[a : a + sequence].tobytes()) for a in range(0, len(ids), sequence)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(),) * 4 + (pa.binary(),), strict=True)], names=["doc_id", "start", "length", "doc_tokens", "ids"])
 
-    narrow_batches(docs.sparkSession, 2048)
+    narrow_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
 
 

@@ -6,33 +6,38 @@ marks, runs once) and one for its share of different words. One weight vector se
 grades; ordered thresholds t0 < t1 give P(grade <= k) = logistic(t_k - score), from
 which follow the expected grade and the tail probability P(grade = 2).
 
-Fitting: at most ``SAMPLE`` labelled documents a grade, those with the lowest hash of
-doc_id; executors extract their features, the driver fits on that bounded sample (full
-batches, adaptive steps; a grade's rows weigh as much as its labelled documents). Scoring covers every whole text.
+Fitting: about ``SAMPLE`` labelled documents a grade (all, if it has no more), those whose
+hash of doc_id lies below the share that this is; executors extract their features, and
+the driver fits on those of lowest hash with ``FEATURES`` features a grade at most (full
+batches, adaptive steps; a grade's rows weigh as much as its labelled documents). Scoring
+covers every whole text.
 
 Defined results: null or blank text has no features and scores zero. A document with
 several labels takes the lowest grade; labels with nulls are left out. Without two grades
-there is no model: null results, kept. Rows with equal or null ``doc_id`` are kept.
-Other columns of ``docs`` stay (those named as the results are replaced).
+there is no model: null results, kept. Rows with equal or null ``doc_id`` are kept; in
+the sample, a doc_id counts once, with its least text. Other columns of ``docs`` stay
+(in ``classify``, those named as its results are replaced; in ``keep_good``, none).
 """
 
 from __future__ import annotations
 
-import functools
 import re
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_size, narrow_batches, read_table, split_words, staged, word_places
+from .common import by_size, free_names, hash_share, narrow_batches, read_table, split_words, staged, word_places, worker_cache
 
 GRADES = 3
 SAMPLE = 6000
+FEATURES = 3_000_000
 WORDS = 1 << 19
 SHAPES = 1 << 10
 VARIETY = 16
@@ -47,18 +52,22 @@ _RUNS = re.compile(r"(.)\1+")
 
 
 class Shapes(dict):
+    """word -> place of its shape; at most ``MOST`` words of up to ``LONG`` characters stay."""
+
+    MOST, LONG = 60_000, 64
+
     def __missing__(self, word: str) -> int:
-        shown = "".join("1" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c for c in word[:64])
+        shown = "".join("1" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c for c in word)
         place = xxhash.xxh32_intdigest(_RUNS.sub(r"\1", shown).encode(), 11) % SHAPES
-        if len(self) > 300_000:
+        if len(self) > self.MOST:
             self.clear()
-        self[word] = place
+        if len(word) <= self.LONG:
+            self[word] = place
         return place
 
 
-@functools.cache
 def shapes() -> Shapes:
-    return Shapes()
+    return worker_cache("shapes", Shapes)
 
 
 class Model(NamedTuple):
@@ -96,47 +105,66 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def rated(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, int]]:
-    """The sample (doc_id, grade, text), and how many documents have each grade."""
+    """The sample (doc_id, grade, share, text), and how many documents have each grade."""
     graded = (
         labels.where("doc_id is not null and quality is not null and toxic is not null")
         .groupBy("doc_id").agg(F.min(F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).otherwise(2)).alias("grade"))
     )
     of_docs = staged(docs.select("doc_id").where("doc_id is not null").distinct().join(graded, "doc_id"), "graded")
-    lowest = Window.partitionBy("grade").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = of_docs.withColumn("_n", F.row_number().over(lowest)).where(F.col("_n") <= SAMPLE).select("doc_id", "grade")
-    # At most SAMPLE ids a grade.
-    texts = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(sample), "doc_id").select("doc_id", "grade", "text")
-    return texts, {r["grade"]: r["count"] for r in of_docs.groupBy("grade").count().collect()}
+    counts = {r["grade"]: r["count"] for r in of_docs.groupBy("grade").count().collect()}  # GRADES rows
+    share = hash_share(F.xxhash64("doc_id"))
+    picked = reduce(or_, [(F.col("grade") == g) & (share < SAMPLE / n) for g, n in counts.items()], F.lit(False))
+    # About SAMPLE ids a grade.
+    sample = of_docs.where(picked).select("doc_id", "grade", share.alias("share"))
+    held = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(sample), "doc_id")
+    return held.groupBy("doc_id", "grade", "share").agg(F.min("text").alias("text")), counts
 
 
 def sample_features(sample: DataFrame) -> DataFrame:
+    """(grade, share, n, places, amounts) of each document, places ascending."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in by_size(whole, "text"):
                 places, values, rows = features(batch.column("text"))
                 key, inverse = np.unique(rows * (SIZE + 1) + places, return_inverse=True)
                 sums = np.bincount(inverse, values, len(key)).astype(np.float32)
-                places, ends = key % (SIZE + 1), np.append(0, np.cumsum(np.bincount(key // (SIZE + 1), minlength=batch.num_rows)))
-                offsets = pa.array(ends, pa.int32())
-                columns = [batch.column("doc_id"), batch.column("grade"), pa.ListArray.from_arrays(offsets, pa.array(places, pa.int32())), pa.ListArray.from_arrays(offsets, pa.array(sums))]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "grade", "places", "amounts"])
+                counts = np.bincount(key // (SIZE + 1), minlength=batch.num_rows)
+                offsets = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(key % (SIZE + 1), pa.int32())), pa.ListArray.from_arrays(offsets, pa.array(sums))]
+                yield pa.RecordBatch.from_arrays([batch.column("grade"), batch.column("share"), pa.array(counts, pa.int64()), *lists], names=["grade", "share", "n", "places", "amounts"])
 
-    narrow_batches(sample.sparkSession, 2048)
-    return sample.mapInArrow(work, "doc_id long, grade int, places array<int>, amounts array<float>")
+    narrow_batches(sample.sparkSession)
+    return sample.select("grade", "share", "text").mapInArrow(work, "grade int, share double, n long, places array<int>, amounts array<float>")
 
 
 def logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit_ordinal(places: np.ndarray, amounts: np.ndarray, rows: np.ndarray, grades: np.ndarray, counts: dict[int, int]) -> Model:
-    """Least penalised negative log-likelihood, by Adam on all rows at once. Each row stands
-    for as many documents as its grade has for each in the sample, so that the sample's
-    bound does not change how frequent the grades are."""
+def segment_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sums of ``values`` between neighbours of ``bounds``, 0 where they are equal."""
+    out, held = np.zeros(len(bounds) - 1), bounds[1:] > bounds[:-1]
+    if held.any():
+        out[held] = np.add.reduceat(values, bounds[:-1][held], dtype=np.float64)
+    return out
+
+
+def fit_ordinal(places: np.ndarray, amounts: np.ndarray, bounds: np.ndarray, grades: np.ndarray, counts: dict[int, int]) -> Model:
+    """Least penalised negative log-likelihood, by Adam on all rows at once; row k has the
+    features bounds[k] to bounds[k + 1]. Each row stands for as many documents as its grade
+    has for each in the sample, so that the sample's bound does not change how frequent the
+    grades are. All that is as long as the features has 32 bits: 16 bytes a feature."""
     n, often = len(grades), np.bincount(places, minlength=SIZE) >= LEAST_DOCUMENTS
-    used = often[places]
-    active, at = np.unique(places[used], return_inverse=True)
-    amounts, rows, m = amounts[used], rows[used], len(active)
+    active, used = np.flatnonzero(often), often[places]
+    index = np.cumsum(often, dtype=np.int32) - np.int32(1)
+    at, amounts = index[places[used]], amounts[used].astype(np.float32)
+    bounds = np.append(0, np.cumsum(used, dtype=np.int64))[bounds]
+    m = len(active)
+    order = np.argsort(at, kind="stable")
+    row_of = np.repeat(np.arange(n, dtype=np.int32), np.diff(bounds))[order]
+    amount_of, columns = amounts[order], np.append(0, np.cumsum(np.bincount(at, minlength=m)))
+    del order, used, index
     sampled = np.bincount(grades, minlength=GRADES)
     stands = np.array([counts.get(g, 0) / max(sampled[g], 1) for g in range(GRADES)])[grades]
     stands *= n / stands.sum()
@@ -147,16 +175,16 @@ def fit_ordinal(places: np.ndarray, amounts: np.ndarray, rows: np.ndarray, grade
     for step in range(1, STEPS + 1):
         gaps = np.exp(state[m + 1 :])
         cuts = state[m] + np.append(0, np.cumsum(gaps))
-        score = np.bincount(rows, amounts * state[at], n)
-        bounds = np.concatenate([[-np.inf], cuts, [np.inf]])
-        high, low = logistic(bounds[grades + 1] - score), logistic(bounds[grades] - score)
+        score = segment_sums(amounts * state[:m].astype(np.float32)[at], bounds)
+        ends = np.concatenate([[-np.inf], cuts, [np.inf]])
+        high, low = logistic(ends[grades + 1] - score), logistic(ends[grades] - score)
         high[grades == GRADES - 1], low[grades == 0] = 1, 0
         p = np.maximum(high - low, 1e-9)
         slope_high, slope_low = stands * high * (1 - high) / p, stands * low * (1 - low) / p
-        by_score = (slope_high - slope_low) / n
+        by_score = ((slope_high - slope_low) / n).astype(np.float32)
         by_cut = np.array([slope_low[grades == k + 1].sum() - slope_high[grades == k].sum() for k in range(GRADES - 1)]) / n
         by_gap = [by_cut[k + 1 :].sum() * gaps[k] for k in range(GRADES - 2)]
-        gradient = np.concatenate([np.bincount(at, amounts * by_score[rows], m) + PENALTY * state[:m], [by_cut.sum()], by_gap])
+        gradient = np.concatenate([segment_sums(amount_of * by_score[row_of], columns) + PENALTY * state[:m], [by_cut.sum()], by_gap])
         mean, square = 0.9 * mean + 0.1 * gradient, 0.99 * square + 0.01 * gradient**2
         state = state - 0.15 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-7)
     weights = np.zeros(SIZE, np.float32)
@@ -164,52 +192,67 @@ def fit_ordinal(places: np.ndarray, amounts: np.ndarray, rows: np.ndarray, grade
     return Model(weights, state[m] + np.append(0, np.cumsum(np.exp(state[m + 1 :]))))
 
 
+def bounded_sample(rows: DataFrame) -> DataFrame:
+    """Of each grade's rows (grade, share, n) those of lowest share with ``FEATURES``
+    features at most, the first at least. The driver sees three numbers of each."""
+    sizes = rows.select("grade", "share", "n").toArrow().sort_by([("grade", "ascending"), ("share", "ascending")])
+    grades, shares, n = (sizes.column(c).to_numpy() for c in ("grade", "share", "n"))
+    last = {int(g): float(shares[grades == g][max(0, np.searchsorted(np.cumsum(n[grades == g]), FEATURES, "right") - 1)]) for g in np.unique(grades)}
+    return rows.where(reduce(or_, [(F.col("grade") == g) & (F.col("share") <= s) for g, s in last.items()], F.lit(False)))
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     texts, counts = rated(docs, labels)
-    sample = staged(sample_features(texts), "ratings").toArrow().sort_by([("grade", "ascending"), ("doc_id", "ascending")])
-    grades = sample.column("grade").to_numpy()
+    if len(counts) < 2:
+        return None
+    sample = bounded_sample(staged(sample_features(texts), "ratings")).select("grade", "share", "places", "amounts").toArrow()
+    sample = sample.sort_by([("grade", "ascending"), ("share", "ascending")])
+    grades = sample.column("grade").to_numpy().astype(np.int64)
     if len(np.unique(grades)) < 2:
         return None
     lists = sample.column("places").combine_chunks()
-    rows = np.repeat(np.arange(len(grades)), lists.value_lengths().to_numpy())
-    amounts = sample.column("amounts").combine_chunks().flatten().to_numpy().astype(float)
-    return fit_ordinal(lists.flatten().to_numpy(), amounts, rows, grades.astype(np.int64), counts)
+    bounds = np.append(0, np.cumsum(lists.value_lengths().to_numpy(), dtype=np.int64))
+    places, amounts = lists.flatten().to_numpy(), sample.column("amounts").combine_chunks().flatten().to_numpy()
+    return fit_ordinal(places, amounts, bounds, grades, counts)
 
 
 RESULTS = ("expected_grade", "p_good", "kept")
 
 
-def classify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with expected_grade, p_good and kept (p_good >= SELECT_AT)."""
-    names = [c for c in docs.columns if c not in RESULTS]
+def classify(docs: DataFrame, model: Model | None, results: tuple[str, ...] = RESULTS) -> DataFrame:
+    """``docs`` with expected_grade, p_good and kept (p_good >= SELECT_AT), under the names of ``results``."""
+    names = [c for c in docs.columns if c not in results]
     rows = docs.select(*names)
     if model is None:
-        return rows.select("*", F.lit(None).cast("double").alias("expected_grade"), F.lit(None).cast("double").alias("p_good"), F.lit(True).alias("kept"))
+        values = (F.lit(None).cast("double"), F.lit(None).cast("double"), F.lit(True))
+        return rows.select("*", *[v.alias(c) for v, c in zip(values, results, strict=True)])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, cuts = np.append(shared.value.weights, np.float32(0)), shared.value.thresholds
         for whole in batches:
-            weights, cuts = np.append(shared.value.weights, 0), shared.value.thresholds
             for batch in by_size(whole, "text"):
                 words, codes, bounds = split_words(batch.column("text"))
                 first, second = word_features(words)
-                of_word = np.append(0, np.cumsum((weights[first] + weights[second])[codes], dtype=np.float64))
                 lengths = np.diff(bounds)
-                score = SCALE * (of_word[bounds[1:]] - of_word[bounds[:-1]]) / np.maximum(lengths, 1)
+                score = SCALE * segment_sums((weights[first] + weights[second])[codes], bounds) / np.maximum(lengths, 1)
                 extra = np.array([variety(codes[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)], np.int64)
                 score += np.where(lengths > 0, weights[extra], 0)
                 above = 1 - logistic(cuts[None, :] - score[:, None])
                 columns = [*(batch.column(c) for c in names), pa.array(above.sum(1)), pa.array(above[:, -1]), pa.array(above[:, -1] >= SELECT_AT)]
-                yield pa.RecordBatch.from_arrays(columns, names=[*names, *RESULTS])
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, *results])
 
-    narrow_batches(docs.sparkSession, 2048)
-    schema = type(docs.schema)(list(rows.schema.fields)).add("expected_grade", "double").add("p_good", "double").add("kept", "boolean")
+    narrow_batches(docs.sparkSession)
+    schema = type(docs.schema)(list(rows.schema.fields))
+    for name, kind in zip(results, ("double", "double", "boolean"), strict=True):
+        schema = schema.add(name, kind)
     return rows.mapInArrow(work, schema)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the classifier selects, with its own columns."""
-    return classify(docs, fit(docs, labels)).where("kept").select(*docs.columns)
+    """The rows of ``docs`` that the classifier selects, with its own columns, whatever their names."""
+    results = free_names(docs, *RESULTS)
+    return classify(docs, fit(docs, labels), tuple(results)).where(F.col(results[-1])).select(*docs.columns)
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

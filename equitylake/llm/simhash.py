@@ -16,8 +16,9 @@ all links have such a point), which takes 65 rows a fingerprint whatever their n
 
 Defined results: null or blank text has fingerprint zero and links like any other. Rows
 with equal or null ``doc_id`` are kept, a null id being no candidate for component_id
-(null if its component has no other). Other input columns are dropped by
-``fingerprints`` and kept by ``keep_one_of_each``. No documents, no rows.
+(null if its component has no other). ``keep_one_of_each`` keeps a component's row of
+least doc_id (null last; of equal ids, that of least hash), one of equal rows, with all
+its columns whatever their names; ``fingerprints`` drops them. No documents, no rows.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_size, components, narrow_batches, read_table, staged
+from .common import by_size, components, free_names, narrow_batches, read_table, row_key, staged
 
 SHINGLE = 3
 SEED = 42
@@ -56,16 +57,18 @@ def fingerprint(text: bytes | None) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed 64-bit integer."""
+    """(doc_id, k1, k2, fp): the row's key and the fingerprint as a signed 64-bit integer."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in by_size(whole, "text"):
                 prints = np.array([fingerprint(t.as_py()) for t in batch.column("text")], np.uint64)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "k1", "k2")), pa.array(prints.view(np.int64))], names=["doc_id", "k1", "k2", "fp"])
 
-    narrow_batches(docs.sparkSession, 2048)
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary").alias("text")).mapInArrow(work, "doc_id long, fp long")
+    narrow_batches(docs.sparkSession)
+    k1, k2 = row_key()
+    plain = docs.select(F.col("doc_id").cast("long"), k1.alias("k1"), k2.alias("k2"), F.col("text").cast("string").cast("binary").alias("text"))
+    return plain.mapInArrow(work, "doc_id long, k1 long, k2 long, fp long")
 
 
 @functools.cache
@@ -181,24 +184,31 @@ def link_prints(prints: DataFrame) -> DataFrame:
     return links.where("a <> b").unionByName(shared)
 
 
+def labelled_prints(prints: DataFrame) -> DataFrame:
+    """(fp, component): each different fingerprint with the least one linked to it."""
+    different = staged(prints.select("fp").distinct(), "different-prints")
+    linked = components(link_prints(different)).select(F.col("node").alias("fp"), "component")
+    return different.join(linked, "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"))
+
+
 def simhash_components(docs: DataFrame) -> DataFrame:
     """(doc_id, fp, component_id) of every row of documents (doc_id, text)."""
     prints = staged(fingerprints(docs), "prints")
-    firsts = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "firsts")
-    linked = components(link_prints(firsts)).join(firsts.withColumnRenamed("fp", "node"), "node")
-    least = linked.groupBy("component").agg(F.min("first").alias("component_id"))
-    labelled = linked.join(least, "component").select(F.col("node").alias("fp"), "component_id")
-    named = firsts.join(labelled, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    firsts = staged(labelled_prints(prints).join(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "fp"), "firsts")
+    named = firsts.join(firsts.groupBy("component").agg(F.min("first").alias("component_id")), "component").select("fp", "component_id")
+    return prints.select("doc_id", "fp").join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are the first of their component, all columns kept; of
-    rows with the same ``doc_id``, one. Rows without an id stay."""
-    found = simhash_components(docs)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    numbered = docs.join(kept, docs["doc_id"] == kept["_id"], "left_semi").dropDuplicates(["doc_id"])
-    return numbered.unionByName(docs.where("doc_id is null"))
+    """One row of ``docs`` for each component, all columns kept."""
+    prints = staged(fingerprints(docs), "prints")
+    row = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "k1", "k2")
+    least = prints.groupBy("fp").agg(F.min(row).alias("row"))
+    k1, k2 = free_names(docs, "k1", "k2")
+    kept = labelled_prints(prints).join(least, "fp").groupBy("component").agg(F.min("row").alias("row")).select(F.col("row.k1").alias(k1), F.col("row.k2").alias(k2))
+    # Equal rows are combined before the one shuffle of the documents, which the join shares.
+    keyed = docs.withColumns(dict(zip((k1, k2), row_key(), strict=True))).dropDuplicates([k1, k2])
+    return keyed.join(kept, [k1, k2], "left_semi").select(*docs.columns)
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

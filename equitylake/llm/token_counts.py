@@ -8,8 +8,8 @@ joined to the pre-token frequencies of each document; no ids are made.
 
 1. All texts: each task counts its pre-tokens, Spark sums the counts.
 2. Each distinct pre-token is encoded once.
-3. All texts again: the ``HEAD`` most frequent pre-tokens, a bounded table, are joined
-   inside the tasks; what is left of a document goes out as (pre-token, frequency) and is
+3. All texts again: the ``HEAD`` most frequent pre-tokens of up to ``LONG`` characters, a
+   bounded table, are joined inside the tasks; what is left of a document goes out as (pre-token, frequency) and is
    joined by a shuffle, where no pre-token is frequent any more.
 
 Defined results: null text counts as empty (0 tokens); rows with equal or null ``doc_id``
@@ -18,7 +18,6 @@ are kept, each with its own counts; other columns are dropped. No documents, no
 
 from __future__ import annotations
 
-import functools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -29,12 +28,14 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_size, narrow_batches, read_table, staged
+from .common import by_size, narrow_batches, read_table, staged, worker_cache
 
 MODEL = "piece_bpe_32k.model"
 HEAD = 1 << 18
 LIMIT = 4096
-MOST_HELD = 400_000  # pre-tokens that a task counts before it hands them on
+LONG = 64
+MOST_HELD = 200_000  # pre-tokens that a task counts before it hands them on
+MOST_CHARS = 32_000_000  # of texts that it counts before
 SPACE = "▁"  # the model's sign for a space; in a text it is one
 _PRE_TOKENS = re.compile(rf"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 
@@ -44,9 +45,8 @@ def pre_tokens(text: str | None) -> list[str]:
     return _PRE_TOKENS.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
-@functools.cache
 def processor(path: str | None = None) -> sentencepiece.SentencePieceProcessor:
-    return sentencepiece.SentencePieceProcessor(model_file=path or public_tokenizers.path(MODEL))
+    return worker_cache(f"pieces {path}", lambda: sentencepiece.SentencePieceProcessor(model_file=path or public_tokenizers.path(MODEL)))
 
 
 def pieces_of(words: list[str], path: str | None = None) -> list[int]:
@@ -60,6 +60,7 @@ def corpus_pre_tokens(docs: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter[str] = Counter()
+        chars = 0
 
         def out() -> pa.RecordBatch:
             batch = pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
@@ -68,9 +69,11 @@ def corpus_pre_tokens(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text in batch.column("text"):
-                held.update(pre_tokens(text.as_py()))
-                if len(held) > MOST_HELD:
+                held.update(pre_tokens(text := text.as_py()))
+                chars += len(text or "")
+                if len(held) > MOST_HELD or chars > MOST_CHARS:
                     yield out()
+                    chars = 0
         if held:
             yield out()
 
@@ -87,8 +90,10 @@ def with_pieces(words: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def frequent(words: DataFrame, most: int = HEAD) -> DataFrame:
-    """The words of the highest frequency classes (sixteen to each doubling) that together
-    have at most ``most`` words. The classes are counted, the words not sorted."""
+    """The words of at most ``LONG`` characters of the highest frequency classes (sixteen to
+    each doubling) that together have at most ``most`` words. The classes are counted, the
+    words not sorted."""
+    words = words.where(F.length("word") <= LONG)
     level = F.floor(F.log2("n") * 16).cast("int")
     classes = words.groupBy(level.alias("level")).count().collect()  # sixteen for each doubling of n
     least, total = None, 0
@@ -103,7 +108,7 @@ def frequent(words: DataFrame, most: int = HEAD) -> DataFrame:
 def count_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, n_bytes, n_tokens) of documents (doc_id, text)."""
     spark = docs.sparkSession
-    narrow_batches(spark, 2048)
+    narrow_batches(spark)
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     words = staged(with_pieces(corpus_pre_tokens(plain), path), "pre-tokens")
     top = frequent(words).select("word", "pieces").toArrow()  # HEAD rows at most

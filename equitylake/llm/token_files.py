@@ -11,7 +11,8 @@ Tasks write under a name of their own and rename at the end, so that a task that
 twice leaves one whole file. The manifest (one row a shard) is all the driver sees.
 
 Defined results: null text counts as empty, an empty document has only its end id, a null
-doc_id comes first, documents with the same doc_id follow in order of their text.
+doc_id comes first, documents with the same doc_id follow in the order of a hash of their
+text, then of the text.
 Other columns of the input are dropped. No documents: no shard and no row.
 """
 
@@ -105,9 +106,11 @@ def write_token_files(docs: DataFrame, folder: str, sequence: int = SEQUENCE, en
             n_docs, n_tokens = writer.close()
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([n_docs]), pa.array([n_tokens])], names=["shard", "n_docs", "n_tokens"])
 
-    narrow_batches(spark, 2048)
+    narrow_batches(spark)
     plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    ordered = plain.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    # The keys that Spark samples for its ranges are two integers; no text goes to the driver.
+    by = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
+    ordered = plain.repartitionByRange(*by).sortWithinPartitions(*by, "text")
     shards = staged(ordered.mapInArrow(write, MANIFEST), "manifest")
     # One row a shard: the running sum is over as many rows as the write had tasks.
     first, rows = 0, []

@@ -8,7 +8,6 @@ word goes through the whole tokenizer. The result is that of ``Tokenizer.encode`
 
 from __future__ import annotations
 
-import functools
 import re
 import struct
 
@@ -19,8 +18,11 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import CharDelimiterSplit
 
+from .common import worker_cache
+
 MODEL = "word_bpe_49k.json"
-MAX_WORDS = 400_000  # entries after which a worker's cache starts anew, about 90 MB
+MAX_WORDS = 60_000  # of a worker's caches of words and of parts; about 10 MB each, 30 MB at most
+LONG = 64  # characters of a word from which it is not kept
 
 # Words of visible Latin-1 characters. Lower-casing and NFC stay inside that range.
 _PLAIN = re.compile(r"[\x21-\x7e\xa1-\xac\xae-\xff]+")
@@ -66,7 +68,7 @@ class WordIds(dict):
             else:
                 rest.append(word)
         parts = self.parts
-        unknown = list({p for ps in split.values() for p in ps if p not in parts})
+        unknown = list(dict.fromkeys(p for ps in split.values() for p in ps if p not in parts))
         if unknown:
             shown = [p if p.isascii() else p.encode().decode("latin-1").translate(self.table) for p in unknown]
             encoding = self.plain.encode(" ".join(shown), add_special_tokens=False)
@@ -78,12 +80,21 @@ class WordIds(dict):
             self[word] = b"".join([parts[p] for p in ps])
         for word in rest:
             self[word] = self.whole(word)
-
-    def _trim(self) -> None:
-        """Between batches: start anew once a cache is full. Long words don't stay."""
-        for cache in (self, self.parts):
-            if len(cache) > self.max_words:
-                cache.clear()
+        for part in set(unknown).difference(*(ps for w, ps in split.items() if len(w) <= LONG)):
+            del parts[part]  # parts of long words only don't come again
+        if len(parts) > self.max_words:
+            parts.clear()
+
+    def _trim(self, present: list[str] = ()) -> None:
+        """Between batches: long words go, and if there are too many, all but those at hand."""
+        for word in present:
+            if len(word) > LONG:
+                self.pop(word, None)
+        if len(self) > self.max_words:
+            held = {w: self[w] for w in present if w in self}
+            self.clear()
+            if len(held) <= self.max_words // 2:
+                self.update(held)
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -111,9 +122,6 @@ class WordIds(dict):
         self[""] = b""
         self._learn([w for w in unique if w not in self])
         packed = [self[w] for w in unique]
-        for w in unique:
-            if len(w) > 64:
-                self.pop(w, None)
         sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
         flat = np.frombuffer(b"".join(packed), "<u4")
         starts = np.cumsum(sizes) - sizes
@@ -128,11 +136,10 @@ class WordIds(dict):
         out = [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
         for k in np.flatnonzero(odd):
             out[k] = np.frombuffer(self.whole(texts[int(k)].as_py()), "<u4")
-        self._trim()
+        self._trim(unique)
         return out
 
 
-@functools.cache
 def word_ids(path: str | None = None) -> WordIds:
     """One per Python worker, kept from task to task."""
-    return WordIds(path)
+    return worker_cache(f"word ids {path}", lambda: WordIds(path))
