@@ -56,7 +56,7 @@ def drop_path(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 4_000_000
 BATCH_ROWS = 2048
 
 
@@ -86,7 +86,7 @@ def worker_cache(name: str, make: Callable[[], Any]) -> Any:
     return _WORKER_CACHE[name]
 
 
-def by_size(batch: pa.RecordBatch, column: str, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+def by_size(batch: pa.RecordBatch, column: str, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts have about ``most`` bytes together, one row at least."""
     sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     group = np.cumsum(sizes) // most
@@ -136,26 +136,33 @@ def word_places(words: list[str] | pa.Array, size: int) -> np.ndarray:
     """Each word's place among ``size`` hashed features, -1 where nothing is left of it.
     Words are lower-cased and stripped of ``MARKS`` at both ends."""
     plain = pc.utf8_trim(pc.utf8_lower(pa.array(words, pa.string())), characters=MARKS)
-    lengths = pc.binary_length(plain).to_numpy(zero_copy_only=False).astype(np.int64)
-    return np.where(lengths == 0, -1, (hashes_of(plain, lengths) % np.uint64(size)).astype(np.int64))
+    places = (hashes_of(plain) % np.uint64(size)).astype(np.int64)
+    return np.where(pc.equal(plain, "").to_numpy(zero_copy_only=False), -1, places)
 
 
 _MULTIPLIERS = np.random.default_rng(11).integers(1, 1 << 63, 4096, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def hashes_of(words: pa.Array, lengths: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word: its bytes' sum, each times a fixed odd number for its place."""
+def hashes_of(words: pa.Array, runs_once: bool = False) -> np.ndarray:
+    """A 64-bit hash of each word: its bytes' sum, each times a fixed odd number for its
+    place. ``runs_once``: equal bytes one after another count as one."""
+    lengths = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
     if not lengths.any():
         return np.zeros(len(words), np.uint64)
     _, offsets, data = words.buffers()
     first = np.frombuffer(offsets, np.int32)[words.offset]
-    bytes_ = np.frombuffer(data, np.uint8)[first : first + int(lengths.sum())].astype(np.uint64)
+    bytes_ = np.frombuffer(data, np.uint8)[first : first + int(lengths.sum())]
     starts = np.cumsum(lengths) - lengths
+    if runs_once:
+        new = np.append(True, bytes_[1:] != bytes_[:-1])
+        new[starts[lengths > 0]] = True
+        upto = np.append(0, np.cumsum(new))
+        bytes_, lengths, starts = bytes_[new], upto[starts + lengths] - upto[starts], upto[starts]
     place = np.arange(len(bytes_)) - np.repeat(starts, lengths)
-    bytes_ += np.uint64(1)
-    bytes_ *= _MULTIPLIERS[place & 4095]
+    values = bytes_.astype(np.uint64) + np.uint64(1)
+    values *= _MULTIPLIERS[place & 4095]
     sums, held = np.zeros(len(words), np.uint64), lengths > 0
-    sums[held] = np.add.reduceat(bytes_, starts[held])
+    sums[held] = np.add.reduceat(values, starts[held])
     sums ^= sums >> np.uint64(32)
     sums *= np.uint64(0x9E3779B97F4A7C15)
     return sums ^ sums >> np.uint64(29)

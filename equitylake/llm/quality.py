@@ -21,7 +21,6 @@ the sample, a doc_id counts once, with its least text. Other columns of ``docs``
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import reduce
 from operator import or_
@@ -29,11 +28,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_size, free_names, hash_share, narrow_batches, read_table, split_words, staged, word_places, worker_cache
+from .common import by_size, free_names, hash_share, hashes_of, narrow_batches, read_table, split_words, staged, word_places
 
 GRADES = 3
 SAMPLE = 6000
@@ -48,26 +47,8 @@ LEAST_DOCUMENTS = 10  # in the sample, of a feature that gets a weight
 PENALTY = 2e-4
 SELECT_AT = 0.35
 
-_RUNS = re.compile(r"(.)\1+")
-
-
-class Shapes(dict):
-    """word -> place of its shape; at most ``MOST`` words of up to ``LONG`` characters stay."""
-
-    MOST, LONG = 60_000, 64
-
-    def __missing__(self, word: str) -> int:
-        shown = "".join("1" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c for c in word)
-        place = xxhash.xxh32_intdigest(_RUNS.sub(r"\1", shown).encode(), 11) % SHAPES
-        if len(self) > self.MOST:
-            self.clear()
-        if len(word) <= self.LONG:
-            self[word] = place
-        return place
-
-
-def shapes() -> Shapes:
-    return worker_cache("shapes", Shapes)
+# Digits, upper-case letters and other letters, and what a run of each is shown as.
+_KINDS = ((r"\p{N}+", "1"), (r"\p{Lu}+", "A"), (r"[\p{Ll}\p{Lt}\p{Lm}\p{Lo}]+", "a"))
 
 
 class Model(NamedTuple):
@@ -77,8 +58,10 @@ class Model(NamedTuple):
 
 def word_features(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Places of each word's two features; SIZE stands for none."""
-    places, known, texts = word_places(words, WORDS), shapes(), words.to_pylist()
-    forms = WORDS + np.fromiter(map(known.__getitem__, texts), np.int64, len(texts))
+    places, shown = word_places(words, WORDS), words
+    for pattern, sign in _KINDS:
+        shown = pc.replace_substring_regex(shown, pattern, sign)
+    forms = WORDS + (hashes_of(shown, runs_once=True) % np.uint64(SHAPES)).astype(np.int64)
     return np.where(places < 0, SIZE, places), np.where(words.to_numpy(zero_copy_only=False) == "", SIZE, forms)
 
 
