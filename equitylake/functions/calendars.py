@@ -34,7 +34,17 @@ def business_days(start: Column, end: Column) -> Column:
 
 def business_calendar(spark: SparkSession, start: str, end: str, exclusions: Ranges | None = None) -> DataFrame:
     """(date): Mondays to Fridays, without any excluded range (inclusive). One row a day."""
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("date")).where(F.weekday("date") < 5)
+    ends = spark.range(1).select(F.lit(start).cast("date").alias("first"), F.lit(end).cast("date").alias("last"))
+    return _business(ends, exclusions)
+
+
+def calendar_of(history: DataFrame, exclusions: Ranges | None = None) -> DataFrame:
+    """The business calendar from the first to the last date of ``history``."""
+    return _business(history.agg(F.min("date").alias("first"), F.max("date").alias("last")), exclusions)
+
+
+def _business(ends: DataFrame, exclusions: Ranges | None) -> DataFrame:
+    days = ends.select(F.explode(F.sequence("first", "last")).alias("date")).where(F.weekday("date") < 5)
     for a, b in exclusions or []:
         days = days.where(~F.col("date").between(F.lit(a).cast("date"), F.lit(b).cast("date")))
     return days

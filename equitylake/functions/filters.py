@@ -8,7 +8,7 @@ from functools import reduce
 from operator import and_, or_
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _ISO = re.compile(r"(\d{4}-\d\d-\d\d)(?:T(\d\d:\d\d:\d\d)(?:\.\d+)?Z?)?$")
@@ -67,6 +67,11 @@ def compile_filter(query: dict[str, Any]) -> Column:
     return reduce(and_, parts, F.lit(True)) if parts else F.lit(True)
 
 
+def matching_symbols(stocks: DataFrame, query: dict[str, Any]) -> DataFrame:
+    """Symbols of the stocks that fit, in order; rows without one are left out."""
+    return stocks.where(compile_filter(query)).where("symbol is not null").select("symbol").orderBy("symbol")
+
+
 def created_after(day: str, query: dict[str, Any] | None = None) -> dict[str, Any]:
     """``query`` and a createdAt at or after ``day``."""
     newer = {"createdAt": {"$gte": day}}

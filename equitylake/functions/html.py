@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import OHLCV_RAW
+from ..schemas import OHLCV_RAW, QUOTE
 from . import scalars as S
 
 HEADERS = ("TIME", "OPEN", "HIGH", "LOW", "CLOSE", "VOLUME")
@@ -86,83 +86,149 @@ def market_watch_rows(pages: DataFrame) -> DataFrame:
     return raw.withColumns(typed).drop("change_class")
 
 
-class Panels(HTMLParser):
-    """Labels and values of a company page: label -> (value, attributes)."""
+class Element:
+    def __init__(self, tag: str, attributes: dict[str, str]):
+        self.tag, self.attributes, self.inside = tag, attributes, []
+        self.classes = set((attributes.get("class") or "").split())
 
-    def __init__(self) -> None:
+    def every(self, css: str | None = None, tag: str | None = None, **attributes: str) -> Iterator[Element]:
+        """Elements inside that have the class, tag and attributes (``data_name`` for ``data-name``)."""
+        for x in self.inside:
+            if isinstance(x, Element):
+                wanted = all(x.attributes.get(k.replace("_", "-")) == v for k, v in attributes.items())
+                if wanted and (css is None or css in x.classes) and (tag is None or x.tag == tag):
+                    yield x
+                yield from x.every(css, tag, **attributes)
+
+    def first(self, css: str | None = None, tag: str | None = None, **attributes: str) -> Element | None:
+        return next(self.every(css, tag, **attributes), None)
+
+    def text(self, between: str = "") -> str:
+        return between.join(x if isinstance(x, str) else x.text(between) for x in self.inside)
+
+
+class Tree(HTMLParser):
+    """Elements in each other. An end without a beginning is left out; an end closes what
+    is still open inside it."""
+
+    # Elements without an end.
+    EMPTY = frozenset("area base br col embed hr img input link meta source track wbr".split())
+
+    def __init__(self, html: str | None) -> None:
         super().__init__()
-        self.found: dict[str, tuple[str, dict]] = {}
-        self.kind, self.text, self.label, self.attributes = "", "", "", {}
+        self.open = [Element("", {})]
+        self.feed(html or "")
+        self.close()
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        attributes = dict(attrs)
-        kind = attributes.get("class") or ""
-        if kind:
-            self._close()
-            self.kind, self.text, self.attributes = kind, "", attributes
+        element = Element(tag, {k: v or "" for k, v in attrs})
+        self.open[-1].inside.append(element)
+        if tag not in self.EMPTY:
+            self.open.append(element)
 
-    def handle_data(self, data: str) -> None:
-        self.text += data
+    def handle_startendtag(self, tag: str, attrs: list) -> None:
+        self.open[-1].inside.append(Element(tag, {k: v or "" for k, v in attrs}))
 
     def handle_endtag(self, tag: str) -> None:
-        self._close()
+        depth = next((k for k in range(len(self.open) - 1, 0, -1) if self.open[k].tag == tag), 0)
+        if depth:
+            del self.open[depth:]
 
-    def _close(self) -> None:
-        text = self.text.strip()
-        if "label" in self.kind:
-            self.label = text
-        elif "value" in self.kind and self.label:
-            self.found.setdefault(self.label, (text, self.attributes))
-            self.label = ""
-        elif self.kind and text:
-            self.found.setdefault("." + self.kind.split()[0], (text, self.attributes))
-        self.kind, self.text = "", ""
+    def handle_data(self, data: str) -> None:
+        self.open[-1].inside.append(data)
 
 
-def stats_maps(pages: DataFrame) -> DataFrame:
-    """(symbol, stats map<string,string>) of company pages (symbol, html): label -> value,
-    and ``.class`` -> text for what has no label."""
+def tidy(text: str) -> str:
+    return text.strip().replace("\u00a0", "").replace("\u2013", "-").replace("\u2014", "-")
 
-    def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for html in frame["html"]:
-                parser = Panels()
-                parser.feed(html or "")
-                parser.close()
-                found = {}
-                for label, (value, attributes) in parser.found.items():
-                    low, high = attributes.get("data-low"), attributes.get("data-high")
-                    found[label] = f"{low} - {high}" if low and high else value
-                out.append(list(found.items()))
-            yield pd.DataFrame({"symbol": frame["symbol"], "entries": [[{"k": k, "v": v} for k, v in e] for e in out]})
 
-    raw = pages.select("symbol", "html").mapInPandas(parse, "symbol string, entries array<struct<k:string,v:string>>")
-    return raw.select("symbol", F.map_from_entries("entries").alias("stats"))
+def panel_stats(panel: Element | None) -> dict[str, str]:
+    """Label -> value of a panel's items; of equal labels, the last."""
+    found = {}
+    for item in panel.every("stats_item") if panel else ():
+        label, value = item.first("stats_label"), item.first("stats_value")
+        if label and value:
+            found[tidy(label.text())] = tidy(value.text(" "))
+    return found
+
 
+def range_texts(panel: Element | None, word: str) -> tuple[str | None, str | None]:
+    """Low and high of the range whose label holds ``word``: from its data attributes, else
+    the two parts of its text."""
+    held = panel.first("company__quote__rangeStats") if panel else None
+    out: tuple[str | None, str | None] = (None, None)
+    for item in held.every("stats_item") if held else ():
+        label, value = item.first("stats_label"), item.first("stats_value")
+        if label and value and word in tidy(label.text()).upper():
+            marked = value.first("numRange")
+            parts = [marked.attributes.get("data-low"), marked.attributes.get("data-high")] if marked else tidy(value.text(" ")).split("-")
+            out = (parts[0], parts[1]) if len(parts) == 2 else (None, None)
+    return out
 
-# Labels of a company page and the fields they fill.
+
+# Labels of a company page's panel and the fields they fill.
 QUOTE_LABELS = {
-    "Open": "open", "High": "high", "Low": "low", "LDCP": "ldcp", "VAR": "var", "HAIRCUT": "haircut", "P/E Ratio (TTM)": "pe_ratio_ttm",
+    "Open": "open", "High": "high", "Low": "low", "LDCP": "ldcp", "VAR": "var", "HAIRCUT": "haircut", "P/E Ratio (TTM) **": "pe_ratio_ttm",
     "Ask Price": "ask_price", "Bid Price": "bid_price",
 }
 QUOTE_COUNTS = {"Volume": "volume", "Ask Volume": "ask_volume", "Bid Volume": "bid_volume"}
+PANEL = "REG"
+_RANGES = {"circuit_breaker": "CIRCUIT", "day_range": "DAY RANGE"}
+_TEXTS = ("name", "sector", "price", "change", "change_pct", "change_direction", "as_of", *QUOTE_LABELS.values(), *QUOTE_COUNTS.values(), *(f"{r}_{side}" for r in _RANGES for side in ("low", "high")))
+
+
+def quote_texts(html: str | None) -> dict[str, str | None] | None:
+    """The texts of a company page's quote, from its section and that section's ``PANEL``
+    only; none without a section."""
+    section = Tree(html).open[0].first("company__quote")
+    if section is None:
+        return None
+    shown = lambda css: tidy(x.text()) if (x := section.first(css)) else None
+    panel = section.first("tabs__panel", data_name=PANEL)
+    stats = panel_stats(panel)
+    out: dict[str, str | None] = {field: stats.get(label) for label, field in (QUOTE_LABELS | QUOTE_COUNTS).items()}
+    for name, word in _RANGES.items():
+        out[f"{name}_low"], out[f"{name}_high"] = range_texts(panel, word)
+    sector = section.first("quote__sector")
+    sector = sector.first(tag="span") if sector else None
+    change = section.first("quote__change")
+    return out | {
+        "name": shown("quote__name"), "sector": tidy(sector.text()) if sector else None, "price": shown("quote__close"), "change": shown("change__value"),
+        "change_pct": shown("change__percent"), "as_of": x.text() if (x := section.first("quote__date")) else None,
+        "change_direction": "up" if change and "change__text--pos" in change.classes else "down",
+    }
+
+
+def stats_maps(pages: DataFrame) -> DataFrame:
+    """(symbol, stats map<string,string>) of company pages (symbol, html): label -> value of
+    the ``PANEL``."""
+
+    def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            panels = [Tree(html).open[0].first("tabs__panel", data_name=PANEL) for html in frame["html"]]
+            yield pd.DataFrame({"symbol": frame["symbol"], "entries": [[{"k": k, "v": v} for k, v in panel_stats(p).items()] for p in panels]})
+
+    raw = pages.select("symbol", "html").mapInPandas(parse, "symbol string, entries array<struct<k:string,v:string>>")
+    return raw.select("symbol", F.map_from_entries("entries").alias("stats"))
 
 
 def company_quotes(pages: DataFrame) -> DataFrame:
-    """Quotes of company pages (symbol, html, scraped_at); pages without a price are left out."""
-    held = pages.select("symbol", "html", "scraped_at").join(stats_maps(pages), "symbol")
-    at = lambda key: F.try_element_at("stats", F.lit(key))
-    labelled = lambda word: F.try_element_at(F.map_values(F.map_filter("stats", lambda k, v: F.upper(k).contains(word))), F.lit(1))
-    out = {name: S.loose_double(S.clean(at(label))) for label, name in QUOTE_LABELS.items()}
-    out |= {name: S.loose_int(at(label)) for label, name in QUOTE_COUNTS.items()}
-    for word, name in (("CIRCUIT", "circuit_breaker"), ("DAY RANGE", "day_range")):
-        out |= {f"{name}_{side}": S.low_high(labelled(word))[side] for side in ("low", "high")}
-    out |= {
-        "name": S.without_delisted(S.clean(at(".quote__name"))), "sector": S.clean(at(".quote__sector")), "price": S.loose_double(at(".quote__close")),
-        "change": S.loose_double(at(".change__value")), "change_pct": S.loose_double(at(".change__percent")), "as_of": S.as_of(at(".quote__date")),
-    }
-    return held.withColumns(out).drop("html", "stats").where("price is not null")
+    """QUOTE rows of company pages (symbol, html, scraped_at and perhaps url), one a page;
+    pages without a quote section are left out. Symbols are trimmed and in upper case."""
+    url = F.col("url") if "url" in pages.columns else F.lit(None).cast("string")
+
+    def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = [(s, at, u, *(found[c] for c in _TEXTS)) for s, h, at, u in frame.itertuples(index=False, name=None) if (found := quote_texts(h)) is not None]
+            yield pd.DataFrame(rows, columns=["symbol", "scraped_at", "source_url", *_TEXTS])
+
+    held = pages.select("symbol", "html", "scraped_at", url.alias("source_url"))
+    raw = held.mapInPandas(parse, "symbol string, scraped_at timestamp, source_url string, " + ", ".join(f"{c} string" for c in _TEXTS))
+    doubles = {"change", "change_pct", *QUOTE_LABELS.values(), *(f"{r}_{side}" for r in _RANGES for side in ("low", "high"))}
+    out = {c: S.loose_double(F.col(c)) for c in doubles} | {c: S.loose_int(F.col(c)) for c in QUOTE_COUNTS.values()}
+    out |= {"symbol": F.upper(F.trim("symbol")), "price": S.loose_double(F.regexp_replace("price", r"^Rs\.", "")), "name": S.without_delisted(F.col("name")), "as_of": S.as_of(F.col("as_of"))}
+    fields = [f.split(" ")[0] for f in QUOTE.split(", ")]
+    return raw.withColumns(out).select(*fields)
 
 
 def page_titles(pages: DataFrame) -> DataFrame:

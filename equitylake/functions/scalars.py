@@ -78,8 +78,20 @@ def index_list(text: Column) -> Column:
 
 
 def iso_date(text: Column) -> Column:
-    """Midnight of an ISO date or date and time; null for anything else."""
-    return F.substring(F.trim(text), 1, 10).try_cast("date")
+    """The date of an ISO date or date and time; null for anything else."""
+    plain = F.trim(text)
+    whole = plain.rlike(r"^\d{4}-\d\d-\d\d([T ]\d\d:\d\d(:\d\d(\.\d+)?)?(Z|[+-]\d\d:?\d\d)?)?$")
+    return F.when(whole, F.substring(plain, 1, 10)).try_cast("date")
+
+
+def report_date(text: Column) -> Column:
+    """A report's date, ``yyyy-MM-dd`` and nothing else; other text is an error."""
+    return F.to_date(text, "yyyy-MM-dd")
+
+
+def local_now() -> Column:
+    """The present time in the exchange's zone."""
+    return F.from_utc_timestamp(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), LOCAL_OFFSET)
 
 
 def minute_floor(ts: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -29,7 +29,12 @@ def parse_announcements(records: DataFrame, scraped_at: str | None = None) -> Da
 
 
 def face_value(stocks: DataFrame) -> DataFrame:
-    return stocks.select("symbol", F.col("faceValue").alias("_face"))
+    """One row a symbol; of several, the greatest face value."""
+    return stocks.groupBy("symbol").agg(F.max("faceValue").alias("_face"))
+
+
+def active(stocks: DataFrame) -> DataFrame:
+    return stocks.where(F.coalesce("isActive", F.lit(False)))
 
 
 def dividends(announcements: DataFrame, stocks: DataFrame) -> DataFrame:
@@ -88,16 +93,17 @@ def audit_records(raw: DataFrame, stocks: DataFrame, audited: DataFrame | None =
     """Records to audit of raw rows (rid, symbol, date_text, dividend_text): symbols among the
     audited, percentage above 0 before a parenthesis, a date that parses; face values of
     active stocks only."""
-    rows = raw if audited is None else raw.join(audited.select("symbol"), "symbol", "left_semi")
+    rows = raw if audited is None else raw.join(audited.select("symbol").distinct(), "symbol", "left_semi")
     percent = S.audit_percentage(F.col("dividend_text"))
     known = rows.withColumns({"exDate": S.parse_date(F.col("date_text")), "_percent": percent}).where("exDate is not null and _percent <> 0")
-    joined = known.join(face_value(stocks.where("isActive")), "symbol", "left")
+    joined = known.join(face_value(active(stocks)), "symbol", "left")
     return joined.select("rid", "symbol", "exDate", S.expected_amount(F.col("_percent"), F.coalesce("_face", F.lit(FACE_VALUE))).alias("amount"))
 
 
-def audit_summary(audited: DataFrame, total: int | Column, tolerance_days: int, amount_tolerance: float) -> DataFrame:
-    """One row of counts over all records."""
-    return audited.agg(
+def audit_summary(audited: DataFrame, records: DataFrame, tolerance_days: int, amount_tolerance: float) -> DataFrame:
+    """One row of counts over the audited and all ``records``."""
+    counts = audited.agg(
         F.count("*").alias("processed_records"), F.countDistinct("symbol").alias("audited_stocks_count"),
         F.count_if(F.col("status") == "missing").alias("missing_in_db_count"), F.count_if(F.col("status") == "discrepancy").alias("discrepancies_count"),
-    ).withColumns({"total_json_records": F.lit(total), "skipped_records": F.lit(total) - F.col("processed_records"), "date_tolerance_days": F.lit(tolerance_days), "amount_tolerance": F.lit(amount_tolerance)})
+    ).join(records.agg(F.count("*").alias("total_json_records")))
+    return counts.withColumns({"skipped_records": F.col("total_json_records") - F.col("processed_records"), "date_tolerance_days": F.lit(tolerance_days), "amount_tolerance": F.lit(amount_tolerance)})

@@ -25,3 +25,13 @@ def skip_rate(covered: DataFrame) -> DataFrame:
     """One row: processed, skipped, skip_rate in percent."""
     sums = covered.agg(F.count("*").alias("processed"), F.count_if("has_coverage").alias("skipped"))
     return sums.withColumn("skip_rate", F.when(F.col("processed") > 0, F.col("skipped") / F.col("processed") * 100).otherwise(0.0))
+
+
+def inspect(frame: DataFrame) -> DataFrame:
+    """(column, type, n, n_null, least, greatest) of a frame, a row a column, in one pass."""
+    parts = []
+    for name, kind in frame.dtypes:
+        plain = F.col(f"`{name}`")
+        ends = (F.min(plain), F.max(plain)) if not kind.startswith(("map", "array", "struct")) else (F.lit(None), F.lit(None))
+        parts.append(F.struct(F.lit(name).alias("column"), F.lit(kind).alias("type"), F.count("*").alias("n"), F.count_if(plain.isNull()).alias("n_null"), ends[0].cast("string").alias("least"), ends[1].cast("string").alias("greatest")))
+    return frame.agg(F.array(*parts).alias("columns")).select(F.explode("columns").alias("c")).select("c.*")

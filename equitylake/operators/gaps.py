@@ -68,8 +68,11 @@ def ranges_to_symbols(ranges: DataFrame, more_than: int = 2) -> DataFrame:
 
 
 def first_symbols(report: DataFrame, limit: int) -> DataFrame:
-    """Rows of a report (pos, symbol, ...) of its first ``limit`` symbols; all for 0 or less."""
-    return report if limit <= 0 else report.where(F.col("pos") < limit)
+    """Rows of a report (symbol, ...) of its first ``limit`` symbols in their order; all for 0 or less."""
+    if limit <= 0:
+        return report
+    # At most ``limit`` symbols.
+    return report.join(report.select("symbol").distinct().orderBy("symbol").limit(limit), "symbol", "left_semi")
 
 
 def remaining(worklist: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:

@@ -17,6 +17,11 @@ def preprocess(raw: DataFrame) -> DataFrame:
     return raw.select("symbol", F.to_date(F.try_to_timestamp("TIME", F.lit("MMM d, yyyy"))).alias("date"), *[v.alias(k) for k, v in columns.items()])
 
 
+def by_date(series: DataFrame) -> DataFrame:
+    """In the order of dates, symbols within a date: a range partitioning, no single task."""
+    return series.orderBy("date", "symbol")
+
+
 def price_documents(series: DataFrame) -> DataFrame:
     """Prices in hundredths."""
     return series.withColumns({c: S.minor_units(F.col(c)) for c in PRICES})

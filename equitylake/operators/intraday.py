@@ -33,6 +33,22 @@ def volume_delta(buckets: DataFrame) -> DataFrame:
     return buckets.withColumn("volume_delta", delta)
 
 
+def cycle_rows(stored: DataFrame, quotes: DataFrame) -> DataFrame:
+    """The rows that a poll cycle upserts: of quotes (symbol, scraped_at, volume, others) the
+    last of each minute, with scraped_at_minute and volume_delta against the minute before
+    it, stored (symbol, scraped_at_minute, volume) or of the same cycle. Stored rows of
+    other symbols and of the same minutes play no part."""
+    minute = F.date_trunc("minute", "scraped_at")
+    others = F.struct(*[c for c in quotes.columns if c != "symbol"])
+    last = quotes.groupBy("symbol", minute.alias("scraped_at_minute")).agg(F.max_by(others, F.struct("scraped_at", "volume")).alias("_r"))
+    new = last.select("symbol", "scraped_at_minute", F.col("_r.volume").alias("volume"), F.col("_r"))
+    keys = new.select("symbol", "scraped_at_minute")
+    old = stored.join(keys.select("symbol").distinct(), "symbol", "left_semi").join(keys, ["symbol", "scraped_at_minute"], "left_anti")
+    both = new.unionByName(old.select("symbol", "scraped_at_minute", "volume"), allowMissingColumns=True)
+    found = volume_delta(both.withColumnRenamed("scraped_at_minute", "bucket")).where("_r is not null")
+    return found.select("symbol", F.col("bucket").alias("scraped_at_minute"), *[F.col(f"_r.{c}").alias(c) for c in quotes.columns if c != "symbol"], "volume_delta")
+
+
 def total_volume(snapshots: DataFrame, by: str = "bucket") -> DataFrame:
     return snapshots.groupBy(by).agg(F.sum(F.coalesce("volume", F.lit(0))).alias("total_volume"))
 

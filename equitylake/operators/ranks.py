@@ -25,6 +25,25 @@ def page_slice(stocks: DataFrame, page: int, size: int, by: str | None = "market
     return stocks.orderBy(*order).limit(page * size).offset((page - 1) * size)
 
 
+def numbered(rows: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """``rows`` with their place from 0 in the order: range partitions are numbered apart,
+    and the sizes of those before are added."""
+    part, inside = "_part", "_inside"
+    ranged = rows.repartitionByRange(*order).withColumn(part, F.spark_partition_id())
+    placed = ranged.withColumn(inside, F.row_number().over(Window.partitionBy(part).orderBy(*order)) - 1)
+    sizes = ranged.groupBy(part).agg(F.count("*").alias("_n"))
+    # One row a partition.
+    before = sizes.select(part, (F.sum("_n").over(Window.orderBy(part)) - F.col("_n")).alias("_before"))
+    return placed.join(F.broadcast(before), part).withColumn(name, F.col(inside) + F.col("_before")).drop(part, inside, "_before")
+
+
 def chunked(rows: DataFrame, size: int, order: list[Column]) -> DataFrame:
-    """``rows`` with the number of their chunk. For slices: one task numbers them."""
-    return rows.withColumn("chunk", F.floor((F.row_number().over(Window.orderBy(*order)) - 1) / size).cast("int"))
+    """``rows`` with the number of their chunk."""
+    return numbered(rows, order, "_rank").withColumn("chunk", F.floor(F.col("_rank") / size).cast("int")).drop("_rank")
+
+
+def head_and_tail(rows: DataFrame, order: list[str], n: int = 5) -> DataFrame:
+    """The first and the last ``n`` rows in the order, column ``part`` telling which."""
+    first = rows.orderBy(*[F.col(c).asc() for c in order]).limit(n)
+    last = rows.orderBy(*[F.col(c).desc() for c in order]).limit(n)
+    return first.withColumn("part", F.lit("head")).unionByName(last.withColumn("part", F.lit("tail")))

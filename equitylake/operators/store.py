@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 
 def one_per_key(rows: DataFrame, keys: list[str], order: Column | None = None) -> DataFrame:
-    """The last row of each key by ``order``; any one of them without."""
-    if order is None:
-        return rows.dropDuplicates(keys)
+    """The last row of each key by ``order``, of equal ones (or without an order) that of
+    greatest values."""
     others = [c for c in rows.columns if c not in keys]
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*others), order).alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others])
+    if not others:
+        return rows.distinct()
+    values = F.struct(*others)
+    return rows.groupBy(*keys).agg(F.max_by(values, values if order is None else F.struct(order, values)).alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others])
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], now: str | None = None) -> DataFrame:

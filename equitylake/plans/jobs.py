@@ -6,15 +6,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import filters
 from ..functions.html import history_rows
-from ..operators import corporate, coverage, gaps, history, instruments, ranks, store
-from ..sources.tables import Table
+from ..operators import corporate, coverage, gaps, history, instruments, intraday, ranks, store
+from ..sources.tables import Table, record_failures
 
 
 def daily_ingest(pages: DataFrame, table: Table, start: str, end: str, now: str) -> tuple[int, int]:
     """Fetched pages (symbol, html) into the price history: (inserted, updated)."""
     series = history.preprocess(history_rows(pages)).where(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-    return table.upsert(store.one_per_key(history.price_documents(series), ["symbol", "date"]), now)
+    return table.upsert(history.price_documents(series), now)
 
 
 def symbols_to_fetch(stocks: DataFrame, price_history: DataFrame, start: str, end: str, rank_from: int = 1, rank_to: int | None = None, chunk: int = 10) -> DataFrame:
@@ -48,3 +49,47 @@ def sync_symbols(feed: DataFrame, stocks: DataFrame) -> DataFrame:
 
 def dividend_audit(raw: DataFrame, stocks: DataFrame, stored: DataFrame, tolerance_days: int = 0, amount_tolerance: float = 0.0, audited: DataFrame | None = None) -> DataFrame:
     return corporate.audit(corporate.audit_records(raw, stocks, audited), stored, tolerance_days, amount_tolerance)
+
+
+def repair(worklist: DataFrame, fetched: DataFrame, failed: DataFrame, table: Table, failures: Table, now: str, unit: list[str]) -> tuple[tuple[int, int], DataFrame]:
+    """One round over a report's rows (symbol, start, end, ...): the fetched rows (symbol,
+    date, ...) that lie in them are upserted, failed ones (symbol, start, end, reason) are
+    recorded, and what remains is returned with the counts. A ``unit`` with a failure
+    remains whole: ``["symbol"]``, ``["start", "end"]`` or all three. A range without rows is done."""
+    spans = worklist.select("symbol", "start", "end").distinct()
+    inside = fetched.join(spans, "symbol").where(F.col("date").between(F.col("start"), F.col("end"))).select(*fetched.columns)
+    counts = table.upsert(inside, now)
+    record_failures(failures, failed.select("symbol", F.col("start").alias("interval_start"), F.col("end").alias("interval_end"), "reason"), now)
+    return counts, worklist.join(failed.select(*unit).distinct(), unit, "left_semi")
+
+
+def new_symbols_batch(stocks: DataFrame, created: str | None, query: dict | None, batch: int, size: int) -> DataFrame:
+    """The batch of the symbols that were created at or after a day and fit a predicate; one
+    of both is needed."""
+    if not created and not query:
+        raise ValueError("a day or a predicate is needed")
+    wanted = filters.created_after(created, query) if created else query
+    return ranks.page_slice(filters.matching_symbols(stocks, wanted), batch, size, by=None)
+
+
+def watch_cycle(quotes: DataFrame, table: Table) -> dict:
+    """A cycle's quotes (MARKET_WATCH and scraped_at) into the table keyed by symbol and
+    minute; a repeated cycle changes nothing. Returns its counts."""
+    sums = quotes.agg(F.count("*").alias("symbol_count"), F.sum(F.coalesce("volume", F.lit(0))).alias("total_volume"), F.max("scraped_at").cast("string").alias("now")).first()
+    if not sums["symbol_count"]:
+        return {"symbol_count": 0, "total_volume": 0, "inserted": 0, "updated": 0}
+    stored = table.read()
+    if "day" in table.partition_by:  # a local day lies in two of them
+        first = quotes.agg(F.date_sub(F.to_date(F.min("scraped_at")), 1).cast("string")).first()[0]
+        stored = stored.where(F.col("day") >= F.lit(first).cast("date"))
+    rows = intraday.cycle_rows(stored.select("symbol", "scraped_at_minute", "volume"), quotes)
+    if "day" in table.partition_by:
+        rows = rows.withColumn("day", F.to_date("scraped_at_minute"))
+    inserted, updated = table.upsert(rows, sums["now"])
+    return {"symbol_count": sums["symbol_count"], "total_volume": sums["total_volume"], "inserted": inserted, "updated": updated}
+
+
+def quote_cycle(quotes: DataFrame, table: Table, now: str) -> tuple[int, int]:
+    """Company quotes into the table keyed by symbol and as_of; those without an as_of share
+    one row a symbol, the last scraped."""
+    return table.upsert(quotes, now, F.col("scraped_at"))

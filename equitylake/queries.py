@@ -16,7 +16,6 @@ from .operators import corporate, coverage, gaps, history, instruments, intraday
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
-START, END = "1995-01-02", "1995-03-31"
 EXCLUSIONS = [("1995-01-16", "1995-01-16"), ("1995-02-20", "1995-02-22")]
 
 
@@ -83,9 +82,9 @@ def master_calendar(spark, sf):
 
 
 _CALENDAR = f"""
-  cal AS (SELECT date FROM (SELECT CAST(unnest(generate_series(DATE '{START}', DATE '{END}', INTERVAL 1 DAY)) AS DATE) AS date)
+  o AS ({_HISTORY}),
+  cal AS (SELECT date FROM (SELECT CAST(unnest(generate_series((SELECT min(date) FROM o), (SELECT max(date) FROM o), INTERVAL 1 DAY)) AS DATE) AS date)
           WHERE isodow(date) <= 5 AND NOT date BETWEEN DATE '1995-01-16' AND DATE '1995-01-16' AND NOT date BETWEEN DATE '1995-02-20' AND DATE '1995-02-22'),
-  o AS (SELECT DISTINCT o_custkey AS symbol, CAST(o_orderdate AS DATE) AS date FROM orders),
   miss AS (SELECT s.symbol, cal.date FROM (SELECT DISTINCT symbol FROM o) s CROSS JOIN cal
            WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.symbol = s.symbol AND o.date = cal.date))"""
 _RANGES = f"""{_CALENDAR},
@@ -97,8 +96,8 @@ _RANGES = f"""{_CALENDAR},
 
 
 def _missing(spark, sf):
-    days = order_days(spark, sf)
-    return gaps.missing_dates(days, calendars.business_calendar(spark, START, END, EXCLUSIONS), days)
+    days = shipments(spark, sf)
+    return gaps.missing_dates(days, calendars.calendar_of(days, EXCLUSIONS), days)
 
 
 @query(f"WITH {_CALENDAR} SELECT symbol, date FROM miss")
@@ -112,9 +111,9 @@ def missing_ranges(spark, sf):
 
 
 @query(f"""WITH {_RANGES} SELECT start, "end", count(*) AS n_symbols, string_agg(CAST(symbol AS VARCHAR), ',' ORDER BY CAST(symbol AS VARCHAR)) AS symbols
-  FROM ranges GROUP BY start, "end" HAVING count(*) > 2""")
+  FROM ranges GROUP BY start, "end" HAVING count(*) > 1""")
 def range_to_symbols(spark, sf):
-    return gaps.ranges_to_symbols(gaps.missing_ranges(_missing(spark, sf), 10), 2)
+    return gaps.ranges_to_symbols(gaps.missing_ranges(_missing(spark, sf), 10), 1)
 
 
 @query(f"""WITH {_RANGES} SELECT symbol, start, "end" FROM ranges WHERE symbol % 3 <> 0""")
@@ -155,10 +154,9 @@ def page_slice(spark, sf):
     return ranks.page_slice(customers(spark, sf), 3, 40, by=None)
 
 
-@query("""SELECT symbol, CAST((row_number() OVER (ORDER BY marketCap DESC NULLS LAST, symbol) - 1) // 20 AS INTEGER) AS chunk FROM
-  (SELECT c_custkey AS symbol, c_acctbal AS marketCap FROM customer ORDER BY c_acctbal DESC NULLS LAST, c_custkey LIMIT 200)""")
+@query("SELECT c_custkey AS symbol, CAST((row_number() OVER (ORDER BY c_acctbal DESC NULLS LAST, c_custkey) - 1) // 20 AS INTEGER) AS chunk FROM customer")
 def chunked(spark, sf):
-    rows = ranks.rank_slice(customers(spark, sf), 1, 200)
+    rows = customers(spark, sf)
     return ranks.chunked(rows, 20, ranks.ranked(rows)).select("symbol", "chunk")
 
 
@@ -177,8 +175,7 @@ def ohlcv_normalise(spark, sf):
 @query("""SELECT o_custkey AS symbol, CAST(o_orderdate AS DATE) AS date, o_totalprice AS price FROM orders
   WHERE o_custkey IN (1, 2, 3, 5, 8, 13) AND CAST(o_orderdate AS DATE) BETWEEN DATE '1994-01-01' AND DATE '1996-12-31'""")
 def stocks_slice(spark, sf):
-    rows = order_days_priced(spark, sf)
-    return rows.where(F.col("symbol").isin(1, 2, 3, 5, 8, 13) & F.col("date").between(F.lit("1994-01-01").cast("date"), F.lit("1996-12-31").cast("date")))
+    return history.stocks(order_days_priced(spark, sf), [1, 2, 3, 5, 8, 13], "1994-01-01", "1996-12-31")
 
 
 def order_days_priced(spark, sf):
@@ -302,7 +299,7 @@ def dividend_audit(spark, sf):
   count(*) FILTER (WHERE status = 'discrepancy') AS discrepancies_count, (SELECT count(*) FROM orders) AS total_json_records, (SELECT count(*) FROM orders) - count(*) AS skipped_records,
   30 AS date_tolerance_days, CAST(50000 AS DOUBLE) AS amount_tolerance FROM a""")
 def audit_summary(spark, sf):
-    return corporate.audit_summary(_audit(spark, sf), table(spark, sf, "orders").count(), 30, 50000.0)
+    return corporate.audit_summary(_audit(spark, sf), table(spark, sf, "orders"), 30, 50000.0)
 
 
 _EVENTS = "e AS (SELECT user_id AS symbol, ts, event_id AS seq, CASE WHEN event_id % 11 <> 0 THEN CAST(floor(value) AS BIGINT) END AS volume FROM events)"
@@ -367,7 +364,8 @@ def run_window(spark, sf):
 @query("SELECT event_id FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 48 HOUR")
 def retention(spark, sf):
     rows = table(spark, sf, "events")
-    return store.retained(rows, "ts", rows.agg(F.max(F.col("ts").cast("string"))).first()[0]).select("event_id")
+    last = rows.agg(F.max("ts").alias("_last"))  # one row
+    return store.retained(rows.join(F.broadcast(last)), "ts", F.col("_last")).select("event_id")
 
 
 PREDICATE = {"$and": [{"$or": [{"o_orderstatus": "F"}, {"o_totalprice": {"$gte": 150000, "$lt": 250000}}]}, {"o_orderdate": {"$gte": "1994-01-01", "$lt": "1997-06-01T12:00:00.000Z"}}, {"o_orderpriority": {"$nin": ["5-LOW"], "$regex": "^[1-3]"}}, {"o_custkey": {"$not": {"$in": [1, 2, 3]}}}]}

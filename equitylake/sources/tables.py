@@ -1,10 +1,14 @@
-"""Versioned Parquet tables, and JSON reports.
+"""Keyed Parquet tables, and JSON reports.
 
-A table is a folder of versions and a pointer file that names the current one. A write
-makes a new version beside the one it may read from, then replaces the pointer."""
+A table without partitions is a folder of numbered versions; the current one is the last
+that Spark has finished (its ``_SUCCESS`` is there), so that a crash leaves the one before
+it, and two writers that began from the same version can't both write the next. A table
+with partitions is one folder, in which an upsert replaces the partitions that it touches;
+its partition columns follow from the keys."""
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,44 +16,84 @@ from pyspark.sql import functions as F
 
 from ..operators import store
 
+KEPT_VERSIONS = 2
+
+
+def folder_of(spark: SparkSession, path: str):
+    """Hadoop's file system and path."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; on a local master without one, a temporary folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
 
 class Table:
     def __init__(self, spark: SparkSession, path: str, schema: str, keys: list[str], partition_by: list[str] | None = None):
         self.spark, self.path, self.schema, self.keys, self.partition_by = spark, path, schema, keys, partition_by or []
 
-    def _file(self, name: str):
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
-
-    def version(self) -> str | None:
-        files, pointer = self._file("CURRENT")
-        return self.spark.read.text(f"{self.path}/CURRENT").first()[0] if files.exists(pointer) else None
+    def versions(self) -> list[int]:
+        files, root = folder_of(self.spark, self.path)
+        names = [s.getPath().getName() for s in files.listStatus(root)] if files.exists(root) else []
+        done = [n for n in names if n.startswith("v-") and files.exists(folder_of(self.spark, f"{self.path}/{n}/_SUCCESS")[1])]
+        return sorted(int(n[2:]) for n in done)
 
     def read(self) -> DataFrame:
-        version = self.version()
-        if version is None:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{version}")
+        if self.partition_by:
+            files, root = folder_of(self.spark, self.path)
+            return self.spark.read.schema(self.schema).parquet(self.path) if files.exists(root) else self.spark.createDataFrame([], self.schema)
+        versions = self.versions()
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v-{versions[-1]:09d}") if versions else self.spark.createDataFrame([], self.schema)
 
     def replace(self, rows: DataFrame) -> None:
-        version = f"v-{uuid.uuid4().hex}"
-        rows.write.partitionBy(*self.partition_by).parquet(f"{self.path}/{version}")
-        files, pointer = self._file("CURRENT")
-        stream = files.create(pointer, True)
-        stream.write(bytearray(version.encode()))
-        stream.close()
-
-    def upsert(self, source: DataFrame, now: str) -> tuple[int, int]:
-        """(inserted, updated). The last of a key's source rows counts where they carry an order."""
-        rows = store.upsert(self.read(), source, self.keys, now)
-        current = self.version()
-        self.replace(rows)
-        written = self.read()
-        if current is None:
-            return written.count(), 0
-        before = self.spark.read.schema(self.schema).parquet(f"{self.path}/{current}").select(*self.keys)
-        updated = source.select(*self.keys).join(before, self.keys, "left_semi").count()
-        return source.count() - updated, updated
+        """The next version; an error if another writer has made it since ``rows`` were planned."""
+        columns = [f.name for f in self.spark.createDataFrame([], self.schema).schema]
+        if self.partition_by:
+            staged = scratch_path(self.spark, "table")
+            rows.write.parquet(staged)
+            self._put_partitions(self.spark.read.schema(rows.schema).parquet(staged), "static")
+            self._drop(staged)
+            return
+        versions = self.versions()
+        rows.select(*[c for c in columns if c in rows.columns]).write.mode("errorifexists").parquet(f"{self.path}/v-{(versions or [0])[-1] + 1:09d}")
+        for old in versions[: 1 - KEPT_VERSIONS]:
+            self._drop(f"{self.path}/v-{old:09d}")
+
+    def _put_partitions(self, rows: DataFrame, mode: str) -> None:
+        columns = [f.name for f in self.spark.createDataFrame([], self.schema).schema]
+        rows.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*self.partition_by).parquet(self.path)
+
+    def _drop(self, path: str) -> None:
+        files, found = folder_of(self.spark, path)
+        files.delete(found, True)
+
+    def upsert(self, source: DataFrame, now: str, order: Column | None = None) -> tuple[int, int]:
+        """(inserted, updated). Of a key's source rows the last by ``order`` counts. The rows
+        are made once, in the shared folder; with partitions, those of touched ones only."""
+        source = store.one_per_key(source, self.keys, order)
+        held = self.read()
+        if self.partition_by:
+            # As many rows as partitions are touched.
+            touched = [tuple(r) for r in source.select(*self.partition_by).distinct().collect()]
+            held = held.where(F.struct(*self.partition_by).isin([F.struct(*[F.lit(v) for v in t]) for t in touched]) if touched else F.lit(False))
+        staged = scratch_path(self.spark, "upsert")
+        rows = store.upsert(held, source, self.keys, now)
+        rows.write.parquet(staged)
+        made = self.spark.read.schema(rows.schema).parquet(staged)
+        counts = store.write_counts(made).first()
+        if self.partition_by:
+            self._put_partitions(made, "dynamic")
+        else:
+            self.replace(made.drop("_inserted", "_updated"))
+        self._drop(staged)
+        return counts["inserted"], counts["updated"]
 
     def insert_ignore(self, source: DataFrame, order: Column | None = None) -> None:
         self.replace(store.insert_ignore(self.read(), source, self.keys, order))
@@ -61,17 +105,31 @@ class Table:
         self.replace(store.retained(self.read(), ts, now, hours))
 
 
-def report_json(rows: DataFrame, fields: list[str]) -> DataFrame:
-    """(symbol, ranges): each symbol's ranges as JSON, dates as text, by start. A row a
-    symbol; ``write_report`` joins them to one file."""
-    return rows.groupBy("symbol").agg(F.to_json(F.sort_array(F.collect_list(F.struct(*[F.col(c).cast("string").alias(c) if c in ("start", "end", "last_actual_date") else F.col(c) for c in fields])))).alias("ranges"))
+def record_failures(table: Table, failed: DataFrame, now: str) -> None:
+    """Failed intervals (symbol, interval_start, interval_end, reason) into their table; one
+    that is there already stays as it is."""
+    stamp = F.lit(now).cast("timestamp")
+    table.insert_ignore(failed.withColumns({"createdAt": stamp, "updatedAt": stamp}), F.col("reason"))
+
+
+def report_maps(rows: DataFrame, fields: list[str]) -> DataFrame:
+    """(value): a JSON map of a symbol to its ranges, by start; dates as text. A row a symbol."""
+    shown = [F.col(c).cast("string").alias(c) if c in ("start", "end", "last_actual_date") else F.col(c) for c in fields]
+    ranges = rows.groupBy("symbol").agg(F.sort_array(F.collect_list(F.struct(*shown))).alias("ranges"))
+    return ranges.select(F.to_json(F.create_map(F.col("symbol").cast("string"), "ranges")).alias("value"))
 
 
-def write_report(rows: DataFrame, path: str, fields: list[str]) -> bool:
-    """Write the report as JSON lines {symbol, ranges}; nothing, and no change to an earlier
-    report, if there are no rows."""
-    found = report_json(rows, fields)
-    if found.isEmpty():
+def write_report(rows: DataFrame, path: str, fields: list[str], keep_if_empty: bool = True) -> bool:
+    """Write the report as lines that ``readers.gap_report`` reads, each a map. It is written
+    aside and then put in place, so that ``rows`` may come from the report itself. Without
+    rows nothing is written, and an earlier report stays (or goes, if not ``keep_if_empty``)."""
+    spark, aside = rows.sparkSession, f"{path}-{uuid.uuid4().hex}"
+    report_maps(rows, fields).write.text(aside)
+    files, new = folder_of(spark, aside)
+    empty = spark.read.text(aside).isEmpty()
+    if empty and keep_if_empty:
+        files.delete(new, True)
         return False
-    found.write.mode("overwrite").json(path)
-    return True
+    files.delete(folder_of(spark, path)[1], True)
+    files.delete(new, True) if empty else files.rename(new, folder_of(spark, path)[1])
+    return not empty

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..functions.calendars import is_open
+from ..functions.html import market_watch_rows
 from ..functions.scalars import minute_floor
+from ..plans.jobs import watch_cycle
 from ..sources.tables import Table
 
 LOCAL_SHIFT = pd.Timedelta(hours=5)
@@ -115,19 +117,27 @@ def write_upserts(stream: DataFrame, table: Table, checkpoint: str, order: str =
     """Each batch upserts the last row of each key; a repeated batch changes nothing."""
 
     def put(batch: DataFrame, number: int) -> None:
-        from ..operators.store import one_per_key
-
-        if batch.isEmpty():
-            return
-        rows = one_per_key(batch, table.keys, F.col(order)).persist()
-        now = rows.agg(F.max(F.col(order).cast("string"))).first()[0]
-        table.upsert(rows, now)
-        rows.unpersist()
+        batch.persist()
+        if now := batch.agg(F.max(order).cast("string")).first()[0]:
+            table.upsert(batch, now, F.col(order))
+        batch.unpersist()
         if after:
             after(batch, number)
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "90 seconds"})).start()
 
 
+def poll_watch(pages: DataFrame, table: Table, checkpoint: str, trigger: dict | None = None, report: Callable[[dict], None] | None = None) -> StreamingQuery:
+    """The market-watch job: a stream of pages (html, scraped_at) to quotes, volume deltas
+    and keyed upserts; ``report`` gets each cycle's counts."""
+
+    def put(batch: DataFrame, number: int) -> None:
+        done = watch_cycle(market_watch_rows(batch), table)
+        if report:
+            report(done)
+
+    return pages.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "90 seconds"})).start()
+
+
 def with_minute(stream: DataFrame) -> DataFrame:
     return stream.withColumn("scraped_at_minute", minute_floor(F.col("scraped_at")))

@@ -170,6 +170,135 @@ def test_nearest_match_is_that_of_all_pairs(spark):
         assert r["db_date"] == (near[0][1] if near else None)
 
 
+def quote_page(price, reg="", other="", css="change__text--pos", date="As of Wed, Jun 24, 2026 3:48 PM"):
+    return (
+        f'<div class="company__quote"><div class="quote__name"> Alpha Ltd<br>DELISTED</div><div class="quote__sector">x <span>CEMENT</span></div><div class="quote__close">{price}</div>'
+        f'<div class="quote__change {css}"><div class="change__value">1.5</div><div class="change__percent">(2.25%)</div></div><div class="quote__date">{date}</div>'
+        f'<div class="tabs__panel" data-name="FUT">{other}</div><div class="tabs__panel" data-name="REG">{reg}</div></div>'
+    )
+
+
+def stat(label, value):
+    return f'<div class="stats_item"><div class="stats_label">{label}</div><div class="stats_value">{value}</div></div>'
+
+
+def test_company_quotes(spark):
+    reg = stat("Open", "410.00") + stat("Volume", "1,234") + stat("P/E Ratio (TTM) **", "7.5") + '<div class="company__quote__rangeStats">' + stat("CIRCUIT BREAKER", '<div class="numRange" data-low="1" data-high="2"></div>') + stat("DAY RANGE", "411.72 – 503.22") + "</div>"
+    at = [dt.datetime(2026, 6, 24, 11), dt.datetime(2026, 6, 24, 12)]
+    rows = [(" abc", quote_page("Rs.411.72", reg, stat("Open", "9.99")), at[0]), ("abc", quote_page("Rs.1,500.00", reg), at[1]), ("X", quote_page("", css="", date="soon"), at[0]), ("Y", "<p>none</p>", at[0]), ("Z", None, at[0])]
+    found = html.company_quotes(spark.createDataFrame(rows, "symbol string, html string, scraped_at timestamp"))
+    assert found.schema.simpleString() == spark.createDataFrame([], schemas.QUOTE).schema.simpleString()
+    got = sorted((r["symbol"], r["scraped_at"], r["price"], r["open"], r["volume"], r["pe_ratio_ttm"], r["circuit_breaker_high"], r["day_range_low"], r["change_direction"], r["as_of"], r["name"], r["sector"]) for r in found.collect() if r["symbol"] != "X")
+    same = (410.0, 1234, 7.5, 2.0, 411.72, "up", dt.datetime(2026, 6, 24, 10, 48), "Alpha Ltd", "CEMENT")
+    assert got == [("ABC", at[0], 411.72, *same), ("ABC", at[1], 1500.0, *same)]
+    bare = found.where("symbol = 'X'").first()
+    assert (bare["price"], bare["as_of"], bare["open"], bare["change_direction"]) == (None, None, None, "down")
+
+
+def test_reports(spark, tmp_path):
+    path = str(tmp_path / "report")
+    rows = spark.createDataFrame([("A", D(2026, 1, 5), D(2026, 1, 7)), ("A", D(2026, 1, 1), D(2026, 1, 2)), ("B", D(2026, 2, 1), D(2026, 2, 2))], "symbol string, start date, end date")
+    read = lambda: sorted(tuple(r) for r in readers.gap_report(spark, path, schemas.MISSING_REPORT).collect())
+    assert read() == []
+    assert tables.write_report(rows, path, ["start", "end"]) and read() == sorted(tuple(r) for r in rows.collect())
+    assert not tables.write_report(rows.where("false"), path, ["start", "end"]) and len(read()) == 3
+    held = readers.gap_report(spark, path, schemas.MISSING_REPORT)
+    assert tables.write_report(held.where("symbol = 'A'"), path, ["start", "end"]) and {r[0] for r in read()} == {"A"}
+    assert not tables.write_report(rows.where("false"), path, ["start", "end"], keep_if_empty=False) and read() == []
+    one = tmp_path / "one.json"
+    one.write_text('{\n    "A": [\n        {"start": "2026-01-05", "end": "2026-01-07"}\n    ]\n}')
+    assert [tuple(r) for r in readers.gap_report(spark, str(one), schemas.MISSING_REPORT).collect()] == [("A", D(2026, 1, 5), D(2026, 1, 7))]
+    one.write_text("{broken")
+    assert readers.gap_report(spark, str(one)).isEmpty()
+
+
+def test_table_versions(spark, tmp_path):
+    table = tables.Table(spark, str(tmp_path / "t"), "symbol string, x int", ["symbol"])
+    for k in range(4):
+        table.append(spark.createDataFrame([(f"S{k}", k)], table.schema))
+    assert table.versions() == [3, 4] and table.read().count() == 4
+    (tmp_path / "t" / "v-000000005").mkdir()  # a writer that did not end
+    assert table.read().count() == 4
+    with pytest.raises(Exception, match="(?i)exists"):
+        table.append(spark.createDataFrame([("S9", 9)], table.schema))
+    nulls = tables.Table(spark, str(tmp_path / "n"), "symbol string, as_of date, x int", ["symbol", "as_of"])
+    row = lambda x: spark.createDataFrame([("A", None, x), ("A", None, x - 1)], "symbol string, as_of date, x int")
+    assert nulls.upsert(row(2), "2026-01-01") == (1, 0) and nulls.upsert(row(5), "2026-01-01", F.col("x")) == (0, 1)
+    assert [tuple(r) for r in nulls.read().collect()] == [("A", None, 5)]
+
+
+def test_partitioned_upsert_leaves_other_partitions(spark, tmp_path):
+    table = tables.Table(spark, str(tmp_path / "t"), "symbol string, x int, day date", ["symbol", "day"], ["day"])
+    rows = lambda *v: spark.createDataFrame(list(v), "symbol string, x int, day date")
+    assert table.upsert(rows(("A", 1, D(2026, 1, 1)), ("A", 2, D(2026, 1, 2))), "2026-01-01") == (2, 0)
+    before = {p.name for p in (tmp_path / "t" / "day=2026-01-01").glob("*.parquet")}
+    assert table.upsert(rows(("A", 3, D(2026, 1, 2)), ("B", 4, D(2026, 1, 2))), "2026-01-02") == (1, 1)
+    assert {p.name for p in (tmp_path / "t" / "day=2026-01-01").glob("*.parquet")} == before
+    assert sorted((r["symbol"], r["x"]) for r in table.read().collect()) == [("A", 1), ("A", 3), ("B", 4)]
+
+
+def drain(query):
+    query.awaitTermination(120)
+    assert query.exception() is None
+
+
+def test_streamed_upserts_and_bars(spark, tmp_path):
+    schema = "symbol string, scraped_at timestamp, volume long"
+    for t, v in GOLDEN:
+        spark.createDataFrame([("A", dt.datetime.fromisoformat(f"2026-01-05 {t}"), v)], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    table = tables.Table(spark, str(tmp_path / "t"), schema + ", scraped_at_minute timestamp", ["symbol", "scraped_at_minute"])
+    stream = streaming.snapshots(spark, str(tmp_path / "in"), schema, 3)
+    drain(streaming.write_upserts(streaming.with_minute(stream), table, str(tmp_path / "c"), trigger={"availableNow": True}))
+    want = [v for t, v in GOLDEN[1:]]
+    assert [r["volume"] for r in table.read().orderBy("scraped_at_minute").collect()] == want
+    drain(streaming.minute_bars(stream).writeStream.format("memory").queryName("bars").outputMode("complete").trigger(availableNow=True).start())
+    assert [r["volume"] for r in spark.table("bars").orderBy("bucket").collect()] == want
+
+
+def test_streamed_halts(spark, tmp_path):
+    at = lambda m: dt.datetime(2026, 1, 5) + dt.timedelta(minutes=m)
+    schema = "market string, cycle_ts timestamp, total long"
+    minutes = (0, 2, 4, 23, 24, 26, 28, 30, 49, 50)
+    for m in minutes:
+        spark.createDataFrame([("M", at(m), 5), ("N", at(m), m)], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = streaming.halts(spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(str(tmp_path / "in")))
+    drain(stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start())
+    found = spark.read.parquet(str(tmp_path / "out")).where("halted").orderBy("cycle_ts").collect()
+    assert [(r["market"], r["cycle_ts"]) for r in found] == [("M", at(24)), ("M", at(50))]
+
+
+def test_market_watch_job(spark, tmp_path):
+    def page(volume):
+        cells = ["<td data-order='A' data-title='Name'>A</td>", "<td>801</td>", "<td>I</td>"] + ["<td data-order='1.5'>x</td>"] * 7 + [f"<td data-order='{volume}'>x</td>"]
+        return "<table><tr>" + "".join(cells) + "</tr></table>"
+
+    for t, v in [("05:00:10", 100), ("05:02:00", 150), ("05:03:00", 140)]:
+        spark.createDataFrame([(page(v), dt.datetime.fromisoformat(f"2026-01-05 {t}"))], "html string, scraped_at timestamp").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    table = tables.Table(spark, str(tmp_path / "t"), schemas.MARKET_WATCH + ", scraped_at timestamp, scraped_at_minute timestamp, volume_delta bigint, day date", ["symbol", "scraped_at_minute"], ["day"])
+    stream = streaming.snapshots(spark, str(tmp_path / "in"), "html string, scraped_at timestamp", 1)
+    reports = []
+    drain(streaming.poll_watch(stream, table, str(tmp_path / "c"), {"availableNow": True}, reports.append))
+    assert [r["volume_delta"] for r in table.read().orderBy("scraped_at_minute").collect()] == [None, 50, None]
+    assert [(r["symbol_count"], r["total_volume"], r["inserted"], r["updated"]) for r in reports] == [(1, 100, 1, 0), (1, 150, 1, 0), (1, 140, 1, 0)]
+
+
+def test_page_source_by_format(spark):
+    found = pages.fetched_pages(spark, ["A"], "2026-06-10", "2026-09-01", "equitylake.sources.sample:month_page")
+    assert {(r["symbol"], r["month"]) for r in found.collect()} == {("A", 6), ("A", 7), ("A", 9)}
+
+
+def test_repeated_symbols_and_orderless_keys(spark):
+    stocks = spark.createDataFrame([("A", 5.0), ("A", 10.0), ("B", None)], "symbol string, faceValue double")
+    rows = spark.createDataFrame([("A", 20.0, D(2026, 1, 1), ["dividend"]), ("B", 20.0, D(2026, 1, 1), ["dividend"])], "symbol string, dividend double, x_date date, announcement_type array<string>")
+    assert sorted((r["symbol"], r["amountPerShare"]) for r in corporate.dividends(rows, stocks).collect()) == [("A", 2.0), ("B", 2.0)]
+    assert store.one_per_key(stocks.select("symbol"), ["symbol"]).count() == 2
+
+
+@pytest.mark.parametrize("text,want", [("2026-03-19", D(2026, 3, 19)), ("2026-03-19T10:00:00Z", D(2026, 3, 19)), ("2026-03-19 or so", None), ("x", None)])
+def test_iso_date(spark, text, want):
+    assert one(spark, text, scalars.iso_date) == want
+
+
 def test_schemas(spark):
     for ddl in (schemas.PRICE_HISTORY, schemas.STOCKS, schemas.QUOTE, schemas.DIVIDEND, schemas.BONUS, schemas.MARKET_WATCH, schemas.FAILED_INTERVAL):
         assert spark.createDataFrame([], ddl).isEmpty()

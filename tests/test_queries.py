@@ -1,6 +1,7 @@
 import pytest
 from compare import compare
 
+from equitylake import page_queries  # noqa: F401
 from equitylake.queries import QUERIES, SQL
 
 
