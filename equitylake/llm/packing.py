@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import by_size, narrow_batches, read_table, salt_of, staged
-from .word_ids import word_ids
+from .word_ids import TEXTS_AT_ONCE, word_ids
 
 SEQUENCE = 4096
 UNIT = 16
@@ -44,7 +44,7 @@ def cut_documents(docs: DataFrame, sequence: int = SEQUENCE, end_id: int = END_I
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(tokenizer)
         for whole in batches:
-            for batch in by_size(whole, "text"):
+            for batch in by_size(whole, "text", TEXTS_AT_ONCE):
                 rows = []
                 for doc_id, ids in zip(batch.column("doc_id").to_pylist(), words.encode_batch(batch.column("text")), strict=True):
                     ids = np.append(ids, end_id).astype("<u4")

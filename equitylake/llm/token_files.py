@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import by_size, narrow_batches, new_path, read_table, staged
-from .word_ids import word_ids
+from .word_ids import TEXTS_AT_ONCE, word_ids
 
 SEQUENCE = 2048
 SEQUENCES_PER_BATCH = 256
@@ -98,7 +98,7 @@ def write_token_files(docs: DataFrame, folder: str, sequence: int = SEQUENCE, en
         words, shard, writer = word_ids(tokenizer), TaskContext.get().partitionId(), None
         dtype = "uint16" if words.tokenizer.get_vocab_size() <= 1 << 16 else "uint32"
         for whole in batches:
-            for batch in by_size(whole, "text"):
+            for batch in by_size(whole, "text", TEXTS_AT_ONCE):
                 writer = writer or ShardWriter(folder, shard, sequence, dtype)
                 for doc_id, ids in zip(batch.column("doc_id").to_pylist(), words.encode_batch(batch.column("text")), strict=True):
                     writer.add(doc_id, np.append(ids, end_id).astype(dtype))

@@ -22,7 +22,8 @@ from tokenizers.pre_tokenizers import CharDelimiterSplit
 from .common import worker_cache
 
 MODEL = "word_bpe_49k.json"
-RECENT = 100_000  # parts, about 150 bytes each, and twice as many at most
+RECENT = 250_000  # parts, about 150 bytes each, and twice as many at most
+TEXTS_AT_ONCE = 4_000_000  # bytes; the more, the fewer words come twice
 LONG = 64  # characters of a word from which its parts are not kept
 PARTS_AT_ONCE = 20_000
 
