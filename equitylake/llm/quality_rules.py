@@ -20,7 +20,8 @@ exceeds the chi-square quantile at ``CUT``.
 The share that lies nearest is counted by bins of the distance (``BINS`` to each doubling;
 the bin that reaches the share belongs to it), so that a step is one pass of sums, which
 are combined before they are shuffled. Everything is a DataFrame function: a Cholesky
-factor is columns of one row a group, and groups' estimates come by joins with that table.
+factor is columns of one row a group, and groups' estimates come by joins with that table,
+each copied to ``SALTS`` parts of its group, so that no large group meets in one task.
 
 Defined results: null text has no words. Null languages and sources are groups like any
 other. Rows with equal or null ``doc_id`` are kept. ``d2`` is null only if no document at
@@ -46,6 +47,7 @@ CUT = 1 - 1e-7
 FLOORS = (0.03, 0.05, 0.10, 0.05)
 BINS = 8
 PSEUDO = 50
+SALTS = 32
 PRIOR_WORDS, PRIOR_LENGTH = 40, 6.0
 ALL = "all"
 BLANK = r"[ \t-\r]+"
@@ -160,10 +162,15 @@ def starts(rows: DataFrame) -> DataFrame:
     return factored(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 
+def salted(found: DataFrame) -> DataFrame:
+    """A row of each group for each part of it."""
+    return found.withColumn("salt", F.explode(F.array(*[F.lit(k).cast("long") for k in range(SALTS)])))
+
+
 def concentrated(rows: DataFrame, found: DataFrame, scale: float) -> DataFrame:
     """A concentration step of each group and start: the sums of each bin of the distance,
     and of those bins that together hold the share."""
-    placed = distances(rows.join(found, "g"))
+    placed = distances(rows.join(salted(found), ["g", "salt"]))
     level = F.floor(BINS * F.log2(F.col("d2") + 1e-6)).cast("int")
     sums = placed.groupBy("g", "start", level.alias("level")).agg(*moments())
     every = Window.partitionBy("g", "start")  # a row a bin
@@ -176,6 +183,7 @@ def concentrated(rows: DataFrame, found: DataFrame, scale: float) -> DataFrame:
 def robust_estimates(rows: DataFrame) -> DataFrame:
     """(g, n, m0 ..., c00 ...): the reweighted minimum-covariance-determinant estimate of each
     group of rows (g, x0 ...), and from how many rows."""
+    rows = rows.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
     found = staged(starts(rows), "starts")
     inner = chi_square_quantile(SHARE, SIZE // 2)
     consistent = SHARE / chi_square(inner, SIZE // 2 + 1)
@@ -185,7 +193,7 @@ def robust_estimates(rows: DataFrame) -> DataFrame:
     values = [f"m{i}" for i in range(SIZE)] + [f"l{i}{j}" for i, j in PAIRS]
     least = found.groupBy("g").agg(F.min(F.struct(volume.alias("volume"), "start", *values)).alias("_e")).select("g", *[F.col(f"_e.{v}").alias(v) for v in values])
     within = chi_square_quantile(0.975, SIZE // 2)
-    near = distances(rows.join(least, "g")).where(F.col("d2") <= within)
+    near = distances(rows.join(salted(least), ["g", "salt"])).where(F.col("d2") <= within)
     return from_moments(near.groupBy("g").agg(*moments()), ["g"], 0.975 / chi_square(within, SIZE // 2 + 1))
 
 
