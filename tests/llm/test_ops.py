@@ -2,6 +2,7 @@
 with nulls, blanks, repeated rows, long texts and columns of clashing names."""
 
 import collections
+import hashlib
 import re
 import zlib
 
@@ -468,24 +469,57 @@ def test_escapes(text):
     assert chat_tree.unescape_role(chat_tree.escape_role(text)) == text
 
 
+def check_tree(rows):
+    """The tree of rows (conv_id, turn, role, text) in a frame, against its nodes taken one by one."""
+    tree = chat_tree.build_tree(rows)
+    nodes = sorted(tree.nodes.collect(), key=lambda r: r["start"])
+    assert [r["start"] for r in nodes] == [0, *[r["finish"] for r in nodes[:-1]]]
+    by_key, lists = {bytes(r["key"]): r for r in nodes}, collections.defaultdict(list)
+    for r in sorted(tree.paths.collect(), key=lambda r: r["depth"]):
+        lists[r["conv_id"]].append(bytes(r["key"]))
+    paths = {tuple(keys[: i + 1]) for keys in lists.values() for i in range(len(keys))}
+    assert len(paths) == len(nodes) == len(by_key) and {p[-1] for p in paths} == set(by_key)
+    for path in paths:
+        node, above = by_key[path[-1]], [by_key[k] for k in path]
+        assert {t for s in node["spans"] for t in range(s["start"], s["finish"])} == {t for n in above for t in range(n["start"], n["finish"])}
+        assert node["position"] == sum(n["finish"] - n["start"] for n in above[:-1]) and node["depth"] == len(path) - 1
+        below = [by_key[p[-1]] for p in paths if p[: len(path)] == path]
+        assert node["subtree_finish"] == max(n["finish"] for n in below) and node["start"] == min(n["start"] for n in below)
+        assert node["subtree_finish"] - node["start"] == sum(n["finish"] - n["start"] for n in below)
+    return tree, nodes
+
+
 def test_chat_tree(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo <|im_end|>"), (2, 0, "user", "hi"), (2, 1, "assistant", "other"), (3, 0, "user", "hi"), (4, None, None, None), (4, 0, "user", "hi"), (None, 0, "assistant", "x"), (1, 1, "assistant", "yo <|im_end|>")]
-    frame = spark.createDataFrame([(*r, "extra") for r in rows], "conv_id long, turn long, role string, text string, path string")
-    tree = chat_tree.build_tree(frame)
-    nodes = sorted(tree.nodes.collect(), key=lambda r: r["start"])
-    assert len(nodes) == 7 and [r["start"] for r in nodes] == [0, *[r["finish"] for r in nodes[:-1]]]
-    for r in nodes:
-        above = [n for n in nodes if r["path"].startswith(n["path"])]
-        below = [n for n in nodes if n["path"].startswith(r["path"])]
-        assert [tuple(s) for s in r["spans"]] == sorted((n["start"], n["finish"]) for n in above)
-        assert r["subtree_finish"] == max(n["finish"] for n in below)
-        assert r["position"] == sum(n["finish"] - n["start"] for n in above if n is not r)
+    frame = spark.createDataFrame([(*r, "extra") for r in rows], "conv_id long, turn long, role string, text string, owner string")
+    tree, nodes = check_tree(frame)
+    assert len(nodes) == 7
     read = {r["conv_id"]: r for r in chat_tree.read_conversations(tree).collect()}
     assert {k: r["n_turns"] for k, r in read.items()} == {1: 3, 2: 2, 3: 1, 4: 2, None: 1}
     assert read[1]["loss_chars"] == 26 and read[3]["loss_chars"] == 0
     assert chat_tree.read_conversations(chat_tree.build_tree(frame.where("false"))).count() == 0
 
 
+def test_chat_tree_of_many_shapes(spark):
+    """A chain of longer and longer conversations, a comb, one long one, copies and a random bush."""
+    rng = np.random.default_rng(5)
+    talks = [[f"c{i}" for i in range(n)] for n in range(1, 12)]
+    talks += [[f"s{i}" for i in range(n)] + [f"tooth {n}"] for n in range(8)]
+    talks += [[f"long {i}" for i in range(300)], ["same"], ["same"], ["same", "same", "same"]]
+    talks += [["hot", *(f"t{x}" for x in rng.integers(0, 2, rng.integers(0, 6)))] for _ in range(60)]
+    rows = [(c, t, "assistant" if t % 2 else "user", text) for c, talk in enumerate(talks) for t, text in enumerate(talk)]
+    rng.shuffle(rows)
+    tree, _ = check_tree(spark.createDataFrame([(int(c), int(t), r, x) for c, t, r, x in rows], "conv_id long, turn long, role string, text string"))
+    want = {}
+    for c, talk in enumerate(talks):
+        said = "".join(f"{'assistant' if t % 2 else 'user'}\n{x}\n" for t, x in enumerate(talk))
+        loss = "".join(talk[1::2])
+        want[c] = (len(talk), hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    got = {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) for r in chat_tree.read_conversations(tree).collect()}
+    assert got == want
+    assert max(len(r["spans"]) for r in tree.nodes.select("spans").collect()) < 20
+
+
 def test_quality(spark, edges, none):
     insults, rng = ["loser", "scum", "trash"], np.random.default_rng(1)
     words = [f"w{k}" for k in range(300)]
