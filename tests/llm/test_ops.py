@@ -385,13 +385,11 @@ def test_token_file_masks_and_random_access(spark):
     assert reader.get_batch(0).column("ids")[2].as_py() == [103, 104, 105, 106] and docs.column("start").to_pylist() == [0, 5, 12]
 
 
-def test_leaks_against_all_pairs(spark):
-    """Recall over all pairs of documents and items on real text, by the same decision."""
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    benchmark = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
+def leaks_of_all_pairs(rows, benchmark):
+    """(doc_id, item_id) by the operator's decision, over all pairs of documents and items."""
     items = [b for block in decontaminate.item_blocks(benchmark) for b in block]
     want = set()
-    for r in docs.collect():
+    for r in rows:
         terms = decontaminate.term_ids(r["text"])
         held = collections.Counter(terms.tolist())
         for item_id, item, answer in items:
@@ -404,10 +402,45 @@ def test_leaks_against_all_pairs(spark):
                 if covered >= decontaminate.SURE or covered >= decontaminate.PARAPHRASE and answered >= decontaminate.ANSWERED:
                     want.add((r["doc_id"], item_id))
                     break
+    return want
+
+
+def test_leaks_against_all_pairs(spark):
+    """Recall over all pairs of documents and items on real text, by the same decision."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    benchmark = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
+    want = leaks_of_all_pairs(docs.collect(), benchmark)
     found = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, benchmark).collect()}
     assert found <= want and len(found) >= 0.9 * len(want) and len(want) > 10
 
 
+@pytest.mark.parametrize("changed", [0.25, 0.4])
+def test_leaks_of_paraphrases(spark, changed):
+    """Recall over paraphrases, by the same decision over all pairs: a share of an item's words is
+    left out or gives way to words of documents, some are swapped, its last sentence stays."""
+    rng = np.random.default_rng(int(100 * changed))
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect()
+    benchmark = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
+    items = [r["text"] for r in benchmark.orderBy("item_id").collect() if r["text"]]
+    others = [w for r in docs for w in (r["text"] or "").split()]
+    rows = []
+    for k, r in enumerate(docs):
+        words = (r["text"] or "").split()
+        if k % 3 == 0 and len(words) < 3000:
+            sentences = re.split(r"(?<=[.!?])\s+", items[k // 3 % len(items)])
+            said, answer = " ".join(sentences[:-1]).split() or sentences[-1].split(), sentences[-1].split()
+            said = [w if x > changed else others[rng.integers(len(others))] for w, x in zip(said, rng.random(len(said)), strict=True) if not changed / 2 < x <= changed]
+            for at in np.flatnonzero(rng.random(max(0, len(said) - 1)) < 0.05):
+                said[at], said[at + 1] = said[at + 1], said[at]
+            place = int(rng.integers(0, len(words) + 1))
+            words[place:place] = said + answer
+        rows.append((r["doc_id"], " ".join(words)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = leaks_of_all_pairs(frame.collect(), benchmark)
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(frame, benchmark).collect()}
+    assert found <= want and len(found) >= 0.9 * len(want) and len(want) > 100
+
+
 def test_language(spark, edges, none):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = language.identify(docs).toPandas()
