@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from .chat_tree import OP7_SQL, op7_chat_tree
+from .collocations import OP11_SQL, op11_collocations
 from .decontaminate import op9_decontamination
 from .language import op4_language
+from .minhash import op13_minhash
 from .packing import op1_packing
+from .periodic_runs import op12_periodic_runs
 from .quality import op8_quality
 from .quality_rules import op3_quality_rules
 from .simhash import op2_simhash
@@ -24,5 +27,8 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_url_filter": op10_url_filter,
+    "op11_collocations": op11_collocations,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_minhash": op13_minhash,
 }
-ORACLE_SQL = {"op7_chat_tree": OP7_SQL, "op10_url_filter": OP10_SQL}
+ORACLE_SQL = {"op7_chat_tree": OP7_SQL, "op10_url_filter": OP10_SQL, "op11_collocations": OP11_SQL}
