@@ -8,19 +8,21 @@ densification), so that bins agree with the sets' similarity as probability. Eac
 bins make a band; equal bands are a bucket. At similarity 0.8 a pair shares no bucket with
 a probability below 1e-7.
 
-Equal sets are made one node first. Then links are found in three steps, each of which
-confirms its pairs on the full sets; pairs already in one component are not looked at:
+Equal sets are made one node first. Then links are found in steps, each of which confirms
+them on the full sets; a bucket whose nodes are in one component is done:
 
 1. Stars: a bucket's least node with each other one. A bucket of k nodes gives k - 1 pairs,
    and as all buckets choose by the same order, pairs of a group repeat and fall together.
 2. Buckets of at most ``CROWD`` nodes that hold several components still: all their other
    pairs across components, fewer than ``CROWD`` for a node and band.
-3. Nodes of larger such buckets (many texts around one shared passage): two sets that are
-   similar enough share one of the rarest fifth of their shingles, rarest by these nodes'
-   counts. The shingles of that part are buckets for steps 1 and 2; where such a bucket is
-   crowded again, stars around one node after another follow until it holds no pair of
-   different components that has not been looked at. So no link is left to a cap.
-
+3. Larger ones: no pairs are made. Their nodes are dealt over blocks, and each two blocks
+   are a group whose sets are counted against each other at once; it gives a forest of links.
+4. Nodes of buckets beyond ``HUGE`` (many texts around one shared passage): two sets that
+   are similar enough share one of the rarest fifth of their shingles, rarest by these
+   nodes' counts. The shingles of that part are buckets for steps 1 to 3. So no link is left
+   to a cap.
+
+Sets are made, from the texts again, only for nodes that share a bucket with another one.
 Counts, sets and pairs are tables; nothing is collected. Rows that meet a node of many
 copies or links are dealt over salts.
 
@@ -42,12 +44,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import by_size, components, narrow_batches, read_table, salt_of, staged
+from .common import by_size, components, narrow_batches, read_table, row_key, salt_of, staged
 
 SHINGLE = 4
 BINS = 128
 ROWS = 4
 CROWD = 64
+HUGE = 4096
+BLOCK_NODES, BLOCK_SHINGLES = 256, 500_000  # about so much of a bucket in a block
+COLUMNS = 4096
 SIMILAR, OF = 80, 100  # linked if OF * intersection >= SIMILAR * union
 SALTS = 32
 TRIES = 1024
@@ -121,25 +126,40 @@ def bands(hashes: np.ndarray) -> np.ndarray:
     return mixed(sums + _BANDS).view(np.int64)
 
 
+def sets_of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    for whole in batches:
+        for batch in by_size(whole, "text"):
+            yield batch, [shingle_set(w) for w in word_hashes(batch.column("text"))]
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, n, digest, bands, shingles): ``digest`` is the same for equal sets only
-    (128 bits), ``shingles`` the set as little-endian 64-bit numbers."""
+    """(row, doc_id, k1, k2, n, digest, bands): the row's keys, the set's size, a digest that is
+    the same for equal sets only (128 bits) and the buckets."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in by_size(whole, "text"):
-                sets = [shingle_set(w) for w in word_hashes(batch.column("text"))]
-                raw = [s.astype("<u8").tobytes() for s in sets]
-                columns = [
-                    batch.column("row"), batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([xxhash.xxh3_128_digest(r) for r in raw], pa.binary()),
-                    pa.array([bands(s) if len(s) else None for s in sets], pa.list_(pa.int64())), pa.array(raw, pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "n", "digest", "bands", "shingles"])
+        for batch, sets in sets_of_texts(batches):
+            columns = [
+                *(batch.column(c) for c in ("row", "doc_id", "k1", "k2")), pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([bands(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "k1", "k2", "n", "digest", "bands"])
 
     narrow_batches(docs.sparkSession)
-    plain = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return plain.mapInArrow(work, "row long, doc_id long, n long, digest binary, bands array<long>, shingles binary")
+    k1, k2 = row_key()
+    plain = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), k1.alias("k1"), k2.alias("k2"), F.col("text").cast("string"))
+    return plain.mapInArrow(work, "row long, doc_id long, k1 long, k2 long, n long, digest binary, bands array<long>")
+
+
+def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, shingles) of nodes (node, k1, k2): the set as 64-bit numbers, ascending."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, sets in sets_of_texts(batches):
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], names=["node", "shingles"])
+
+    k1, k2 = row_key()
+    texts = docs.select(k1.alias("k1"), k2.alias("k2"), F.col("text").cast("string")).join(nodes, ["k1", "k2"])
+    return texts.select("node", "text").dropDuplicates(["node"]).mapInArrow(work, "node long, shingles binary")
 
 
 def similar(a: bytes, b: bytes) -> bool:
@@ -177,6 +197,61 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return staged(met.select("a", "b", "shingles").mapInArrow(work, "a long, b long"), "similar-pairs")
 
 
+def links_among(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """(place, least place linked to it) of some sets: a forest of all their links. Shingles
+    of a single set are left out; the others are counted for all pairs by products of 0-1
+    matrices, some columns at a time."""
+    sizes = np.array([len(x) for x in sets], np.int64)
+    _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = counts[column] > 1
+    place = np.repeat(np.arange(len(sets)), sizes)[shared]
+    column = (np.cumsum(counts > 1) - 1)[column[shared]]
+    order = np.argsort(column, kind="stable")
+    place, column = place[order], column[order]
+    common = np.zeros((len(sets), len(sets)), np.int64)
+    starts = np.arange(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS)
+    for start, a, b in zip(starts.tolist(), np.searchsorted(column, starts), np.searchsorted(column, starts + COLUMNS), strict=True):
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[place[a:b], column[a:b] - start] = 1
+        common += (held @ held.T).astype(np.int64)
+    linked = OF * common >= SIMILAR * (sizes[:, None] + sizes[None, :] - common)
+    np.fill_diagonal(linked, True)
+    label = np.arange(len(sets))
+    while True:
+        lower = np.where(linked, label[None, :], len(sets)).min(1)
+        if (lower == label).all():
+            return [(k, int(label[k])) for k in np.flatnonzero(label != np.arange(len(sets))).tolist()]
+        label = lower
+
+
+def block_links(stars: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) that connect what all links within these buckets connect, staged."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, nodes, held = None, [], []
+
+        def found() -> pa.RecordBatch:
+            pairs = links_among(held) if len(held) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([nodes[x] for x, _ in pairs], pa.int64()), pa.array([nodes[y] for _, y in pairs], pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in ("bucket", "i", "j")), strict=True)
+            for k, key in enumerate(keys):
+                if key != group:
+                    yield found()
+                    group, nodes, held = key, [], []
+                nodes.append(batch.column("node")[k].as_py())
+                held.append(np.frombuffer(batch.column("shingles")[k].as_py(), "<u8"))
+        yield found()
+
+    parts = F.greatest(F.ceil(F.col("nodes") / BLOCK_NODES), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
+    dealt = stars.select("bucket", "node", parts.alias("parts")).withColumn("own", F.pmod(F.xxhash64("node", F.lit("block")), F.col("parts")).cast("int"))
+    met = dealt.select("bucket", "node", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    grouped = met.select("bucket", "node", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).join(sets, "node")
+    rows = grouped.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return staged(rows.select("bucket", "i", "j", "node", "shingles").mapInArrow(work, "a long, b long").distinct(), "block-links")
+
+
 def fitting(pairs: DataFrame) -> DataFrame:
     """Different pairs (a, b) whose sizes (n, m) allow the similarity."""
     allowed = (F.least("n", "m") * OF >= F.greatest("n", "m") * SIMILAR) & (F.col("a") != F.col("b"))
@@ -185,16 +260,16 @@ def fitting(pairs: DataFrame) -> DataFrame:
 
 def starred(buckets: DataFrame) -> DataFrame:
     """``buckets`` (bucket, node, n, component) with each bucket's least node, its size and
-    component (centre, m, centre_component), and the numbers of its nodes and components
-    (nodes, several), for buckets of two nodes at least."""
+    component (centre, m, centre_component), the numbers of its nodes and their shingles
+    (nodes, total) and whether it has ``several`` components, for buckets of two nodes or more."""
     sums = buckets.groupBy("bucket").agg(
-        F.min(F.struct("node", "n", "component")).alias("c"), F.count("*").alias("nodes"), (F.min("component") < F.max("component")).alias("several")
+        F.min(F.struct("node", "n", "component")).alias("c"), F.count("*").alias("nodes"), F.sum("n").alias("total"), (F.min("component") < F.max("component")).alias("several")
     ).where("nodes > 1")
     # Rows of a bucket are dealt over salts, so that a hot one meets its sums in many tasks.
     salted = buckets.withColumn("salt", salt_of(SALTS, "node"))
     met = salted.select("bucket", "salt").distinct().join(sums, "bucket")
     joined = salted.join(met, ["bucket", "salt"])
-    return joined.select("bucket", "node", "n", "component", F.col("c.node").alias("centre"), F.col("c.n").alias("m"), F.col("c.component").alias("centre_component"), "nodes", "several")
+    return joined.select("bucket", "node", "n", "component", F.col("c.node").alias("centre"), F.col("c.n").alias("m"), F.col("c.component").alias("centre_component"), "nodes", "total", "several")
 
 
 def star_pairs(stars: DataFrame) -> DataFrame:
@@ -222,8 +297,8 @@ def placed(buckets: DataFrame, nodes: DataFrame) -> DataFrame:
     return buckets.join(nodes, "node").select("bucket", "node", "n", "component")
 
 
-def rare_buckets(crowded: DataFrame, sets: DataFrame) -> DataFrame:
-    """(bucket, node): the part of each crowded node's shingles, rarest first, of which two
+def rare_buckets(huge: DataFrame, sets: DataFrame) -> DataFrame:
+    """(bucket, node): the part of each of these nodes' shingles, rarest first, of which two
     similar sets must share one."""
 
     def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +308,7 @@ def rare_buckets(crowded: DataFrame, sets: DataFrame) -> DataFrame:
                 hashes = np.concatenate([np.frombuffer(s.as_buffer(), "<i8") for s in batch.column("shingles")])
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column("node").to_numpy(), sizes)), pa.array(np.repeat(sizes, sizes).astype(np.int64)), pa.array(hashes)], names=["node", "n", "bucket"])
 
-    rows = crowded.join(sets, "node").select("node", "shingles").mapInArrow(opened, "node long, n long, bucket long")
+    rows = huge.join(sets, "node").select("node", "shingles").mapInArrow(opened, "node long, n long, bucket long")
     counts = rows.groupBy("bucket").agg(F.count("*").alias("nodes")).where("nodes > 1")
     salted = rows.withColumn("salt", salt_of(SALTS, "node"))
     met = salted.select("bucket", "salt").distinct().join(counts, "bucket")
@@ -244,42 +319,43 @@ def rare_buckets(crowded: DataFrame, sets: DataFrame) -> DataFrame:
     return first.where("nodes > 1").select("bucket", "node")
 
 
-def link_sets(sketched: DataFrame) -> DataFrame:
-    """(node, n, component) of the different sets (node, n, bands, shingles) that are not empty."""
-    sets, plain = sketched.select("node", "shingles"), sketched.select("node", "n")
-    buckets = sketched.select(F.explode("bands").alias("bucket"), "node")
-    alone = plain.withColumn("component", F.col("node"))
-    links = [confirmed(star_pairs(starred(placed(buckets, alone))), sets)]
-    nodes = joined_components(plain, links)
-    stars = staged(starred(placed(buckets, nodes)).where("several"), "open-buckets")
-    links.append(confirmed(all_pairs(stars), sets))
-    crowded = staged(stars.where(F.col("nodes") > CROWD).select("node").distinct(), "crowded-nodes")
+def link_sets(docs: DataFrame, sketched: DataFrame) -> DataFrame:
+    """(node, n, component) of the different sets (node, k1, k2, n, bands) of documents, those
+    that share a bucket with another; the sets are not empty."""
+    spread = sketched.select(F.explode("bands").alias("bucket"), "node")
+    buckets = staged(spread.join(spread.groupBy("bucket").agg(F.count("*").alias("nodes")).where("nodes > 1").select("bucket"), "bucket"), "shared-buckets")
+    met = staged(sketched.join(buckets.select("node").distinct(), "node", "left_semi").select("node", "k1", "k2", "n"), "met-nodes")
+    sets, plain = staged(sets_of(docs, met.drop("n")), "sets"), met.select("node", "n")
+    links, nodes = linked_in(buckets, plain, plain.withColumn("component", F.col("node")), sets, [], HUGE)
+    stars = starred(placed(buckets, nodes)).where(F.col("several") & (F.col("nodes") > HUGE))
+    huge = staged(stars.select("node").distinct(), "huge-buckets")
+    if not huge.isEmpty():
+        _, nodes = linked_in(staged(rare_buckets(huge, sets), "rare-buckets"), plain, nodes, sets, links, None)
+    return nodes
+
+
+def linked_in(buckets: DataFrame, plain: DataFrame, nodes: DataFrame, sets: DataFrame, links: list[DataFrame], most: int | None) -> tuple[list[DataFrame], DataFrame]:
+    """``links`` with those in buckets (bucket, node) of at most ``most`` nodes, in larger ones
+    those of stars only, and the components that they make."""
+    links = [*links, confirmed(star_pairs(starred(placed(buckets, nodes))), sets)]
     nodes = joined_components(plain, links)
-    if crowded.isEmpty():
-        return nodes
-    rare = staged(rare_buckets(crowded, sets), "rare-buckets")
-    links.append(confirmed(star_pairs(starred(placed(rare, nodes))), sets))
+    links.append(confirmed(all_pairs(starred(placed(buckets, nodes))), sets))
     nodes = joined_components(plain, links)
-    stars = staged(starred(placed(rare, nodes)).where("several"), "open-rare-buckets")
-    links.append(confirmed(all_pairs(stars), sets))
-    # The rest: stars around one node after another of what is still crowded.
-    rest = stars.where(F.col("nodes") > CROWD)
-    while not rest.isEmpty():
+    large = starred(placed(buckets, nodes)).where(F.col("several") & (F.col("nodes") > CROWD))
+    large = staged(large if most is None else large.where(F.col("nodes") <= most), "large-buckets")
+    if not large.isEmpty():
+        links.append(block_links(large, sets))
         nodes = joined_components(plain, links)
-        remaining = rest.where("node <> centre").select("bucket", "node")
-        stars = staged(starred(placed(remaining, nodes)).where("several"), "rest-of-buckets")
-        links += [confirmed(star_pairs(stars).unionByName(all_pairs(stars)).distinct(), sets)]
-        rest = stars.where(F.col("nodes") > CROWD)
-    return joined_components(plain, links)
+    return links, nodes
 
 
 def minhash_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of documents (doc_id, text)."""
     rows = staged(sketches(docs), "sketches")
     firsts = staged(rows.where("n > 0").groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("first")), "different-sets")
-    chosen = rows.join(firsts.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "n", "bands", "shingles")
-    linked = link_sets(staged(chosen, "sets"))
-    named = staged(firsts.join(linked.select("node", "component"), "node"), "named-sets")
+    chosen = rows.join(firsts.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "k1", "k2", "n", "bands")
+    linked = link_sets(docs, staged(chosen, "chosen-sketches"))
+    named = staged(firsts.join(linked.select("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node")), "named-sets")
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
     whole = named.join(least, "component").select("digest", "component_id")
     # Copies of one set are dealt over salts.

@@ -209,9 +209,12 @@ def copies_rows(rng, passage_share):
     return [row(k * 7 % 1009, t) for k, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("crowd,share", [(64, 0.5), (2, 0.85)])
-def test_copies_are_those_of_all_pairs(spark, monkeypatch, crowd, share):
+@pytest.mark.parametrize("crowd,huge,share", [(64, 4096, 0.5), (2, 4096, 0.85), (2, 3, 0.85)])
+def test_copies_are_those_of_all_pairs(spark, monkeypatch, crowd, huge, share):
     monkeypatch.setattr(minhash, "CROWD", crowd)
+    monkeypatch.setattr(minhash, "HUGE", huge)
+    monkeypatch.setattr(minhash, "BLOCK_NODES", 4)
+    monkeypatch.setattr(minhash, "COLUMNS", 16)
     rows = copies_rows(random.Random(crowd * 100 + int(share * 10)), share) + EDGES
     got = Counter(tuple(r) for r in minhash.minhash_components(spark.createDataFrame(rows, DOCS)).collect())
     assert got == brute_copies(rows)
