@@ -45,6 +45,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import by_size, components, narrow_batches, read_table, row_key, salt_of, staged
+from .url_filter import filtered
 
 SHINGLE = 4
 BINS = 128
@@ -151,15 +152,21 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, shingles) of nodes (node, k1, k2): the set as 64-bit numbers, ascending."""
+    """(node, shingles) of nodes (node, k1, k2, repeated): the set as 64-bit numbers, ascending.
+    ``repeated`` tells whether several rows have the keys."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in sets_of_texts(batches):
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], names=["node", "shingles"])
 
     k1, k2 = row_key()
-    texts = docs.select(k1.alias("k1"), k2.alias("k2"), F.col("text").cast("string")).join(nodes, ["k1", "k2"])
-    return texts.select("node", "text").dropDuplicates(["node"]).mapInArrow(work, "node long, shingles binary")
+    key = F.concat_ws(" ", "k1", "k2").alias("url")  # the filter's name for what it looks up
+    texts = docs.select(k1.alias("k1"), k2.alias("k2"), F.col("text").cast("string")).select("*", key)
+    # A filter of the wanted rows, if its size is bounded, spares the others' texts the shuffle.
+    likely = filtered(texts, nodes.select(key)).where("possible").select("k1", "k2", "text")
+    met = likely.join(nodes, ["k1", "k2"]).select("node", "repeated", "text")
+    once = met.where("not repeated").unionByName(met.where("repeated").dropDuplicates(["node"]))
+    return once.select("node", "text").mapInArrow(work, "node long, shingles binary")
 
 
 def similar(a: bytes, b: bytes) -> bool:
@@ -191,10 +198,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(found, pa.int64())) for c in ("a", "b")], names=["a", "b"])
 
     salted = pairs.withColumn("salt", salt_of(SALTS, "b"))
-    with_b = salted.join(sets.withColumnRenamed("node", "b"), "b").select("a", "salt", "b", "shingles")
-    with_a = salted.select("a", "salt").distinct().join(sets.withColumnRenamed("node", "a"), "a").select("a", "salt", F.lit(None).cast("long").alias("b"), "shingles")
-    met = with_a.unionByName(with_b).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return staged(met.select("a", "b", "shingles").mapInArrow(work, "a long, b long"), "similar-pairs")
+    centres = salted.select("a", "salt", F.lit(None).cast("long").alias("b"), F.col("a").alias("node")).distinct()
+    met = centres.unionByName(salted.select("a", "salt", "b", F.col("b").alias("node"))).join(sets, "node")
+    rows = met.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+    return staged(rows.select("a", "b", "shingles").mapInArrow(work, "a long, b long"), "similar-pairs")
 
 
 def links_among(sets: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -320,11 +327,11 @@ def rare_buckets(huge: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def link_sets(docs: DataFrame, sketched: DataFrame) -> DataFrame:
-    """(node, n, component) of the different sets (node, k1, k2, n, bands) of documents, those
+    """(node, n, component) of the different sets (node, k1, k2, repeated, n, bands) of documents, those
     that share a bucket with another; the sets are not empty."""
     spread = sketched.select(F.explode("bands").alias("bucket"), "node")
     buckets = staged(spread.join(spread.groupBy("bucket").agg(F.count("*").alias("nodes")).where("nodes > 1").select("bucket"), "bucket"), "shared-buckets")
-    met = staged(sketched.join(buckets.select("node").distinct(), "node", "left_semi").select("node", "k1", "k2", "n"), "met-nodes")
+    met = staged(sketched.join(buckets.select("node").distinct(), "node", "left_semi").select("node", "k1", "k2", "n", "repeated"), "met-nodes")
     sets, plain = staged(sets_of(docs, met.drop("n")), "sets"), met.select("node", "n")
     links, nodes = linked_in(buckets, plain, plain.withColumn("component", F.col("node")), sets, [], HUGE)
     stars = starred(placed(buckets, nodes)).where(F.col("several") & (F.col("nodes") > HUGE))
@@ -353,7 +360,8 @@ def minhash_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of documents (doc_id, text)."""
     rows = staged(sketches(docs), "sketches")
     firsts = staged(rows.where("n > 0").groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("first")), "different-sets")
-    chosen = rows.join(firsts.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "k1", "k2", "n", "bands")
+    copies = rows.groupBy("k1", "k2").agg(F.count("*").alias("copies")).where("copies > 1").select("k1", "k2", F.lit(True).alias("repeated"))
+    chosen = rows.join(firsts.select(F.col("node").alias("row")), "row", "left_semi").join(copies, ["k1", "k2"], "left").select(F.col("row").alias("node"), "k1", "k2", F.coalesce("repeated", F.lit(False)).alias("repeated"), "n", "bands")
     linked = link_sets(docs, staged(chosen, "chosen-sketches"))
     named = staged(firsts.join(linked.select("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node")), "named-sets")
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))

@@ -1,15 +1,17 @@
 """Packing by cutting-stock column generation.
 
 Documents become token pieces of at most ``SEQUENCE`` ids; full pieces are sequences of
-their own. The other pieces are counted by length class (``UNIT`` ids wide). A linear
-program over patterns, i.e. multisets of classes that fit one sequence, is solved by
-column generation: a knapsack dynamic program prices new patterns against the duals.
+their own. The other pieces are counted by length: those below ``SHORT`` ids exactly, the
+others in classes ``UNIT`` ids wide, at most 3 % of a piece. Either kind has a linear
+program of its own, over patterns, i.e. multisets of classes that fit one sequence, which is
+solved by column generation: a knapsack dynamic program prices new patterns against the duals.
 Rounded-down patterns cover nearly all pieces; what is left, a number bounded by the
 number of classes, is packed first-fit decreasing. Each class's slots are then handed to
 its pieces by rank.
 
-Only the histogram (256 rows) and the patterns reach the driver, whatever the input.
-Ranks come from salted groups of a class, so that no class lies in one task.
+The program sees only the histogram, about 740 rows, whatever the input.
+Ranks come from salted groups of a class, so that no class lies in one task; each piece has
+a number of its own, so that ranks are the same when a task is run again.
 
 Defined results: null text counts as empty, and an empty document still has its end id.
 Repeated or null ``doc_id`` values are kept as rows of their own. Other columns of the
@@ -22,15 +24,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import by_size, narrow_batches, read_table, salt_of, staged
 from .word_ids import TEXTS_AT_ONCE, word_ids
 
 SEQUENCE = 4096
-UNIT = 16
-GAP = 0.002  # of the number of sequences, left to the linear program's optimum
+UNIT = 8
+SHORT = 256
+FEW = 4096  # pieces: rounding may cost so few more than the program gains
+GAP = 0.01  # of the number of sequences, left to the linear program's optimum
 END_ID = 2
 ROWS_PER_SALT = 50_000
 LEAST_SALTS = 64
@@ -56,24 +60,22 @@ def cut_documents(docs: DataFrame, sequence: int = SEQUENCE, end_id: int = END_I
 
 
 def knapsack(values: np.ndarray, widths: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """The best value of an unbounded knapsack and how often it takes each item."""
-    best = np.zeros(capacity + 1)
-    taken = np.full(capacity + 1, -1)
-    for c in range(1, capacity + 1):
-        fits = int(np.searchsorted(widths, c, "right"))
-        best[c] = best[c - 1]
-        if fits:
-            gains = values[:fits] + best[c - widths[:fits]]
-            k = int(np.argmax(gains))
-            if gains[k] > best[c] + 1e-12:
-                best[c], taken[c] = gains[k], k
-    pattern, c = np.zeros(len(widths)), capacity
-    while c > 0:
-        if taken[c] < 0:
-            c -= 1
-        else:
-            pattern[taken[c]] += 1
-            c -= widths[taken[c]]
+    """The best value of an unbounded knapsack and how often it takes each item. An item is
+    offered once, twice, four times ...: each offer is one step over all capacities."""
+    best, offers = np.zeros(capacity + 1), []
+    for k in np.flatnonzero(values > 1e-12).tolist():
+        times, value, width = 1, float(values[k]), int(widths[k])
+        while times * width <= capacity:
+            gains = best[: capacity + 1 - times * width] + times * value
+            better = gains > best[times * width :] + 1e-12
+            np.copyto(best[times * width :], gains, where=better)
+            offers.append((k, times, times * width, better))
+            times *= 2
+    pattern, room = np.zeros(len(widths)), capacity
+    for k, times, width, better in reversed(offers):
+        if room >= width and better[room - width]:
+            pattern[k] += times
+            room -= width
     return float(best[capacity]), pattern
 
 
@@ -119,16 +121,18 @@ def first_fit(widths: np.ndarray, demand: np.ndarray, capacity: int) -> list[np.
     return [f for f in filled if f.any()]
 
 
-def patterns(histogram: dict[int, int], capacity: int) -> list[tuple[np.ndarray, np.ndarray, int]]:
-    """(classes, copies of each, sequences) that together hold every counted piece."""
-    widths = np.array(sorted(w for w in histogram if w < capacity), dtype=np.int64)
+def patterns(histogram: dict[int, int], capacity: int, scale: int = 1) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """(classes, copies of each, sequences) that together hold every counted piece. Classes
+    are multiples of ``scale``."""
     out: list[tuple[np.ndarray, np.ndarray, int]] = []
     if histogram.get(capacity):
         out.append((np.array([capacity]), np.array([1]), histogram[capacity]))
-    if not len(widths):
+    classes = np.array(sorted(w for w in histogram if w < capacity), dtype=np.int64)
+    if not len(classes):
         return out
-    demand = np.array([histogram[w] for w in widths.tolist()], dtype=np.int64)
-    columns, amounts = cutting_stock(widths, demand.astype(float), capacity)
+    widths, room = classes // scale, capacity // scale
+    demand = np.array([histogram[w] for w in classes.tolist()], dtype=np.int64)
+    columns, amounts = cutting_stock(widths, demand.astype(float), room)
     left = demand.copy()
     for k in np.argsort(-amounts, kind="stable"):
         column = np.rint(columns[:, k]).astype(np.int64)
@@ -136,50 +140,81 @@ def patterns(histogram: dict[int, int], capacity: int) -> list[tuple[np.ndarray,
         times = int(min(np.floor(amounts[k] + 1e-6), np.min(left[used] // column[used])))
         if times > 0:
             left -= times * column
-            out.append((widths[used], column[used], times))
-    for column in first_fit(widths, left, capacity):
-        out.append((widths[column > 0], column[column > 0], 1))
+            out.append((classes[used], column[used], times))
+    for column in first_fit(widths, left, room):
+        out.append((classes[column > 0], column[column > 0], 1))
+    if demand.sum() <= FEW:
+        plain = [(classes[c > 0], c[c > 0], 1) for c in first_fit(widths, demand, room)]
+        if len(plain) < sum(times for _, _, times in out) - histogram.get(capacity, 0):
+            out = out[: 1 if histogram.get(capacity) else 0] + plain
     return out
 
 
+def length_class(length: Column, unit: int) -> Column:
+    """The room that a piece is given: its length if it is short, else whole units."""
+    return F.when(length < SHORT, length).otherwise(F.ceil(length / unit) * unit).cast("int")
+
+
+def plan_of(histogram: dict[int, int], sequence: int, unit: int) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    short = {c: n for c, n in histogram.items() if c < SHORT}
+    long = {c: n for c, n in histogram.items() if c >= SHORT}
+    return patterns(short, sequence) + patterns(long, sequence, unit)
+
+
+def planned(histogram: DataFrame, sequence: int, unit: int) -> DataFrame:
+    """(_class, _low, _high, _copies, _base), staged: ranks _low to _high of a class go, _copies
+    to a sequence, into the sequences from _base on. The program runs in a task, where Spark
+    keeps the linear algebra to the task's cores; its input is a row a class."""
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counted: dict[int, int] = {}
+        for batch in batches:
+            counted |= dict(zip(batch.column("_class").to_pylist(), batch.column("n").to_pylist(), strict=True))
+        slots, low, base = [], dict.fromkeys(counted, 0), 0
+        for classes, copies, times in plan_of(counted, sequence, unit):
+            for c, n in zip(classes.tolist(), copies.tolist(), strict=True):
+                slots.append((c, low[c], low[c] + n * times, n, base))
+                low[c] += n * times
+            base += times
+        names = ["_class", "_low", "_high", "_copies", "_base"]
+        if slots:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*slots, strict=True)], names=names)
+
+    return staged(histogram.coalesce(1).mapInArrow(solve, "_class long, _low long, _high long, _copies long, _base long"), "packing-plan")
+
+
 def pack_pieces(pieces: DataFrame, sequence: int = SEQUENCE, unit: int = UNIT) -> DataFrame:
-    """Add sequence_id and offset to pieces (doc_id, start, length, ...); other columns stay.
-    ``pieces`` is read three times: stage it first."""
-    spark = pieces.sparkSession
-    capacity = sequence // unit
-    classed = pieces.withColumn("_class", F.ceil(F.col("length") / unit).cast("int"))
-    histogram = {r["_class"]: r["n"] for r in classed.groupBy("_class").agg(F.count("*").alias("n")).collect()}
-    slots, low, base = [], dict.fromkeys(histogram, 0), 0
-    for classes, copies, times in patterns(histogram, capacity):
-        for c, n in zip(classes.tolist(), copies.tolist(), strict=True):
-            slots.append((c, low[c], low[c] + n * times, n, base))
-            low[c] += n * times
-        base += times
-    plan = spark.createDataFrame(slots, "_class int, _low long, _high long, _copies long, _base long")
-    salts = max(LEAST_SALTS, -(-max(histogram.values(), default=0) // ROWS_PER_SALT))
-    salted = classed.withColumn("_salt", salt_of(salts, "doc_id", "start"))
+    """Add sequence_id and offset to pieces (doc_id, start, length, ...), which are staged;
+    other columns stay. ``unit`` divides ``sequence``."""
+    spark, columns = pieces.sparkSession, pieces.columns
+    pieces = staged(pieces.withColumn("_piece", F.monotonically_increasing_id()), "pieces")
+    classed = pieces.withColumn("_class", length_class(F.col("length"), unit))
+    histogram = staged(classed.groupBy("_class").agg(F.count("*").alias("n")), "lengths")
+    plan = planned(histogram, sequence, unit)
+    salts = max(LEAST_SALTS, -(-(histogram.agg(F.max("n")).first()[0] or 0) // ROWS_PER_SALT))
+    salted = classed.withColumn("_salt", salt_of(salts, "_piece"))
     before = (
         salted.groupBy("_class", "_salt").agg(F.count("*").alias("_n"))
         .withColumn("_before", F.sum("_n").over(Window.partitionBy("_class").orderBy("_salt")) - F.col("_n"))
         .drop("_n")
     )
-    within = Window.partitionBy("_class", "_salt").orderBy("doc_id", "start", "length")
+    within = Window.partitionBy("_class", "_salt").orderBy("doc_id", "start", "_piece")
     ranked = (
         salted.withColumn("_row", F.row_number().over(within) - 1)
         .join(before, ["_class", "_salt"])
         .withColumn("_rank", F.col("_row") + F.col("_before"))
     )
-    # The plan has a few rows for each class and pattern, at most about 100,000 at UNIT 16.
+    # The plan has a few rows for each class and pattern, whose numbers do not grow with the input.
     held = ranked.join(F.broadcast(plan.withColumnRenamed("_class", "_of")), (F.col("_class") == F.col("_of")) & (F.col("_rank") >= F.col("_low")) & (F.col("_rank") < F.col("_high")))
     placed = held.withColumn("sequence_id", F.col("_base") + F.expr("(_rank - _low) div _copies"))
     inside = Window.partitionBy("sequence_id").orderBy(F.desc("_class"), "_rank").rowsBetween(Window.unboundedPreceding, -1)
     packed = placed.withColumn("offset", F.coalesce(F.sum("length").over(inside), F.lit(0)).cast("long"))
-    return packed.select(*pieces.columns, F.col("sequence_id").cast("long"), "offset")
+    return packed.select(*columns, F.col("sequence_id").cast("long"), "offset")
 
 
 def pack_documents(docs: DataFrame, sequence: int = SEQUENCE, unit: int = UNIT, end_id: int = END_ID) -> DataFrame:
     """The packed pieces with their ids."""
-    return pack_pieces(staged(cut_documents(docs, sequence, end_id), "pieces"), sequence, unit)
+    return pack_pieces(cut_documents(docs, sequence, end_id), sequence, unit)
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,4 +224,4 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def packed_digests(docs: DataFrame) -> DataFrame:
     """Packed pieces with a checksum in place of the ids."""
     pieces = cut_documents(docs).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
-    return pack_pieces(staged(pieces, "pieces"))
+    return pack_pieces(pieces)

@@ -32,13 +32,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_size, components, free_names, narrow_batches, read_table, row_key, staged
+from .common import by_size, components, free_names, narrow_batches, read_table, row_key, salt_of, staged
 
 SHINGLE = 3
 SEED = 42
 THRESHOLD = 2
 HALF = 23
 MOST_COMPARED = 2048
+SALTS = 32
 
 
 def fingerprint(text: bytes | None) -> int:
@@ -195,20 +196,30 @@ def simhash_components(docs: DataFrame) -> DataFrame:
     """(doc_id, fp, component_id) of every row of documents (doc_id, text)."""
     prints = staged(fingerprints(docs), "prints")
     firsts = staged(labelled_prints(prints).join(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "fp"), "firsts")
-    named = firsts.join(firsts.groupBy("component").agg(F.min("first").alias("component_id")), "component").select("fp", "component_id")
-    return prints.select("doc_id", "fp").join(named, "fp").select("doc_id", "fp", "component_id")
+    least = firsts.groupBy("component").agg(F.min("first").alias("component_id"))
+    named = salted_join(firsts.select("fp", "component"), least, "component", "fp").select("fp", "component_id")
+    return salted_join(prints.select("doc_id", "k1", "fp"), named, "fp", "k1").select("doc_id", "fp", "component_id")
+
+
+def salted_join(rows: DataFrame, table: DataFrame, on: str, salt: str) -> DataFrame:
+    """``rows`` with the columns of ``table``, which has one row for each ``on``; rows of one
+    ``on`` are dealt over salts."""
+    salted = rows.withColumn("salt", salt_of(SALTS, salt))
+    met = salted.select(on, "salt").distinct().join(table, on)
+    return salted.join(met, [on, "salt"]).drop("salt")
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each component, all columns kept."""
+    """One row of ``docs`` for each component, all columns kept. Texts move once, to meet the
+    keys that are kept; only rows whose key another row shares are then made one."""
     prints = staged(fingerprints(docs), "prints")
     row = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "k1", "k2")
     least = prints.groupBy("fp").agg(F.min(row).alias("row"))
-    k1, k2 = free_names(docs, "k1", "k2")
+    k1, k2, repeated = free_names(docs, "k1", "k2", "repeated")
     kept = labelled_prints(prints).join(least, "fp").groupBy("component").agg(F.min("row").alias("row")).select(F.col("row.k1").alias(k1), F.col("row.k2").alias(k2))
-    # Equal rows are combined before the one shuffle of the documents, which the join shares.
-    keyed = docs.withColumns(dict(zip((k1, k2), row_key(), strict=True))).dropDuplicates([k1, k2])
-    return keyed.join(kept, [k1, k2], "left_semi").select(*docs.columns)
+    counts = prints.groupBy(F.col("k1").alias(k1), F.col("k2").alias(k2)).agg((F.count("*") > 1).alias(repeated))
+    chosen = docs.withColumns(dict(zip((k1, k2), row_key(), strict=True))).join(staged(kept.join(counts, [k1, k2]), "kept"), [k1, k2])
+    return chosen.where(~F.col(repeated)).unionByName(chosen.where(repeated).dropDuplicates([k1, k2])).select(*docs.columns)
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,12 +28,13 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_size, narrow_batches, read_table, staged, worker_cache
+from .common import by_size, narrow_batches, read_table, salt_of, staged, worker_cache
 
 MODEL = "piece_bpe_32k.model"
 HEAD = 1 << 18
 LIMIT = 4096
 LONG = 64
+SALTS = 32
 MOST_HELD = 200_000  # pre-tokens that a task counts before it hands them on
 MOST_CHARS = 32_000_000  # of texts that it counts before
 SPACE = "▁"  # the model's sign for a space; in a text it is one
@@ -133,7 +134,14 @@ def count_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
     schema = "doc_id long, n_bytes long, n_head long, tail array<struct<word:string,n:long>>"
     found = staged(plain.mapInArrow(join, schema).withColumn("row", F.monotonically_increasing_id()), "frequencies")
     rare = found.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.n")
-    sums = rare.join(words.select("word", "pieces"), "word").groupBy("row").agg(F.sum(F.col("n") * F.col("pieces")).alias("n_tail"))
+    # Words of at most LONG characters are rarer than the head's; a longer one may be in many
+    # documents, whose rows are dealt over salts.
+    known = words.select("word", "pieces")
+    short = rare.where(F.length("word") <= LONG).join(known.where(F.length("word") <= LONG), "word").select("row", "n", "pieces")
+    salted = rare.where(F.length("word") > LONG).withColumn("salt", salt_of(SALTS, "row"))
+    met = salted.select("word", "salt").distinct().join(known.where(F.length("word") > LONG), "word")
+    long = salted.join(met, ["word", "salt"]).select("row", "n", "pieces")
+    sums = short.unionByName(long).groupBy("row").agg(F.sum(F.col("n") * F.col("pieces")).alias("n_tail"))
     joined = found.select("row", "doc_id", "n_bytes", "n_head").join(sums, "row", "left")
     return joined.select("doc_id", "n_bytes", (F.col("n_head") + F.coalesce("n_tail", F.lit(0))).alias("n_tokens"))
 

@@ -1,10 +1,10 @@
 """URL filter: a blocked Bloom filter of listed canonical URLs before an exact join.
 
 The filter is a table: ``bucket`` and ``LANES`` 64-bit words, one bit of each word set by
-each listed URL, so that a look-up touches one row. URLs look up their bucket by a join
-(a hash join; Spark broadcasts the table when its size allows), those with all bits set are
-possible hits, and only they are joined exactly with the list, which removes the false
-positives. Everything is a DataFrame function.
+each listed URL, so that a look-up touches one row. A filter of at most ``BROADCAST_BYTES``
+goes to every task, and URLs are tested where they are read, before any shuffle; a larger one
+is joined by bucket. URLs with all bits set are possible hits, and only they are joined
+exactly with the list, which removes the false positives. Everything is a DataFrame function.
 
 Canonical form: scheme dropped; host lower-cased, without port, user and a leading
 ``www.`` or ``m.``; path without ``index.html``/``.html`` at its end and without trailing
@@ -20,12 +20,15 @@ listed URLs count once; nulls in the list are left out; an empty list blocks not
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
 
 LANES = 8
+BROADCAST_BYTES = 64_000_000
 URLS_A_BUCKET = 16  # of 512 bits: about 1 % false positives
 RULES = (
     ("com", "/", "allow"),
@@ -67,16 +70,31 @@ def bloom_filter(listed: DataFrame, buckets: int) -> DataFrame:
     return listed.groupBy(bucket_of(F.col("url"), buckets).alias("bucket")).agg(*lanes)
 
 
+def filtered(urls: DataFrame, listed: DataFrame, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``urls`` (url, ...) with ``possible``: whether the filter of the list (url: distinct) lets
+    a URL pass. A filter of at most ``most_bytes``, by its counted buckets, goes to every task,
+    so that URLs are not shuffled; beyond that both meet by bucket."""
+    buckets = listed.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / URLS_A_BUCKET)).cast("long").alias("n")).first()["n"]
+    table = bloom_filter(listed, buckets)
+    keyed = urls.withColumn("bucket", bucket_of(F.col("url"), buckets))
+    joined = keyed.join(F.broadcast(table) if buckets * (LANES + 1) * 8 <= most_bytes else table, "bucket", "left")
+    held = functools.reduce(Column.__and__, [F.col(f"lane{k}").bitwiseAND(b) == b for k, b in enumerate(bits_of(F.col("url")))])
+    return joined.select(*urls.columns, F.coalesce(held, F.lit(False)).alias("possible"))
+
+
+def with_hits(urls: DataFrame, listed: DataFrame, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``urls`` (url, ...) with ``hit``: whether the list (url) holds a URL; both canonical. Only
+    possible hits are joined with the list; the rest is done where it was read."""
+    wanted = listed.where("url is not null").distinct()
+    tested = filtered(urls, wanted, most_bytes)
+    found = tested.where("possible").join(wanted.withColumn("hit", F.lit(True)), "url", "left")
+    missed = tested.where("not possible").withColumn("hit", F.lit(False))
+    return found.withColumn("hit", F.coalesce("hit", F.lit(False))).select(*urls.columns, "hit").unionByName(missed.select(*urls.columns, "hit"))
+
+
 def listed_urls(urls: DataFrame, listed: DataFrame) -> DataFrame:
     """The distinct ``url`` of ``urls`` that the list (url) holds; both canonical."""
-    wanted = listed.where("url is not null").distinct()
-    buckets = wanted.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / URLS_A_BUCKET)).cast("long").alias("n")).first()["n"]
-    keyed = urls.select("url").distinct().withColumn("bucket", bucket_of(F.col("url"), buckets))
-    held = [F.col(f"lane{k}").bitwiseAND(b) == b for k, b in enumerate(bits_of(F.col("url")))]
-    possible = keyed.join(bloom_filter(wanted, buckets), "bucket")
-    for test in held:
-        possible = possible.where(test)
-    return possible.select("url").join(wanted, "url", "left_semi")
+    return with_hits(urls.select("url"), listed).where("hit").select("url").distinct()
 
 
 def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str, str], ...] = RULES) -> tuple[Column, Column]:
@@ -94,9 +112,11 @@ def judge(pages: DataFrame, listed: DataFrame, rules: tuple[tuple[str, str, str]
     parts = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     rule, says = rule_of(F.col("host"), F.col("path"), rules)
     ruled = parts.select("*", rule.alias("rule"), says.alias("says"), canonical(F.col("host"), F.col("path")).alias("url"))
-    hits = listed_urls(ruled.where("rule is null and url <> ''"), listed).withColumn("hit", F.lit(True))
-    judged = ruled.join(hits, "url", "left")
-    return judged.select("page_id", "host", "path", "rule", F.coalesce("says", F.when(F.col("hit"), "block"), F.lit("allow")).alias("verdict"))
+    columns = ("page_id", "host", "path", "rule")
+    # Neither pages with a rule nor those without a URL are looked up.
+    asked = with_hits(ruled.where("rule is null and url <> ''"), listed).select(*columns, F.when(F.col("hit"), "block").otherwise("allow").alias("verdict"))
+    rest = ruled.where("rule is not null or url = ''").select(*columns, F.coalesce("says", F.lit("allow")).alias("verdict"))
+    return asked.unionByName(rest)
 
 
 def adult_list(pages: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 from compare import compare
+from pyspark.sql import functions as F
 
 from equitylake.llm import chat_tree, common, decontaminate, language, packing, quality, quality_rules, simhash, token_counts, token_files, url_filter
 from equitylake.llm.registry import ORACLE_SQL, QUERIES
@@ -81,6 +82,19 @@ def test_packing_padding(spark):
     assert sum(r["length"] for r in rows) / (sequences * 4096) > 0.97
 
 
+@pytest.mark.parametrize("most", [1, 5, 60])
+def test_packing_padding_of_short_documents(spark, most):
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), (F.col("id") % most + 1).cast("int")).alias("text"))
+    found = packing.pack_documents(docs).agg(F.sum("length"), F.countDistinct("sequence_id"), F.count("*"), F.countDistinct("doc_id")).first()
+    assert found[0] / (found[1] * 4096) > 0.97 and found[2] == found[3] == 30_000
+
+
+def test_packing_of_rows_without_ids(spark):
+    docs = spark.createDataFrame([row(None, "same text")] * 500 + [row(7, "same text")] * 500, DOCS)
+    rows = packing.pack_documents(docs).collect()
+    assert len(rows) == 1000 and len({(r["sequence_id"], r["offset"]) for r in rows}) == 1000
+
+
 def brute_print(text):
     words = WORDS.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
     grams = [" ".join(words[k : k + 3]) for k in range(max(1, len(words) - 2))] if words else []
