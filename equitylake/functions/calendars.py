@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .scalars import LOCAL_OFFSET
@@ -32,22 +32,54 @@ def business_days(start: Column, end: Column) -> Column:
     return (upto(end) - upto(F.date_sub(start, 1))).cast("int")
 
 
-def business_calendar(spark: SparkSession, start: str, end: str, exclusions: Ranges | None = None) -> DataFrame:
+def business_calendar(spark: SparkSession, start: str, end: str, exclusions: Ranges | DataFrame | None = None) -> DataFrame:
     """(date): Mondays to Fridays, without any excluded range (inclusive). One row a day."""
     ends = spark.range(1).select(F.lit(start).cast("date").alias("first"), F.lit(end).cast("date").alias("last"))
     return _business(ends, exclusions)
 
 
-def calendar_of(history: DataFrame, exclusions: Ranges | None = None) -> DataFrame:
+def calendar_of(history: DataFrame, exclusions: Ranges | DataFrame | None = None) -> DataFrame:
     """The business calendar from the first to the last date of ``history``."""
     return _business(history.agg(F.min("date").alias("first"), F.max("date").alias("last")), exclusions)
 
 
-def _business(ends: DataFrame, exclusions: Ranges | None) -> DataFrame:
+def _business(ends: DataFrame, exclusions: Ranges | DataFrame | None) -> DataFrame:
     days = ends.select(F.explode(F.sequence("first", "last")).alias("date")).where(F.weekday("date") < 5)
-    for a, b in exclusions or []:
-        days = days.where(~F.col("date").between(F.lit(a).cast("date"), F.lit(b).cast("date")))
-    return days
+    if exclusions is None or isinstance(exclusions, list) and not exclusions:
+        return days
+    if isinstance(exclusions, list):
+        exclusions = ends.sparkSession.createDataFrame(exclusions, "start string, end string").select(*[F.col(c).cast("date") for c in ("start", "end")])
+    return outside(days, exclusions)
+
+
+def monthly(ranges: DataFrame, keys: list[str]) -> DataFrame:
+    """``ranges`` (keys, start, end) cut at the ends of months, column ``month``. A range with
+    a null or that ends before it starts holds no day."""
+    held = ranges.where("start <= end").select(*keys, "start", "end", F.explode(month_starts(F.col("start"), F.col("end"))).alias("month"))
+    return held.select(*keys, "month", F.greatest("start", "month").alias("start"), F.least("end", F.last_day("month")).alias("end"))
+
+
+def merged_ranges(ranges: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """(keys, month, start, end): the days of ``ranges`` (keys, start, end) as ranges that
+    neither overlap nor touch, within each month: a month's are at most sixteen."""
+    keys = keys or []
+    order = Window.partitionBy(*keys, "month").orderBy("start", "end")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.coalesce(F.col("start") > F.date_add(reach, 1), F.lit(True)).cast("int")
+    numbered = monthly(ranges, keys).withColumn("_new", begins).withColumn("_run", F.sum("_new").over(order))
+    return numbered.groupBy(*keys, "month", "_run").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_run")
+
+
+def outside(days: DataFrame, ranges: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """``days`` (keys, date, ...) that lie in none of ``ranges`` (keys, start, end), which may
+    overlap: a join on the keys and the month, in which few ranges are left to look at.
+    Without keys a range holds for all days. Days with a null date stay."""
+    keys = keys or []
+    cut = merged_ranges(ranges, keys).select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("month").alias("_month"), F.col("start").alias("_start"), F.col("end").alias("_end"))
+    same = F.trunc("date", "month") == F.col("_month")
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"_{k}"))
+    return days.join(cut, same & F.col("date").between(F.col("_start"), F.col("_end")), "left_anti")
 
 
 def seconds_until_open(ts: Column, hours: dict[int, list[tuple[int, int]]] = FRIDAY_HOURS) -> Column:

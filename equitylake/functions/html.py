@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from ..schemas import OHLCV_RAW, QUOTE
 from . import scalars as S
 
+# The columns of a history page.
 HEADERS = ("TIME", "OPEN", "HIGH", "LOW", "CLOSE", "VOLUME")
 
 
@@ -60,12 +62,14 @@ def history_rows(pages: DataFrame) -> DataFrame:
     return pages.select("symbol", "html").mapInPandas(parse, "symbol string, " + OHLCV_RAW)
 
 
+# The columns of a market-watch page in their order, the name last.
 WATCH = ("symbol", "sector_code", "indices", "ldcp", "open", "high", "low", "price", "change", "change_class", "change_pct", "volume", "name")
 
 
-def market_watch_rows(pages: DataFrame) -> DataFrame:
-    """Quotes of market-watch pages (html, scraped_at). Numbers come from ``data-order``;
-    rows with fewer than eleven cells or without a symbol are left out."""
+def market_watch_parsed(pages: DataFrame) -> DataFrame:
+    """All table rows of market-watch pages (html, scraped_at) as quotes, with ``reason`` why a
+    row is rejected, null for a good one: ``cells`` for fewer than eleven, ``symbol`` for none;
+    and ``texts``, a rejected row's cells. Numbers come from ``data-order``."""
 
     def number(cell: tuple[str, dict, str]) -> str | None:
         return cell[1].get("data-order")
@@ -75,36 +79,63 @@ def market_watch_rows(pages: DataFrame) -> DataFrame:
             rows = []
             for html, at in zip(frame["html"], frame["scraped_at"]):
                 for r in cells(html):
-                    if len(r) < 11 or not (symbol := r[0][1].get("data-order") or r[0][0]):
+                    symbol = number(r[0]) or r[0][0]
+                    reason = "cells" if len(r) < 11 else None if symbol else "symbol"
+                    if reason:
+                        rows.append((symbol, *(None,) * (len(WATCH) - 1), at, reason, [c[0] for c in r]))
                         continue
-                    rows.append((symbol, r[1][0], r[2][0], *(number(c) for c in r[3:8]), number(r[8]), r[8][2], number(r[9]), number(r[10]), r[0][1].get("data-title"), at))
-            yield pd.DataFrame(rows, columns=[*WATCH, "scraped_at"])
+                    rows.append((symbol, r[1][0], r[2][0], *(number(c) for c in r[3:8]), number(r[8]), r[8][2], number(r[9]), number(r[10]), r[0][1].get("data-title"), at, None, None))
+            yield pd.DataFrame(rows, columns=[*WATCH, "scraped_at", "reason", "texts"])
 
-    raw = pages.select("html", "scraped_at").mapInPandas(parse, ", ".join(f"{c} string" for c in WATCH) + ", scraped_at timestamp")
+    raw = pages.select("html", "scraped_at").mapInPandas(parse, ", ".join(f"{c} string" for c in WATCH) + ", scraped_at timestamp, reason string, texts array<string>")
     typed = {c: S.strict_double(F.col(c)) for c in ("ldcp", "open", "high", "low", "price", "change", "change_pct")}
     typed |= {"volume": S.strict_double(F.col("volume")).cast("bigint"), "indices": S.index_list(F.col("indices")), "change_direction": S.direction(F.col("change_class"))}
     return raw.withColumns(typed).drop("change_class")
 
 
+def market_watch_rows(pages: DataFrame) -> DataFrame:
+    """The good rows of market-watch pages."""
+    return good_rows(market_watch_parsed(pages))
+
+
+def good_rows(parsed: DataFrame) -> DataFrame:
+    return parsed.where("reason is null").drop("reason", "texts")
+
+
+def rejected_rows(parsed: DataFrame) -> DataFrame:
+    """(symbol, scraped_at, reason, texts) of the rejected ones."""
+    return parsed.where("reason is not null").select("symbol", "scraped_at", "reason", "texts")
+
+
 class Element:
     def __init__(self, tag: str, attributes: dict[str, str]):
         self.tag, self.attributes, self.inside = tag, attributes, []
         self.classes = set((attributes.get("class") or "").split())
 
     def every(self, css: str | None = None, tag: str | None = None, **attributes: str) -> Iterator[Element]:
-        """Elements inside that have the class, tag and attributes (``data_name`` for ``data-name``)."""
-        for x in self.inside:
+        """Elements inside, in the page's order, that have the class, tag and attributes
+        (``data_name`` for ``data-name``), however deep they are."""
+        left = self.inside[::-1]
+        while left:
+            x = left.pop()
             if isinstance(x, Element):
                 wanted = all(x.attributes.get(k.replace("_", "-")) == v for k, v in attributes.items())
                 if wanted and (css is None or css in x.classes) and (tag is None or x.tag == tag):
                     yield x
-                yield from x.every(css, tag, **attributes)
+                left += x.inside[::-1]
 
     def first(self, css: str | None = None, tag: str | None = None, **attributes: str) -> Element | None:
         return next(self.every(css, tag, **attributes), None)
 
     def text(self, between: str = "") -> str:
-        return between.join(x if isinstance(x, str) else x.text(between) for x in self.inside)
+        left, found = self.inside[::-1], []
+        while left:
+            x = left.pop()
+            if isinstance(x, str):
+                found.append(x)
+            else:
+                left += x.inside[::-1]
+        return between.join(found)
 
 
 class Tree(HTMLParser):
@@ -117,6 +148,7 @@ class Tree(HTMLParser):
     def __init__(self, html: str | None) -> None:
         super().__init__()
         self.open = [Element("", {})]
+        self.tags: Counter[str] = Counter()
         self.feed(html or "")
         self.close()
 
@@ -125,14 +157,17 @@ class Tree(HTMLParser):
         self.open[-1].inside.append(element)
         if tag not in self.EMPTY:
             self.open.append(element)
+            self.tags[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.open[-1].inside.append(Element(tag, {k: v or "" for k, v in attrs}))
 
     def handle_endtag(self, tag: str) -> None:
-        depth = next((k for k in range(len(self.open) - 1, 0, -1) if self.open[k].tag == tag), 0)
-        if depth:
-            del self.open[depth:]
+        if self.tags[tag]:
+            ended = None
+            while ended != tag:
+                ended = self.open.pop().tag
+                self.tags[ended] -= 1
 
     def handle_data(self, data: str) -> None:
         self.open[-1].inside.append(data)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -10,9 +10,13 @@ from ..functions import scalars as S
 FACE_VALUE = 10.0
 
 
-def parse_announcements(records: DataFrame, scraped_at: str | None = None) -> DataFrame:
-    """ANNOUNCEMENT rows of records (raw: map<string,string>). A row goes if its symbol,
-    date or kind is missing, or if a key is there with a null; an absent key is empty text."""
+FEED_ORDER = "_pos"  # a record's place in its feed, where the reader was asked for it
+
+
+def announcement_outcomes(records: DataFrame) -> DataFrame:
+    """All records (raw: map<string,string>) as ANNOUNCEMENT rows with ``reason`` why one is
+    rejected, null for a good one: ``null`` if a key is there with a null, else ``symbol``,
+    ``date`` or ``kind`` for what is missing. An absent key is empty text."""
     keys = ("company_code", "company_name", "bm_dividend", "bm_bonus", "bm_right_per", "bm_bc_exp", "sector_name")
     null_value = F.lit(False)
     for key in keys:
@@ -20,12 +24,18 @@ def parse_announcements(records: DataFrame, scraped_at: str | None = None) -> Da
     text = {k: F.trim(F.coalesce(F.try_element_at("raw", F.lit(k)), F.lit(""))) for k in keys}
     kinds = [("dividend", "bm_dividend"), ("bonus", "bm_bonus"), ("right", "bm_right_per")]
     types = F.array_compact(F.array(*[F.when(text[k] != "", name) for name, k in kinds]))
-    out = records.where(~null_value).select(
+    out = records.select(
         text["company_code"].alias("symbol"), text["company_name"].alias("name"), S.percentage(text["bm_dividend"]).alias("dividend"),
         text["bm_bonus"].alias("bonus"), text["bm_right_per"].alias("right"), S.parse_date(text["bm_bc_exp"]).alias("x_date"),
-        text["sector_name"].alias("sector"), types.alias("announcement_type"),
+        text["sector_name"].alias("sector"), types.alias("announcement_type"), *[c for c in (FEED_ORDER,) if c in records.columns], null_value.alias("_null"),
     )
-    return out.where("symbol <> '' and x_date is not null and size(announcement_type) > 0")
+    reason = F.when(F.col("_null"), "null").when(F.col("symbol") == "", "symbol").when(F.col("x_date").isNull(), "date").when(F.size("announcement_type") == 0, "kind")
+    return out.withColumn("reason", reason).drop("_null")
+
+
+def parse_announcements(records: DataFrame) -> DataFrame:
+    """The good ANNOUNCEMENT rows of records (raw: map<string,string>)."""
+    return announcement_outcomes(records).where("reason is null").drop("reason")
 
 
 def face_value(stocks: DataFrame) -> DataFrame:
@@ -42,7 +52,7 @@ def dividends(announcements: DataFrame, stocks: DataFrame) -> DataFrame:
     rows = announcements.where(F.array_contains("announcement_type", "dividend") & (F.col("dividend") > 0))
     face = F.coalesce("_face", F.lit(FACE_VALUE))
     joined = rows.join(face_value(stocks), "symbol", "left")
-    return joined.select("symbol", F.col("x_date").alias("exDate"), F.col("x_date").alias("payDate"), face.alias("faceValue"), (F.col("dividend") * face / 100).alias("amountPerShare"))
+    return joined.select("symbol", F.col("x_date").alias("exDate"), F.col("x_date").alias("payDate"), face.alias("faceValue"), (F.col("dividend") * face / 100).alias("amountPerShare"), *[c for c in (FEED_ORDER,) if c in rows.columns])
 
 
 def bonuses(announcements: DataFrame) -> DataFrame:
@@ -63,21 +73,33 @@ def collection_stats(dividend_rows: DataFrame, bonus_rows: DataFrame) -> DataFra
     return of_dividends.join(bonus_rows.agg(F.count("*").alias("n_bonuses")))
 
 
+ERA_DAYS = 1024
+
+
 def nearest_match(records: DataFrame, stored: DataFrame, tolerance_days: int) -> DataFrame:
     """``records`` (rid, symbol, exDate, ...) with the stored row (symbol, exDate, amount)
-    nearest in time within the tolerance, the earlier on a tie: db_date, db_amount, or null.
+    nearest in time within the tolerance, the earlier on a tie, the smaller amount on one day:
+    db_date, db_amount, date_diff, or null.
 
-    An equality join: dates fall into buckets one day longer than the tolerance, and each
-    record looks into its own bucket and both neighbours."""
-    width = tolerance_days + 1
+    Records and stored rows are put into one order a symbol; each record sees the last stored
+    row before it and the first one after it. A symbol's years are parted into eras, so that
+    one with many rows is not one task's; only stored rows near an era's ends are in two."""
+    era_days = max(ERA_DAYS, 4 * tolerance_days)
     day = F.datediff(F.col("exDate"), F.lit("1970-01-01").cast("date"))
-    bucket = F.floor(day / width)
-    looked = records.select("rid", "symbol", "exDate", F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("_bucket"))
-    held = stored.select("symbol", F.col("exDate").alias("db_date"), F.col("amount").alias("db_amount"), bucket.alias("_bucket"))
-    apart = F.abs(F.datediff("db_date", "exDate"))
-    near = looked.join(held, ["symbol", "_bucket"]).where(apart <= tolerance_days)
-    best = near.groupBy("rid").agg(F.min(F.struct(apart.alias("date_diff"), "db_date", "db_amount")).alias("_b"))
-    return records.join(best, "rid", "left").select(*records.columns, "_b.db_date", "_b.db_amount", "_b.date_diff")
+    era = lambda d: F.floor(d / era_days)
+    held = stored.where("symbol is not null and exDate is not null").groupBy("symbol", "exDate").agg(F.min("amount").alias("db_amount"))
+    near = F.array_distinct(F.array(era(day - tolerance_days), era(day), era(day + tolerance_days)))
+    right = held.select("symbol", F.explode(near).alias("_era"), F.col("exDate").alias("_at"), F.struct(F.col("exDate").alias("db_date"), "db_amount").alias("_held"))
+    packed = F.struct(*[F.col(f"`{c}`") for c in records.columns])
+    left = records.select(F.col("symbol"), era(day).alias("_era"), F.col("exDate").alias("_at"), packed.alias("_record"))
+    both = left.unionByName(right, allowMissingColumns=True)
+    order = Window.partitionBy("symbol", "_era").orderBy(F.col("_at"), F.col("_record").isNotNull())
+    before = F.last("_held", True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    after = F.first("_held", True).over(order.rowsBetween(0, Window.unboundedFollowing))
+    seen = both.select("_record", "_at", before.alias("_before"), after.alias("_after")).where("_record is not null")
+    choice = lambda c: F.when(F.abs(F.datediff(f"{c}.db_date", "_at")) <= tolerance_days, F.struct(F.abs(F.datediff(f"{c}.db_date", "_at")).alias("date_diff"), f"{c}.db_date", f"{c}.db_amount"))
+    best = seen.withColumn("_b", F.least(choice("_before"), choice("_after")))
+    return best.select(*[F.col(f"_record.`{c}`").alias(c) for c in records.columns], "_b.db_date", "_b.db_amount", "_b.date_diff")
 
 
 def audit(records: DataFrame, stored: DataFrame, tolerance_days: int = 0, amount_tolerance: float = 0.0) -> DataFrame:

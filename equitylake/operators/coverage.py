@@ -28,10 +28,12 @@ def skip_rate(covered: DataFrame) -> DataFrame:
 
 
 def inspect(frame: DataFrame) -> DataFrame:
-    """(column, type, n, n_null, least, greatest) of a frame, a row a column, in one pass."""
+    """(column, type, pos, n_columns, n, n_null, least, greatest) of a frame, a row a column in
+    the order of ``pos``, in one pass: the frame's shape and what its columns hold."""
     parts = []
-    for name, kind in frame.dtypes:
+    for pos, (name, kind) in enumerate(frame.dtypes):
         plain = F.col(f"`{name}`")
         ends = (F.min(plain), F.max(plain)) if not kind.startswith(("map", "array", "struct")) else (F.lit(None), F.lit(None))
-        parts.append(F.struct(F.lit(name).alias("column"), F.lit(kind).alias("type"), F.count("*").alias("n"), F.count_if(plain.isNull()).alias("n_null"), ends[0].cast("string").alias("least"), ends[1].cast("string").alias("greatest")))
+        shape = (F.lit(name).alias("column"), F.lit(kind).alias("type"), F.lit(pos).alias("pos"), F.lit(len(frame.columns)).alias("n_columns"))
+        parts.append(F.struct(*shape, F.count("*").alias("n"), F.count_if(plain.isNull()).alias("n_null"), ends[0].cast("string").alias("least"), ends[1].cast("string").alias("greatest")))
     return frame.agg(F.array(*parts).alias("columns")).select(F.explode("columns").alias("c")).select("c.*")

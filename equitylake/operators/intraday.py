@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import local_date
+from . import ranks
 
-VALUES = ("ts", "volume")
+BLOCK = 65_536
 
 
 def latest_per_bucket(snapshots: DataFrame, unit: str = "minute") -> DataFrame:
@@ -57,12 +58,28 @@ def stasis(cycles: DataFrame, repeats: int = 3, minutes: int = 20, market: str |
     """``cycles`` (cycle_ts, total) with run_start and stale: a run of equal totals other
     than 0 is stale from ``minutes`` after its ``repeats``-th cycle on.
 
-    This marks every cycle of a halt; the streaming form also starts anew after each
-    report. One row a cycle; the windows are one group a market."""
-    by = Window.partitionBy(*([market] if market else [])).orderBy("cycle_ts")
-    changed = F.coalesce(F.col("total") != F.lag("total").over(by), F.lit(True)).cast("int")
-    runs = cycles.withColumn("_run", F.sum(changed).over(by))
-    inside = Window.partitionBy(*([market] if market else []), "_run").orderBy("cycle_ts")
+    This marks every cycle of a halt; the streaming form also starts anew after each report.
+    With a ``market`` column each market's cycles are one window. Without one all cycles are
+    one sequence: they are numbered by ranges of time, and each looks back at the cycle
+    numbered one less, so that no window holds more than a run."""
+    if market:
+        by = Window.partitionBy(market).orderBy("cycle_ts")
+        changed = F.coalesce(F.col("total") != F.lag("total").over(by), F.lit(True))
+        runs, keys = cycles.withColumn("_run", F.sum(changed.cast("int")).over(by)), [market, "_run"]
+    else:
+        placed = ranks.numbered(cycles, [F.col("cycle_ts").asc()], "_place")
+        before = placed.select((F.col("_place") + 1).alias("_place"), F.col("total").alias("_last"))
+        begins = placed.join(before, "_place", "left").withColumn("_begins", F.coalesce(F.col("total") != F.col("_last"), F.lit(True)))
+        # A run's number is the place where it begins: the last beginning at or before a cycle,
+        # found within blocks of places, then among the blocks.
+        block = F.floor(F.col("_place") / BLOCK)
+        inside = Window.partitionBy("_block").orderBy("_place")
+        marked = begins.withColumn("_block", block).withColumn("_run", F.max(F.when(F.col("_begins"), F.col("_place"))).over(inside))
+        ends = marked.groupBy("_block").agg(F.max("_run").alias("_end"))
+        carried = ends.select("_block", F.max("_end").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"))  # a row a block
+        runs = marked.join(carried, "_block").withColumn("_run", F.coalesce("_run", "_carried")).drop("_place", "_last", "_begins", "_block", "_carried")
+        keys = ["_run"]
+    inside = Window.partitionBy(*keys).orderBy("cycle_ts")
     timed = runs.withColumn("_n", F.row_number().over(inside)).withColumn("run_start", F.min(F.when(F.col("_n") == repeats, F.col("cycle_ts"))).over(inside))
     stale = (F.col("total") != 0) & (F.col("_n") >= repeats) & (F.unix_timestamp("cycle_ts") - F.unix_timestamp("run_start") >= minutes * 60)
     return timed.withColumn("stale", F.coalesce(stale, F.lit(False))).drop("_run", "_n")

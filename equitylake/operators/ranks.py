@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import staged
+
 
 def ranked(stocks: DataFrame, by: str = "marketCap", key: str = "symbol") -> list[Column]:
     return [F.col(by).desc_nulls_last(), F.col(key).asc()]
@@ -26,15 +28,22 @@ def page_slice(stocks: DataFrame, page: int, size: int, by: str | None = "market
 
 
 def numbered(rows: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
-    """``rows`` with their place from 0 in the order: range partitions are numbered apart,
-    and the sizes of those before are added."""
-    part, inside = "_part", "_inside"
-    ranged = rows.repartitionByRange(*order).withColumn(part, F.spark_partition_id())
-    placed = ranged.withColumn(inside, F.row_number().over(Window.partitionBy(part).orderBy(*order)) - 1)
-    sizes = ranged.groupBy(part).agg(F.count("*").alias("_n"))
-    # One row a partition.
+    """``rows`` with their place from 0 in the order.
+
+    The rows are dealt by ranges of the order, sorted within each, and written once with
+    their partition and place: each exchange of its own draws its bounds from a sample, so
+    that a second one would deal the rows otherwise. The sizes of the partitions before are
+    then added, a row a partition. Rows that the order holds equal are told apart by a hash
+    of their columns, so that ranges can part them."""
+    at, part = "_at", "_part"
+    kinds = dict(rows.dtypes)
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns if "map<" not in kinds[c] and kinds[c] != "variant"])
+    full = [*order, tie]
+    placed = staged(rows.repartitionByRange(*full).sortWithinPartitions(*full).withColumn(at, F.monotonically_increasing_id()), "numbered")
+    placed = placed.withColumn(part, F.shiftright(at, 33)).withColumn(at, F.col(at).bitwiseAND(F.lit((1 << 33) - 1)))
+    sizes = placed.groupBy(part).agg(F.count("*").alias("_n"))
     before = sizes.select(part, (F.sum("_n").over(Window.orderBy(part)) - F.col("_n")).alias("_before"))
-    return placed.join(F.broadcast(before), part).withColumn(name, F.col(inside) + F.col("_before")).drop(part, inside, "_before")
+    return placed.join(F.broadcast(before), part).withColumn(name, F.col(at) + F.col("_before")).drop(part, at, "_before")
 
 
 def chunked(rows: DataFrame, size: int, order: list[Column]) -> DataFrame:

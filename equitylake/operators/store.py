@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -47,23 +48,31 @@ def write_counts(upserted: DataFrame) -> DataFrame:
     return upserted.agg(F.count_if("_inserted").alias("inserted"), F.count_if("_updated").alias("updated"))
 
 
+def same_keys(keys: list[str]) -> Column:
+    """Whether rows of frames aliased ``a`` and ``b`` have the same keys, nulls included."""
+    equal = [F.col(f"a.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in keys]
+    return functools.reduce(Column.__and__, equal)
+
+
 def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str], order: Column | None = None) -> DataFrame:
-    """``target`` and the source rows of new keys, the first of each key by ``order``."""
-    if order is not None:
-        first = Window.partitionBy(*keys).orderBy(order)
-        source = source.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
-    else:
-        source = source.dropDuplicates(keys)
-    return target.unionByName(source.join(target.select(*keys), keys, "left_anti"), allowMissingColumns=True)
+    """``target`` and the source rows of new keys, the first of each key by ``order``, of equal
+    ones (or without an order) that of least values. Keys compare null-safely."""
+    others = [c for c in source.columns if c not in keys]
+    values = F.struct(*others) if others else F.lit(0)
+    least = source.groupBy(*keys).agg(F.min_by(values, values if order is None else F.struct(order, values)).alias("_r"))
+    first = least.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*source.columns)
+    new = first.alias("a").join(target.select(*keys).alias("b"), same_keys(keys), "left_anti")
+    return target.unionByName(new, allowMissingColumns=True)
 
 
 def delete_orphans(target: DataFrame, incoming: DataFrame, keys: list[str], today: str, source_name: str, source_column: Column, date: str = "exDate") -> DataFrame:
-    """``target`` without the rows of ``source_name`` from ``today`` on that ``incoming`` lacks.
-    Callers skip it for an empty feed."""
+    """``target`` without the rows of ``source_name`` from ``today`` on that ``incoming`` lacks;
+    keys compare null-safely. Callers skip it for an empty feed."""
     doomed = (F.col(date) >= F.lit(dt.date.fromisoformat(today))) & (source_column == source_name)
     marked = target.withColumn("_doomed", F.coalesce(doomed, F.lit(False)))
     there = incoming.select(*keys).distinct().withColumn("_there", F.lit(True))
-    return marked.join(there, keys, "left").where("not _doomed or _there").drop("_doomed", "_there").select(*target.columns)
+    joined = marked.alias("a").join(there.alias("b"), same_keys(keys), "left")
+    return joined.where("not _doomed or _there").select(*[F.col(f"a.`{c}`").alias(c) for c in target.columns])
 
 
 def append(target: DataFrame, source: DataFrame, dedupe_on: list[str] | None = None) -> DataFrame:

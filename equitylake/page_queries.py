@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from .functions import calendars, filters, html, scalars
 from .operators import corporate, coverage, gaps, history, instruments, intraday, ranks
 from .plans import jobs
-from .queries import _EVENTS, _GAPS, _RANGES, _hours_sql, _missing, customers, event_rows, query, shipments, table
-from .schemas import MISSING_REPORT
+from .queries import _EVENTS, _GAPS, _RANGES, _hours_sql, _missing_spans, customers, event_rows, query, shipments, table
+from .schemas import MARKET_WATCH, MISSING_REPORT
 from .session import SETTINGS
 from .sources import pages, readers
 from .sources.tables import Table, record_failures, scratch_path, write_report
@@ -37,10 +37,20 @@ def history_pages(spark, sf):
     return history.by_date(history.price_documents(history.preprocess(html.history_rows(_history_pages(spark, sf)))))
 
 
-@query("""WITH d AS (SELECT CAST(unnest(generate_series(DATE '2025-07-01', DATE '2025-10-31', INTERVAL 1 DAY)) AS DATE) AS date)
-  SELECT symbol, date, 1000 + day(date) + 0.25 AS close, CAST(month(date) * 1000 AS DOUBLE) AS volume FROM d, (VALUES ('A'), ('B')) v(symbol) WHERE month(date) <> 8""")
-def month_pages(spark, sf):
-    found = pages.fetched_pages(spark, ["A", "B"], "2025-07-15", "2025-10-02", "equitylake.sources.sample:month_page")
+@query("""SELECT CAST(o_custkey AS VARCHAR) AS symbol, CAST(o_orderdate AS DATE) AS date, round(o_totalprice, 2) AS close, CAST(o_orderkey AS DOUBLE) AS volume FROM orders
+  WHERE year(o_orderdate) IN (1994, 1996) AND month(o_orderdate) >= 3""")
+def fetched_months(spark, sf):
+    """Pages of the months in which customers have orders, fetched as if from the network;
+    the years and months asked for are pushed into the source."""
+    orders = table(spark, sf, "orders")
+    price = F.format_number("o_totalprice", 2)
+    row = F.concat(F.lit("<tr>"), _cell(F.date_format("o_orderdate", "MMM d, yyyy")), *[_cell(price)] * 4, _cell(F.format_number("o_orderkey", 0)), F.lit("</tr>"))
+    key = F.concat_ws("/", "o_custkey", F.year("o_orderdate"), F.month("o_orderdate"))
+    held = orders.groupBy(key.alias("key")).agg(F.array_join(F.collect_list(row), "").alias("rows")).select("key", F.concat(F.lit("<table>"), "rows", F.lit("</table>")).alias("html"))
+    where = pages.record_pages(held)
+    day = F.to_date("o_orderdate")
+    worklist = pages.months_to_fetch(orders.select(F.col("o_custkey").alias("symbol"), F.date_sub(day, 20).alias("start"), day.alias("end")))
+    found = pages.fetched_pages(worklist, "equitylake.sources.pages:recorded_page", where).where(F.col("year").isin(1994, 1996) & (F.col("month") >= 3))
     return history.preprocess(html.history_rows(found)).select("symbol", "date", "close", "volume")
 
 
@@ -60,6 +70,10 @@ def ingested_history(spark, sf):
     CASE WHEN event_id % 5 <> 0 THEN value END AS change_pct, CAST(event_id * 10 AS BIGINT) AS volume, 'Name ' || event_id AS name, CASE WHEN event_id % 2 = 0 THEN 'up' ELSE 'down' END AS change_direction
   FROM events WHERE event_id % 7 <> 0 AND event_id % 11 <> 0""")
 def market_watch_pages(spark, sf):
+    return html.market_watch_rows(_watch_pages(spark, sf)).select("symbol", "sector_code", "indices", "ldcp", "price", "change_pct", "volume", "name", "change_direction")
+
+
+def _watch_pages(spark: SparkSession, sf: str) -> DataFrame:
     """A page a user; every seventh row has nine cells, every eleventh no symbol."""
     number = lambda c: F.concat(F.lit('<td data-order="'), c.cast("string"), F.lit('">x</td>'))
     key, value = F.col("event_id").cast("string"), F.col("value")
@@ -70,14 +84,35 @@ def market_watch_pages(spark, sf):
     ]
     more = F.concat(number(F.when(F.col("event_id") % 5 == 0, "bad").otherwise(value.cast("string"))), number(F.col("event_id") * 10))
     row = F.concat(F.lit("<tr>"), *cells, F.when(F.col("event_id") % 7 == 0, "").otherwise(more), F.lit("</tr>"))
-    found = table(spark, sf, "events").groupBy("user_id").agg(F.array_join(F.collect_list(row), "").alias("html"), F.max("ts").alias("scraped_at"))
-    return html.market_watch_rows(found).select("symbol", "sector_code", "indices", "ldcp", "price", "change_pct", "volume", "name", "change_direction")
+    return table(spark, sf, "events").groupBy("user_id").agg(F.array_join(F.collect_list(row), "").alias("html"), F.max("ts").alias("scraped_at"))
+
+
+@query("""SELECT CASE WHEN event_id % 11 <> 0 THEN CAST(event_id AS VARCHAR) ELSE '' END AS symbol, CASE WHEN event_id % 7 = 0 THEN 'cells' ELSE 'symbol' END AS reason,
+    CASE WHEN event_id % 7 = 0 THEN 9 ELSE 11 END AS n_cells, CAST(user_id AS VARCHAR) AS sector_code FROM events WHERE event_id % 7 = 0 OR event_id % 11 = 0""")
+def market_watch_rejects(spark, sf):
+    """The rows of the same pages that are no quotes, and why."""
+    found = html.rejected_rows(html.market_watch_parsed(_watch_pages(spark, sf)))
+    return found.select("symbol", "reason", F.size("texts").alias("n_cells"), F.col("texts")[1].alias("sector_code"))
+
+
+@query("""WITH p AS (SELECT user_id, max(ts) AS at FROM events GROUP BY user_id), r AS (SELECT e.*, at, hour(at) < 12 AS early, event_id % 7 <> 0 AND event_id % 11 <> 0 AS good FROM events e JOIN p USING (user_id))
+  SELECT CASE WHEN early THEN 1 ELSE 2 END AS cycle, count(*) FILTER (WHERE good) AS symbol_count, CAST(coalesce(sum(event_id * 10) FILTER (WHERE good), 0) AS BIGINT) AS total_volume, count(*) FILTER (WHERE NOT good) AS rejected,
+    count(*) FILTER (WHERE good) AS inserted, CAST(0 AS BIGINT) AS updated FROM r GROUP BY early
+  UNION ALL SELECT 3, count(*) FILTER (WHERE good), CAST(coalesce(sum(event_id * 10) FILTER (WHERE good), 0) AS BIGINT), count(*) FILTER (WHERE NOT good), 0, count(*) FILTER (WHERE good) FROM r WHERE NOT early""")
+def cycle_counts(spark, sf):
+    """What the job reports for the pages of the mornings, of the afternoons, and of those again."""
+    store = Table(spark, scratch_path(spark, "counted"), MARKET_WATCH + ", scraped_at timestamp, scraped_at_minute timestamp, volume_delta bigint, day date", ["symbol", "scraped_at_minute"], ["day"])
+    found = _watch_pages(spark, sf)
+    early = F.hour("scraped_at") < 12
+    counts = [(n, jobs.watch_pages(found.where(part), store)) for n, part in enumerate((early, ~early, ~early), 1)]
+    names = ("symbol_count", "total_volume", "rejected", "inserted", "updated")
+    return spark.createDataFrame([(n, *(c[k] for k in names)) for n, c in counts], "cycle int, " + ", ".join(f"{k} bigint" for k in names))
 
 
 def _company_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Pages of companies: two snapshots of every third part, a futures panel before the
     regular one, ranges as attributes or text; no quote section for every fourth part."""
-    part = table(spark, sf, "part").withColumn("shot", F.explode(F.when(F.col("p_partkey") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    part = table(spark, sf, "part").repartition("p_partkey").withColumn("shot", F.explode(F.when(F.col("p_partkey") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     money = lambda c: F.format_number(c, 2)
     price = F.col("p_retailprice")
     item = lambda label, value: F.concat(F.lit(f'<div class="stats_item"><div class="stats_label">{label}</div><div class="stats_value">'), value, F.lit("</div></div>"))
@@ -113,6 +148,30 @@ def panel_stats(spark, sf):
     return found.select("symbol", F.size("stats").alias("n"), F.try_element_at("stats", F.lit("P/E Ratio (TTM) **")).alias("pe"))
 
 
+@query(r"""SELECT page_id, nullif(trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)), '') AS title, CAST(len(regexp_extract_all(html, '<a ')) AS BIGINT) AS n_links FROM pages""")
+def polled_titles(spark, sf):
+    """Pages polled in a stream, stopped after its first batches and resumed."""
+    rows = table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("key"), "html")
+    where = pages.record_pages(rows)
+    worklist = table(spark, sf, "pages").select("page_id")
+    n = worklist.count()
+    path, out = pages.schedule(worklist, "page_id", max(1, n // 5)), scratch_path(spark, "polled")
+    stream = pages.polled_pages(spark, path, "equitylake.sources.pages:recorded_page", where)
+
+    def begin():
+        return stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").start()
+
+    first = begin()
+    while first.isActive and (first.lastProgress is None or first.lastProgress["batchId"] < 1):
+        first.awaitTermination(0.2)
+    first.stop()
+    again = begin()
+    again.processAllAvailable()
+    again.stop()
+    found = spark.read.schema(stream.schema).parquet(f"{out}/rows").select(F.col("key").cast("bigint").alias("page_id"), "html")
+    return html.page_titles(found)
+
+
 @query(f"""WITH {_GAPS} SELECT CAST(symbol AS VARCHAR) AS symbol, start, "end", missing_trading_days, CAST(last_actual_date AS VARCHAR) AS last_actual_date FROM gaps""")
 def gap_report(spark, sf):
     path = scratch_path(spark, "gap-report")
@@ -124,7 +183,7 @@ def gap_report(spark, sf):
 def missing_report(spark, sf):
     """Written, read, and written again without what was done since."""
     path = scratch_path(spark, "missing-report")
-    write_report(gaps.missing_ranges(_missing(spark, sf), 10), path, ["start", "end"])
+    write_report(gaps.missing_ranges(_missing_spans(spark, sf), 10), path, ["start", "end"])
     found = readers.gap_report(spark, path, MISSING_REPORT)
     left = gaps.remaining(found, found.where("cast(symbol as int) % 3 = 0"), ["symbol", "start", "end"])
     write_report(left, path, ["start", "end"], keep_if_empty=False)
@@ -136,6 +195,13 @@ def first_symbols(spark, sf):
     return gaps.first_symbols(gaps.price_gaps(shipments(spark, sf)), 5).select("symbol", "start", "end")
 
 
+@query(f"""WITH {_GAPS} SELECT symbol, start, "end" FROM gaps WHERE symbol IN (SELECT symbol FROM gaps GROUP BY symbol ORDER BY min(start), symbol LIMIT 5)""")
+def report_symbols(spark, sf):
+    """The first symbols in a report's own order, here that of the gaps' starts."""
+    report = gaps.price_gaps(shipments(spark, sf)).withColumn("pos", F.datediff("start", F.lit("1970-01-01").cast("date")))
+    return gaps.first_symbols(report, 5, "pos").select("symbol", "start", "end")
+
+
 def _repaired(spark: SparkSession, sf: str) -> tuple[Table, Table, DataFrame]:
     """Gaps of suppliers filled from orders of customers with the same keys; gaps of a
     multiple of seven days fail."""
@@ -192,6 +258,26 @@ def announcements(spark, sf):
     return found.select("symbol", "dividend", "bonus", "x_date", F.array_join("announcement_type", ",").alias("kinds"))
 
 
+@query("""SELECT CASE WHEN o_orderkey % 17 = 0 THEN 'null' WHEN o_orderkey % 13 = 0 THEN 'date' WHEN o_orderkey % 3 = 0 AND o_orderkey % 5 <> 0 THEN 'kind' ELSE 'good' END AS outcome,
+    CAST(o_custkey AS VARCHAR) AS symbol, count(*) AS n FROM orders WHERE o_custkey % 10 <> 0 GROUP BY ALL""")
+def announcement_outcomes(spark, sf):
+    """Every record once: good, or why not."""
+    found = corporate.announcement_outcomes(readers.announcement_records(_answers(spark, sf)))
+    return found.groupBy(F.coalesce("reason", F.lit("good")).alias("outcome"), "symbol").agg(F.count("*").alias("n"))
+
+
+@query("""WITH o AS (SELECT CAST(o_custkey AS VARCHAR) AS symbol, CAST(o_orderdate AS DATE) AS exDate, o_orderkey, CAST(o_orderkey % 7 + 1 AS DOUBLE) AS percent FROM orders)
+  SELECT symbol, exDate, arg_min(percent, o_orderkey) / 10 AS amountPerShare FROM o GROUP BY symbol, exDate""")
+def first_dividends(spark, sf):
+    """Of a feed's dividends of one key the first in the feed's order is stored."""
+    record = F.struct(F.col("o_custkey").cast("string").alias("company_code"), F.concat((F.col("o_orderkey") % 7 + 1).cast("string"), F.lit("%")).alias("bm_dividend"), F.date_format("o_orderdate", "d MMM yyyy").alias("bm_bc_exp"))
+    feed = table(spark, sf, "orders").groupBy("o_custkey").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", record.alias("r")))).alias("rs")).select(F.to_json("rs.r").alias("value"))
+    parsed = corporate.parse_announcements(readers.announcement_records(feed, order=corporate.FEED_ORDER))
+    dividends, bonuses = _paid_tables(spark)
+    jobs.save_announcements(parsed, spark.createDataFrame([], "symbol string, faceValue double"), dividends, bonuses, "2100-01-01", NOW, "feed")
+    return dividends.read().select("symbol", "exDate", "amountPerShare")
+
+
 @query("""SELECT CAST(o_custkey AS VARCHAR) AS code, CAST(o_custkey AS VARCHAR) AS scraped_symbol, '2026-02-01 00:00:00' AS scraped_at, count(*) AS n FROM orders WHERE o_custkey % 10 <> 0 GROUP BY o_custkey""")
 def symbol_dividends(spark, sf):
     found = readers.symbol_dividends(_answers(spark, sf), NOW)
@@ -203,13 +289,17 @@ _SAVED = f"""WITH {_PARSED}, a AS (SELECT DISTINCT symbol, x_date, o_custkey % 2
   b AS (SELECT symbol, x_date, o_custkey FROM p WHERE list_contains(kinds, 'bonus'))"""
 
 
+def _paid_tables(spark: SparkSession) -> tuple[Table, Table]:
+    stamp = "status string, metadata struct<source:string,url:string,notes:string>, createdAt timestamp, updatedAt timestamp"
+    dividends = Table(spark, scratch_path(spark, "dividends"), f"symbol string, exDate date, payDate date, faceValue double, amountPerShare double, {stamp}", ["symbol", "exDate"])
+    return dividends, Table(spark, scratch_path(spark, "bonuses"), f"symbol string, exDate date, bonusPercentage double, bonusType string, {stamp}", ["symbol", "exDate"])
+
+
 def _saved(spark: SparkSession, sf: str) -> tuple[Table, Table]:
     """Two rounds: customers of keys that 3 does not divide, then those that 2 does; dates
     from 1996 on are to come."""
     paid = corporate.parse_announcements(readers.announcement_records(_answers(spark, sf))).withColumn("dividend", F.when(F.col("dividend") > 0, 5.0).otherwise(0.0))
-    stamp = "status string, metadata struct<source:string,url:string,notes:string>, createdAt timestamp, updatedAt timestamp"
-    dividends = Table(spark, scratch_path(spark, "dividends"), f"symbol string, exDate date, payDate date, faceValue double, amountPerShare double, {stamp}", ["symbol", "exDate"])
-    bonuses = Table(spark, scratch_path(spark, "bonuses"), f"symbol string, exDate date, bonusPercentage double, bonusType string, {stamp}", ["symbol", "exDate"])
+    dividends, bonuses = _paid_tables(spark)
     none = spark.createDataFrame([], "symbol string, faceValue double")
     for rows, now in ((paid.where("cast(symbol as int) % 3 <> 0"), "2026-01-01"), (paid.where("cast(symbol as int) % 2 = 0"), "2026-01-02")):
         jobs.save_announcements(rows, none, dividends, bonuses, "1996-01-01", now, "feed")
@@ -307,10 +397,15 @@ def json_profile(spark, sf):
     return readers.json_profile(readers.announcement_records(_answers(spark, sf)), ["COMPANY_CODE", "sector_name"]).select("key", "n", "n_null")
 
 
-@query("""SELECT 'p_partkey' AS "column", 'bigint' AS type, count(*) AS n, count(*) - count(p_partkey) AS n_null, CAST(min(p_partkey) AS VARCHAR) AS least, CAST(max(p_partkey) AS VARCHAR) AS greatest FROM part
-  UNION ALL SELECT 'p_brand', 'string', count(*), count(*) - count(p_brand), min(p_brand), max(p_brand) FROM part""")
+_PART_COLUMNS = {"p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p_type": "string", "p_size": "int", "p_retailprice": "double"}
+
+
+@query(" UNION ALL ".join(f"""SELECT '{c}' AS "column", '{t}' AS type, {k} AS pos, 6 AS n_columns, count(*) AS n, count(*) - count({c}) AS n_null, {f"CAST(min({c}) AS VARCHAR)" if t != "double" else "CAST(NULL AS VARCHAR)"} AS least,
+  {f"CAST(max({c}) AS VARCHAR)" if t != "double" else "CAST(NULL AS VARCHAR)"} AS greatest FROM part""" for k, (c, t) in enumerate(_PART_COLUMNS.items())))
 def inspect(spark, sf):
-    return coverage.inspect(table(spark, sf, "part").select("p_partkey", "p_brand"))
+    """Every column; doubles' texts differ between engines and are left out."""
+    found = coverage.inspect(table(spark, sf, "part"))
+    return found.select("column", "type", "pos", "n_columns", "n", "n_null", *[F.when(F.col("type") != "double", F.col(c)).alias(c) for c in ("least", "greatest")])
 
 
 @query("""(SELECT c_custkey AS symbol, 'head' AS part FROM customer ORDER BY c_custkey LIMIT 5) UNION ALL (SELECT c_custkey, 'tail' FROM customer ORDER BY c_custkey DESC LIMIT 5)""")
@@ -330,19 +425,14 @@ def pages_read(spark, sf):
     return readers.pages_read(counts)
 
 
-@query("SELECT * FROM (VALUES ('orders', true), ('nothing', false)) v(name, found)")
-def reachable(spark, sf):
-    return spark.createDataFrame([(n, readers.reachable(spark, f"{sf}/{n}.parquet")[0]) for n in ("orders", "nothing")], "name string, found boolean")
-
-
-@query("""SELECT 2 * count(*) AS n, count(DISTINCT o_custkey) AS n_symbols FROM orders WHERE o_custkey % 10 <> 0""")
+@query("""SELECT CAST(o_custkey AS VARCHAR) AS symbol, 2 * count(*) AS n FROM orders WHERE o_custkey % 10 <> 0 GROUP BY o_custkey""")
 def audit_file(spark, sf):
-    """Records appended to those of an earlier file; none before the first."""
+    """Records appended to those of an earlier file, which is read back; none before the first."""
     path, found = scratch_path(spark, "audit"), readers.announcement_records(_answers(spark, sf))
+    code = F.element_at("raw", "company_code")
     first = readers.audit_file(spark, path).unionByName(found)
-    first.groupBy(F.element_at("raw", "company_code").alias("s")).agg(F.to_json(F.collect_list("raw")).alias("value")).select("value").repartition("value").write.text(path)
-    texts = spark.read.text(path)
-    return readers.announcement_records(texts).unionByName(found).agg(F.count("*").alias("n"), F.countDistinct(F.element_at("raw", "company_code")).alias("n_symbols"))
+    first.groupBy(code.alias("s")).agg(F.to_json(F.collect_list("raw")).alias("value")).select("value").repartition("value").write.text(path)
+    return readers.audit_file(spark, path).unionByName(found).groupBy(code.alias("symbol")).agg(F.count("*").alias("n"))
 
 
 @query("""SELECT o_orderkey, o_totalprice AS loose, o_orderkey AS whole, 'a-' || o_orderkey AS clean, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + INTERVAL 648 MINUTE AS as_of, o_totalprice AS low, o_totalprice + 1 AS high, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice END AS strict,
@@ -395,10 +485,11 @@ def session_ends(spark, sf):
     return table(spark, sf, "events").select("event_id", calendars.session_close(ts).alias("closes"), calendars.backoff_seconds(ts, 20).cast("bigint").alias("wait"))
 
 
-def _drained(stream: DataFrame) -> DataFrame:
-    """What a stream writes until its input ends."""
+def _drained(stream: DataFrame, out: str | None = None) -> DataFrame:
+    """What a stream has written to ``out`` when its input ends; it goes on from where an
+    earlier run there ended."""
     spark, key = stream.sparkSession, "spark.sql.streaming.stateStore.providerClass"
-    before, out = spark.conf.get(key, None), scratch_path(spark, "streamed")
+    before, out = spark.conf.get(key, None), out or scratch_path(spark, "streamed")
     spark.conf.set(key, SETTINGS[key])
     try:
         stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
@@ -407,14 +498,94 @@ def _drained(stream: DataFrame) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{out}/rows")
 
 
-@query(f"""WITH {_EVENTS}, b AS (SELECT symbol, date_trunc('minute', ts) AS bucket, volume FROM e QUALIFY row_number() OVER (PARTITION BY symbol, date_trunc('minute', ts) ORDER BY ts DESC, seq DESC) = 1)
+_SNAPSHOTS = "symbol string, scraped_at timestamp, volume bigint"
+_DELTAS = f"""WITH {_EVENTS}, b AS (SELECT symbol, date_trunc('minute', ts) AS bucket, volume FROM e QUALIFY row_number() OVER (PARTITION BY symbol, date_trunc('minute', ts) ORDER BY ts DESC, seq DESC) = 1)
   SELECT symbol, bucket, volume, CASE WHEN CAST(bucket + INTERVAL 5 HOUR AS DATE) = CAST(lag(bucket) OVER w + INTERVAL 5 HOUR AS DATE)
-    AND volume >= lag(volume) OVER w THEN volume - lag(volume) OVER w END AS volume_delta FROM b WINDOW w AS (PARTITION BY symbol ORDER BY bucket)""")
+    AND volume >= lag(volume) OVER w THEN volume - lag(volume) OVER w END AS volume_delta FROM b WINDOW w AS (PARTITION BY symbol ORDER BY bucket)"""
+
+
+def _snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    return intraday.latest_per_bucket(event_rows(spark, sf)).select(F.col("symbol").cast("string"), F.col("ts").alias("scraped_at"), "volume", "seq")
+
+
+@query(_DELTAS)
 def streamed_deltas(spark, sf):
-    """The keyed state of the stream against the window of the batch."""
+    """The keyed state of the stream against the window of the batch: files hold some symbols
+    each, whole, so that their order says nothing."""
     from .streaming.intraday import snapshots, volume_deltas
 
     path = scratch_path(spark, "snapshots")
-    intraday.latest_per_bucket(event_rows(spark, sf)).select(F.col("symbol").cast("string"), F.col("ts").alias("scraped_at"), "volume").coalesce(1).write.parquet(path)
-    found = _drained(volume_deltas(snapshots(spark, path, "symbol string, scraped_at timestamp, volume bigint")))
+    _snapshots(spark, sf).drop("seq").repartition("symbol").write.parquet(path)
+    found = _drained(volume_deltas(snapshots(spark, path, _SNAPSHOTS), late="4000 days"))
     return found.withColumn("symbol", F.col("symbol").cast("bigint"))
+
+
+@query(_DELTAS)
+def streamed_with_ttl(spark, sf):
+    """The same with minutes that live for 48 hours."""
+    from .streaming.intraday import snapshots, volume_deltas
+
+    path = scratch_path(spark, "snapshots")
+    _snapshots(spark, sf).drop("seq").repartition("symbol").write.parquet(path)
+    found = _drained(volume_deltas(snapshots(spark, path, _SNAPSHOTS), ttl_hours=48))
+    return found.withColumn("symbol", F.col("symbol").cast("bigint"))
+
+
+def _delta_sql(rows: str) -> str:
+    return f"""SELECT symbol, bucket, volume, CASE WHEN CAST(bucket + INTERVAL 5 HOUR AS DATE) = CAST(lag(bucket) OVER w + INTERVAL 5 HOUR AS DATE)
+    AND volume >= lag(volume) OVER w THEN volume - lag(volume) OVER w END AS volume_delta FROM {rows} WINDOW w AS (PARTITION BY symbol ORDER BY bucket)"""
+
+
+def _last_sql(which: str) -> str:
+    return f"(SELECT symbol, date_trunc('minute', ts) AS bucket, volume FROM e WHERE {which} QUALIFY row_number() OVER (PARTITION BY symbol, date_trunc('minute', ts) ORDER BY ts DESC, seq DESC) = 1)"
+
+
+@query(f"""WITH {_EVENTS}, b1 AS {_last_sql("seq % 3 <> 0")}, b2 AS {_last_sql("seq % 3 = 0")},
+  m AS (SELECT * FROM b2 UNION ALL SELECT * FROM b1 WHERE NOT EXISTS (SELECT 1 FROM b2 WHERE b2.symbol = b1.symbol AND b2.bucket = b1.bucket)),
+  d1 AS ({_delta_sql("b1")}), dm AS ({_delta_sql("m")})
+  SELECT dm.* FROM dm JOIN b2 ON b2.symbol = dm.symbol AND b2.bucket = dm.bucket
+  UNION ALL SELECT d1.* FROM d1 WHERE NOT EXISTS (SELECT 1 FROM b2 WHERE b2.symbol = d1.symbol AND b2.bucket = d1.bucket)""")
+def late_snapshots(spark, sf):
+    """A third of the snapshots arrives after all others: they overwrite their minutes and get
+    deltas of their own; deltas of later minutes stay."""
+    from .streaming.intraday import snapshots, volume_deltas
+
+    path, out = scratch_path(spark, "late"), scratch_path(spark, "streamed")
+    rows = event_rows(spark, sf)
+    for n, part in enumerate(("seq % 3 <> 0", "seq % 3 = 0")):
+        last = intraday.latest_per_bucket(rows.where(part)).select(F.col("symbol").cast("string"), F.col("ts").alias("scraped_at"), "volume")
+        last.repartition("symbol").write.mode("append").parquet(path)
+        stream = volume_deltas(snapshots(spark, path, _SNAPSHOTS, 100_000), late="4000 days")
+        found = _drained(stream.withColumn("run", F.lit(n)), out)
+    others = F.struct("volume", "volume_delta")
+    last = found.groupBy(F.col("symbol").cast("bigint").alias("symbol"), "bucket").agg(F.max_by(others, "run").alias("r"))
+    return last.select("symbol", "bucket", "r.volume", "r.volume_delta")
+
+
+_HALTS = """c AS (SELECT event_type AS market, date_trunc('hour', ts) AS cycle_ts, CAST(count(*) // 4 AS BIGINT) AS total FROM events GROUP BY 1, 2),
+  f AS (SELECT *, CASE WHEN total = lag(total) OVER w THEN 0 ELSE 1 END AS chg, lead(cycle_ts) OVER w AS nxt FROM c WINDOW w AS (PARTITION BY market ORDER BY cycle_ts)),
+  r AS (SELECT *, sum(chg) OVER (PARTITION BY market ORDER BY cycle_ts) AS run FROM f),
+  runs AS (SELECT market, run, any_value(total) AS total, max(nxt) AS ends, list(cycle_ts ORDER BY cycle_ts) AS ats FROM r WHERE total <> 0 GROUP BY market, run),
+  reports AS (
+    SELECT market, run, total, ends, ats, ats[3] + INTERVAL 240 MINUTE AS at FROM runs WHERE len(ats) >= 3
+    UNION ALL SELECT market, run, total, ends, ats, list_filter(ats, lambda x: x > at)[3] + INTERVAL 240 MINUTE FROM reports
+      WHERE (ends IS NULL OR ends > at) AND len(list_filter(ats, lambda x: x > at)) >= 3)"""
+
+
+@query(f"""WITH RECURSIVE {_HALTS} SELECT market, at AS reported_at, total FROM reports WHERE (ends IS NULL OR ends > at) AND at <= (SELECT max(cycle_ts) FROM c)""")
+def streamed_halts(spark, sf):
+    """Cycles in files of any order, within the lateness; halts are reported by the clock of
+    the stream, whether a cycle comes then or not."""
+    from .streaming.intraday import halts
+
+    hours = table(spark, sf, "events").groupBy(F.col("event_type").alias("market"), F.date_trunc("hour", "ts").alias("cycle_ts")).agg(F.floor(F.count("*") / 4).alias("total"))
+    path, out = scratch_path(spark, "cycles"), scratch_path(spark, "streamed")
+    schema, cycles = "market string, cycle_ts timestamp, total bigint", scratch_path(spark, "hours")
+    hours.write.parquet(cycles)
+    hours = spark.read.schema(schema).parquet(cycles)
+    middle = hours.agg(F.timestamp_seconds(F.avg(F.unix_timestamp("cycle_ts"))).alias("t")).select(F.date_trunc("hour", "t").cast("string")).first()[0]
+    for part in (F.col("cycle_ts") <= F.lit(middle).cast("timestamp"), F.col("cycle_ts") > F.lit(middle).cast("timestamp")):
+        hours.where(part).repartition(4).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 100_000).parquet(path)
+        found = _drained(halts(stream, 3, 240), out)
+    return found.where("halted").select("market", F.col("cycle_ts").alias("reported_at"), "total")

@@ -3,13 +3,15 @@ and feeds are passed in."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import filters
-from ..functions.html import history_rows
+from ..functions.html import good_rows, history_rows, market_watch_parsed
 from ..operators import corporate, coverage, gaps, history, instruments, intraday, ranks, store
-from ..sources.tables import Table, record_failures
+from ..sources.tables import Table, record_failures, staged
 
 
 def daily_ingest(pages: DataFrame, table: Table, start: str, end: str, now: str) -> tuple[int, int]:
@@ -30,7 +32,8 @@ def repair_worklist(price_history: DataFrame, min_days: int = 7, min_year: int =
 
 
 def save_announcements(parsed: DataFrame, stocks: DataFrame, dividend_table: Table, bonus_table: Table, today: str, now: str, source: str) -> None:
-    """Orphans go, new dividends come in (existing ones stay as they are), bonuses are appended."""
+    """Orphans go, new dividends come in (existing ones stay as they are; of a batch's dividends of
+    one key the first in the feed's order), bonuses are appended."""
     stamp = {"metadata": F.struct(F.lit(source).alias("source"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("notes")), "status": F.lit("ANNOUNCED"), "createdAt": F.lit(now).cast("timestamp"), "updatedAt": F.lit(now).cast("timestamp")}
     for table, rows in ((dividend_table, corporate.dividends(parsed, stocks)), (bonus_table, corporate.bonuses(parsed))):
         rows = rows.withColumns(stamp)
@@ -38,7 +41,7 @@ def save_announcements(parsed: DataFrame, stocks: DataFrame, dividend_table: Tab
         if not parsed.isEmpty():
             held = store.delete_orphans(held, rows, ["symbol", "exDate"], today, source, F.col("metadata.source"))
         if table is dividend_table:
-            table.replace(store.insert_ignore(held, rows, ["symbol", "exDate"]))
+            table.replace(store.insert_ignore(held, rows, ["symbol", "exDate"], F.col(corporate.FEED_ORDER) if corporate.FEED_ORDER in rows.columns else None))
         else:
             table.replace(store.append(held, rows))
 
@@ -75,18 +78,34 @@ def new_symbols_batch(stocks: DataFrame, created: str | None, query: dict | None
 def watch_cycle(quotes: DataFrame, table: Table) -> dict:
     """A cycle's quotes (MARKET_WATCH and scraped_at) into the table keyed by symbol and
     minute; a repeated cycle changes nothing. Returns its counts."""
-    sums = quotes.agg(F.count("*").alias("symbol_count"), F.sum(F.coalesce("volume", F.lit(0))).alias("total_volume"), F.max("scraped_at").cast("string").alias("now")).first()
-    if not sums["symbol_count"]:
-        return {"symbol_count": 0, "total_volume": 0, "inserted": 0, "updated": 0}
+    return watch_parsed(quotes.withColumn("reason", F.lit(None).cast("string")).withColumn("texts", F.lit(None).cast("array<string>")), table)
+
+
+def watch_pages(pages: DataFrame, table: Table) -> dict:
+    """Market-watch pages (html, scraped_at), parsed once, into the table; counts as those of
+    ``watch_cycle``."""
+    return watch_parsed(market_watch_parsed(pages), table)
+
+
+def watch_parsed(parsed: DataFrame, table: Table) -> dict:
+    """Counts and sums are observed while the rows are written for the cycle's other steps."""
+    seen = Observation()
+    good = F.col("reason").isNull()
+    sums = [F.count_if(good).alias("symbol_count"), F.sum(F.when(good, F.coalesce("volume", F.lit(0)))).alias("total_volume"), F.count_if(~good).alias("rejected"), F.max(F.when(good, F.col("scraped_at"))).cast("string").alias("now"), F.min(F.when(good, F.col("scraped_at"))).cast("string").alias("first")]
+    quotes = good_rows(staged(parsed.observe(seen, *sums), "cycle"))
+    found = seen.get
+    counts = {"symbol_count": found["symbol_count"], "total_volume": found["total_volume"] or 0, "inserted": 0, "updated": 0, "rejected": found["rejected"]}
+    if not counts["symbol_count"]:
+        return counts
     stored = table.read()
     if "day" in table.partition_by:  # a local day lies in two of them
-        first = quotes.agg(F.date_sub(F.to_date(F.min("scraped_at")), 1).cast("string")).first()[0]
-        stored = stored.where(F.col("day") >= F.lit(first).cast("date"))
+        first = (dt.date.fromisoformat(found["first"][:10]) - dt.timedelta(days=1)).isoformat()
+        stored = table.read(partitions=lambda values: (values[table.partition_by.index("day")] or first) >= first)
     rows = intraday.cycle_rows(stored.select("symbol", "scraped_at_minute", "volume"), quotes)
     if "day" in table.partition_by:
         rows = rows.withColumn("day", F.to_date("scraped_at_minute"))
-    inserted, updated = table.upsert(rows, sums["now"])
-    return {"symbol_count": sums["symbol_count"], "total_volume": sums["total_volume"], "inserted": inserted, "updated": updated}
+    counts["inserted"], counts["updated"] = table.upsert(rows, found["now"])
+    return counts
 
 
 def quote_cycle(quotes: DataFrame, table: Table, now: str) -> tuple[int, int]:

@@ -100,6 +100,11 @@ def _missing(spark, sf):
     return gaps.missing_dates(days, calendars.calendar_of(days, EXCLUSIONS), days)
 
 
+def _missing_spans(spark, sf):
+    days = shipments(spark, sf)
+    return gaps.missing_spans(days, calendars.calendar_of(days, EXCLUSIONS), days)
+
+
 @query(f"WITH {_CALENDAR} SELECT symbol, date FROM miss")
 def missing_business_days(spark, sf):
     return _missing(spark, sf)
@@ -107,21 +112,45 @@ def missing_business_days(spark, sf):
 
 @query(f'WITH {_RANGES} SELECT symbol, start, "end" FROM ranges')
 def missing_ranges(spark, sf):
-    return gaps.missing_ranges(_missing(spark, sf), 10)
+    return gaps.missing_ranges(_missing_spans(spark, sf), 10)
 
 
-@query(f"""WITH {_RANGES} SELECT start, "end", count(*) AS n_symbols, string_agg(CAST(symbol AS VARCHAR), ',' ORDER BY CAST(symbol AS VARCHAR)) AS symbols
+@query(f"""WITH {_RANGES} SELECT start, "end", count(*) AS n_symbols, 0 AS part, string_agg(CAST(symbol AS VARCHAR), ',' ORDER BY CAST(symbol AS VARCHAR)) AS symbols
   FROM ranges GROUP BY start, "end" HAVING count(*) > 1""")
 def range_to_symbols(spark, sf):
-    return gaps.ranges_to_symbols(gaps.missing_ranges(_missing(spark, sf), 10), 1)
+    return gaps.ranges_to_symbols(gaps.missing_ranges(_missing_spans(spark, sf), 10), 1)
 
 
 @query(f"""WITH {_RANGES} SELECT symbol, start, "end" FROM ranges WHERE symbol % 3 <> 0""")
 def worklist_remaining(spark, sf):
-    ranges = gaps.missing_ranges(_missing(spark, sf), 10)
+    ranges = gaps.missing_ranges(_missing_spans(spark, sf), 10)
     return gaps.remaining(ranges, ranges.where("symbol % 3 = 0"), ["symbol", "start", "end"])
 
 
+_CLOSED = """
+  x AS (SELECT o_custkey % 3 AS market, CAST(o_orderdate AS DATE) AS start, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 40 AS INTEGER) AS "end" FROM orders WHERE o_orderkey % 50 = 1),
+  d AS (SELECT DISTINCT l_suppkey % 3 AS market, CAST(l_shipdate AS DATE) AS date FROM lineitem)"""
+
+
+def _closed(spark, sf):
+    day = F.to_date("o_orderdate")
+    return table(spark, sf, "orders").where("o_orderkey % 50 = 1").select((F.col("o_custkey") % 3).alias("market"), day.alias("start"), F.date_add(day, (F.col("o_orderkey") % 40).cast("int")).alias("end"))
+
+
+@query(f"""WITH {_CLOSED} SELECT market, date FROM d WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.market = d.market AND d.date BETWEEN x.start AND x."end")""")
+def open_days(spark, sf):
+    """Days outside the ranges, overlapping ones among them, that a table holds for each market."""
+    days = table(spark, sf, "lineitem").select((F.col("l_suppkey") % 3).alias("market"), F.to_date("l_shipdate").alias("date")).distinct()
+    return calendars.outside(days, _closed(spark, sf), ["market"])
+
+
+@query(f"""WITH {_CLOSED}, days AS (SELECT DISTINCT market, CAST(unnest(generate_series(start, "end", INTERVAL 1 DAY)) AS DATE) AS day FROM x),
+  runs AS (SELECT market, day, date_trunc('month', day) AS month, day - CAST(row_number() OVER (PARTITION BY market, date_trunc('month', day) ORDER BY day) AS INTEGER) AS g FROM days)
+  SELECT market, CAST(month AS DATE) AS month, min(day) AS start, max(day) AS "end" FROM runs GROUP BY market, month, g""")
+def merged_closures(spark, sf):
+    return calendars.merged_ranges(_closed(spark, sf), ["market"])
+
+
 _COVERAGE = """
   a AS (SELECT o_custkey AS symbol, count(*) AS n, CAST(min(o_orderdate) AS DATE) AS first, CAST(max(o_orderdate) AS DATE) AS last FROM orders
         WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1995-06-01' - 40 AND DATE '1995-06-10' + 40 GROUP BY 1),

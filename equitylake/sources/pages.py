@@ -1,40 +1,90 @@
-"""A Spark data source of fetched pages: one partition per (symbol, month).
+"""Pages as Spark data sources, planned from a table of what to fetch.
 
-Options: ``symbols`` (comma-separated), ``start``, ``end`` (ISO dates), ``fetcher``
-(``module:function`` called as ``fetch(symbol, year, month) -> str | None``). Failed months
-are left out. Threads and pauses of a client belong to the fetcher."""
+``exchange_pages`` (batch): one partition for each file of the worklist's staged rows
+(symbol, year, month). Filters on these columns are pushed into the source and taken before
+a page is fetched. ``exchange_schedule`` (stream): the keys of a numbered worklist, some in
+each batch; tasks then fetch their pages, so that pages never pass the driver.
+
+A fetcher is ``module:function``, called as ``fetch(where, *key) -> str | None`` with the
+source's option ``where`` and the key's values. Failed pages are left out. Threads and pauses
+of a client belong to the fetcher."""
 
 from __future__ import annotations
 
-import datetime as dt
+import functools
 import importlib
-from collections.abc import Iterator
-
+import posixpath
+import zlib
+from collections.abc import Callable, Iterable, Iterator
+from typing import Any
+
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, SimpleDataSourceStreamReader
+
+from ..operators import ranks
+from .tables import scratch_path
+
+MONTH = ("symbol", "year", "month")
+COMPARE = {EqualTo: pc.equal, GreaterThan: pc.greater, GreaterThanOrEqual: pc.greater_equal, LessThan: pc.less, LessThanOrEqual: pc.less_equal}
+
+
+def files_of(path: str) -> list[str]:
+    """The Parquet files in a folder, by name; none if there is no folder."""
+    files, root = pafs.FileSystem.from_uri(path)
+    found = files.get_file_info(pafs.FileSelector(root, allow_not_found=True))
+    return sorted(f"{path}/{posixpath.basename(f.path)}" for f in found if f.path.endswith(".parquet"))
 
 
-class Month(InputPartition):
-    def __init__(self, symbol: str, year: int, month: int):
-        self.symbol, self.year, self.month = symbol, year, month
+def read_file(path: str, columns: list[str]) -> pa.Table:
+    files, inner = pafs.FileSystem.from_uri(path)
+    return pq.read_table(inner, filesystem=files, columns=columns)
+
+
+def fetcher_of(name: str) -> Callable[..., str | None]:
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
+class File(InputPartition):
+    def __init__(self, path: str):
+        self.path = path
 
 
 class PageReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
-        self.symbols = [s.strip() for s in options.get("symbols", "").split(",") if s.strip()]
-        self.start, self.end = (dt.date.fromisoformat(options[k]) for k in ("start", "end"))
-        self.fetcher = options["fetcher"]
+        self.worklist, self.fetcher, self.where = options["worklist"], options["fetcher"], options.get("where", "")
+        self.pushed: list[tuple[str, Any, Any]] = []
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        for one in filters:
+            if isinstance(one, (*COMPARE, In)) and one.attribute[0] in MONTH:
+                self.pushed.append((one.attribute[0], type(one), one.value))
+            else:
+                yield one
 
     def partitions(self) -> list[InputPartition]:
-        first = self.start.year * 12 + self.start.month - 1
-        last = max(first, self.end.year * 12 + self.end.month - 1)
-        return [Month(s, m // 12, m % 12 + 1) for s in self.symbols for m in range(first, last + 1)]
+        return [File(f) for f in files_of(self.worklist)]
+
+    def wanted(self, path: str) -> Iterator[tuple[str, int, int]]:
+        rows = read_file(path, list(MONTH))
+        for column, kind, value in self.pushed:
+            held = rows.column(column)
+            mask = pc.is_in(held, pa.array(list(value), held.type)) if kind is In else COMPARE[kind](held, pa.scalar(value, held.type))
+            rows = rows.filter(mask)
+        yield from zip(*(rows.column(c).to_pylist() for c in MONTH), strict=True)
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        module, _, name = self.fetcher.partition(":")
-        html = getattr(importlib.import_module(module), name)(partition.symbol, partition.year, partition.month)
-        if html is not None:
-            yield partition.symbol, partition.year, partition.month, html
+        fetch = fetcher_of(self.fetcher)
+        for key in self.wanted(partition.path):
+            html = fetch(self.where, *key)
+            if html is not None:
+                yield *key, html
 
 
 class PageSource(DataSource):
@@ -49,9 +99,99 @@ class PageSource(DataSource):
         return PageReader(self.options)
 
 
-def fetched_pages(spark: SparkSession, symbols: list[str], start: str, end: str, fetcher: str) -> DataFrame:
+def months_to_fetch(ranges: DataFrame) -> DataFrame:
+    """(symbol, year, month) of ranges (symbol, start, end): each month that one touches, once."""
+    first, last = F.trunc("start", "month"), F.trunc("end", "month")
+    months = ranges.where("start <= end").select(F.col("symbol").cast("string").alias("symbol"), F.explode(F.sequence(first, last, F.expr("interval 1 month"))).alias("m")).distinct()
+    return months.select("symbol", F.year("m").alias("year"), F.month("m").alias("month"))
+
+
+def fetched_pages(worklist: DataFrame, fetcher: str, where: str = "", tasks: int | None = None) -> DataFrame:
+    """(symbol, year, month, html) of a worklist (symbol, year, month), which is written to the
+    shared folder in as many files as there are to be ``tasks``."""
+    spark, path = worklist.sparkSession, scratch_path(worklist.sparkSession, "worklist")
     spark.dataSource.register(PageSource)
-    options = {"symbols": ",".join(symbols), "start": start, "end": end, "fetcher": fetcher}
-    if not symbols:
-        return spark.createDataFrame([], "symbol string, year int, month int, html string")
-    return spark.read.format("exchange_pages").options(**options).load()
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    typed = worklist.select(F.col("symbol").cast("string"), F.col("year").cast("int"), F.col("month").cast("int"))
+    typed.repartition(tasks or spark.sparkContext.defaultParallelism, *MONTH).write.parquet(path)
+    return spark.read.format("exchange_pages").options(worklist=path, fetcher=fetcher, where=where).load()
+
+
+class ScheduleReader(SimpleDataSourceStreamReader):
+    """Keys by number: an offset is the number of the next chunk, a batch one chunk. What a
+    batch held is found again from its offsets, after a restart too."""
+
+    def __init__(self, options: dict[str, str]):
+        self.worklist, self.key = options["worklist"], options["key"]
+
+    def initialOffset(self) -> dict:
+        return {"chunk": 0}
+
+    def rows(self, chunk: int) -> list[tuple]:
+        return [r for f in files_of(f"{self.worklist}/chunk={chunk}") for r in zip(*read_file(f, ["place", self.key]).to_pydict().values(), strict=True)]
+
+    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
+        found = self.rows(start["chunk"])
+        return iter(found), {"chunk": start["chunk"] + (1 if found else 0)}
+
+    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
+        return (r for chunk in range(start["chunk"], end["chunk"]) for r in self.rows(chunk))
+
+
+class ScheduleSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "exchange_schedule"
+
+    def schema(self) -> str:
+        return "place long, key string"
+
+    def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
+        return ScheduleReader(self.options)
+
+
+def schedule(worklist: DataFrame, key: str, per_batch: int, path: str | None = None) -> str:
+    """Write a worklist's keys in their order, ``per_batch`` to a chunk, for ``polled_pages``."""
+    path = path or scratch_path(worklist.sparkSession, "schedule")
+    keys = worklist.select(F.col(key).cast("string").alias("key"), F.col(key).alias("_order"))
+    placed = ranks.numbered(keys, [F.col("_order").asc()], "place").select("place", "key", F.floor(F.col("place") / per_batch).alias("chunk"))
+    placed.repartition("chunk").write.partitionBy("chunk").parquet(path)
+    return path
+
+
+def polled_pages(spark: SparkSession, path: str, fetcher: str, where: str = "") -> DataFrame:
+    """(place, key, html): a stream of the pages of a ``schedule``, a chunk a batch. Only keys
+    pass the driver; tasks fetch."""
+    spark.dataSource.register(ScheduleSource)
+    keys = spark.readStream.format("exchange_schedule").options(worklist=path, key="key").load()
+
+    def fetch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        get = fetcher_of(fetcher)
+        for frame in frames:
+            pages = frame.assign(html=[get(where, k) for k in frame["key"]])
+            yield pages[pages["html"].notna()]
+
+    return keys.repartition(spark.sparkContext.defaultParallelism, "place").mapInPandas(fetch, "place long, key string, html string")
+
+
+@functools.lru_cache(maxsize=64)
+def _recorded(path: str) -> dict[tuple, str]:
+    rows = pa.concat_tables([read_file(f, ["key", "html"]) for f in files]) if (files := files_of(path)) else None
+    return dict(zip(rows.column("key").to_pylist(), rows.column("html").to_pylist(), strict=True)) if rows is not None else {}
+
+
+def record_pages(pages: DataFrame, shelves: int = 64) -> str:
+    """Keep pages (key string, html) where ``recorded_page`` finds them; returns the place. A
+    key's shelf follows from its hash."""
+    path = scratch_path(pages.sparkSession, "recorded")
+    shelf = F.pmod(F.crc32(F.col("key").cast("binary")), F.lit(shelves))
+    pages.select("key", "html", shelf.alias("shelf")).repartition("shelf").write.partitionBy("shelf").parquet(path)
+    return f"{path}?{shelves}"
+
+
+def recorded_page(where: str, *key: Any) -> str | None:
+    """A fetcher that answers from what ``record_pages`` kept, as if from the network; null for
+    a page that is not there."""
+    path, shelves = where.rsplit("?", 1)
+    name = "/".join(str(k) for k in key)
+    return _recorded(f"{path}/shelf={zlib.crc32(name.encode()) % int(shelves)}").get(name)

@@ -31,12 +31,14 @@ def stocks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STOCKS).json(path)
 
 
-def announcement_records(envelopes: DataFrame, column: str = "value") -> DataFrame:
+def announcement_records(envelopes: DataFrame, column: str = "value", order: str | None = None) -> DataFrame:
     """(raw map<string,string>) of JSON texts: a list of records, or one under ``d``. A map
-    tells an absent key from a null. Other shapes and broken texts have no records."""
+    tells an absent key from a null. Other shapes and broken texts have no records. ``order``
+    names a column for a record's place in its text."""
     inner = F.get_json_object(F.col(column), "$.d")
     text = F.coalesce(inner, F.col(column))
-    return envelopes.select(F.explode(F.from_json(text, "array<map<string,string>>")).alias("raw")).where("raw is not null")
+    found = envelopes.select(F.posexplode(F.from_json(text, "array<map<string,string>>")).alias(order or "_pos", "raw")).where("raw is not null")
+    return found if order else found.select("raw")
 
 
 def announcements(spark: SparkSession, path: str) -> DataFrame:
@@ -53,10 +55,11 @@ def report_rows(texts: DataFrame, kind: str = GAP_REPORT) -> DataFrame:
 
 
 def gap_report(spark: SparkSession, path: str, kind: str = GAP_REPORT) -> DataFrame:
-    """The rows of a report's file or folder; none if there is none."""
+    """The rows of a report's file or folder; none if there is none. A folder holds lines, a
+    map each, and is read line by line; a single file may be one document of many lines."""
     if not exists(spark, path):
         return report_rows(spark.createDataFrame([], "value string"), kind)
-    return report_rows(spark.read.text(path, wholetext=True), kind)
+    return report_rows(spark.read.text(path, wholetext=not is_folder(spark, path)), kind)
 
 
 def enriched(records: DataFrame, symbol: str | Column, scraped_at: str | Column) -> DataFrame:
@@ -93,11 +96,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop))
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hadoop).isDirectory())
+
+
 def audit_file(spark: SparkSession, path: str) -> DataFrame:
-    """Earlier audit records; none if there is no file yet or it is broken."""
+    """Earlier audit records; none if there is no file yet or it is broken. A folder holds
+    lines, each a list of records; a single file may be one list of many lines."""
     if not exists(spark, path):
         return spark.createDataFrame([], "raw map<string,string>")
-    return announcement_records(spark.read.text(path, wholetext=True))
+    return announcement_records(spark.read.text(path, wholetext=not is_folder(spark, path)))
 
 
 def reachable(spark: SparkSession, path: str) -> tuple[bool, str]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -11,12 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..functions.calendars import is_open
-from ..functions.html import market_watch_rows
 from ..functions.scalars import minute_floor
-from ..plans.jobs import watch_cycle
+from ..plans.jobs import watch_pages
 from ..sources.tables import Table
 
-LOCAL_SHIFT = pd.Timedelta(hours=5)
+LOCAL_SHIFT = dt.timedelta(hours=5)
 
 
 def snapshots(spark: SparkSession, path: str, schema: str, per_trigger: int = 16) -> DataFrame:
@@ -34,42 +35,59 @@ def minute_bars(stream: DataFrame, late: str = "48 hours") -> DataFrame:
     return watermarked.groupBy("symbol", F.window("scraped_at", "1 minute")).agg(F.max_by("volume", "scraped_at").alias("volume")).select("symbol", F.col("window.start").alias("bucket"), "volume")
 
 
+def plain(at: Any) -> dt.datetime:
+    return pd.Timestamp(at).to_pydatetime()
+
+
 class VolumeDelta(StatefulProcessor):
-    """Per symbol: two slots, the current minute and the one before it, so that a minute's
-    later snapshots are compared with the minute before. One row of state a symbol; a slot of
-    another local day counts for nothing, so that none needs to expire."""
+    """Per symbol a map of minutes to volumes. Of a batch's snapshots of a minute the last
+    counts; it overwrites what the minute held, also when later minutes are there already,
+    whose deltas stay as they were derived. With a time to live a minute is dropped that long
+    after it was written; else those behind the watermark go, but for the last of them."""
+
+    def __init__(self, ttl_hours: int | None = None):
+        self.ttl_hours = ttl_hours
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.slots = handle.getValueState("slots", "minute timestamp, volume long, last_minute timestamp, last_volume long")
+        lives = {} if self.ttl_hours is None else {"ttlDurationMs": int(self.ttl_hours * 3_600_000)}
+        self.minutes = handle.getMapState("minutes", "minute timestamp", "volume long", **lives)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        got = pd.concat(list(rows)).sort_values("scraped_at", kind="stable")
-        state = self.slots.get() if self.slots.exists() else None
-        minute, volume, last_minute, last_volume = state or (None, None, None, None)
-        out = []
-        for at, now in zip(got["scraped_at"], got["volume"]):
-            now, bucket = None if pd.isna(now) else int(now), pd.Timestamp(at).floor("min")
-            if minute is None or bucket > pd.Timestamp(minute):
-                last_minute, last_volume = minute, volume
-                minute, volume = bucket, now
-            elif bucket == pd.Timestamp(minute):
-                volume = now
-            else:
-                continue  # an older minute: nothing later is derived anew
-            same_day = last_minute is not None and (pd.Timestamp(last_minute) + LOCAL_SHIFT).date() == (bucket + LOCAL_SHIFT).date()
-            known = same_day and now is not None and last_volume is not None and now >= last_volume
-            out.append((key[0], bucket, now, now - last_volume if known else None))
-        plain = [None if t is None else pd.Timestamp(t).to_pydatetime() for t in (minute, last_minute)]
-        self.slots.update((plain[0], volume, plain[1], last_volume))
+        latest: dict[dt.datetime, tuple] = {}  # a minute's last snapshot; as many as minutes
+        for frame in rows:
+            for at, volume in zip(frame["scraped_at"], frame["volume"]):
+                now, minute = pd.Timestamp(at), plain(pd.Timestamp(at).floor("min"))
+                if minute not in latest or now >= latest[minute][0]:
+                    latest[minute] = (now, None if pd.isna(volume) else int(volume))
+        held = {plain(k[0]): None if v[0] is None or pd.isna(v[0]) else int(v[0]) for k, v in self.minutes.iterator()}
+        held |= {minute: volume for minute, (_, volume) in latest.items()}
+        known, out = sorted(held), []
+        for minute in sorted(latest):
+            place = bisect_left(known, minute)
+            last = known[place - 1] if place else None
+            volume, before = held[minute], held[last] if last else None
+            same_day = last is not None and (last + LOCAL_SHIFT).date() == (minute + LOCAL_SHIFT).date()
+            counts = same_day and volume is not None and before is not None and volume >= before
+            out.append((key[0], minute, volume, volume - before if counts else None))
+            self.minutes.updateValue((minute,), (volume,))
+        if self.ttl_hours is None:
+            behind = [m for m in known if m.replace(tzinfo=dt.UTC).timestamp() * 1000 < timerValues.getCurrentWatermarkInMs()]
+            for minute in behind[:-1]:
+                self.minutes.removeKey((minute,))
         yield pd.DataFrame(out, columns=["symbol", "bucket", "volume", "volume_delta"]).astype({"volume": "Int64", "volume_delta": "Int64"})
 
     def close(self) -> None:
         pass
 
 
-def volume_deltas(stream: DataFrame) -> DataFrame:
-    """(symbol, bucket, volume, volume_delta) of a stream (symbol, scraped_at, volume)."""
-    return stream.groupBy("symbol").transformWithStateInPandas(VolumeDelta(), "symbol string, bucket timestamp, volume long, volume_delta long", "Append", "None")
+def volume_deltas(stream: DataFrame, late: str = "48 hours", ttl_hours: int | None = None) -> DataFrame:
+    """(symbol, bucket, volume, volume_delta) of a stream (symbol, scraped_at, volume): a row
+    for each minute of each batch, which replaces an earlier one of its key. Snapshots later
+    than ``late`` are dropped; with ``ttl_hours`` none are, and minutes are kept that long."""
+    if ttl_hours is None:
+        stream = stream.withWatermark("scraped_at", late)
+    mode = "EventTime" if ttl_hours is None else "ProcessingTime"
+    return stream.groupBy("symbol").transformWithStateInPandas(VolumeDelta(ttl_hours), "symbol string, bucket timestamp, volume long, volume_delta long", "Append", mode)
 
 
 def stasis_cycles(rows: list[tuple[pd.Timestamp, int]], repeats: int = 3, minutes: int = 20, state: tuple | None = None) -> tuple[list[bool], tuple]:
@@ -89,28 +107,59 @@ def stasis_cycles(rows: list[tuple[pd.Timestamp, int]], repeats: int = 3, minute
 
 
 class Stasis(StatefulProcessor):
+    """Per market the run of equal totals, and the cycles that the watermark has not passed.
+
+    A timer at each cycle takes it in the order of time, whatever the order of arrival; a
+    timer at the end of the ``minutes`` reports the halt, whether a cycle comes or not. At
+    the same time a cycle comes first. One row of state a market, and the waiting cycles."""
+
     def __init__(self, repeats: int, minutes: int):
         self.repeats, self.minutes = repeats, minutes
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.run = handle.getValueState("run", "last long, n int, since timestamp")
+        self.waiting = handle.getMapState("waiting", "cycle_ts timestamp", "total long")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        got = pd.concat(list(rows)).sort_values("cycle_ts", kind="stable")
-        state = self.run.get() if self.run.exists() else None
-        if state is not None:
-            state = (state[0], state[1], None if state[2] is None or pd.isna(state[2]) else pd.Timestamp(state[2]))
-        halted, (last, n, since) = stasis_cycles(list(zip(map(pd.Timestamp, got["cycle_ts"]), map(int, got["total"]))), self.repeats, self.minutes, state)
-        self.run.update((last, n, None if since is None else since.to_pydatetime()))
-        yield pd.DataFrame({"market": key[0], "cycle_ts": got["cycle_ts"], "total": got["total"], "halted": halted})
+        for frame in rows:
+            for at, total in zip(frame["cycle_ts"], frame["total"]):
+                at = pd.Timestamp(at).floor("ms")
+                self.waiting.updateValue((plain(at),), (int(total),))
+                self.handle.registerTimer(int(at.value // 1_000_000))
+        return iter(())
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        now = pd.Timestamp(expiredTimerInfo.getExpiryTimeInMs(), unit="ms")
+        last, n, since = self.run.get() if self.run.exists() else (None, 0, None)
+        since = None if since is None or pd.isna(since) else pd.Timestamp(since)
+        out = []
+        if self.waiting.containsKey((plain(now),)):
+            total = int(self.waiting.getValue((plain(now),))[0])
+            self.waiting.removeKey((plain(now),))
+            n = n + 1 if total == last and total else int(bool(total))
+            last = total
+            since = now if n == self.repeats else since if n > self.repeats else None
+            out.append((key[0], now, total, False))
+        due = None if since is None else since + pd.Timedelta(minutes=self.minutes)
+        if due is not None and due > max(now, pd.Timestamp(timerValues.getCurrentWatermarkInMs(), unit="ms")):
+            self.handle.registerTimer(int(due.value // 1_000_000))
+        elif due is not None and not any(pd.Timestamp(k[0]) <= due for k in self.waiting.keys()):
+            out.append((key[0], due, last, True))
+            last, n, since = None, 0, None
+        self.run.update((last, n, None if since is None else plain(since)))
+        yield pd.DataFrame(out, columns=["market", "cycle_ts", "total", "halted"])
 
     def close(self) -> None:
         pass
 
 
-def halts(cycles: DataFrame, repeats: int = 3, minutes: int = 20) -> DataFrame:
-    """(market, cycle_ts, total, halted) of a stream (market, cycle_ts, total)."""
-    return cycles.groupBy("market").transformWithStateInPandas(Stasis(repeats, minutes), "market string, cycle_ts timestamp, total long, halted boolean", "Append", "None")
+def halts(cycles: DataFrame, repeats: int = 3, minutes: int = 20, late: str = "0 seconds") -> DataFrame:
+    """(market, cycle_ts, total, halted) of a stream (market, cycle_ts, total): a row for each
+    cycle that the watermark, ``late`` behind the last cycle of any market, has passed, and
+    one with ``halted`` at the time of each report, whether or not there is a cycle then."""
+    marked = cycles.withWatermark("cycle_ts", late)
+    return marked.groupBy("market").transformWithStateInPandas(Stasis(repeats, minutes), "market string, cycle_ts timestamp, total long, halted boolean", "Append", "EventTime")
 
 
 def write_upserts(stream: DataFrame, table: Table, checkpoint: str, order: str = "scraped_at", trigger: dict | None = None, after: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
@@ -132,7 +181,7 @@ def poll_watch(pages: DataFrame, table: Table, checkpoint: str, trigger: dict |
     and keyed upserts; ``report`` gets each cycle's counts."""
 
     def put(batch: DataFrame, number: int) -> None:
-        done = watch_cycle(market_watch_rows(batch), table)
+        done = watch_pages(batch, table)
         if report:
             report(done)
 

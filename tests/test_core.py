@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import time
 
 import pandas as pd
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from equitylake import schemas
 from equitylake.functions import calendars, filters, html, scalars
-from equitylake.operators import corporate, coverage, gaps, history, instruments, intraday, store
+from equitylake.operators import corporate, coverage, gaps, history, instruments, intraday, ranks, store
 from equitylake.sources import pages, readers, tables
 from equitylake.streaming import intraday as streaming
 
@@ -141,15 +142,43 @@ def test_table_upsert(spark, tmp_path):
     assert store.repeated_keys(table.read(), ["symbol", "date"]).isEmpty()
 
 
-def fetch(symbol, year, month):
-    return None if month == 2 else f"<p>{symbol}</p>"
+RECORDED = "equitylake.sources.pages:recorded_page"
 
 
 def test_page_source(spark):
-    reader = pages.PageReader({"symbols": "A,B", "start": "2025-12-05", "end": "2026-02-01", "fetcher": "test_core:fetch"})
-    rows = [r for p in reader.partitions() for r in reader.read(p)]
-    assert [r[:3] for r in rows] == [("A", 2025, 12), ("A", 2026, 1), ("B", 2025, 12), ("B", 2026, 1)]
-    assert pages.fetched_pages(spark, [], "2026-01-01", "2026-01-31", "x:y").count() == 0
+    ranges = spark.createDataFrame([("A", D(2025, 12, 5), D(2026, 2, 1)), ("A", D(2026, 1, 1), D(2026, 1, 2)), ("B", D(2026, 1, 31), D(2026, 1, 31)), ("C", D(2026, 2, 2), D(2026, 2, 1))], "symbol string, start date, end date")
+    worklist = pages.months_to_fetch(ranges)
+    assert sorted(tuple(r) for r in worklist.collect()) == [("A", 2025, 12), ("A", 2026, 1), ("A", 2026, 2), ("B", 2026, 1)]
+    held = [("A/2025/12", "a"), ("A/2026/1", "b"), ("B/2026/1", "c"), ("B/2026/2", "d")]
+    where = pages.record_pages(spark.createDataFrame(held, "key string, html string"), 3)
+    found = pages.fetched_pages(worklist, RECORDED, where, 3)
+    assert sorted(tuple(r) for r in found.collect()) == [("A", 2025, 12, "a"), ("A", 2026, 1, "b"), ("B", 2026, 1, "c")]
+    asked = found.where("symbol = 'A' and year >= 2026 and month in (1, 2) and html <> ''")
+    assert [tuple(r) for r in asked.collect()] == [("A", 2026, 1, "b")]
+    plan = asked._jdf.queryExecution().executedPlan().toString()
+    assert "html" in plan and "2026" not in plan and " IN " not in plan  # Spark is left with the html's filter
+    assert pages.fetched_pages(worklist.where("false"), RECORDED, where).isEmpty()
+
+
+def test_pushed_filters_spare_fetches(spark, tmp_path):
+    from pyspark.sql.datasource import EqualTo, GreaterThan, In, IsNotNull
+
+    spark.createDataFrame([("A", 2025, 1), ("A", 2026, 1), ("B", 2026, 1)], "symbol string, year int, month int").coalesce(1).write.parquet(str(tmp_path / "w"))
+    reader = pages.PageReader({"worklist": f"file://{tmp_path}/w", "fetcher": RECORDED})
+    left = list(reader.pushFilters([EqualTo(("symbol",), "A"), GreaterThan(("year",), 2025), In(("month",), (1,)), EqualTo(("html",), "x"), IsNotNull(("year",))]))
+    assert [f.attribute for f in left] == [("html",), ("year",)]
+    assert [k for part in reader.partitions() for k in reader.wanted(part.path)] == [("A", 2026, 1)]
+
+
+def test_schedule_finds_a_batch_again(spark, tmp_path):
+    path = pages.schedule(spark.range(10).withColumnRenamed("id", "page_id"), "page_id", 4, f"file://{tmp_path}/s")
+    reader = pages.ScheduleReader({"worklist": path, "key": "key"})
+    first, end = reader.read(reader.initialOffset())
+    assert sorted(first) == [(k, str(k)) for k in range(4)] and end == {"chunk": 1}
+    second, end = reader.read(end)
+    rest, last = reader.read(end)
+    assert sorted([*second, *rest]) == sorted(reader.readBetweenOffsets({"chunk": 1}, {"chunk": 3})) == [(k, str(k)) for k in range(4, 10)]
+    assert list(reader.read(last)[0]) == [] and reader.read(last)[1] == last == {"chunk": 3}
 
 
 def test_filters(spark):
@@ -227,14 +256,64 @@ def test_table_versions(spark, tmp_path):
     assert [tuple(r) for r in nulls.read().collect()] == [("A", None, 5)]
 
 
+def partitioned(spark, path):
+    table = tables.Table(spark, path, "symbol string, x int, day date", ["symbol", "day"], ["day"])
+    return table, lambda *v: spark.createDataFrame(list(v), "symbol string, x int, day date")
+
+
 def test_partitioned_upsert_leaves_other_partitions(spark, tmp_path):
-    table = tables.Table(spark, str(tmp_path / "t"), "symbol string, x int, day date", ["symbol", "day"], ["day"])
-    rows = lambda *v: spark.createDataFrame(list(v), "symbol string, x int, day date")
-    assert table.upsert(rows(("A", 1, D(2026, 1, 1)), ("A", 2, D(2026, 1, 2))), "2026-01-01") == (2, 0)
-    before = {p.name for p in (tmp_path / "t" / "day=2026-01-01").glob("*.parquet")}
+    table, rows = partitioned(spark, str(tmp_path / "t"))
+    assert table.upsert(rows(("A", 1, D(2026, 1, 1)), ("A", 2, D(2026, 1, 2)), ("N", 9, None)), "2026-01-01") == (3, 0)
+    before = table.manifest(1)
+    assert set(before) == {("2026-01-01",), ("2026-01-02",), (None,)}
     assert table.upsert(rows(("A", 3, D(2026, 1, 2)), ("B", 4, D(2026, 1, 2))), "2026-01-02") == (1, 1)
-    assert {p.name for p in (tmp_path / "t" / "day=2026-01-01").glob("*.parquet")} == before
-    assert sorted((r["symbol"], r["x"]) for r in table.read().collect()) == [("A", 1), ("A", 3), ("B", 4)]
+    after = table.manifest(2)
+    assert {k for k in after if after[k] == before.get(k)} == {("2026-01-01",), (None,)}
+    assert sorted((r["symbol"], r["x"]) for r in table.read().collect()) == [("A", 1), ("A", 3), ("B", 4), ("N", 9)]
+    assert sorted(r["x"] for r in table.read(1).collect()) == [1, 2, 9]
+    assert [r["x"] for r in table.read(partitions=lambda v: v == ("2026-01-01",)).collect()] == [1]
+    assert table.upsert(rows(("N", 8, None)), "2026-01-03") == (0, 1)
+    assert table.versions() == [2, 3] and sorted(r["x"] for r in table.read().collect()) == [1, 3, 4, 8]
+    held = {p.name for p in (tmp_path / "t" / "data").iterdir()}
+    assert held >= {f.split("/")[0] for v in (2, 3) for f in table.manifest(v).values()}
+    table.replace(rows(("Z", 0, D(2027, 1, 1))))
+    assert [tuple(r) for r in table.read().collect()] == [("Z", 0, D(2027, 1, 1))]
+
+
+def test_a_crash_leaves_the_version_before(spark, tmp_path, monkeypatch):
+    table, rows = partitioned(spark, str(tmp_path / "t"))
+    table.upsert(rows(("A", 1, D(2026, 1, 1))), "2026-01-01")
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(table, "_commit", crash)
+    with pytest.raises(RuntimeError, match="lost"):
+        table.upsert(rows(("A", 2, D(2026, 1, 1)), ("B", 3, D(2026, 1, 2))), "2026-01-02")
+    again, _ = partitioned(spark, str(tmp_path / "t"))
+    assert [(r["symbol"], r["x"]) for r in again.read().collect()] == [("A", 1)]
+    assert again.upsert(rows(("B", 3, D(2026, 1, 2))), "2026-01-02") == (1, 0)
+    assert sorted(r["x"] for r in again.read().collect()) == [1, 3]
+
+
+def test_of_two_writers_one_fails(spark, tmp_path, monkeypatch):
+    one, rows = partitioned(spark, str(tmp_path / "t"))
+    two, _ = partitioned(spark, str(tmp_path / "t"))
+    one.upsert(rows(("A", 1, D(2026, 1, 1))), "2026-01-01")
+    write = two._write_partitions
+
+    def meanwhile(frame):
+        made = write(frame)
+        one.upsert(rows(("A", 2, D(2026, 1, 1))), "2026-01-02")  # ends first
+        return made
+
+    monkeypatch.setattr(two, "_write_partitions", meanwhile)
+    with pytest.raises(tables.Conflict):
+        two.upsert(rows(("A", 3, D(2026, 1, 1))), "2026-01-03")
+    assert [r["x"] for r in one.read().collect()] == [2] and one.versions() == [1, 2]
+    assert {p.name for p in (tmp_path / "t" / "data").iterdir()} == {f.split("/")[0] for v in (1, 2) for f in one.manifest(v).values()}
+    monkeypatch.setattr(two, "_write_partitions", write)
+    assert two.upsert(rows(("A", 3, D(2026, 1, 1))), "2026-01-03") == (0, 1)
 
 
 def drain(query):
@@ -282,9 +361,162 @@ def test_market_watch_job(spark, tmp_path):
     assert [(r["symbol_count"], r["total_volume"], r["inserted"], r["updated"]) for r in reports] == [(1, 100, 1, 0), (1, 150, 1, 0), (1, 140, 1, 0)]
 
 
-def test_page_source_by_format(spark):
-    found = pages.fetched_pages(spark, ["A"], "2026-06-10", "2026-09-01", "equitylake.sources.sample:month_page")
-    assert {(r["symbol"], r["month"]) for r in found.collect()} == {("A", 6), ("A", 7), ("A", 9)}
+def test_numbering_is_a_permutation_at_size(spark):
+    rows = spark.range(3_000_000, numPartitions=16).select((F.xxhash64("id") % 100_000).alias("symbol"), "id", F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    placed = ranks.numbered(rows, [F.col("symbol").asc(), F.col("id").asc()])
+    found = placed.agg(F.count("*"), F.countDistinct("rank"), F.min("rank"), F.max("rank"), F.countDistinct("id")).first()
+    assert tuple(found) == (3_000_000, 3_000_000, 0, 2_999_999, 3_000_000)
+    both = placed.select("rank", "symbol", "id")
+    later = both.select((F.col("rank") - 1).alias("rank"), F.col("symbol").alias("s"), F.col("id").alias("i"))
+    assert both.join(later, "rank").where("struct(symbol, id) > struct(s, i)").isEmpty()
+
+
+def test_numbering_of_ties_and_nothing(spark):
+    rows = spark.createDataFrame([("A", {"k": 1})] * 50 + [("B", None), (None, None)], "symbol string, m map<string,int>")
+    assert sorted(r["rank"] for r in ranks.numbered(rows, [F.col("symbol").asc()]).collect()) == list(range(52))
+    assert ranks.numbered(rows.where("false"), [F.col("symbol").asc()]).isEmpty()
+
+
+def test_missing_spans_are_those_of_all_dates(spark):
+    rng = random.Random(6)
+    first = D(2026, 1, 5)
+    calendar = [first + dt.timedelta(days=k) for k in range(120) if (first + dt.timedelta(days=k)).weekday() < 5 and not 30 <= k <= 44]
+    held = {s: {d for d in calendar if rng.random() < p} for s, p in (("A", 0.5), ("B", 0.95), ("C", 0.1), ("D", 0), ("E", 1))}
+    history = spark.createDataFrame([(s, d) for s in held for d in held[s]] + [("A", D(2030, 1, 1)), ("X", first), (None, first)], "symbol string, date date")
+    symbols = spark.createDataFrame([(s,) for s in held] + [(None,)], "symbol string")
+    days = spark.createDataFrame([(d,) for d in calendar], "date date")
+    missing = {(s, d) for s in held for d in calendar if d not in held[s]}
+    assert {tuple(r) for r in gaps.missing_dates(symbols, days, history).collect()} == missing
+    frame = spark.createDataFrame(sorted(missing), "symbol string, date date")
+    for threshold in (0, 3):
+        ranges = gaps.missing_ranges(gaps.missing_spans(symbols, days, history), threshold)
+        assert {tuple(r) for r in ranges.collect()} == {tuple(r) for r in gaps.missing_ranges(frame, threshold).collect()}
+    assert "Cartesian" not in ranges._jdf.queryExecution().toString() and "NestedLoop" not in ranges._jdf.queryExecution().executedPlan().toString()
+    assert gaps.missing_spans(symbols, days.where("false"), history).isEmpty()
+
+
+def test_days_outside_ranges(spark):
+    rng = random.Random(9)
+    day = lambda: D(2026, 1, 1) + dt.timedelta(days=rng.randrange(200))
+    ranges = [(rng.choice("AB"), a, a + dt.timedelta(days=rng.randrange(-3, 50))) for a in (day() for _ in range(20))] + [("A", None, D(2026, 1, 1)), ("B", D(2026, 1, 1), None)]
+    days = [(m, D(2026, 1, 1) + dt.timedelta(days=k)) for m in "ABC" for k in range(260)] + [("A", None)]
+    closed = lambda m, d: d is not None and any(r[0] == m and r[1] and r[2] and r[1] <= d <= r[2] for r in ranges)
+    frame = spark.createDataFrame(ranges, "market string, start date, end date")
+    left = calendars.outside(spark.createDataFrame(days, "market string, date date"), frame, ["market"])
+    assert {tuple(r) for r in left.collect()} == {d for d in days if not closed(*d)}
+    assert "NestedLoop" not in left._jdf.queryExecution().executedPlan().toString()
+    for r in calendars.merged_ranges(frame, ["market"]).collect():
+        assert all(closed(r["market"], r["start"] + dt.timedelta(days=k)) for k in range((r["end"] - r["start"]).days + 1)) and r["start"].month == r["end"].month
+    assert calendars.business_calendar(spark, "2026-01-05", "2026-01-16", frame.where("false").drop("market")).count() == 10
+    assert calendars.business_calendar(spark, "2026-01-05", "2026-01-16", [("2026-01-06", "2026-01-07"), ("2026-01-07", "2026-01-08")]).count() == 7
+
+
+@pytest.mark.parametrize("tolerance", [0, 7, 365])
+def test_nearest_match_with_ties_and_eras(spark, tolerance):
+    rng = random.Random(tolerance)
+    day = lambda: D(2015, 1, 1) + dt.timedelta(days=rng.randrange(5000))
+    records = [(k, rng.choice("AB"), day()) for k in range(300)] + [(900, "A", None), (901, None, D(2020, 1, 1)), (902, "Z", D(2020, 1, 1))]
+    held = [(rng.choice("AB"), day(), float(rng.randrange(3))) for _ in range(200)]
+    held += [(s, d, a + 1) for s, d, a in held[:50]] + [(s, d, 5.0) for _, s, d in records[:20]]
+    found = corporate.nearest_match(spark.createDataFrame(records, "rid int, symbol string, exDate date"), spark.createDataFrame(held, "symbol string, exDate date, amount double"), tolerance).collect()
+    assert len(found) == len(records)
+    for r in found:
+        near = sorted((abs((d - r["exDate"]).days), d, a) for s, d, a in held if r["exDate"] and s == r["symbol"] and abs((d - r["exDate"]).days) <= tolerance)
+        assert (r["date_diff"], r["db_date"], r["db_amount"]) == (near[0] if near else (None, None, None))
+
+
+def test_null_keys_meet(spark):
+    schema = "symbol string, exDate date, n int"
+    target = spark.createDataFrame([("A", None, 1)], schema)
+    source = spark.createDataFrame([("A", None, 2), (None, None, 4), (None, None, 3), ("B", D(2026, 1, 1), 6), ("B", D(2026, 1, 1), 5)], schema)
+    kept = store.insert_ignore(target, source, ["symbol", "exDate"], F.col("n"))
+    assert sorted(r["n"] for r in kept.collect()) == [1, 3, 5]
+    stored = spark.createDataFrame([("A", D(2026, 5, 1), 1), (None, D(2026, 5, 1), 2), ("C", D(2026, 5, 1), 3)], schema)
+    left = store.delete_orphans(stored, stored.where("n <> 3"), ["symbol", "exDate"], "2026-01-01", "x", F.lit("x"))
+    assert sorted(r["n"] for r in left.collect()) == [1, 2]
+
+
+def test_rejects_tell_why(spark):
+    good = "<td data-order='S'>S</td>" + "<td data-order='1'>x</td>" * 10
+    page = f"<tr><th>h</th></tr><tr>{good}</tr><tr><td>U</td><td>801</td></tr><tr>{good.replace('S', '')}</tr>"
+    parsed = html.market_watch_parsed(spark.createDataFrame([(page, dt.datetime(2026, 1, 1)), (None, None)], "html string, scraped_at timestamp"))
+    assert [r["symbol"] for r in html.good_rows(parsed).collect()] == ["S"]
+    assert sorted((r["reason"], r["symbol"], len(r["texts"])) for r in html.rejected_rows(parsed).collect()) == [("cells", "U", 2), ("symbol", "", 11)]
+
+
+def test_deeply_nested_company_page(spark):
+    page = "<p>" * 3000 + "<b>" * 3000 + quote_page("Rs.1.00", stat("Open", "410.00") + "<i>" * 5000 + stat("Volume", "7"))
+    assert html.quote_texts(page)["open"] == "410.00" and html.quote_texts(page)["volume"] == "7"
+    found = html.company_quotes(spark.createDataFrame([("A", page, dt.datetime(2026, 1, 1)), ("B", quote_page("Rs.2.00"), dt.datetime(2026, 1, 1))], "symbol string, html string, scraped_at timestamp"))
+    assert {(r["symbol"], r["price"]) for r in found.collect()} == {("A", 1.0), ("B", 2.0)}
+
+
+def test_stasis_of_one_sequence_is_that_of_one_market(spark, monkeypatch):
+    monkeypatch.setattr(intraday, "BLOCK", 7)
+    rng = random.Random(1)
+    rows = [(dt.datetime(2026, 1, 5) + dt.timedelta(minutes=5 * k), rng.choice([0, 4, 4, 4, 5])) for k in range(200)] + [(dt.datetime(2026, 1, 6) + dt.timedelta(minutes=k), 8) for k in range(90)]
+    frame = spark.createDataFrame(rows, "cycle_ts timestamp, total long")
+    alone = intraday.stasis(frame, 3, 20).select("cycle_ts", "total", "run_start", "stale")
+    together = intraday.stasis(frame.withColumn("m", F.lit(1)), 3, 20, "m").select("cycle_ts", "total", "run_start", "stale")
+    assert sorted(map(tuple, alone.collect()), key=str) == sorted(map(tuple, together.collect()), key=str)
+    assert alone.where("stale").count() > 60
+
+
+def test_long_lists_of_a_range_are_parted(spark):
+    ranges = spark.createDataFrame([(s, D(2026, 1, 1), D(2026, 1, 9)) for s in "ABCDE"] + [("A", D(2026, 2, 1), D(2026, 2, 2))], "symbol string, start date, end date")
+    found = gaps.ranges_to_symbols(ranges, 2, 2).orderBy("part").collect()
+    assert [(r["n_symbols"], r["part"], r["symbols"]) for r in found] == [(5, 0, "A,B"), (5, 1, "C,D"), (5, 2, "E")]
+    report = spark.createDataFrame([("C", 0), ("A", 1), ("B", 2), ("A", 3)], "symbol string, pos int")
+    assert {r["symbol"] for r in gaps.first_symbols(report, 2, "pos").collect()} == {"A", "C"} and {r["symbol"] for r in gaps.first_symbols(report, 2).collect()} == {"A", "B"}
+
+
+def streamed(spark, tmp_path, make, schema, *batches):
+    """The stream's rows after each batch of input, one run a batch, the same checkpoint."""
+    out = []
+    for rows in batches:
+        spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = make(spark.readStream.schema(schema).parquet(str(tmp_path / "in")))
+        drain(stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start())
+        out.append(sorted(tuple(r) for r in spark.read.schema(stream.schema).parquet(str(tmp_path / "out")).collect()))
+    return out
+
+
+SNAPSHOT = "symbol string, scraped_at timestamp, volume long"
+
+
+def snapshot(t, volume):
+    return ("A", dt.datetime.fromisoformat(f"2026-01-05 {t}"), volume)
+
+
+def test_late_snapshots_overwrite_their_minute(spark, tmp_path):
+    at = lambda t: dt.datetime.fromisoformat(f"2026-01-05 {t}")
+    first, second, third = streamed(
+        spark, tmp_path, lambda s: streaming.volume_deltas(s, "10 minutes"), SNAPSHOT,
+        [snapshot("05:03:00", 130), snapshot("05:01:30", 110), snapshot("05:01:10", 100)], [snapshot("05:02:00", 125), snapshot("05:30:00", 150)], [snapshot("05:04:00", 1), snapshot("05:31:00", 170)],
+    )
+    assert first == [("A", at("05:01:00"), 110, None), ("A", at("05:03:00"), 130, 20)]
+    assert set(second) - set(first) == {("A", at("05:02:00"), 125, 15), ("A", at("05:30:00"), 150, 20)}
+    assert set(third) - set(second) == {("A", at("05:31:00"), 170, 20)}  # 05:04 is behind the watermark
+
+
+def test_minutes_expire(spark, tmp_path):
+    def later(stream):
+        time.sleep(3)
+        return streaming.volume_deltas(stream, ttl_hours=2 / 3600)
+
+    first, second = streamed(spark, tmp_path, later, SNAPSHOT, [snapshot("05:01:00", 100)], [snapshot("05:02:00", 110), snapshot("05:03:00", 125)])
+    assert [r[3] for r in second] == [None, None, 15] and len(first) == 1
+
+
+def test_a_halt_is_reported_without_a_cycle(spark, tmp_path):
+    at = lambda m: dt.datetime(2026, 1, 5) + dt.timedelta(minutes=m)
+    cycles = lambda market, *ms: [(market, at(m), 5) for m in ms]
+    first, second = streamed(
+        spark, tmp_path, lambda s: streaming.halts(s, 3, 20, "5 minutes"), "market string, cycle_ts timestamp, total long",
+        [*cycles("M", 4, 0, 2), *cycles("N", 1)], [*cycles("N", 40), ("M", at(39), 6)],
+    )
+    assert [r for r in first if r[3]] == []
+    assert [r for r in second if r[3]] == [("M", at(24), 5, True)]
 
 
 def test_repeated_symbols_and_orderless_keys(spark):
