@@ -95,7 +95,7 @@ def market_watch_rejects(spark, sf):
     return found.select("symbol", "reason", F.size("texts").alias("n_cells"), F.col("texts")[1].alias("sector_code"))
 
 
-@query("""WITH p AS (SELECT user_id, max(ts) AS at FROM events GROUP BY user_id), r AS (SELECT e.*, at, hour(at) < 12 AS early, event_id % 7 <> 0 AND event_id % 11 <> 0 AS good FROM events e JOIN p USING (user_id))
+@query("""WITH p AS (SELECT user_id, max(ts) AS scraped FROM events GROUP BY user_id), r AS (SELECT e.*, hour(scraped) < 12 AS early, event_id % 7 <> 0 AND event_id % 11 <> 0 AS good FROM events e JOIN p USING (user_id))
   SELECT CASE WHEN early THEN 1 ELSE 2 END AS cycle, count(*) FILTER (WHERE good) AS symbol_count, CAST(coalesce(sum(event_id * 10) FILTER (WHERE good), 0) AS BIGINT) AS total_volume, count(*) FILTER (WHERE NOT good) AS rejected,
     count(*) FILTER (WHERE good) AS inserted, CAST(0 AS BIGINT) AS updated FROM r GROUP BY early
   UNION ALL SELECT 3, count(*) FILTER (WHERE good), CAST(coalesce(sum(event_id * 10) FILTER (WHERE good), 0) AS BIGINT), count(*) FILTER (WHERE NOT good), 0, count(*) FILTER (WHERE good) FROM r WHERE NOT early""")
@@ -485,14 +485,15 @@ def session_ends(spark, sf):
     return table(spark, sf, "events").select("event_id", calendars.session_close(ts).alias("closes"), calendars.backoff_seconds(ts, 20).cast("bigint").alias("wait"))
 
 
-def _drained(stream: DataFrame, out: str | None = None) -> DataFrame:
+def _drained(stream: DataFrame, out: str | None = None, **trigger: bool) -> DataFrame:
     """What a stream has written to ``out`` when its input ends; it goes on from where an
-    earlier run there ended."""
+    earlier run there ended. State by processing time has always another batch to run: such
+    a stream takes ``once=True``."""
     spark, key = stream.sparkSession, "spark.sql.streaming.stateStore.providerClass"
     before, out = spark.conf.get(key, None), out or scratch_path(spark, "streamed")
     spark.conf.set(key, SETTINGS[key])
     try:
-        stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
+        stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(**(trigger or {"availableNow": True})).start().awaitTermination()
     finally:
         spark.conf.set(key, before) if before else spark.conf.unset(key)
     return spark.read.schema(stream.schema).parquet(f"{out}/rows")
@@ -527,7 +528,7 @@ def streamed_with_ttl(spark, sf):
 
     path = scratch_path(spark, "snapshots")
     _snapshots(spark, sf).drop("seq").repartition("symbol").write.parquet(path)
-    found = _drained(volume_deltas(snapshots(spark, path, _SNAPSHOTS), ttl_hours=48))
+    found = _drained(volume_deltas(snapshots(spark, path, _SNAPSHOTS, 100_000), ttl_hours=48), once=True)
     return found.withColumn("symbol", F.col("symbol").cast("bigint"))
 
 
@@ -567,12 +568,12 @@ _HALTS = """c AS (SELECT event_type AS market, date_trunc('hour', ts) AS cycle_t
   r AS (SELECT *, sum(chg) OVER (PARTITION BY market ORDER BY cycle_ts) AS run FROM f),
   runs AS (SELECT market, run, any_value(total) AS total, max(nxt) AS ends, list(cycle_ts ORDER BY cycle_ts) AS ats FROM r WHERE total <> 0 GROUP BY market, run),
   reports AS (
-    SELECT market, run, total, ends, ats, ats[3] + INTERVAL 240 MINUTE AS at FROM runs WHERE len(ats) >= 3
-    UNION ALL SELECT market, run, total, ends, ats, list_filter(ats, lambda x: x > at)[3] + INTERVAL 240 MINUTE FROM reports
-      WHERE (ends IS NULL OR ends > at) AND len(list_filter(ats, lambda x: x > at)) >= 3)"""
+    SELECT market, run, total, ends, ats, ats[3] + INTERVAL 240 MINUTE AS reported FROM runs WHERE len(ats) >= 3
+    UNION ALL SELECT market, run, total, ends, ats, list_filter(ats, lambda x: x > reported)[3] + INTERVAL 240 MINUTE FROM reports
+      WHERE (ends IS NULL OR ends > reported) AND len(list_filter(ats, lambda x: x > reported)) >= 3)"""
 
 
-@query(f"""WITH RECURSIVE {_HALTS} SELECT market, at AS reported_at, total FROM reports WHERE (ends IS NULL OR ends > at) AND at <= (SELECT max(cycle_ts) FROM c)""")
+@query(f"""WITH RECURSIVE {_HALTS} SELECT market, reported AS reported_at, total FROM reports WHERE (ends IS NULL OR ends > reported) AND reported <= (SELECT max(cycle_ts) FROM c)""")
 def streamed_halts(spark, sf):
     """Cycles in files of any order, within the lateness; halts are reported by the clock of
     the stream, whether a cycle comes then or not."""

@@ -317,8 +317,9 @@ def test_of_two_writers_one_fails(spark, tmp_path, monkeypatch):
 
 
 def drain(query):
-    query.awaitTermination(120)
-    assert query.exception() is None
+    ended = query.awaitTermination(120)
+    query.stop()
+    assert ended and query.exception() is None
 
 
 def test_streamed_upserts_and_bars(spark, tmp_path):
@@ -470,13 +471,13 @@ def test_long_lists_of_a_range_are_parted(spark):
     assert {r["symbol"] for r in gaps.first_symbols(report, 2, "pos").collect()} == {"A", "C"} and {r["symbol"] for r in gaps.first_symbols(report, 2).collect()} == {"A", "B"}
 
 
-def streamed(spark, tmp_path, make, schema, *batches):
+def streamed(spark, tmp_path, make, schema, *batches, **trigger):
     """The stream's rows after each batch of input, one run a batch, the same checkpoint."""
     out = []
     for rows in batches:
         spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         stream = make(spark.readStream.schema(schema).parquet(str(tmp_path / "in")))
-        drain(stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start())
+        drain(stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(**(trigger or {"availableNow": True})).start())
         out.append(sorted(tuple(r) for r in spark.read.schema(stream.schema).parquet(str(tmp_path / "out")).collect()))
     return out
 
@@ -504,7 +505,7 @@ def test_minutes_expire(spark, tmp_path):
         time.sleep(3)
         return streaming.volume_deltas(stream, ttl_hours=2 / 3600)
 
-    first, second = streamed(spark, tmp_path, later, SNAPSHOT, [snapshot("05:01:00", 100)], [snapshot("05:02:00", 110), snapshot("05:03:00", 125)])
+    first, second = streamed(spark, tmp_path, later, SNAPSHOT, [snapshot("05:01:00", 100)], [snapshot("05:02:00", 110), snapshot("05:03:00", 125)], once=True)
     assert [r[3] for r in second] == [None, None, 15] and len(first) == 1
 
 
