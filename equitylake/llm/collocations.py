@@ -1,17 +1,20 @@
 """Phrase collocations by vertical positional inverted lists.
 
-A block is some megabytes of one language's documents. Its inverted lists are a table: for
-each different word the ascending places at which it stands; places count on over pieces
-and documents, with a gap between them, so that neighbours of one piece alone are one
-apart. Phrases grow by a word at a time: the list of a phrase is merged with the list of
-the place after each of its places, and what both hold is the longer phrase's list. Its
-length is the phrase's exact frequency in the block; blocks' frequencies add up.
-
-Only phrases of ``LEAST`` occurrences are extended, and only by words and phrases that are
-as frequent themselves, as no other can reach it. Frequent words and phrases are numbered;
-those of a block come to it by a join on the block, a row for each different one in it, so
-that no vocabulary is collected or broadcast, and rows of a frequent word are as many as
-blocks. A block's merges are done at once: its lists in the order of their places.
+A block is some megabytes of one language's documents. It has an inverted list for each
+different word: the ascending places at which it stands; places count on over pieces and
+documents, with a gap between them, so that neighbours of one piece alone are one apart.
+Phrases grow by a word at a time: the list of a phrase is merged with the list of the place
+after each of its places, and what both hold is the longer phrase's list. Its length is the
+phrase's exact frequency in the block; blocks' frequencies add up. A block's merges are done
+at once: its lists in the order of their places. Blocks are made where documents are read,
+once for each length of phrase; lists never leave them, only counts do.
+
+Only phrases of ``LEAST`` occurrences need be extended, and only by phrases that are as
+frequent themselves. Which these are every task learns from a Bloom filter of the frequent
+words, then pairs: of at most ``MOST_BITS`` bits, whatever the vocabulary. What it lets pass
+by mistake costs a count and changes none, as a frequent phrase has frequent parts only.
+A word's key is a 64-bit hash of language and word, which no other word of the corpus has:
+that is looked up, and another seed taken if it is not so.
 
 Scores are integers of decimals of 38 digits, divided exactly. The first ``MOST`` of a
 language are taken from the first of each of its salts.
@@ -27,14 +30,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import narrow_batches, read_table, salt_of, staged
+from .minhash import mixed
 
 LEAST = 10
 MOST = 2000
 BLOCK_BYTES = 8_000_000
+MOST_BITS = 1 << 29
 SALTS = 32
 BREAK = "\n"  # of pieces; no word holds it
 Lists = tuple[np.ndarray, np.ndarray]  # places in ascending order, and what stands at each
@@ -54,63 +61,88 @@ def inverted_lists(texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return tokens.dictionary.filter(pa.array(keep)), counts[keep], order[np.repeat(keep, counts)]
 
 
-def blocks_of(docs: DataFrame) -> DataFrame:
-    """(block, word_no, lang, word, n, places): the inverted lists of documents (text, lang).
-    ``places`` holds little-endian 32-bit integers."""
+def keys_of(lang: str, words: pa.Array, seed: int) -> np.ndarray:
+    """Each word's key, as a signed number."""
+    begin = lang.encode() + b"\0"
+    digest = xxhash.xxh3_64_intdigest
+    return np.array([digest(begin + w.as_buffer().to_pybytes(), seed) for w in words.cast(pa.binary())], np.uint64).view(np.int64)
+
+
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[str]]]:
+    """(lang, texts): some megabytes of one language at a time."""
+    held: dict[str, list[str]] = {}
+    sizes: dict[str, int] = {}
+    for batch in batches:
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            held.setdefault(lang, []).append(text)
+            sizes[lang] = sizes.get(lang, 0) + len(text)
+            if sizes[lang] > BLOCK_BYTES:
+                sizes.pop(lang)
+                yield lang, held.pop(lang)
+        while sum(sizes.values()) > 2 * BLOCK_BYTES:
+            lang = max(sizes, key=sizes.__getitem__)
+            sizes.pop(lang)
+            yield lang, held.pop(lang)
+    yield from held.items()
+
+
+def plain_documents(docs: DataFrame) -> DataFrame:
+    narrow_batches(docs.sparkSession)
+    return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+
+
+def word_counts(docs: DataFrame, seed: int) -> DataFrame:
+    """(lang, word, key, n) of documents (text, lang): every word, staged."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[str]] = {}
-        sizes: dict[str, int] = {}
-        first, number = None, 0
+        for lang, texts in blocks(batches):
+            words, counts, _ = inverted_lists(texts)
+            whole = pa.RecordBatch.from_arrays([pa.array([lang] * len(words), pa.string()), words, pa.array(keys_of(lang, words, seed)), pa.array(counts.astype(np.int64))], names=["lang", "word", "key", "n"])
+            for k in range(0, len(words), 65536):
+                yield whole.slice(k, 65536)
 
-        def block(lang: str) -> Iterator[pa.RecordBatch]:
-            nonlocal number
-            words, counts, places = inverted_lists(held.pop(lang))
-            sizes.pop(lang)
-            ends = np.append(0, np.cumsum(counts * 4)).astype(np.int32)
-            lists = pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(places, "<i4"))])
-            n = len(words)
-            whole = pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, first + number)), pa.array(np.arange(n, dtype=np.int32)), pa.array([lang] * n, pa.string()), words, pa.array(counts.astype(np.int64)), lists],
-                names=["block", "word_no", "lang", "word", "n", "places"],
-            )
-            number += 1
-            for k in range(0, n, 4096):
-                yield whole.slice(k, 4096)
+    found = plain_documents(docs).mapInArrow(work, "lang string, word string, key long, n long")
+    return staged(found.groupBy("lang", "word", "key").agg(F.sum("n").alias("n")), "word-counts")
 
-        for batch in batches:
-            for row, lang, text in zip(*(batch.column(c).to_pylist() for c in ("row", "lang", "text")), strict=True):
-                first = row if first is None else first  # the task's first row: its blocks are fewer than its rows
-                held.setdefault(lang, []).append(text)
-                sizes[lang] = sizes.get(lang, 0) + len(text)
-                if sizes[lang] > BLOCK_BYTES:
-                    yield from block(lang)
-            while sum(sizes.values()) > 2 * BLOCK_BYTES:
-                yield from block(max(sizes, key=sizes.__getitem__))
-        for lang in list(held):
-            yield from block(lang)
 
-    narrow_batches(docs.sparkSession)
-    plain = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return plain.mapInArrow(work, "block long, word_no int, lang string, word string, n long, places binary")
+class Bits:
+    """A Bloom filter: two bits of a number of bits that is a power of two."""
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
 
+    @staticmethod
+    def places(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        hashed = mixed(keys.view(np.uint64))
+        return hashed & np.uint64(size - 1), mixed(hashed + np.uint64(1)) & np.uint64(size - 1)
 
-def numbered(rows: DataFrame, name: str) -> DataFrame:
-    """``rows`` with a number each, staged."""
-    return staged(rows.withColumn("id", F.monotonically_increasing_id()), name)
+    def hold(self, keys: np.ndarray) -> np.ndarray:
+        out = np.ones(len(keys), bool)
+        for place in self.places(keys, 64 * len(self.words)):
+            out &= (self.words[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return out
 
 
-def frequent_words(lists: DataFrame) -> DataFrame:
-    counts = lists.groupBy("lang", "word").agg(F.sum("n").alias("a"))
-    return numbered(counts.where(F.col("a") >= LEAST), "frequent-words")
+def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return mixed(first.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mixed(second.view(np.uint64))).view(np.int64)
 
 
-def frequent_lists(lists: DataFrame, words: DataFrame) -> DataFrame:
-    """(block, word, places) of frequent words, ``word`` being their number, staged. Lists
-    are dealt over salts, as those of a frequent word are long."""
-    salted = lists.select("block", "lang", F.col("word").alias("text"), "places").withColumn("salt", salt_of(SALTS, "block"))
-    spread = words.select("lang", F.col("word").alias("text"), F.col("id").alias("word"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    return staged(salted.join(spread, ["lang", "text", "salt"]).select("block", "word", "places"), "frequent-lists")
+def bits_of(frame: DataFrame, columns: list[str]) -> Broadcast:
+    """The filter of a table's keys or pairs of keys, at every task: about sixteen bits a row,
+    ``MOST_BITS`` at most."""
+    spark = frame.sparkSession
+    size = min(MOST_BITS, 1 << max(10, (16 * frame.count()).bit_length()))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [batch.column(c).to_numpy() for c in columns]
+            place = np.concatenate(Bits.places(keys[0] if len(keys) == 1 else pair_keys(*keys), size))
+            yield pa.RecordBatch.from_arrays([pa.array((place >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (place & np.uint64(63))).view(np.int64))], names=["word", "bits"])
+
+    set_ = frame.select(*columns).mapInArrow(work, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = np.zeros(size // 64, np.uint64)
+    words[set_.column("word").to_numpy()] = set_.column("bits").to_numpy().view(np.uint64)
+    return spark.sparkContext.broadcast(Bits(words))
 
 
 def merged(lists: list[np.ndarray]) -> Lists:
@@ -138,60 +170,38 @@ def restricted(held: Lists, known: np.ndarray) -> Lists:
     return places[same], at[same]
 
 
-def phrase_counts(lists: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """(block, first, second, n): how often phrases, of words or of the ``known`` pairs of
-    words (block, first, second, id), begin one place apart in a block."""
-
-    longer = known is not None
-
-    def counted(block: int, words: list[int], places: list[np.ndarray], pairs: list[tuple[int, int, int]]) -> Iterator[pa.RecordBatch]:
-        order = np.argsort(words)
-        ids, lists = np.array(words, np.int64)[order], [places[k] for k in order]
-        held = extended(merged(lists), len(ids))
-        if longer:
-            first, second, numbers = np.array(pairs, np.int64).reshape(-1, 3).T
-            names = np.searchsorted(ids, first) * len(ids) + np.searchsorted(ids, second)
-            by_name = np.argsort(names)
-            ids = numbers[by_name]
-            held = extended(restricted(held, names[by_name]), len(ids))
-        names, n = np.unique(held[1], return_counts=True)
-        for k in range(0, len(names), 65536):
-            some = names[k : k + 65536]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(some), block, np.int64)), pa.array(ids[some // len(ids)]), pa.array(ids[some % len(ids)]), pa.array(n[k : k + 65536].astype(np.int64))],
-                names=["block", "first", "second", "n"],
-            )
+def phrase_counts(docs: DataFrame, seed: int, words: Broadcast, pairs: Broadcast | None = None) -> DataFrame:
+    """(first, second, third, a) of documents: the keys of the phrases of two words (third is
+    null), or of three if the filter of ``pairs`` is given, that occur ``LEAST`` times."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, words, places, pairs = None, [], [], []
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("block", "first", "second", "id")]
-            for row, (at, first, second, number) in enumerate(zip(*columns, strict=True)):
-                if at != block:
-                    if words:
-                        yield from counted(block, words, places, pairs)
-                    block, words, places, pairs = at, [], [], []
-                if number is None:
-                    words.append(first)
-                    places.append(np.frombuffer(batch.column("places")[row].as_buffer(), "<i4"))
-                else:
-                    pairs.append((first, second, number))
-        if words:
-            yield from counted(block, words, places, pairs)
-
-    none = F.lit(None).cast("long")
-    rows = lists.select("block", F.col("word").alias("first"), none.alias("second"), none.alias("id"), "places")
-    if known is not None:
-        rows = rows.unionByName(known.select("block", "first", "second", "id", F.lit(None).cast("binary").alias("places")))
-    return rows.repartition("block").sortWithinPartitions("block").mapInArrow(work, "block long, first long, second long, n long")
-
-
-def frequent_phrases(counts: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """(first, second, a, id) of the frequent phrases, and (block, first, second, id) of the
-    blocks that hold them. One exchange of the counts serves both."""
-    counts = staged(counts, f"{name}-counts").repartition("first", "second")
-    found = numbered(counts.groupBy("first", "second").agg(F.sum("n").alias("a")).where(F.col("a") >= LEAST), name)
-    return found, counts.select("block", "first", "second").join(found.select("first", "second", "id"), ["first", "second"])
+        for lang, texts in blocks(batches):
+            found, counts, places = inverted_lists(texts)
+            keys = keys_of(lang, found, seed)
+            lists = np.split(places, np.cumsum(counts)[:-1]) if len(keys) else []
+            known = np.flatnonzero(words.value.hold(keys))
+            if not len(known):
+                continue
+            keys, size = keys[known], len(known)
+            held = extended(merged([lists[k] for k in known.tolist()]), size)
+            if pairs is not None:
+                names = np.unique(held[1])
+                names = names[pairs.value.hold(pair_keys(keys[names // size], keys[names % size]))]
+                held = extended(restricted(held, names), len(names))
+            seen, n = np.unique(held[1], return_counts=True)
+            if pairs is None:
+                columns = [keys[seen // size], keys[seen % size]]
+            else:
+                a, b = (names[x] for x in np.divmod(seen, max(1, len(names))))
+                columns = [keys[a // size], keys[a % size], keys[b % size]]
+            arrays = [pa.array(c) for c in columns] + [pa.nulls(len(seen), pa.int64())] * (pairs is None)
+            whole = pa.RecordBatch.from_arrays([*arrays, pa.array(n.astype(np.int64))], names=["first", "second", "third", "n"])
+            for k in range(0, len(seen), 65536):
+                yield whole.slice(k, 65536)
+
+    counted = plain_documents(docs).mapInArrow(work, "first long, second long, third long, n long")
+    keys = ["first", "second"] if pairs is None else ["first", "second", "third"]
+    return staged(counted.groupBy(*keys).agg(F.sum("n").alias("a")).where(F.col("a") >= LEAST), "phrases")
 
 
 def score(a: Column, left: Column, right: Column) -> Column:
@@ -202,22 +212,23 @@ def score(a: Column, left: Column, right: Column) -> Column:
 
 def candidates(docs: DataFrame) -> DataFrame:
     """(lang, phrase, a, l, r, n, score) of all candidates that no longer one covers."""
-    lists = staged(blocks_of(docs), "inverted-lists")
-    totals = lists.groupBy("lang").agg(F.sum("n").alias("total"))
-    words = frequent_words(lists)
-    held = frequent_lists(lists, words)
-    pairs, known = frequent_phrases(phrase_counts(held), "frequent-pairs")
-    triples = staged(phrase_counts(held, known).groupBy("first", "second").agg(F.sum("n").alias("a")).where(F.col("a") >= LEAST), "frequent-triples")
-
-    word = lambda name: words.select(F.col("id").alias(name), F.col("word").alias(f"{name}_text"), F.col("a").alias(f"{name}_n"))
-    named = pairs.join(word("first"), "first").join(word("second"), "second").join(words.select(F.col("id").alias("first"), "lang"), "first")
-    two = staged(named.select("id", "lang", "a", "first_text", "second_text", "first_n", "second_n"), "named-pairs")
-    pair = lambda name, *more: two.select(F.col("id").alias(name), F.col("a").alias(f"{name}_a"), *more)
-    three = (
-        triples.join(pair("first", "lang", F.col("first_text").alias("w1"), F.col("second_text").alias("w2"), F.col("first_n").alias("n1")), "first")
-        .join(pair("second", F.col("second_text").alias("w3"), F.col("second_n").alias("n3")), "second")
-    )
-    covers = three.select(F.col("first").alias("id"), "a").unionByName(three.select(F.col("second").alias("id"), "a")).groupBy("id").agg(F.max("a").alias("longer"))
+    seed = 0
+    counts = word_counts(docs, seed)
+    while not counts.groupBy("key").agg(F.count("*").alias("words")).where("words > 1").isEmpty():
+        seed += 1
+        counts = word_counts(docs, seed)
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    words = counts.where(F.col("n") >= LEAST)
+    held = bits_of(words, ["key"])
+    pairs = phrase_counts(docs, seed, held)
+    triples = phrase_counts(docs, seed, held, bits_of(pairs, ["first", "second"]))
+
+    word = lambda name: words.select(F.col("key").alias(name), F.col("word").alias(f"{name}_text"), F.col("n").alias(f"{name}_n"), *(["lang"] if name == "first" else []))
+    two = staged(pairs.join(word("first"), "first").join(word("second"), "second").withColumn("id", F.monotonically_increasing_id()), "named-pairs")
+    begin = two.select("first", "second", F.col("id").alias("begin"), "lang", F.col("a").alias("first_a"), F.col("first_text").alias("w1"), F.col("second_text").alias("w2"), F.col("first_n").alias("n1"))
+    end = two.select(F.col("first").alias("second"), F.col("second").alias("third"), F.col("id").alias("end"), F.col("a").alias("second_a"), F.col("second_text").alias("w3"), F.col("second_n").alias("n3"))
+    three = staged(triples.join(begin, ["first", "second"]).join(end, ["second", "third"]), "named-triples")
+    covers = three.select(F.col("begin").alias("id"), "a").unionByName(three.select(F.col("end").alias("id"), "a")).groupBy("id").agg(F.max("a").alias("longer"))
     left = two.join(covers, "id", "left").where(F.coalesce(100 * F.col("longer") < 50 * F.col("a"), F.lit(True)))
     short = left.select("lang", F.concat_ws(" ", "first_text", "second_text").alias("phrase"), "a", F.col("first_n").alias("l"), F.col("second_n").alias("r"))
     # Of the cuts after one and after two words the lower score counts, the first on a tie.
