@@ -14,7 +14,7 @@ from __future__ import annotations
 import functools
 import importlib
 import posixpath
-import zlib
+from bisect import bisect_left
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
@@ -31,6 +31,9 @@ from ..operators import ranks
 from .tables import scratch_path
 
 MONTH = ("symbol", "year", "month")
+# Bytes of recorded pages that a worker reads at once, pages that it hands on at once, and
+# how many neighbours in a schedule go to one task.
+SHELF_BYTES, PAGES, NEIGHBOURS = 2 << 20, 100, 500
 COMPARE = {EqualTo: pc.equal, GreaterThan: pc.greater, GreaterThanOrEqual: pc.greater_equal, LessThan: pc.less, LessThanOrEqual: pc.less_equal}
 
 
@@ -46,6 +49,12 @@ def read_file(path: str, columns: list[str]) -> pa.Table:
     return pq.read_table(inner, filesystem=files, columns=columns)
 
 
+def batches_of(path: str, columns: list[str], rows: int = 4096) -> Iterator[pa.RecordBatch]:
+    files, inner = pafs.FileSystem.from_uri(path)
+    with files.open_input_file(inner) as opened:
+        yield from pq.ParquetFile(opened).iter_batches(batch_size=rows, columns=columns)
+
+
 def fetcher_of(name: str) -> Callable[..., str | None]:
     module, _, function = name.partition(":")
     return getattr(importlib.import_module(module), function)
@@ -72,12 +81,12 @@ class PageReader(DataSourceReader):
         return [File(f) for f in files_of(self.worklist)]
 
     def wanted(self, path: str) -> Iterator[tuple[str, int, int]]:
-        rows = read_file(path, list(MONTH))
-        for column, kind, value in self.pushed:
-            held = rows.column(column)
-            mask = pc.is_in(held, pa.array(list(value), held.type)) if kind is In else COMPARE[kind](held, pa.scalar(value, held.type))
-            rows = rows.filter(mask)
-        yield from zip(*(rows.column(c).to_pylist() for c in MONTH), strict=True)
+        for rows in batches_of(path, list(MONTH)):
+            for column, kind, value in self.pushed:
+                held = rows.column(column)
+                mask = pc.is_in(held, pa.array(list(value), held.type)) if kind is In else COMPARE[kind](held, pa.scalar(value, held.type))
+                rows = rows.filter(mask)
+            yield from zip(*(rows.column(c).to_pylist() for c in MONTH), strict=True)
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         fetch = fetcher_of(self.fetcher)
@@ -108,12 +117,13 @@ def months_to_fetch(ranges: DataFrame) -> DataFrame:
 
 def fetched_pages(worklist: DataFrame, fetcher: str, where: str = "", tasks: int | None = None) -> DataFrame:
     """(symbol, year, month, html) of a worklist (symbol, year, month), which is written to the
-    shared folder in as many files as there are to be ``tasks``."""
+    shared folder in as many files as there are to be ``tasks``, at most: each holds a stretch of
+    the keys in their order, so that what is fetched one after another lies together."""
     spark, path = worklist.sparkSession, scratch_path(worklist.sparkSession, "worklist")
     spark.dataSource.register(PageSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     typed = worklist.select(F.col("symbol").cast("string"), F.col("year").cast("int"), F.col("month").cast("int"))
-    typed.repartition(tasks or spark.sparkContext.defaultParallelism, *MONTH).write.parquet(path)
+    typed.repartitionByRange(tasks or spark.sparkContext.defaultParallelism, *MONTH).sortWithinPartitions(*MONTH).write.parquet(path)
     return spark.read.format("exchange_pages").options(worklist=path, fetcher=fetcher, where=where).load()
 
 
@@ -168,30 +178,53 @@ def polled_pages(spark: SparkSession, path: str, fetcher: str, where: str = "")
     def fetch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         get = fetcher_of(fetcher)
         for frame in frames:
-            pages = frame.assign(html=[get(where, k) for k in frame["key"]])
-            yield pages[pages["html"].notna()]
-
-    return keys.repartition(spark.sparkContext.defaultParallelism, "place").mapInPandas(fetch, "place long, key string, html string")
-
-
-@functools.lru_cache(maxsize=64)
-def _recorded(path: str) -> dict[tuple, str]:
-    rows = pa.concat_tables([read_file(f, ["key", "html"]) for f in files]) if (files := files_of(path)) else None
-    return dict(zip(rows.column("key").to_pylist(), rows.column("html").to_pylist(), strict=True)) if rows is not None else {}
+            ordered = frame.sort_values("key")
+            for k in range(0, len(ordered), PAGES):
+                part = ordered.iloc[k : k + PAGES]
+                pages = part.assign(html=[get(where, k) for k in part["key"]])
+                yield pages[pages["html"].notna()]
+
+    # Neighbours go to one task.
+    return keys.repartition(spark.sparkContext.defaultParallelism, F.floor(F.col("place") / NEIGHBOURS)).mapInPandas(fetch, "place long, key string, html string")
+
+
+@functools.lru_cache(maxsize=4)
+def _shelves(path: str) -> tuple[list[str], list[tuple[str, int]]]:
+    """The last key of each shelf in the order of keys, and where it is: file and row group."""
+    last, places = [], []
+    for name in files_of(path):
+        files, inner = pafs.FileSystem.from_uri(name)
+        footer = pq.read_metadata(inner, filesystem=files)
+        for group in range(footer.num_row_groups):
+            last.append(footer.row_group(group).column(0).statistics.max)
+            places.append((name, group))
+    return last, places
+
+
+@functools.lru_cache(maxsize=4)
+def _shelf(path: str, group: int) -> dict[str, str | None]:
+    files, inner = pafs.FileSystem.from_uri(path)
+    with files.open_input_file(inner) as opened:
+        rows = pq.ParquetFile(opened).read_row_group(group, columns=["key", "html"])
+    return dict(zip(rows.column("key").to_pylist(), rows.column("html").to_pylist(), strict=True))
 
 
-def record_pages(pages: DataFrame, shelves: int = 64) -> str:
-    """Keep pages (key string, html) where ``recorded_page`` finds them; returns the place. A
-    key's shelf follows from its hash."""
+def record_pages(pages: DataFrame, shelf: int = SHELF_BYTES) -> str:
+    """Keep pages (key string, html) where ``recorded_page`` finds them; returns the place. They
+    lie in the order of their keys, in row groups of about ``shelf`` bytes; what has no key is
+    never asked for."""
     path = scratch_path(pages.sparkSession, "recorded")
-    shelf = F.pmod(F.crc32(F.col("key").cast("binary")), F.lit(shelves))
-    pages.select("key", "html", shelf.alias("shelf")).repartition("shelf").write.partitionBy("shelf").parquet(path)
-    return f"{path}?{shelves}"
+    keyed = pages.select("key", "html").where("key is not null")
+    ordered = keyed.repartitionByRange("key").sortWithinPartitions("key")
+    ordered.write.option("parquet.block.size", str(shelf)).option("parquet.page.size.row.check.min", "10").option("parquet.block.size.row.check.min", "10").option("parquet.block.size.row.check.max", "100").parquet(path)
+    return path
 
 
 def recorded_page(where: str, *key: Any) -> str | None:
     """A fetcher that answers from what ``record_pages`` kept, as if from the network; null for
-    a page that is not there."""
-    path, shelves = where.rsplit("?", 1)
+    a page that is not there. A worker holds the last keys of the row groups, and the pages of
+    the last few: keys that are asked for in their order read each once."""
+    last, places = _shelves(where)
     name = "/".join(str(k) for k in key)
-    return _recorded(f"{path}/shelf={zlib.crc32(name.encode()) % int(shelves)}").get(name)
+    at = bisect_left(last, name.encode() if last and isinstance(last[0], bytes) else name)
+    return _shelf(*places[at]).get(name) if at < len(last) else None

@@ -535,3 +535,15 @@ def test_iso_date(spark, text, want):
 def test_schemas(spark):
     for ddl in (schemas.PRICE_HISTORY, schemas.STOCKS, schemas.QUOTE, schemas.DIVIDEND, schemas.BONUS, schemas.MARKET_WATCH, schemas.FAILED_INTERVAL):
         assert spark.createDataFrame([], ddl).isEmpty()
+
+
+def test_recorded_pages_lie_in_bounded_shelves(spark):
+    """A worker holds a few row groups of recorded pages, however many there are."""
+    rng = random.Random(5)
+    held = {f"S{k}/{k % 7}": "".join(rng.choice("abcdef<>/") for _ in range(2000)) for k in range(3000)}
+    where = pages.record_pages(spark.createDataFrame(list(held.items()), "key string, html string"), 100_000)
+    last, places = pages._shelves(where)
+    assert last == sorted(last) and len(places) > 20 and pages._shelf.cache_info().maxsize <= 8
+    assert max(sum(map(len, pages._shelf(*p).values())) for p in places) < 1_000_000
+    assert all(pages.recorded_page(where, *key.split("/")) == html for key, html in list(held.items())[::50])
+    assert pages.recorded_page(where, "S1", 2) is None and pages.recorded_page(where, "zz") is None
