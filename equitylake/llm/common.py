@@ -13,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import narrow_batches  # noqa: F401  the operators take it from here
+
 _LOCAL_DIRS: dict[str, str] = {}
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\u00a0\u00ab\u00bb\u2013\u2014\u2018\u2019\u201c\u201d\u2026"
 
@@ -56,23 +58,6 @@ def drop_path(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-BATCH_BYTES = 4_000_000
-BATCH_ROWS = 2048
-
-
-def narrow_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most ``BATCH_ROWS`` rows and about ``BATCH_BYTES``, as texts can
-    be long. A plan reads these settings when it runs, after the operator has returned it,
-    so they stay in the session; smaller ones are left alone."""
-    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
-        try:
-            now = int(spark.conf.get(key))
-        except ValueError:  # a size with a unit
-            now = 0
-        if not 0 < now <= most:
-            spark.conf.set(key, str(most))
-
-
 _WORKER_CACHE: dict[str, Any] = {}
 
 
@@ -87,8 +72,11 @@ def worker_cache(name: str, make: Callable[[], Any]) -> Any:
 
 
 def by_size(batch: pa.RecordBatch, column: str, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose texts have about ``most`` bytes together, one row at least."""
-    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    """Slices of a batch whose texts, or lists of 32 bits, have about ``most`` bytes together,
+    one row at least."""
+    held = batch.column(column)
+    sizes = pc.binary_length(held) if pa.types.is_string(held.type) or pa.types.is_large_string(held.type) else pc.multiply(pc.list_value_length(held), 4)
+    sizes = sizes.fill_null(0).to_numpy(zero_copy_only=False)
     group = np.cumsum(sizes) // most
     cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):

@@ -547,3 +547,29 @@ def test_recorded_pages_lie_in_bounded_shelves(spark):
     assert max(sum(map(len, pages._shelf(*p).values())) for p in places) < 1_000_000
     assert all(pages.recorded_page(where, *key.split("/")) == html for key, html in list(held.items())[::50])
     assert pages.recorded_page(where, "S1", 2) is None and pages.recorded_page(where, "zz") is None
+
+
+def test_cells_of_plain_markup_as_the_parser_finds_them():
+    """Pages that are read as plain markup against the parser, whole and in pieces."""
+
+    def parsed(page, step):
+        parser = html.Cells()
+        for k in range(0, len(page), step):
+            parser.feed(page[k : k + step])
+        return [r for r in parser.rows if r]
+
+    rng = random.Random(6)
+    parts = ["<tr>", "</tr>", "<td>", "</td>", '<td data-order="1.5" class="a b">', '<div class="c">', "</div>", "x", " 1,200 ", "\u2013", "<br>", '<td data-order="">', "</table>"]
+    odd = ["&amp;", "&", "<br/>", "<!-- <td> -->", "<TD>", "<td a=b>", "<script>", "</script>", "<", ">", "<title>", "<td a='x'>", "<p a>"]
+    plain = 0
+    for n in range(3000):
+        page = "".join(rng.choice(parts + odd if n % 2 else parts) for _ in range(rng.randrange(40)))
+        plain += html.is_plain(page)
+        assert list(html.cells(page)) == parsed(page, 1 << 20)
+    assert plain > 1000 and html.cells(None) is not None and list(html.cells(None)) == []
+
+
+def test_rows_of_a_page_come_in_bounded_frames():
+    page = "<table>" + "<tr><td>1</td></tr>" * 5000 + "</table>"
+    rows = html.cells(page)
+    assert next(rows) and len(list(html.frames_of(((r[0][0],) for r in rows), ["c"]))) == 3
