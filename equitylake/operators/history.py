@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..sources.tables import staged
 
 PRICES = ("open", "high", "low", "close")
 
@@ -18,8 +19,9 @@ def preprocess(raw: DataFrame) -> DataFrame:
 
 
 def by_date(series: DataFrame) -> DataFrame:
-    """In the order of dates, symbols within a date: a range partitioning, no single task."""
-    return series.orderBy("date", "symbol")
+    """In the order of dates, symbols within a date: a range partitioning, no single task. Its
+    bounds are drawn by a run of their own, so the rows are written once before."""
+    return staged(series, "series").orderBy("date", "symbol")
 
 
 def price_documents(series: DataFrame) -> DataFrame:
