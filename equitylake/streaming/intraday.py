@@ -7,6 +7,7 @@ from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,8 @@ from ..functions.scalars import minute_floor
 from ..plans.jobs import watch_pages
 from ..sources.tables import Table
 
-LOCAL_SHIFT = dt.timedelta(hours=5)
+# Of time as the state holds it: microseconds of a minute, minutes of a day and to local time.
+MINUTE, DAY, LOCAL_SHIFT = 60_000_000, 1440, 300
 
 
 def snapshots(spark: SparkSession, path: str, schema: str, per_trigger: int = 16) -> DataFrame:
@@ -40,41 +42,48 @@ def plain(at: Any) -> dt.datetime:
 
 
 class VolumeDelta(StatefulProcessor):
-    """Per symbol a map of minutes to volumes. Of a batch's snapshots of a minute the last
-    counts; it overwrites what the minute held, also when later minutes are there already,
-    whose deltas stay as they were derived. With a time to live a minute is dropped that long
-    after it was written; else those behind the watermark go, but for the last of them."""
+    """Per symbol a list of minutes with volumes, read and put whole: a call of the state store
+    each. Of a batch's snapshots of a minute the last counts; it overwrites what the minute
+    held, also when later minutes are there already, whose deltas stay as they were derived.
+    With a time to live a minute is dropped that long after it was written, and the list that
+    long after it was put; else those behind the watermark go, but for the last of them."""
 
     def __init__(self, ttl_hours: int | None = None):
         self.ttl_hours = ttl_hours
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         lives = {} if self.ttl_hours is None else {"ttlDurationMs": int(self.ttl_hours * 3_600_000)}
-        self.minutes = handle.getMapState("minutes", "minute timestamp", "volume long", **lives)
+        self.minutes = handle.getListState("minutes", "minute long, volume long, written long", **lives)
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        latest: dict[dt.datetime, tuple] = {}  # a minute's last snapshot; as many as minutes
+        latest: dict[int, tuple] = {}  # a minute's last snapshot; as many as minutes
         for frame in rows:
-            for at, volume in zip(frame["scraped_at"], frame["volume"]):
-                now, minute = pd.Timestamp(at), plain(pd.Timestamp(at).floor("min"))
+            times = frame["scraped_at"].to_numpy("datetime64[us]").astype("int64").tolist()
+            for now, volume in zip(times, frame["volume"].tolist()):
+                minute = now // MINUTE
                 if minute not in latest or now >= latest[minute][0]:
                     latest[minute] = (now, None if pd.isna(volume) else int(volume))
-        held = {plain(k[0]): None if v[0] is None or pd.isna(v[0]) else int(v[0]) for k, v in self.minutes.iterator()}
-        held |= {minute: volume for minute, (_, volume) in latest.items()}
+        now = timerValues.getCurrentProcessingTimeInMs() if self.ttl_hours is not None else 0
+        since = now - self.ttl_hours * 3_600_000 if self.ttl_hours is not None else 0
+        held = {m: (None if v is None or pd.isna(v) else int(v), w) for m, v, w in self.minutes.get() if w >= since}
+        held |= {minute: (volume, now) for minute, (_, volume) in latest.items()}
         known, out = sorted(held), []
         for minute in sorted(latest):
             place = bisect_left(known, minute)
             last = known[place - 1] if place else None
-            volume, before = held[minute], held[last] if last else None
-            same_day = last is not None and (last + LOCAL_SHIFT).date() == (minute + LOCAL_SHIFT).date()
+            volume, before = held[minute][0], held[last][0] if last is not None else None
+            same_day = last is not None and (last + LOCAL_SHIFT) // DAY == (minute + LOCAL_SHIFT) // DAY
             counts = same_day and volume is not None and before is not None and volume >= before
-            out.append((key[0], minute, volume, volume - before if counts else None))
-            self.minutes.updateValue((minute,), (volume,))
+            out.append((minute, volume, volume - before if counts else None))
         if self.ttl_hours is None:
-            behind = [m for m in known if m.replace(tzinfo=dt.UTC).timestamp() * 1000 < timerValues.getCurrentWatermarkInMs()]
+            mark = timerValues.getCurrentWatermarkInMs()
+            behind = [m for m in known if m * 60_000 < mark]
             for minute in behind[:-1]:
-                self.minutes.removeKey((minute,))
-        yield pd.DataFrame(out, columns=["symbol", "bucket", "volume", "volume_delta"]).astype({"volume": "Int64", "volume_delta": "Int64"})
+                del held[minute]
+        self.minutes.put([(m, *held[m]) for m in sorted(held)])
+        bucket, volume, delta = zip(*out, strict=True)
+        at = (np.array(bucket, "int64") * MINUTE).astype("datetime64[us]")
+        yield pd.DataFrame({"symbol": [key[0]] * len(out), "bucket": at, "volume": pd.array(volume, "Int64"), "volume_delta": pd.array(delta, "Int64")})
 
     def close(self) -> None:
         pass

@@ -573,3 +573,43 @@ def test_rows_of_a_page_come_in_bounded_frames():
     page = "<table>" + "<tr><td>1</td></tr>" * 5000 + "</table>"
     rows = html.cells(page)
     assert next(rows) and len(list(html.frames_of(((r[0][0],) for r in rows), ["c"]))) == 3
+
+
+def test_minutes_of_a_symbol_are_put_at_once():
+    """A symbol's batch calls the state store twice, however many minutes it has."""
+    from equitylake.streaming.intraday import VolumeDelta
+
+    class Held:
+        def __init__(self):
+            self.rows, self.calls = [], 0
+
+        def get(self):
+            self.calls += 1
+            return iter(self.rows)
+
+        def put(self, rows):
+            self.calls += 1
+            self.rows = rows
+
+    class Handle:
+        held = Held()
+
+        def getListState(self, *_, **__):
+            return self.held
+
+    class Times:
+        now = 10**12
+
+        def getCurrentProcessingTimeInMs(self):
+            return self.now
+
+    processor = VolumeDelta(48)
+    processor.init(Handle())
+    at = pd.date_range("2026-01-05 04:00", periods=300, freq="min")
+    put = lambda times, volumes: pd.concat(processor.handleInputRows(("A",), iter([pd.DataFrame({"scraped_at": times, "volume": volumes})]), Times()))
+    out = put(at[::2], range(0, 300, 2))
+    assert Handle.held.calls == 2 and len(Handle.held.rows) == 150 and out["volume_delta"].isna().sum() == 1 and (out["volume_delta"].dropna() == 2).all()
+    Times.now += 47 * 3_600_000
+    assert put(at[1::2], range(1, 301, 2))["volume_delta"].tolist() == [1] * 150
+    Times.now += 2 * 3_600_000  # the first ones have lived their time, the others have not
+    assert put(at[-1:] + pd.Timedelta("1min"), [301])["volume_delta"].tolist() == [2] and len(Handle.held.rows) == 151
