@@ -6,7 +6,8 @@ the square of its inverse document frequency's logarithm. A randomised singular
 decomposition of the TF-IDF matrix A of passages (distributed products Aᵀ(A Ω), once more
 with an orthonormal basis in place of Ω) gives latent vectors of the terms. Its columns are
 the terms of the benchmark; its rows are the benchmark's passages, each counting
-``EMPHASIS`` times, and those of about ``FIT_DOCUMENTS`` documents of lowest hash.
+``EMPHASIS`` times, and those of all documents, which together count as those of
+``WEIGH_AS`` documents at most, so that a large table does not drown the benchmark.
 
 Then all passages of all documents are folded in and compared with all items, whole and in
 pieces of ``PASSAGE`` words (the last may overlap the one before it). A passage's score is
@@ -38,15 +39,18 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
-from .common import by_size, free_names, hash_share, narrow_batches, read_table, row_key, split_words, staged, word_places
+from .common import by_size, free_names, narrow_batches, read_table, row_key, split_words, staged, word_places
 
 PASSAGE, STEP = 32, 16
 TERMS = 1 << 17
 RANK, EXTRA = 128, 16
-FIT_DOCUMENTS, EMPHASIS = 1000, 6
+WEIGH_AS, EMPHASIS = 1000, 6
+GRAM = 4096
 LEAST_SHARE, LEAST_OWN = 0.33, 0.05
 SURE, PARAPHRASE, ANSWERED = 0.7, 0.5, 0.8
 PIECES_A_BLOCK = 20_000
@@ -70,24 +74,44 @@ def batch_terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return terms[known], np.append(0, np.cumsum(known))[bounds]
 
 
+def tokens(texts: DataFrame) -> DataFrame:
+    """The texts' other columns with ``terms``, written once: all passes read these."""
+    kept = [c for c in texts.columns if c != "text"]
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in by_size(whole, "text"):
+                terms, bounds = batch_terms(batch.column("text"))
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(terms, pa.int32()))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), lists], names=[*kept, "terms"])
+
+    schema = type(texts.schema)([texts.schema[c] for c in kept]).add("terms", ArrayType(IntegerType()))
+    return staged(texts.select(*kept, "text").mapInArrow(encode, schema), "terms")
+
+
+def listed(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """All terms of a batch of ``tokens``, and each row's bounds."""
+    lists = batch.column("terms")
+    return lists.flatten().to_numpy().astype(np.int64), np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))).astype(np.int64)
+
+
 def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """How many documents hold each term, and how many documents there are."""
+    """How many documents of ``tokens`` hold each term, and how many documents there are."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals, n = np.zeros(TERMS, np.int64), 0
         last, order = np.zeros(TERMS, np.int64), np.arange(1 << 16)
-        for whole in batches:
-            for batch in by_size(whole, "text"):
-                terms, bounds = batch_terms(batch.column("text"))
-                for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                    own, at = terms[a:b], order[: b - a] if b - a <= len(order) else np.arange(b - a)
-                    last[own] = at
-                    totals[own[last[own] == at]] += 1  # a term counts where it stands last
-                n += batch.num_rows
+        for batch in batches:
+            terms, bounds = listed(batch)
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                own, at = terms[a:b], order[: b - a] if b - a <= len(order) else np.arange(b - a)
+                last[own] = at
+                totals[own[last[own] == at]] += 1  # a term counts where it stands last
+            n += batch.num_rows
         used = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(used, TERMS)), pa.array(np.append(totals[used], n))], names=["term", "n"])
 
-    sums = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    sums = docs.select("terms").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     found = np.zeros(TERMS + 1, np.int64)  # TERMS + 1 rows at most
     found[sums.column("term").to_numpy()] = sums.column("n").to_numpy()
     return found[:TERMS], int(found[TERMS])
@@ -99,39 +123,92 @@ class Space(NamedTuple):
     latent: np.ndarray  # RANK values for each column, the last row zero
 
 
-def product(passages: DataFrame, basis: np.ndarray, space: Space) -> np.ndarray:
-    """Aᵀ(A basis) for the TF-IDF rows A of passages (terms array<int>, times int), each
-    counted ``times``."""
-    shared = passages.sparkSession.sparkContext.broadcast((basis.astype(np.float32), space.weights, space.columns))
+def passage_values(terms: np.ndarray, bounds: np.ndarray, weights: np.ndarray, columns: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Passage, column and value of what the TF-IDF rows of a batch hold, passages ascending."""
+    blocks = -(-np.diff(bounds) // PASSAGE)
+    row = np.repeat(np.arange(len(blocks)), blocks)
+    begin = bounds[row] + PASSAGE * (np.arange(len(row)) - np.append(0, np.cumsum(blocks))[row])
+    if not len(row):
+        return row, row, np.zeros(0, np.float32)
+    passage = np.repeat(np.arange(len(row)), np.diff(np.append(begin, len(terms))))
+    values = weights[terms]
+    values = (values / (np.sqrt(np.add.reduceat(values**2, begin)) + 1e-9)[passage]).astype(np.float32)
+    at = columns[terms].astype(np.int64)
+    inside = at < size
+    return passage[inside], at[inside], values[inside]
+
+
+def add_gram(gram: np.ndarray, passage: np.ndarray, at: np.ndarray, values: np.ndarray, times: float) -> None:
+    """Add half of ``times`` AᵀA to ``gram``: with its transpose it is the whole. Its last row
+    and column take what passages lack of ``PASSAGE`` terms."""
+    size = len(gram)
+    first = np.flatnonzero(np.append(True, np.diff(passage) != 0)) if len(passage) else passage
+    count = np.diff(np.append(first, len(passage)))
+    row, place = np.repeat(np.arange(len(first)), count), np.arange(len(passage)) - np.repeat(first, count)
+    held, amount = np.full((PASSAGE, len(first)), size - 1), np.zeros((PASSAGE, len(first)))
+    held[place, row], amount[place, row] = at, values
+    flat = gram.reshape(-1)
+    for k in range(int(count.max(initial=0))):
+        use = np.flatnonzero(count > k)
+        most = int(count[use].max())
+        left, right = held[k, use] * size, amount[k, use] * times
+        np.add.at(flat, left + held[k, use], right * amount[k, use] / 2)
+        for other in range(k + 1, most):
+            np.add.at(flat, left + held[other, use], right * amount[other, use])
+
+
+def add_products(total: np.ndarray, passage: np.ndarray, at: np.ndarray, values: np.ndarray, times: float, basis: np.ndarray) -> None:
+    """Add ``times`` Aᵀ(A basis) to ``total``."""
+    cuts = np.flatnonzero(np.append(True, np.diff(passage) != 0)) if len(passage) else passage
+    parts = np.searchsorted(cuts, np.arange(0, len(passage) + WORDS_AT_ONCE, WORDS_AT_ONCE))
+    ends = np.append(cuts, len(passage))
+    for first, last in zip(parts[:-1].tolist(), parts[1:].tolist(), strict=True):
+        if last == first:
+            continue
+        a, b = ends[first], ends[last]
+        folded = np.add.reduceat(values[a:b, None] * basis[at[a:b]], cuts[first:last] - a, axis=0)
+        order = np.argsort(at[a:b], kind="stable")
+        column, of = at[a:b][order], np.repeat(np.arange(last - first), np.diff(ends[first : last + 1]))[order]
+        starts = np.flatnonzero(np.append(True, np.diff(column) != 0))
+        total[column[starts]] += times * np.add.reduceat(values[a:b][order, None] * folded[of], starts, axis=0)
+
+
+def product(rows: DataFrame, basis: np.ndarray, space: Space) -> np.ndarray:
+    """Aᵀ(A basis) for the TF-IDF rows A of the passages of rows (terms array<int>, times
+    double), each counted ``times``. A task sums up AᵀA and multiplies once if there are no
+    more than ``GRAM`` columns, which takes far fewer steps; else it multiplies each row."""
+    shared = rows.sparkSession.sparkContext.broadcast((basis.astype(np.float32), space.weights, space.columns))
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         basis, weights, columns = shared.value
-        total, seen = np.zeros(basis.shape), np.zeros(len(basis), bool)
+        total, size = np.zeros(basis.shape), len(basis)
+        gram = np.zeros((size + 1, size + 1)) if size <= GRAM else None
         for batch in batches:
-            times = batch.column("times").to_pylist()
-            for k, terms in enumerate(batch.column("terms")):
-                terms = terms.values.to_numpy()
-                row = weights[terms] / (np.linalg.norm(weights[terms]) + 1e-9)
-                at, row = columns[terms], row[columns[terms] < len(basis)]
-                at = at[at < len(basis)]
-                np.add.at(total, at, times[k] * row[:, None] * (row @ basis[at])[None, :])
-                seen[at] = True
-        used = np.flatnonzero(seen)
+            terms, bounds = listed(batch)
+            times = batch.column("times").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(times)) + 1).tolist(), len(times)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):  # rows that count the same
+                if b > a:
+                    held = passage_values(terms[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a], weights, columns, size)
+                    add_products(total, *held, times[a], basis) if gram is None else add_gram(gram, *held, times[a])
+        if gram is not None:
+            total = gram[:size, :size] @ basis + gram[:size, :size].T @ basis
+        used = np.flatnonzero(total.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(list(total[used]), pa.list_(pa.float64()))], names=["term", "row"])
 
-    rows = passages.mapInArrow(multiply, "term long, row array<double>").select("term", F.posexplode("row").alias("k", "value"))
-    sums = rows.groupBy("term", "k").agg(F.sum("value").alias("value")).toArrow()  # as many as the basis has
+    found = rows.select("terms", "times").mapInArrow(multiply, "term long, row array<double>").select("term", F.posexplode("row").alias("k", "value"))
+    sums = found.groupBy("term", "k").agg(F.sum("value").alias("value")).toArrow()  # as many as the basis has
     out = np.zeros(basis.shape)
     out[sums.column("term").to_numpy(), sums.column("k").to_numpy()] = sums.column("value").to_numpy()
     return out
 
 
-def latent_terms(passages: DataFrame, space: Space) -> Space:
+def latent_terms(rows: DataFrame, space: Space) -> Space:
     """``space`` with the right singular vectors times the terms' weights."""
     size = int(space.columns.max())
     start = np.random.default_rng(7).standard_normal((size, min(RANK + EXTRA, size)))
-    basis, _ = np.linalg.qr(product(passages, start, space))
-    small = product(passages, basis, space)  # AᵀA Q; QᵀAᵀA Q has the squared singular values
+    basis, _ = np.linalg.qr(product(rows, start, space))
+    small = product(rows, basis, space)  # AᵀA Q; QᵀAᵀA Q has the squared singular values
     values, vectors = np.linalg.eigh(basis.T @ small)
     latent = np.zeros((size + 1, RANK), np.float32)
     right = basis @ vectors[:, np.argsort(-values)[:RANK]]
@@ -254,27 +331,17 @@ def item_pieces(terms: np.ndarray) -> list[np.ndarray]:
 
 
 def fitted(docs: DataFrame, benchmark: DataFrame) -> Space:
-    """The latent space of documents (doc_id, text) and the benchmark (text)."""
+    """The latent space of the ``tokens`` of documents and of the benchmark."""
     counts, n = document_frequencies(docs)
     weights = (np.log((2 + n) / (1 + counts)) ** 2).astype(np.float32)
-
-    def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in by_size(whole, "text"):
-                rows = [(t[k : k + PASSAGE], n) for text, n in zip(batch.column("text"), batch.column("times").to_pylist(), strict=True) for t in [term_ids(text.as_py())] for k in range(0, len(t), PASSAGE)]
-                yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in rows], pa.list_(pa.int32())), pa.array([n for _, n in rows], pa.int32())], names=["terms", "times"])
-
-    schema = "terms array<int>, times int"
-    rows = staged(benchmark.select("text", F.lit(EMPHASIS).alias("times")).mapInArrow(passages, schema), "items")
-    terms = rows.select(F.explode("terms").alias("term")).distinct().toArrow().column("term").to_numpy()  # TERMS at most
+    terms = benchmark.select(F.explode("terms").alias("term")).distinct().toArrow().column("term").to_numpy()  # TERMS at most
     columns = np.full(TERMS, len(terms), np.int32)
     columns[np.sort(terms)] = np.arange(len(terms))
     space = Space(weights, columns, np.zeros((len(terms) + 1, RANK), np.float32))
     if not len(terms):
         return space
-    k1, k2 = row_key()
-    some = docs.withColumns({"k1": k1, "k2": k2}).where(hash_share(F.col("k1")) < FIT_DOCUMENTS / max(n, 1)).dropDuplicates(["k1", "k2"])
-    return latent_terms(staged(some.select("text", F.lit(1).alias("times")).mapInArrow(passages, schema).unionByName(rows), "passages"), space)
+    rows = docs.select("terms", F.lit(min(1.0, WEIGH_AS / max(n, 1))).alias("times"))
+    return latent_terms(rows.unionByName(benchmark.select("terms", F.lit(float(EMPHASIS)).alias("times"))), space)
 
 
 def greatest_products(latent: np.ndarray, vectors: np.ndarray) -> np.ndarray:
@@ -291,11 +358,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keys: tuple[str, ...] = ("
     passage of the benchmark (item_id, text and perhaps answer)."""
     spark = docs.sparkSession
     narrow_batches(spark)
-    plain = docs.select(*dict.fromkeys((*keys, "doc_id")), F.col("text").cast("string"))
+    held = tokens(docs.select(*keys, F.col("text").cast("string")))
     schema = type(docs.schema)([docs.schema[k] for k in keys])
     for field in spark.createDataFrame([], LEAKS).schema:
         schema = schema.add(field)
-    space = fitted(plain, benchmark.select(F.col("text").cast("string")))
+    space = fitted(held, tokens(benchmark.select(F.col("text").cast("string"))))
     shared, out = spark.sparkContext.broadcast(space), None
     for block in item_blocks(benchmark):
         pieces = [(k, piece) for k, (_, terms, _) in enumerate(block) for piece in item_pieces(terms)]
@@ -307,15 +374,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keys: tuple[str, ...] = ("
 
         def search(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
             for whole in batches:
-                for batch in by_size(whole, "text"):
-                    found = leaks_in(*batch_terms(batch.column("text")), shared.value, items.value)
+                for batch in by_size(whole, "terms"):
+                    found = leaks_in(*listed(batch), shared.value, items.value)
                     if found:
                         at = pa.array([int(r) for r, _ in found])
                         columns = [batch.column(k).take(at) for k in keys] + [pa.array([items.value.ids[k] for _, k in found], pa.int64())]
                         columns += [pa.array([v[c] for v in found.values()], pa.float64()) for c in range(3)]
                         yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-        part = plain.select(*keys, "text").mapInArrow(search, schema)
+        part = held.mapInArrow(search, schema)
         out = part if out is None else out.unionByName(part)
     return spark.createDataFrame([], schema) if out is None else out
 

@@ -663,6 +663,32 @@ def test_decontamination_of_long_items(spark):
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, benchmark).collect()} == want
 
 
+@pytest.mark.parametrize("gram", [4096, 0])
+def test_latent_space_of_all_documents(spark, monkeypatch, gram):
+    """The space is that of the Gram matrix of all documents' passages, not of some of them,
+    whether tasks sum that matrix up or multiply each row."""
+    monkeypatch.setattr(decontaminate, "GRAM", gram)
+    rng = np.random.default_rng(10)
+    words = np.array([f"w{k}" for k in range(60)])
+    texts = [" ".join(words[np.minimum(rng.geometric(0.08, int(n)), 60) - 1]) for n in rng.integers(0, 90, 4000)]
+    benchmark = " ".join(words[:40])
+    docs = decontaminate.tokens(spark.createDataFrame([(t,) for t in texts], "text string"))
+    space = decontaminate.fitted(docs, decontaminate.tokens(spark.createDataFrame([(benchmark,)], "text string")))
+    size = int(space.columns.max())
+    gram = np.zeros((size, size))
+    for text, times in [*((t, decontaminate.WEIGH_AS / len(texts)) for t in texts), (benchmark, decontaminate.EMPHASIS)]:
+        terms = decontaminate.term_ids(text)
+        for k in range(0, len(terms), decontaminate.PASSAGE):
+            part, row = terms[k : k + decontaminate.PASSAGE], np.zeros(size + 1)
+            np.add.at(row, space.columns[part], space.weights[part] / np.linalg.norm(space.weights[part]))
+            gram += times * np.outer(row[:size], row[:size])
+    weights = np.zeros(size)
+    inside = space.columns < size
+    weights[space.columns[inside]] = space.weights[inside]
+    right = space.latent[:size, :3] / weights[:, None]
+    assert np.allclose(np.abs(np.sum(right * np.linalg.eigh(gram)[1][:, ::-1][:, :3], axis=0)), 1, atol=1e-4)
+
+
 def test_url_filter(spark):
     urls = ["https://A.example.com/en/x", "http://www.example.com/en/y", "ftp://fr.net/fr/", "https://adult-x.org/a/index.html", "https://m.adult-x.org/a?q=1", "https://u@adult-x.org:80/a/#t", "https://adult-x.org/ab", None, "no-scheme", "x://net", ""]
     pages = spark.createDataFrame([(k, u, "h") for k, u in enumerate(urls)], "page_id long, url string, host string")
