@@ -613,3 +613,11 @@ def test_minutes_of_a_symbol_are_put_at_once():
     assert put(at[1::2], range(1, 301, 2))["volume_delta"].tolist() == [1] * 150
     Times.now += 2 * 3_600_000  # the first ones have lived their time, the others have not
     assert put(at[-1:] + pd.Timedelta("1min"), [301])["volume_delta"].tolist() == [2] and len(Handle.held.rows) == 151
+
+
+def test_rows_by_date_are_parsed_once(spark):
+    """A sort draws its bounds in a run of its own: that must not parse the pages again."""
+    page = "<table><tr>" + "<td>Jan 2, 2026</td>" + "<td>1</td>" * 5 + "</tr></table>"
+    rows = history.preprocess(html.history_rows(spark.createDataFrame([("A", page), ("B", page)], "symbol string, html string")))
+    found = history.by_date(rows)
+    assert "MapInPandas" not in found._jdf.queryExecution().toString() and [r["symbol"] for r in found.collect()] == ["A", "B"]
