@@ -72,10 +72,11 @@ def worker_cache(name: str, make: Callable[[], Any]) -> Any:
 
 
 def by_size(batch: pa.RecordBatch, column: str, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch whose texts, or lists of 32 bits, have about ``most`` bytes together,
+    """Slices of a batch whose texts, bytes or lists of 32 bits have about ``most`` bytes together,
     one row at least."""
     held = batch.column(column)
-    sizes = pc.binary_length(held) if pa.types.is_string(held.type) or pa.types.is_large_string(held.type) else pc.multiply(pc.list_value_length(held), 4)
+    listed = pa.types.is_list(held.type) or pa.types.is_large_list(held.type)
+    sizes = pc.multiply(pc.list_value_length(held), 4) if listed else pc.binary_length(held)
     sizes = sizes.fill_null(0).to_numpy(zero_copy_only=False)
     group = np.cumsum(sizes) // most
     cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]

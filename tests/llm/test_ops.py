@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from compare import compare
@@ -292,6 +293,13 @@ def test_verdicts_are_those_of_numpy(spark):
 CLASHES = "doc_id long, text string, lang string, kept string, p_good string, expected_grade string, lang_pred string, score string, rejected string, k1 string, _K1 string, k2 string"
 
 
+@pytest.mark.parametrize("kind, values", [("binary", [b"ab", None, b"abcd"]), ("large_binary", [b"ab", None, b"abcd"]), ("string", ["ab", None, "abcd"]), ("list", [[1], None, [2]])])
+def test_slices_by_size_of_all_columns_read(kind, values):
+    typed = pa.array(values, pa.list_(pa.int32()) if kind == "list" else getattr(pa, kind)())
+    slices = list(common.by_size(pa.RecordBatch.from_arrays([typed], names=["x"]), "x", 4))
+    assert [v for part in slices for v in part.column("x").to_pylist()] == values and len(slices) == 2
+
+
 def test_filter_stages_leave_clashing_columns_alone(spark):
     words = [f"w{k}" for k in range(40)]
     docs = [(k, " ".join(np.random.default_rng(k).choice(words, 60)), "en", *"abcdefghi") for k in range(40)]
