@@ -8,22 +8,25 @@ are summed, so that a long text's margin is that of its blocks. ``score`` is the
 1 - smallest / second (1 if only one language is known); below ``MARGIN`` the text is
 rejected, its prediction standing all the same.
 
-The dictionaries are all that is learned: from a bounded sample, at most ``SAMPLE``
-documents a language, those with the lowest hash of doc_id: first of the texts of
-``LEAST_CHARS`` to ``MOST_CHARS`` characters, then of the shorter, then of the longer ones
-(of which the dictionaries take the first ``MOST_CHARS``). The driver sees that sample of
-ids and texts only; a doc_id counts once for a language, with its least text.
+The dictionaries are all that is learned, and all labelled rows outside the held-out ones
+count: tasks count their words, and a dictionary holds the words that cover most bytes of
+its language (count times length), the best last, where zstandard's matches are cheapest.
+Words over ``LONGEST`` letters, as in scripts without spaces, count as pieces of
+``PIECE`` letters. A language whose texts have no more than ``DICTIONARY_BYTES`` letters
+has all these texts for its dictionary. The driver sees the dictionaries' words, some
+hundred sums a language, and no other texts.
 
 Defined results: null text, or a text without a letter, is ``und`` with score 0 and
 rejected, and so is every text if no labelled document exists. Equal sizes: the
 alphabetically first language, rejected. Rows with equal or null ``doc_id`` are kept; a
-null id is not held out and not learned from. Texts are predicted whole. Other columns
+null id is not held out and not learned from; repeated rows count as often. Texts are predicted whole. Other columns
 stay (in ``identify``, those named as its results are replaced; in ``keep_identified``, none).
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,14 +34,14 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import by_size, free_names, hash_share, narrow_batches, read_table, staged
+from .common import by_size, free_names, narrow_batches, read_table, staged
 
-SAMPLE = 120
-LEAST_CHARS, MOST_CHARS = 200, 20_000
 DICTIONARY_BYTES = 128 * 1024
 BLOCK = 8 * 1024
 LEVEL = 6
 MARGIN = 0.004
+LONGEST, PIECE = 24, 8
+COUNTED_AT_ONCE = 200_000  # different words that a task holds
 UNKNOWN = "und"
 
 
@@ -55,24 +58,92 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def word_counts(known: DataFrame) -> DataFrame:
+    """(lang, word, n) of all rows (lang, text); the word ``""`` has the language's bytes of
+    letters, single spaces included."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[str, Counter] = {}
+
+        def out() -> pa.RecordBatch:
+            columns: tuple[list, list, list] = ([], [], [])
+            for lang, words in totals.items():
+                for word in [w for w in words if len(w) > LONGEST]:
+                    n = words.pop(word)
+                    for k in range(0, len(word) - PIECE // 2, PIECE // 2):
+                        words[word[k : k + PIECE]] += n
+                for column, values in zip(columns, ([lang] * len(words), words.keys(), words.values()), strict=True):
+                    column.extend(values)
+            totals.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64()), strict=True)], names=["lang", "word", "n"])
+
+        for whole in batches:
+            for batch in by_size(whole, "text"):
+                for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                    words, held = _WORDS.findall(text.lower()), totals.setdefault(lang, Counter())
+                    held.update(words)
+                    held[""] += len(" ".join(words).encode()) + 2
+                if sum(map(len, totals.values())) > COUNTED_AT_ONCE:
+                    yield out()
+        if totals:
+            yield out()
+
+    return known.select("lang", "text").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+
+
+def frequent_words(counts: DataFrame) -> dict[str, list[str]]:
+    """Of each language the words that cover most bytes, best first: ``DICTIONARY_BYTES`` of
+    them, with a space each, or all if these are fewer. Words of least value go by a few
+    hundred classes of it first, so that no task orders all words."""
+    size = F.octet_length("word") + 1
+    valued = counts.where("word <> ''").withColumn("_size", size).withColumn("_value", F.col("n") * F.col("_size"))
+    valued = valued.withColumn("_class", F.floor(8 * F.log2("_value")).cast("int"))
+    held, least = {}, {}
+    for row in sorted(valued.groupBy("lang", "_class").agg(F.sum("_size").alias("bytes")).collect(), key=lambda r: -r["_class"]):
+        if held.get(row["lang"], 0) < DICTIONARY_BYTES:
+            least[row["lang"]] = row["_class"]
+        held[row["lang"]] = held.get(row["lang"], 0) + row["bytes"]
+    if not least:
+        return {}
+    classes = counts.sparkSession.createDataFrame(sorted(least.items()), "lang string, _least int")
+    best = Window.partitionBy("lang").orderBy(F.desc("_value"), "word")
+    chosen = valued.join(F.broadcast(classes), "lang").where("_class >= _least").withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= DICTIONARY_BYTES // 2)
+    words: dict[str, list[str]] = {}
+    for row in sorted(chosen.select("lang", "word", "_n").collect(), key=lambda r: (r["lang"], r["_n"])):
+        words.setdefault(row["lang"], []).append(row["word"])
+    return words
+
+
+def letters_of(known: DataFrame) -> DataFrame:
+    """(lang, data) of rows (lang, text): their letters."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in by_size(whole, "text"):
+                data = pa.array([letters(t.as_py()) for t in batch.column("text")], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("lang"), data], names=["lang", "data"])
+
+    return known.select("lang", "text").mapInArrow(work, "lang string, data binary")
+
+
 def language_samples(docs: DataFrame) -> dict[str, bytes]:
     """The dictionary of each language that documents (doc_id, text, lang) outside the
     held-out rows name."""
-    n = F.length("text")
-    wanted = F.when(n.between(LEAST_CHARS, MOST_CHARS), 0).when(n < LEAST_CHARS, 1).otherwise(2)
-    known = docs.select("doc_id", F.col("lang").cast("string"), F.col("text").cast("string"), wanted.alias("_wanted")).where(
+    narrow_batches(docs.sparkSession)
+    known = docs.select("doc_id", F.col("lang").cast("string"), F.col("text").cast("string")).where(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}")
     )
-    # Three rows a language; a few times SAMPLE ids of each pass, however many there are.
-    counts = known.groupBy("lang", "_wanted").count().withColumn("_below", 4.0 * SAMPLE / F.col("count")).drop("count")
-    some = known.join(F.broadcast(staged(counts, "languages")), ["lang", "_wanted"]).where(hash_share(F.xxhash64("doc_id")) < F.col("_below"))
-    once = some.groupBy("lang", "doc_id").agg(F.min(F.struct("_wanted", F.substring("text", 1, MOST_CHARS).alias("text"))).alias("_t"))
-    lowest = Window.partitionBy("lang").orderBy("_t._wanted", F.xxhash64("doc_id"), "doc_id")
-    rows = once.withColumn("_n", F.row_number().over(lowest)).where(F.col("_n") <= SAMPLE).select("lang", "_t.text", "_n").collect()
-    parts: dict[str, list[bytes]] = {}
-    for row in sorted(rows, key=lambda r: (r["lang"], r["_n"], r["text"])):
-        parts.setdefault(row["lang"], []).append(letters(row["text"]))
-    return {lang: b"".join(texts)[:DICTIONARY_BYTES] for lang, texts in parts.items()}
+    counts = staged(word_counts(known), "words")
+    sizes = {r["lang"]: r["n"] for r in counts.where("word = ''").collect()}  # a row a language
+    short = [lang for lang, n in sizes.items() if n <= DICTIONARY_BYTES]
+    parts: dict[str, list[bytes]] = {lang: [] for lang in sorted(sizes)}
+    if short:
+        for row in sorted(letters_of(known.where(F.col("lang").isin(short))).collect()):  # DICTIONARY_BYTES a language
+            parts[row["lang"]].append(bytes(row["data"]))
+    for lang, words in frequent_words(counts.where(~F.col("lang").isin(short))).items():
+        data = f" {' '.join(reversed(words))} ".encode()
+        parts[lang] = [(data * (DICTIONARY_BYTES // len(data) + 1))[-DICTIONARY_BYTES:]]  # few words are said again
+    return {lang: b"".join(texts) for lang, texts in parts.items()}
 
 
 class Compressors:

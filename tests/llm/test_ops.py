@@ -330,6 +330,27 @@ def test_short_labelled_texts_are_learned(spark):
     assert found["der Hund und die Katze"]["lang_pred"] == "de" and found["the dog and the cat"]["lang_pred"] == "en" and found["!!"]["lang_pred"] == "und"
 
 
+def test_all_labelled_texts_are_learned(spark, monkeypatch):
+    """The dictionary's words are those of the greatest sums over all rows, in whichever row they stand."""
+    rng = np.random.default_rng(3)
+    texts = [(k, " ".join(rng.choice([f"{a}{b}{'xyz'[k % 3]}" for a in "abcdefgh" for b in "ijklmnopq"], 40)), ["aa", "bb", None][k % 3]) for k in range(400)]
+    texts += [(1000 + k, "seldomword " * 30 + "\u6f22" * 60, "aa") for k in range(2)] + [texts[0], (None, "nobody " * 999, "aa"), (2000, "one two", "cc")]
+    monkeypatch.setattr(language, "DICTIONARY_BYTES", 200)
+    samples = language.language_samples(spark.createDataFrame(texts, "doc_id long, text string, lang string").repartition(5))
+    for lang in ("aa", "bb"):
+        sums = collections.Counter()
+        for doc_id, text, of in texts:
+            if of == lang and doc_id is not None and zlib.crc32(str(doc_id).encode()) % 4 != 2:
+                for word in text.split(" "):
+                    word, n = word.strip("\u6f22"), len(word) - len(word.strip("\u6f22"))
+                    sums[word] += 1
+                    sums["\u6f22" * language.PIECE] += max(0, n // 4 - 1)
+        best = sorted((w for w in sums if w), key=lambda w: (-sums[w] * (len(w.encode()) + 1), w.encode()))
+        want = f" {' '.join(reversed(best))} ".encode()[-200:]
+        assert samples[lang] == want
+    assert samples["cc"] == b" one two " and set(samples) == {"aa", "bb", "cc"}
+
+
 def test_predictions_are_those_of_plain_compression(spark):
     import zstandard
 
