@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -102,11 +103,6 @@ def row_key() -> tuple[Column, Column]:
     return F.xxhash64(F.lit("first"), *parts), F.xxhash64(F.lit("second"), *parts)
 
 
-def hash_share(key: Column) -> Column:
-    """A number from 0 to 1, below x for a share x of different keys."""
-    return F.pmod(key, F.lit(1 << 40)) / float(1 << 40)
-
-
 def salt_of(salts: int, *columns: str) -> Column:
     return F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(salts)).cast("int")
 
@@ -177,3 +173,27 @@ def components(links: DataFrame) -> DataFrame:
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(lowest.select("u", F.col("m").alias("v"))).distinct()
         edges = staged(small, "edges")
+
+
+CHUNK = 8192
+
+
+def in_chunks(values: np.ndarray) -> pa.RecordBatch:
+    """An array of doubles as rows (chunk, data) of ``CHUNK`` of them, those of zeros left out."""
+    parts = [(k // CHUNK, values[k : k + CHUNK].astype("<f8")) for k in range(0, len(values), CHUNK)]
+    parts = [(k, part) for k, part in parts if part.any()]
+    return pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int32()), pa.array([x.tobytes() for _, x in parts], pa.binary())], names=["chunk", "data"])
+
+
+def summed(parts: DataFrame, size: int) -> np.ndarray:
+    """The sum of all arrays of ``size`` doubles that tasks gave in_chunks; chunks are summed
+    by tasks, and the driver sees one array."""
+
+    def add(table: pa.Table) -> pa.Table:
+        total = functools.reduce(np.add, (np.frombuffer(x.as_py(), "<f8") for x in table.column("data")))
+        return pa.table({"chunk": table.column("chunk")[:1].cast(pa.int32()), "data": pa.array([total.tobytes()], pa.binary())})
+
+    out = np.zeros(size)
+    for row in parts.groupBy("chunk").applyInArrow(add, "chunk int, data binary").collect():
+        out[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(row["data"], "<f8")
+    return out

@@ -6,22 +6,23 @@ marks, runs once) and one for its share of different words. One weight vector se
 grades; ordered thresholds t0 < t1 give P(grade <= k) = logistic(t_k - score), from
 which follow the expected grade and the tail probability P(grade = 2).
 
-Fitting: about ``SAMPLE`` labelled documents a grade (all, if it has no more), those whose
-hash of doc_id lies below the share that this is; executors extract their features, and
-the driver fits on those of lowest hash with ``FEATURES`` features a grade at most (full
-batches, adaptive steps; a grade's rows weigh as much as its labelled documents). Scoring
-covers every whole text.
+Fitting takes all labelled documents: executors extract and stage their features. Up to
+``FEATURES`` of them the driver fits on all of these rows (full batches, adaptive steps).
+Beyond that each step of the fit (L-BFGS, scaled by the features' mean squares, until a
+step gains less than a share ``GAIN``, by the mean of five) is a pass of tasks over all rows; they return the sums of
+the gradient, which are as many as the features that get a weight. Scoring covers every
+whole text.
 
 Defined results: null or blank text has no features and scores zero. A document with
 several labels takes the lowest grade; labels with nulls are left out. Without two grades
 there is no model: null results, kept. Rows with equal or null ``doc_id`` are kept; in
-the sample, a doc_id counts once, with its least text. Other columns of ``docs`` stay
+the fit, a doc_id counts once, with its least text. Other columns of ``docs`` stay
 (in ``classify``, those named as its results are replaced; in ``keep_good``, none).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from operator import or_
 from typing import NamedTuple
@@ -32,10 +33,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_size, free_names, hash_share, hashes_of, narrow_batches, read_table, split_words, staged, word_places
+from .common import by_size, free_names, hashes_of, in_chunks, narrow_batches, read_table, split_words, staged, summed, word_places
 
 GRADES = 3
-SAMPLE = 6000
 FEATURES = 3_000_000
 WORDS = 1 << 19
 SHAPES = 1 << 10
@@ -43,8 +43,9 @@ VARIETY = 16
 SIZE = WORDS + SHAPES + VARIETY
 SCALE = 30.0
 STEPS = 200
-LEAST_DOCUMENTS = 10  # in the sample, of a feature that gets a weight
+LEAST_DOCUMENTS = 10  # of a feature that gets a weight
 PENALTY = 2e-4
+GAIN, PASSES, REMEMBERED = 3e-5, 200, 10
 SELECT_AT = 0.35
 
 # Digits, upper-case letters and other letters, and what a run of each is shown as.
@@ -87,24 +88,24 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return places[used], values[used], row[used]
 
 
-def rated(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, int]]:
-    """The sample (doc_id, grade, share, text), and how many documents have each grade."""
+def rated(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(grade, text) of all labelled documents. Only texts of repeated ids are grouped."""
     graded = (
         labels.where("doc_id is not null and quality is not null and toxic is not null")
         .groupBy("doc_id").agg(F.min(F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).otherwise(2)).alias("grade"))
     )
-    of_docs = staged(docs.select("doc_id").where("doc_id is not null").distinct().join(graded, "doc_id"), "graded")
-    counts = {r["grade"]: r["count"] for r in of_docs.groupBy("grade").count().collect()}  # GRADES rows
-    share = hash_share(F.xxhash64("doc_id"))
-    picked = reduce(or_, [(F.col("grade") == g) & (share < SAMPLE / n) for g, n in counts.items()], F.lit(False))
-    # About SAMPLE ids a grade.
-    sample = of_docs.where(picked).select("doc_id", "grade", share.alias("share"))
-    held = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(sample), "doc_id")
-    return held.groupBy("doc_id", "grade", "share").agg(F.min("text").alias("text")), counts
+    ids = docs.where("doc_id is not null").groupBy("doc_id").agg((F.count("*") > 1).alias("repeated"))
+    of_docs = staged(ids.join(graded, "doc_id"), "graded")
+    held = docs.select("doc_id", F.col("text").cast("string"))
+    once = held.join(of_docs.where("not repeated"), "doc_id").select("grade", "text")
+    repeated = of_docs.where("repeated")
+    if repeated.isEmpty():
+        return once
+    return once.unionByName(held.join(repeated, "doc_id").groupBy("doc_id", "grade").agg(F.min("text").alias("text")).select("grade", "text"))
 
 
-def sample_features(sample: DataFrame) -> DataFrame:
-    """(grade, share, n, places, amounts) of each document, places ascending."""
+def rated_features(rows: DataFrame) -> DataFrame:
+    """(grade, n, places, amounts) of each document (grade, text), places ascending."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -115,10 +116,10 @@ def sample_features(sample: DataFrame) -> DataFrame:
                 counts = np.bincount(key // (SIZE + 1), minlength=batch.num_rows)
                 offsets = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(key % (SIZE + 1), pa.int32())), pa.ListArray.from_arrays(offsets, pa.array(sums))]
-                yield pa.RecordBatch.from_arrays([batch.column("grade"), batch.column("share"), pa.array(counts, pa.int64()), *lists], names=["grade", "share", "n", "places", "amounts"])
+                yield pa.RecordBatch.from_arrays([batch.column("grade"), pa.array(counts, pa.int64()), *lists], names=["grade", "n", "places", "amounts"])
 
-    narrow_batches(sample.sparkSession)
-    return sample.select("grade", "share", "text").mapInArrow(work, "grade int, share double, n long, places array<int>, amounts array<float>")
+    narrow_batches(rows.sparkSession)
+    return rows.select("grade", "text").mapInArrow(work, "grade int, n long, places array<int>, amounts array<float>")
 
 
 def logistic(x: np.ndarray) -> np.ndarray:
@@ -177,26 +178,126 @@ def fit_ordinal(places: np.ndarray, amounts: np.ndarray, bounds: np.ndarray, gra
 
 def bounded_sample(rows: DataFrame) -> DataFrame:
     """Of each grade's rows (grade, share, n) those of lowest share with ``FEATURES``
-    features at most, the first at least. The driver sees three numbers of each."""
+    features at most, the first at least. No model comes from these: ``fit`` takes all rows."""
     sizes = rows.select("grade", "share", "n").toArrow().sort_by([("grade", "ascending"), ("share", "ascending")])
     grades, shares, n = (sizes.column(c).to_numpy() for c in ("grade", "share", "n"))
     last = {int(g): float(shares[grades == g][max(0, np.searchsorted(np.cumsum(n[grades == g]), FEATURES, "right") - 1)]) for g in np.unique(grades)}
     return rows.where(reduce(or_, [(F.col("grade") == g) & (F.col("share") <= s) for g, s in last.items()], F.lit(False)))
 
 
+def listed(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, place and amount of all features of a batch of ``rated_features``."""
+    lists = batch.column("places")
+    rows = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    return rows, lists.flatten().to_numpy(), batch.column("amounts").flatten().to_numpy()
+
+
+def minimise(value_of: Callable[[np.ndarray], tuple[float, np.ndarray]], start: np.ndarray) -> np.ndarray:
+    """Where a smooth function is least, by L-BFGS; ``value_of`` gives value and gradient."""
+    at, steps, turns = start, [], []
+    value, slope = value_of(at)
+    passes, values = 1, [value]
+    while passes < PASSES:
+        way, shares = -slope, []
+        for s, y in zip(reversed(steps), reversed(turns), strict=True):
+            shares.append(s @ way / (s @ y))
+            way = way - shares[-1] * y
+        if steps:
+            way = way * (steps[-1] @ turns[-1] / (turns[-1] @ turns[-1]))
+        for s, y, share in zip(steps, turns, reversed(shares), strict=True):
+            way = way + (share - y @ way / (s @ y)) * s
+        length = 1.0
+        while True:
+            new_value, new_slope = value_of(at + length * way)
+            passes += 1
+            if new_value <= value + 1e-4 * length * (slope @ way):
+                break
+            length /= 4
+            if length < 1e-6 or passes >= PASSES:
+                return at
+        s, y = length * way, new_slope - slope
+        if s @ y > 1e-12:
+            steps, turns = [*steps, s][-REMEMBERED:], [*turns, y][-REMEMBERED:]
+        at, value, slope = at + s, new_value, new_slope
+        values.append(value)
+        if len(values) > 5 and values[-6] - value < 5 * GAIN * value:
+            break
+    return at
+
+
+def fit_over_all(rows: DataFrame, counts: dict[int, int]) -> Model:
+    """The model of ``fit_ordinal`` for all ``rated_features``, by passes over them."""
+    context, n = rows.sparkSession.sparkContext, sum(counts.values())
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often, squares = np.zeros(SIZE), np.zeros(SIZE)
+        for batch in batches:
+            _, places, amounts = listed(batch)
+            np.add.at(often, places, 1.0)
+            np.add.at(squares, places, amounts.astype(np.float64) ** 2)
+        yield in_chunks(np.concatenate([often, squares]))
+
+    sums = summed(rows.select("places", "amounts").mapInArrow(moments, "chunk int, data binary"), 2 * SIZE)
+    active = np.flatnonzero(sums[:SIZE] >= LEAST_DOCUMENTS)
+    m = len(active)
+    index = np.full(SIZE, m, np.int32)  # m: without a weight
+    index[active] = np.arange(m)
+    columns = context.broadcast(index)
+    scale = np.sqrt(np.append(PENALTY + sums[SIZE:][active] / (4 * n), np.full(GRADES - 1, 0.25)))
+
+    def value_of(scaled: np.ndarray) -> tuple[float, np.ndarray]:
+        state = scaled / scale
+        gaps = np.exp(state[m + 1 :])
+        cuts = state[m] + np.append(0, np.cumsum(gaps))
+        shared = context.broadcast((np.append(state[:m], 0), cuts))
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            weights, cuts = shared.value
+            total = np.zeros(m + 1 + GRADES)  # slopes by weight (the one at m is none), by cut, loss
+            ends = np.concatenate([[-np.inf], cuts, [np.inf]])
+            for batch in batches:
+                row, places, amounts = listed(batch)
+                at, grades = columns.value[places], batch.column("grade").to_numpy()
+                score = np.bincount(row, amounts * weights[at], batch.num_rows)
+                high, low = logistic(ends[grades + 1] - score), logistic(ends[grades] - score)
+                high[grades == GRADES - 1], low[grades == 0] = 1, 0
+                p = np.maximum(high - low, 1e-9)
+                slope_high, slope_low = high * (1 - high) / p, low * (1 - low) / p
+                np.add.at(total, at, amounts * (slope_high - slope_low)[row])
+                for k in range(GRADES - 1):
+                    total[m + 1 + k] += slope_low[grades == k + 1].sum() - slope_high[grades == k].sum()
+                total[-1] -= np.log(p).sum()
+            yield in_chunks(total)
+
+        total = summed(rows.select("grade", "places", "amounts").mapInArrow(work, "chunk int, data binary"), m + 1 + GRADES) / n
+        shared.destroy()
+        by_cut = total[m + 1 : -1]
+        by_gap = [by_cut[k + 1 :].sum() * gaps[k] for k in range(GRADES - 2)]
+        gradient = np.concatenate([total[:m] + PENALTY * state[:m], [by_cut.sum()], by_gap])
+        return total[-1] + PENALTY / 2 * (state[:m] @ state[:m]), gradient / scale
+
+    share = np.clip(np.cumsum([counts.get(g, 0) for g in range(GRADES)])[:-1] / n, 0.01, 0.99)
+    cuts = np.log(share / (1 - share))
+    start = np.concatenate([np.zeros(m), [cuts[0]], np.log(np.maximum(np.diff(cuts), 0.05))])
+    state = minimise(value_of, start * scale) / scale
+    weights = np.zeros(SIZE, np.float32)
+    weights[active] = state[:m]
+    return Model(weights, state[m] + np.append(0, np.cumsum(np.exp(state[m + 1 :]))))
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
-    texts, counts = rated(docs, labels)
+    rows = staged(rated_features(rated(docs, labels)), "ratings")
+    sums = rows.groupBy("grade").agg(F.count("*").alias("documents"), F.sum("n").alias("n")).collect()  # GRADES rows
+    counts = {r["grade"]: r["documents"] for r in sums}
     if len(counts) < 2:
         return None
-    sample = bounded_sample(staged(sample_features(texts), "ratings")).select("grade", "share", "places", "amounts").toArrow()
-    sample = sample.sort_by([("grade", "ascending"), ("share", "ascending")])
-    grades = sample.column("grade").to_numpy().astype(np.int64)
-    if len(np.unique(grades)) < 2:
-        return None
-    lists = sample.column("places").combine_chunks()
+    if sum(r["n"] for r in sums) > FEATURES:
+        return fit_over_all(rows, counts)
+    all_rows = rows.toArrow().sort_by([("grade", "ascending"), ("n", "ascending")])
+    lists = all_rows.column("places").combine_chunks()
     bounds = np.append(0, np.cumsum(lists.value_lengths().to_numpy(), dtype=np.int64))
-    places, amounts = lists.flatten().to_numpy(), sample.column("amounts").combine_chunks().flatten().to_numpy()
-    return fit_ordinal(places, amounts, bounds, grades, counts)
+    places, amounts = lists.flatten().to_numpy(), all_rows.column("amounts").combine_chunks().flatten().to_numpy()
+    return fit_ordinal(places, amounts, bounds, all_rows.column("grade").to_numpy().astype(np.int64), counts)
 
 
 RESULTS = ("expected_grade", "p_good", "kept")

@@ -399,6 +399,22 @@ def test_fit_is_that_of_a_plain_optimiser(monkeypatch):
     assert np.allclose(model.thresholds, [state[m], state[m] + np.exp(state[m + 1])], atol=0.05)
 
 
+def test_fit_takes_all_labelled_documents(spark, monkeypatch):
+    """Of more features than the driver takes, all rows make the same model by passes over them."""
+    rng = np.random.default_rng(6)
+    words = [f"w{k}" for k in range(60)]
+    docs = [(k, " ".join(rng.choice(words[10 * (k % 3) : 40 + 10 * (k % 3)], 30))) for k in range(600)]
+    labels = spark.createDataFrame([(k, int(k % 3 != 1), int(k % 3 == 0)) for k, _ in docs], "doc_id long, quality int, toxic int")
+    frame = spark.createDataFrame([*docs, (4, "zz least text is the other"), docs[7]], "doc_id long, text string").repartition(4)
+    texts = collections.Counter((r["grade"], r["text"]) for r in quality.rated(frame, labels).collect())
+    assert texts == collections.Counter(([0, 1, 2][k % 3], text) for k, text in docs)
+    models = [quality.fit(frame, labels)]
+    monkeypatch.setattr(quality, "FEATURES", 500)
+    models.append(quality.fit(frame, labels))
+    few, many = ([r["p_good"] for r in quality.classify(frame, model).orderBy("doc_id", "text").collect()] for model in models)
+    assert np.abs(np.subtract(few, many)).max() < 0.05 and np.std(few) > 0.2
+
+
 def test_sample_is_bounded_in_features(spark, monkeypatch):
     rows = spark.createDataFrame([(g, k / 100, 10) for g in (0, 1) for k in range(50)] + [(2, 0.5, 999)], "grade int, share double, n long")
     monkeypatch.setattr(quality, "FEATURES", 205)
