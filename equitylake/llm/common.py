@@ -178,11 +178,12 @@ def components(links: DataFrame) -> DataFrame:
 CHUNK = 8192
 
 
-def in_chunks(values: np.ndarray) -> pa.RecordBatch:
+def in_chunks(values: np.ndarray) -> Iterator[pa.RecordBatch]:
     """An array of doubles as rows (chunk, data) of ``CHUNK`` of them, those of zeros left out."""
-    parts = [(k // CHUNK, values[k : k + CHUNK].astype("<f8")) for k in range(0, len(values), CHUNK)]
-    parts = [(k, part) for k, part in parts if part.any()]
-    return pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int32()), pa.array([x.tobytes() for _, x in parts], pa.binary())], names=["chunk", "data"])
+    for first in range(0, len(values), 64 * CHUNK):
+        parts = [(k // CHUNK, values[k : k + CHUNK].astype("<f8")) for k in range(first, min(first + 64 * CHUNK, len(values)), CHUNK)]
+        parts = [(k, part.tobytes()) for k, part in parts if part.any()]
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int32()), pa.array([x for _, x in parts], pa.binary())], names=["chunk", "data"])
 
 
 def summed(parts: DataFrame, size: int) -> np.ndarray:

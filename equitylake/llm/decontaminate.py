@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from .common import by_size, free_names, narrow_batches, read_table, row_key, split_words, staged, word_places
+from .common import by_size, free_names, in_chunks, narrow_batches, read_table, row_key, split_words, staged, summed, word_places
 
 PASSAGE, STEP = 32, 16
 TERMS = 1 << 17
@@ -56,6 +56,7 @@ SURE, PARAPHRASE, ANSWERED = 0.7, 0.5, 0.8
 PIECES_A_BLOCK = 20_000
 WORDS_AT_ONCE = 1 << 14
 TILE = 1 << 20
+MASKS = 1 << 21  # of items and columns, held as a table
 SLACK = 1e-3  # of a share, for the rounding of 32-bit sums
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
@@ -193,14 +194,9 @@ def product(rows: DataFrame, basis: np.ndarray, space: Space) -> np.ndarray:
                     add_products(total, *held, times[a], basis) if gram is None else add_gram(gram, *held, times[a])
         if gram is not None:
             total = gram[:size, :size] @ basis + gram[:size, :size].T @ basis
-        used = np.flatnonzero(total.any(1))
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(list(total[used]), pa.list_(pa.float64()))], names=["term", "row"])
+        yield from in_chunks(total.reshape(-1))
 
-    found = rows.select("terms", "times").mapInArrow(multiply, "term long, row array<double>").select("term", F.posexplode("row").alias("k", "value"))
-    sums = found.groupBy("term", "k").agg(F.sum("value").alias("value")).toArrow()  # as many as the basis has
-    out = np.zeros(basis.shape)
-    out[sums.column("term").to_numpy(), sums.column("k").to_numpy()] = sums.column("value").to_numpy()
-    return out
+    return summed(rows.select("terms", "times").mapInArrow(multiply, "chunk int, data binary"), basis.size).reshape(basis.shape)
 
 
 def latent_terms(rows: DataFrame, space: Space) -> Space:
@@ -227,6 +223,8 @@ class Items(NamedTuple):
     vectors: np.ndarray  # pieces x RANK, over the square of their lengths
     own: np.ndarray  # the piece's length over its cosine with its own full vector: share x own / passage = cosine
     most: np.ndarray  # each column's greatest product with a piece
+    keys: np.ndarray | None  # ascending item x columns + column of each of ``masks``; None: every one has its mask
+    masks: np.ndarray  # the places of a column in an item of 64 terms or fewer
 
 
 def common_length(a: np.ndarray, b: np.ndarray) -> int:
@@ -243,6 +241,44 @@ def common_length(a: np.ndarray, b: np.ndarray) -> int:
     return len(a) - free.bit_count()
 
 
+def masks_of(terms: list[np.ndarray], columns: np.ndarray, width: int) -> tuple[np.ndarray | None, np.ndarray]:
+    """``keys`` and ``masks`` of items: bit j is set if the item's term j is the column, of ``width``."""
+    masks: dict[int, int] = {}
+    for k, item in enumerate(terms):
+        for j, column in enumerate(columns[item].tolist() if len(item) <= 64 else ()):
+            masks[k * width + column] = masks.get(k * width + column, 0) | 1 << j
+    keys = np.array(sorted(masks), np.int64)
+    values = np.array([masks[key] for key in keys.tolist()], np.uint64)
+    if len(terms) * width > MASKS:
+        return keys, values
+    table = np.zeros(len(terms) * width, np.uint64)
+    table[keys] = values
+    return None, table
+
+
+def common_lengths(k: np.ndarray, codes: np.ndarray, begin: np.ndarray, end: np.ndarray, width: int, items: Items) -> np.ndarray:
+    """``common_length`` of the items k, of 64 terms or fewer, and the columns from ``begin``
+    to ``end`` of ``codes``, all at once; the column ``width`` - 1 is in no item."""
+    lengths, out = np.array([len(t) for t in items.terms], np.int64)[k], np.zeros(len(k), np.int64)
+    for part in range(0, len(k), WORDS_AT_ONCE):
+        some = slice(part, part + WORDS_AT_ONCE)
+        first, last, n = begin[some], end[some], lengths[some].astype(np.uint64)
+        full = np.where(n == 0, np.uint64(0), ~np.uint64(0) >> (np.uint64(64) - np.maximum(n, np.uint64(1))))
+        base, free = k[some] * width, full.copy()
+        for step in range(int((last - first).max(initial=0))):
+            at = first + step
+            key = base + np.where(at < last, codes[np.minimum(at, len(codes) - 1)], width - 1)
+            if items.keys is None:
+                mask = items.masks[key]
+            else:
+                place = np.minimum(np.searchsorted(items.keys, key), len(items.keys) - 1)
+                mask = np.where(items.keys[place] == key, items.masks[place], np.uint64(0))
+            both = free & mask
+            free = (free + both | free & ~both) & full
+        out[some] = lengths[some] - np.bitwise_count(free)
+    return out
+
+
 class Passages(NamedTuple):
     row: np.ndarray  # the text of each
     begin: np.ndarray  # its first word
@@ -281,6 +317,8 @@ def leaks_in(terms: np.ndarray, bounds: np.ndarray, space: Space, items: Items)
     """(row, item) -> cosine, share of the item, share of its answer, the best passage of each."""
     found: dict[tuple[int, int], tuple[float, float, float]] = {}
     passages = possible_passages(terms, bounds, space, items)
+    codes, width = space.columns[terms].astype(np.int64), len(space.latent)
+    item_lengths = np.array([len(t) for t in items.terms], np.int64)
     step = max(1, min(WORDS_AT_ONCE // PASSAGE, TILE // max(1, len(items.owner))))
     for part in range(0, len(passages.row), step):
         row, begin, end, lengths = (x[part : part + step] for x in passages)
@@ -291,12 +329,18 @@ def leaks_in(terms: np.ndarray, bounds: np.ndarray, space: Space, items: Items)
         best = np.lexsort((-cosine, k, p))  # of an item's pieces in a passage, the likest
         p, k, cosine = p[best], k[best], cosine[best]
         first = np.append(True, (np.diff(p) != 0) | (np.diff(k) != 0))[: len(p)]
-        for p, k, cosine in zip(p[first].tolist(), k[first].tolist(), cosine[first].tolist(), strict=True):
-            item, answer, r, at = items.terms[k], items.answers[k], row[p], begin[p]
-            if not len(item) or found.get((r, k), (0, 0, 0))[1] >= 1:
+        p, k, cosine = p[first], k[first], cosine[first]
+        spans = item_lengths[k]
+        start, stop = np.maximum(bounds[row[p]], begin[p] - spans), np.minimum(bounds[row[p] + 1], begin[p] + PASSAGE + spans)
+        common = np.full(len(k), -1)
+        narrow = np.flatnonzero(spans <= 64)
+        common[narrow] = common_lengths(k[narrow], codes, start[narrow], stop[narrow], width, items)
+        near = np.flatnonzero((spans > 0) & ((common < 0) | (common / np.maximum(spans, 1) >= PARAPHRASE)))
+        for r, k, cosine, start, stop, common in zip(*(x[near].tolist() for x in (row[p], k, cosine, start, stop, common)), strict=True):
+            item, answer, region = items.terms[k], items.answers[k], terms[start:stop]
+            if found.get((r, k), (0, 0, 0))[1] >= 1:
                 continue
-            region = terms[max(bounds[r], at - len(item)) : min(bounds[r + 1], at + PASSAGE + len(item))]
-            covered = common_length(item, region) / len(item)
+            covered = (common if common >= 0 else common_length(item, region)) / len(item)
             if covered < PARAPHRASE:
                 continue
             answered = common_length(answer, region) / len(answer) if len(answer) else 1.0
@@ -370,7 +414,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keys: tuple[str, ...] = ("
         lengths, full = np.linalg.norm(vectors, axis=1), np.array([np.linalg.norm(space.weights[t]) for _, t in pieces])
         own = lengths / np.maximum(lengths / (full + 1e-9), LEAST_OWN)
         vectors /= np.maximum(lengths, 1e-9)[:, None] ** 2
-        items = spark.sparkContext.broadcast(Items([b[0] for b in block], [b[1] for b in block], [b[2] for b in block], np.array([k for k, _ in pieces]), vectors, own.astype(np.float32), greatest_products(space.latent, vectors)))
+        items = spark.sparkContext.broadcast(Items([b[0] for b in block], [b[1] for b in block], [b[2] for b in block], np.array([k for k, _ in pieces]), vectors, own.astype(np.float32), greatest_products(space.latent, vectors), *masks_of([b[1] for b in block], space.columns, len(space.latent))))
 
         def search(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
             for whole in batches:

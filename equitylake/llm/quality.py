@@ -235,7 +235,7 @@ def fit_over_all(rows: DataFrame, counts: dict[int, int]) -> Model:
             _, places, amounts = listed(batch)
             np.add.at(often, places, 1.0)
             np.add.at(squares, places, amounts.astype(np.float64) ** 2)
-        yield in_chunks(np.concatenate([often, squares]))
+        yield from in_chunks(np.concatenate([often, squares]))
 
     sums = summed(rows.select("places", "amounts").mapInArrow(moments, "chunk int, data binary"), 2 * SIZE)
     active = np.flatnonzero(sums[:SIZE] >= LEAST_DOCUMENTS)
@@ -267,7 +267,7 @@ def fit_over_all(rows: DataFrame, counts: dict[int, int]) -> Model:
                 for k in range(GRADES - 1):
                     total[m + 1 + k] += slope_low[grades == k + 1].sum() - slope_high[grades == k].sum()
                 total[-1] -= np.log(p).sum()
-            yield in_chunks(total)
+            yield from in_chunks(total)
 
         total = summed(rows.select("grade", "places", "amounts").mapInArrow(work, "chunk int, data binary"), m + 1 + GRADES) / n
         shared.destroy()

@@ -650,6 +650,23 @@ def test_common_length():
         assert decontaminate.common_length(a, b) == brute_common(a.tolist(), b.tolist())
 
 
+@pytest.mark.parametrize("most", [decontaminate.MASKS, 0])
+def test_common_lengths_of_many_at_once(monkeypatch, most):
+    monkeypatch.setattr(decontaminate, "MASKS", most)
+    monkeypatch.setattr(decontaminate, "WORDS_AT_ONCE", 50)
+    rng = np.random.default_rng(5)
+    width = 12
+    columns = np.minimum(np.arange(20), width - 1)
+    terms = [rng.integers(0, width - 1, n) for n in (1, 2, 30, 63, 64, 65, 64, 0)]
+    items = decontaminate.Items([], terms, [], *[None] * 4, *decontaminate.masks_of(terms, columns, width))
+    text = rng.integers(0, 20, 500)
+    k = rng.choice([0, 1, 2, 3, 4, 6, 7], 300)
+    begin = rng.integers(0, 500, 300)
+    end = np.minimum(begin + rng.integers(0, 150, 300), 500)
+    got = decontaminate.common_lengths(k, columns[text], begin, end, width, items)
+    assert got.tolist() == [decontaminate.common_length(terms[i], text[a:b]) for i, a, b in zip(k, begin, end, strict=True)]
+
+
 def test_decontamination(spark, edges, none):
     rng = np.random.default_rng(4)
     words = [f"w{k}" for k in range(3000)]
