@@ -308,44 +308,62 @@ def possible_passages(terms: np.ndarray, bounds: np.ndarray, space: Space, items
 
 def vectors_of(terms: np.ndarray, begin: np.ndarray, end: np.ndarray, space: Space) -> np.ndarray:
     """The folded-in vectors of the passages from ``begin`` to ``end``."""
-    spans = end - begin
-    places = np.repeat(begin - np.cumsum(spans) + spans, spans) + np.arange(spans.sum())
-    return np.add.reduceat(space.latent[space.columns[terms[places]]], np.cumsum(spans) - spans, axis=0)
+    places = begin[:, None] + np.arange(int((end - begin).max(initial=0)))
+    codes = space.columns[terms[np.minimum(places, len(terms) - 1)]]
+    codes[places >= end[:, None]] = len(space.latent) - 1  # its row is zero
+    out, row = np.zeros((len(begin), space.latent.shape[1]), np.float32), np.empty((len(begin), space.latent.shape[1]), np.float32)
+    for column in np.ascontiguousarray(codes.T):
+        out += np.take(space.latent, column, axis=0, out=row, mode="clip")
+    return out
+
+
+def judge(candidates: list[np.ndarray], terms: np.ndarray, bounds: np.ndarray, space: Space, items: Items, found: dict[tuple[int, int], tuple[float, float, float]]) -> None:
+    """Enter into ``found`` those of the candidates (row, first word of the passage, item,
+    cosine) whose common subsequence with the item is long enough."""
+    row, begin, k, cosine = candidates
+    spans = np.array([len(t) for t in items.terms], np.int64)[k]
+    start, stop = np.maximum(bounds[row], begin - spans), np.minimum(bounds[row + 1], begin + PASSAGE + spans)
+    common = np.full(len(k), -1)
+    narrow = np.flatnonzero(spans <= 64)
+    common[narrow] = common_lengths(k[narrow], space.columns[terms].astype(np.int64), start[narrow], stop[narrow], len(space.latent), items)
+    near = np.flatnonzero((spans > 0) & ((common < 0) | (common / np.maximum(spans, 1) >= PARAPHRASE)))
+    for r, k, cosine, start, stop, common in zip(*(x[near].tolist() for x in (row, k, cosine, start, stop, common)), strict=True):
+        item, answer, region = items.terms[k], items.answers[k], terms[start:stop]
+        if found.get((r, k), (0, 0, 0))[1] >= 1:
+            continue
+        covered = (common if common >= 0 else common_length(item, region)) / len(item)
+        if covered < PARAPHRASE:
+            continue
+        answered = common_length(answer, region) / len(answer) if len(answer) else 1.0
+        if (covered >= SURE or answered >= ANSWERED) and covered > found.get((r, k), (0, 0, 0))[1]:
+            found[r, k] = (cosine, covered, answered)
 
 
 def leaks_in(terms: np.ndarray, bounds: np.ndarray, space: Space, items: Items) -> dict[tuple[int, int], tuple[float, float, float]]:
     """(row, item) -> cosine, share of the item, share of its answer, the best passage of each."""
     found: dict[tuple[int, int], tuple[float, float, float]] = {}
-    passages = possible_passages(terms, bounds, space, items)
-    codes, width = space.columns[terms].astype(np.int64), len(space.latent)
-    item_lengths = np.array([len(t) for t in items.terms], np.int64)
+    passages, held, n = possible_passages(terms, bounds, space, items), [], 0
     step = max(1, min(WORDS_AT_ONCE // PASSAGE, TILE // max(1, len(items.owner))))
+    lightest = max(items.own.max(initial=0), 1e-9)
     for part in range(0, len(passages.row), step):
         row, begin, end, lengths = (x[part : part + step] for x in passages)
         shares = vectors_of(terms, begin, end, space) @ items.vectors.T
-        lightness = lengths[:, None] / np.maximum(items.own, 1e-9)[None, :]
-        p, piece = np.nonzero(shares >= LEAST_SHARE * np.minimum(1, lightness))
-        k, cosine = items.owner[piece], shares[p, piece] * items.own[piece] / lengths[p]
+        # Those that no piece's threshold excludes, then by the piece's own.
+        p, piece = np.divmod(np.flatnonzero(shares >= (LEAST_SHARE * np.minimum(1, lengths / lightest) - SLACK)[:, None]), len(items.owner))
+        share = shares[p, piece]
+        chosen = share >= LEAST_SHARE * np.minimum(1, lengths[p] / np.maximum(items.own, 1e-9)[piece])
+        p, piece, share = p[chosen], piece[chosen], share[chosen]
+        k, cosine = items.owner[piece], share * items.own[piece] / lengths[p]
         best = np.lexsort((-cosine, k, p))  # of an item's pieces in a passage, the likest
         p, k, cosine = p[best], k[best], cosine[best]
         first = np.append(True, (np.diff(p) != 0) | (np.diff(k) != 0))[: len(p)]
-        p, k, cosine = p[first], k[first], cosine[first]
-        spans = item_lengths[k]
-        start, stop = np.maximum(bounds[row[p]], begin[p] - spans), np.minimum(bounds[row[p] + 1], begin[p] + PASSAGE + spans)
-        common = np.full(len(k), -1)
-        narrow = np.flatnonzero(spans <= 64)
-        common[narrow] = common_lengths(k[narrow], codes, start[narrow], stop[narrow], width, items)
-        near = np.flatnonzero((spans > 0) & ((common < 0) | (common / np.maximum(spans, 1) >= PARAPHRASE)))
-        for r, k, cosine, start, stop, common in zip(*(x[near].tolist() for x in (row[p], k, cosine, start, stop, common)), strict=True):
-            item, answer, region = items.terms[k], items.answers[k], terms[start:stop]
-            if found.get((r, k), (0, 0, 0))[1] >= 1:
-                continue
-            covered = (common if common >= 0 else common_length(item, region)) / len(item)
-            if covered < PARAPHRASE:
-                continue
-            answered = common_length(answer, region) / len(answer) if len(answer) else 1.0
-            if (covered >= SURE or answered >= ANSWERED) and covered > found.get((r, k), (0, 0, 0))[1]:
-                found[r, k] = (cosine, covered, answered)
+        held.append((row[p[first]], begin[p[first]], k[first], cosine[first]))
+        n += len(held[-1][0])
+        if n >= WORDS_AT_ONCE:
+            judge([np.concatenate(x) for x in zip(*held, strict=True)], terms, bounds, space, items, found)
+            held, n = [], 0
+    if n:
+        judge([np.concatenate(x) for x in zip(*held, strict=True)], terms, bounds, space, items, found)
     return found
 
 

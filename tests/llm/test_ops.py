@@ -667,6 +667,27 @@ def test_common_lengths_of_many_at_once(monkeypatch, most):
     assert got.tolist() == [decontaminate.common_length(terms[i], text[a:b]) for i, a, b in zip(k, begin, end, strict=True)]
 
 
+def test_candidates_of_a_batch_are_measured_together(monkeypatch):
+    words = [f"w{k}" for k in range(400)]
+    terms = [decontaminate.term_ids(" ".join(words[10 * k : 10 * k + 30])) for k in range(4)]
+    held = np.unique(np.concatenate(terms))
+    columns = np.full(decontaminate.TERMS, len(held), np.int32)
+    columns[held] = np.arange(len(held))
+    latent = np.vstack([np.eye(len(held), dtype=np.float32), np.zeros(len(held), np.float32)])
+    space = decontaminate.Space(np.ones(decontaminate.TERMS, np.float32), columns, latent)
+    vectors = np.stack([latent[columns[t]].sum(0) for t in terms])
+    lengths = np.linalg.norm(vectors, axis=1)
+    vectors /= lengths[:, None] ** 2
+    items = decontaminate.Items([0, 1, 2, 3], terms, [t[:0] for t in terms], np.arange(4), vectors, lengths.astype(np.float32), decontaminate.greatest_products(latent, vectors), *decontaminate.masks_of(terms, columns, len(latent)))
+    calls, lengths_of = [], decontaminate.common_lengths
+    monkeypatch.setattr(decontaminate, "common_lengths", lambda *a: calls.append(len(a[0])) or lengths_of(*a))
+    monkeypatch.setattr(decontaminate, "TILE", 4)  # a passage at a time
+    text = decontaminate.term_ids(" ".join(words[:60]))
+    found = decontaminate.leaks_in(np.concatenate([text, text[::-1]]), np.array([0, len(text), 2 * len(text)]), space, items)
+    assert len(calls) == 1 and calls[0] > 4
+    assert {k for k, v in found.items() if v[1] == 1} == {(0, 0), (0, 1), (0, 2), (0, 3)} and {r for r, _ in found} == {0}
+
+
 def test_decontamination(spark, edges, none):
     rng = np.random.default_rng(4)
     words = [f"w{k}" for k in range(3000)]
