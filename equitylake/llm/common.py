@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import tempfile
 import uuid
@@ -66,12 +67,21 @@ def worker_cache(name: str, make: Callable[[], Any]) -> Any:
     """What a Python worker keeps from task to task: one thing at a time. Workers outlive
     an operator's tasks, so that the next operator's first call drops what the last kept."""
     if name not in _WORKER_CACHE:
-        _WORKER_CACHE.clear()
-        pa.default_memory_pool().release_unused()
+        drop_cache()
         _WORKER_CACHE[name] = make()
     return _WORKER_CACHE[name]
 
 
+def drop_cache() -> None:
+    """Give back what other operators' tasks have left in this Python worker; tasks of
+    operators without a cache begin with it."""
+    _WORKER_CACHE.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim:
+        trim(0)
+
+
 def by_size(batch: pa.RecordBatch, column: str, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts, bytes or lists of 32 bits have about ``most`` bytes together,
     one row at least."""

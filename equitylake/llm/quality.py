@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_size, free_names, hashes_of, in_chunks, narrow_batches, read_table, split_words, staged, summed, word_places
+from .common import by_size, drop_cache, free_names, hashes_of, in_chunks, narrow_batches, read_table, split_words, staged, summed, word_places
 
 GRADES = 3
 FEATURES = 3_000_000
@@ -108,6 +108,7 @@ def rated_features(rows: DataFrame) -> DataFrame:
     """(grade, n, places, amounts) of each document (grade, text), places ascending."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_cache()
         for whole in batches:
             for batch in by_size(whole, "text"):
                 places, values, rows = features(batch.column("text"))
@@ -228,8 +229,12 @@ def minimise(value_of: Callable[[np.ndarray], tuple[float, np.ndarray]], start:
 def fit_over_all(rows: DataFrame, counts: dict[int, int]) -> Model:
     """The model of ``fit_ordinal`` for all ``rated_features``, by passes over them."""
     context, n = rows.sparkSession.sparkContext, sum(counts.values())
+    # A task gives one array of sums, whatever it reads: no more tasks than run at once, so
+    # that what a pass shuffles does not grow with the rows.
+    rows = rows.coalesce(context.defaultParallelism)
 
     def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_cache()
         often, squares = np.zeros(SIZE), np.zeros(SIZE)
         for batch in batches:
             _, places, amounts = listed(batch)
@@ -252,6 +257,7 @@ def fit_over_all(rows: DataFrame, counts: dict[int, int]) -> Model:
         shared = context.broadcast((np.append(state[:m], 0), cuts))
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            drop_cache()
             weights, cuts = shared.value
             total = np.zeros(m + 1 + GRADES)  # slopes by weight (the one at m is none), by cut, loss
             ends = np.concatenate([[-np.inf], cuts, [np.inf]])
@@ -313,6 +319,7 @@ def classify(docs: DataFrame, model: Model | None, results: tuple[str, ...] = RE
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_cache()
         weights, cuts = np.append(shared.value.weights, np.float32(0)), shared.value.thresholds
         for whole in batches:
             for batch in by_size(whole, "text"):

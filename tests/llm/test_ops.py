@@ -300,6 +300,23 @@ def test_slices_by_size_of_all_columns_read(kind, values):
     assert [v for part in slices for v in part.column("x").to_pylist()] == values and len(slices) == 2
 
 
+def test_caches_of_other_operators_are_dropped():
+    common.worker_cache("held", lambda: ["x"])
+    common.drop_cache()
+    made = []
+    common.worker_cache("held", lambda: made.append(1))
+    assert made == [1]
+
+
+def test_fit_shuffles_no_more_with_more_partitions(spark, monkeypatch):
+    texts = [(k % 2, f"good words {k % 7}" if k % 2 else f"bad lines {k % 5}") for k in range(400)]
+    rows = common.staged(quality.rated_features(spark.createDataFrame(texts, "grade int, text string").repartition(40)), "ratings")
+    tasks, summed = [], common.summed
+    monkeypatch.setattr(quality, "summed", lambda parts, size: tasks.append(parts.rdd.getNumPartitions()) or summed(parts, size))
+    quality.fit_over_all(rows, {0: 200, 1: 200})
+    assert len(tasks) > 2 and max(tasks) <= spark.sparkContext.defaultParallelism
+
+
 def test_filter_stages_leave_clashing_columns_alone(spark):
     words = [f"w{k}" for k in range(40)]
     docs = [(k, " ".join(np.random.default_rng(k).choice(words, 60)), "en", *"abcdefghi") for k in range(40)]
