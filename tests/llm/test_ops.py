@@ -13,7 +13,7 @@ import xxhash
 from compare import compare
 from pyspark.sql import functions as F
 
-from equitylake.llm import chat_tree, common, decontaminate, language, packing, quality, quality_rules, simhash, token_counts, token_files, url_filter
+from equitylake.llm import chat_tree, common, decontaminate, language, packing, quality, quality_rules, simhash, token_counts, token_files, url_filter, word_ids
 from equitylake.llm.registry import ORACLE_SQL, QUERIES
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -559,6 +559,12 @@ def test_token_counts_without_a_head(edges, monkeypatch):
     test_token_counts(edges, edges.where("false"))
 
 
+def test_strings_are_those_of_the_array():
+    values = pa.array(["", "a", "\u00e9", "\u6f22", "\x00b"])
+    assert word_ids.strings(values) == values.to_pylist() and word_ids.strings(values.slice(1, 2)) == ["a", "\u00e9"]
+    assert word_ids.strings(values.slice(5)) == [] and word_ids.strings(pa.array(["x", "x"]).dictionary_encode().dictionary) == ["x"]
+
+
 def test_token_files(spark, edges, none):
     folder = common.new_path(spark, "files")
     rows = token_files.read_token_files(token_files.write_token_files(edges, folder), folder).collect()
