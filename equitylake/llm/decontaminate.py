@@ -44,13 +44,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from .common import by_size, free_names, in_chunks, narrow_batches, read_table, row_key, split_words, staged, summed, word_places
+from .common import by_size, drop_cache, free_names, in_chunks, narrow_batches, read_table, row_key, split_words, staged, summed, word_places
 
 PASSAGE, STEP = 32, 16
 TERMS = 1 << 17
 RANK, EXTRA = 128, 16
 WEIGH_AS, EMPHASIS = 1000, 6
-GRAM = 4096
+GRAM, ROWS_AT_ONCE = 4096, 256
 LEAST_SHARE, LEAST_OWN = 0.33, 0.05
 SURE, PARAPHRASE, ANSWERED = 0.7, 0.5, 0.8
 PIECES_A_BLOCK = 20_000
@@ -80,6 +80,7 @@ def tokens(texts: DataFrame) -> DataFrame:
     kept = [c for c in texts.columns if c != "text"]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_cache()
         for whole in batches:
             for batch in by_size(whole, "text"):
                 terms, bounds = batch_terms(batch.column("text"))
@@ -100,6 +101,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     """How many documents of ``tokens`` hold each term, and how many documents there are."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_cache()
         totals, n = np.zeros(TERMS, np.int64), 0
         last, order = np.zeros(TERMS, np.int64), np.arange(1 << 16)
         for batch in batches:
@@ -139,23 +141,40 @@ def passage_values(terms: np.ndarray, bounds: np.ndarray, weights: np.ndarray, c
     return passage[inside], at[inside], values[inside]
 
 
-def add_gram(gram: np.ndarray, passage: np.ndarray, at: np.ndarray, values: np.ndarray, times: float) -> None:
-    """Add half of ``times`` AᵀA to ``gram``: with its transpose it is the whole. Its last row
-    and column take what passages lack of ``PASSAGE`` terms."""
-    size = len(gram)
+def below(row: np.ndarray | int) -> np.ndarray | int:
+    """Where a row begins in the lower triangle of a square, row by row."""
+    return row * (row + 1) // 2
+
+
+def add_gram(gram: np.ndarray, size: int, passage: np.ndarray, at: np.ndarray, values: np.ndarray, times: float) -> None:
+    """Add ``times`` AᵀA, of ``size`` columns, to the lower triangle ``gram``, half of its
+    diagonal. Its last row takes what passages lack of ``PASSAGE`` terms."""
     first = np.flatnonzero(np.append(True, np.diff(passage) != 0)) if len(passage) else passage
     count = np.diff(np.append(first, len(passage)))
     row, place = np.repeat(np.arange(len(first)), count), np.arange(len(passage)) - np.repeat(first, count)
-    held, amount = np.full((PASSAGE, len(first)), size - 1), np.zeros((PASSAGE, len(first)))
+    held, amount = np.full((PASSAGE, len(first)), size), np.zeros((PASSAGE, len(first)))
     held[place, row], amount[place, row] = at, values
-    flat = gram.reshape(-1)
     for k in range(int(count.max(initial=0))):
         use = np.flatnonzero(count > k)
         most = int(count[use].max())
-        left, right = held[k, use] * size, amount[k, use] * times
-        np.add.at(flat, left + held[k, use], right * amount[k, use] / 2)
+        left, right = held[k, use], amount[k, use] * times
+        np.add.at(gram, below(left) + left, right * amount[k, use] / 2)
         for other in range(k + 1, most):
-            np.add.at(flat, left + held[other, use], right * amount[other, use])
+            beside = held[other, use]
+            np.add.at(gram, below(np.maximum(left, beside)) + np.minimum(left, beside), right * amount[other, use])
+
+
+def gram_times(gram: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """AᵀA ``basis``, from the triangle that ``add_gram`` makes."""
+    total = np.zeros(basis.shape)
+    for first in range(0, len(basis), ROWS_AT_ONCE):
+        last = min(first + ROWS_AT_ONCE, len(basis))
+        rows = np.zeros((last - first, last))
+        for k in range(first, last):
+            rows[k - first, : k + 1] = gram[below(k) : below(k + 1)]
+        total[first:last] += rows @ basis[:last]
+        total[:last] += rows.T @ basis[first:last]
+    return total
 
 
 def add_products(total: np.ndarray, passage: np.ndarray, at: np.ndarray, values: np.ndarray, times: float, basis: np.ndarray) -> None:
@@ -181,9 +200,10 @@ def product(rows: DataFrame, basis: np.ndarray, space: Space) -> np.ndarray:
     shared = rows.sparkSession.sparkContext.broadcast((basis.astype(np.float32), space.weights, space.columns))
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_cache()
         basis, weights, columns = shared.value
         total, size = np.zeros(basis.shape), len(basis)
-        gram = np.zeros((size + 1, size + 1)) if size <= GRAM else None
+        gram = np.zeros(below(size + 1)) if size <= GRAM else None
         for batch in batches:
             terms, bounds = listed(batch)
             times = batch.column("times").to_numpy()
@@ -191,9 +211,9 @@ def product(rows: DataFrame, basis: np.ndarray, space: Space) -> np.ndarray:
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):  # rows that count the same
                 if b > a:
                     held = passage_values(terms[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a], weights, columns, size)
-                    add_products(total, *held, times[a], basis) if gram is None else add_gram(gram, *held, times[a])
+                    add_products(total, *held, times[a], basis) if gram is None else add_gram(gram, size, *held, times[a])
         if gram is not None:
-            total = gram[:size, :size] @ basis + gram[:size, :size].T @ basis
+            total = gram_times(gram, basis)
         yield from in_chunks(total.reshape(-1))
 
     return summed(rows.select("terms", "times").mapInArrow(multiply, "chunk int, data binary"), basis.size).reshape(basis.shape)
@@ -435,6 +455,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keys: tuple[str, ...] = ("
         items = spark.sparkContext.broadcast(Items([b[0] for b in block], [b[1] for b in block], [b[2] for b in block], np.array([k for k, _ in pieces]), vectors, own.astype(np.float32), greatest_products(space.latent, vectors), *masks_of([b[1] for b in block], space.columns, len(space.latent))))
 
         def search(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
+            drop_cache()
             for whole in batches:
                 for batch in by_size(whole, "terms"):
                     found = leaks_in(*listed(batch), shared.value, items.value)

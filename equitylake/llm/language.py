@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import by_size, free_names, narrow_batches, read_table, staged
+from .common import by_size, drop_cache, free_names, narrow_batches, read_table, staged
 
 DICTIONARY_BYTES = 128 * 1024
 BLOCK = 8 * 1024
@@ -63,6 +63,7 @@ def word_counts(known: DataFrame) -> DataFrame:
     letters, single spaces included."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_cache()
         totals: dict[str, Counter] = {}
 
         def out() -> pa.RecordBatch:
@@ -118,6 +119,7 @@ def letters_of(known: DataFrame) -> DataFrame:
     """(lang, data) of rows (lang, text): their letters."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_cache()
         for whole in batches:
             for batch in by_size(whole, "text"):
                 data = pa.array([letters(t.as_py()) for t in batch.column("text")], pa.binary())
@@ -179,6 +181,7 @@ def predict_languages(rows: DataFrame, samples: dict[str, bytes], results: tuple
     fields = [f for f in rows.schema.fields if f.name in kept]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_cache()
         for whole in batches:
             if not own:
                 own.append(Compressors(shared.value))

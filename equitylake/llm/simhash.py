@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_size, components, free_names, narrow_batches, read_table, row_key, salt_of, staged
+from .common import by_size, components, drop_cache, free_names, narrow_batches, read_table, row_key, salt_of, staged
 
 SHINGLE = 3
 SEED = 42
@@ -61,6 +61,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, k1, k2, fp): the row's key and the fingerprint as a signed 64-bit integer."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_cache()
         for whole in batches:
             for batch in by_size(whole, "text"):
                 prints = np.array([fingerprint(t.as_py()) for t in batch.column("text")], np.uint64)
@@ -145,12 +146,14 @@ def link_prints(prints: DataFrame) -> DataFrame:
     all links at THRESHOLD bits or fewer."""
 
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_cache()
         for batch in batches:
             values = batch.column("fp").to_numpy()
             rows, anchors = anchors_of(values)
             yield pa.RecordBatch.from_arrays([pa.array(anchors), pa.array(values[rows])], names=["anchor", "fp"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_cache()
         last, held, hot = None, np.zeros(0, np.int64), False
 
         def out(links: list[tuple[int, int]], crowded: list[int]) -> pa.RecordBatch:
