@@ -55,7 +55,7 @@ HUGE = 4096
 BLOCK_NODES, BLOCK_SHINGLES = 256, 500_000  # about so much of a bucket in a block
 COLUMNS = 4096
 SIMILAR, OF = 80, 100  # linked if OF * intersection >= SIMILAR * union
-SALTS = 32
+SALTS, PAIRS_A_SALT = 32, 32
 TRIES = 1024
 
 _RNG = np.random.default_rng(13)
@@ -180,10 +180,20 @@ def similar(a: bytes, b: bytes) -> bool:
     return OF * common >= SIMILAR * (len(both) - common)
 
 
+def dealt(pairs: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) with the salt of ``a`` that each goes to: one for ``PAIRS_A_SALT`` pairs
+    of ``a``, as its set goes to each of them, ``SALTS`` at most."""
+    counts = pairs.groupBy("a").agg(F.count("*").alias("pairs")).where(F.col("pairs") > PAIRS_A_SALT)
+    many = pairs.select("a", "b", salt_of(SALTS, "b").alias("salt"))
+    salts = F.least(F.lit(SALTS), F.ceil(F.coalesce("pairs", F.lit(1)) / PAIRS_A_SALT))
+    met = many.join(counts, "a", "left").withColumn("salts", salts)
+    return met.select("a", "b", F.pmod("salt", "salts").cast("int").alias("salt"))
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The ``pairs`` (a, b) whose sets (node, shingles) are similar, staged.
 
-    Each set goes once to every salt of ``a`` that has a pair, before the pairs of that salt,
+    Each set goes once to every salt of ``a`` (``dealt``), before the pairs of that salt,
     which carry the set of ``b``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,7 +207,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                     found.append(k)
             yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(found, pa.int64())) for c in ("a", "b")], names=["a", "b"])
 
-    salted = pairs.withColumn("salt", salt_of(SALTS, "b"))
+    salted = dealt(pairs)
     centres = salted.select("a", "salt", F.lit(None).cast("long").alias("b"), F.col("a").alias("node")).distinct()
     met = centres.unionByName(salted.select("a", "salt", "b", F.col("b").alias("node"))).join(sets, "node")
     rows = met.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from test_ops import DOCS, EDGES, row
 
 from equitylake.llm import collocations, minhash, periodic_runs
@@ -220,6 +221,13 @@ def test_copies_are_those_of_all_pairs(spark, monkeypatch, crowd, huge, share):
     assert got == brute_copies(rows)
 
 
+def test_sets_go_to_few_salts(spark):
+    pairs = spark.createDataFrame([(1, b) for b in range(2, 12)] + [(20, b) for b in range(100, 400)], "a long, b long")
+    salts = {r["a"]: r["n"] for r in minhash.dealt(pairs).groupBy("a").agg(F.countDistinct("salt").alias("n")).collect()}
+    assert salts[1] == 1 and 4 < salts[20] <= 10
+    assert minhash.dealt(pairs).select("a", "b").exceptAll(pairs).isEmpty() and minhash.dealt(pairs).count() == pairs.count()
+
+
 def test_copies_of_edge_cases(edges, none):
     assert Counter(tuple(r) for r in minhash.minhash_components(edges).collect()) == brute_copies(EDGES)
     assert minhash.minhash_components(none).isEmpty()
